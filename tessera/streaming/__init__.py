@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference processes finite chunked arrays only: its Spark job
+parallelises a fixed grid of blocks, and it has no streams, watermarks or
+state.  Nothing is built here; block jobs are batch jobs that survive
+executor loss through Spark's task retry and idempotent chunk writes.
+"""
