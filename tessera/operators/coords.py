@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..volume import AXES, Volume, VolumeMeta
+from ..volume import AXES, Volume, VolumeMeta, idiv
 
 # Broadcast an axis table only below this many rows; above it Spark shuffles.
 MAX_BROADCAST_AXIS_ROWS = 4_000_000
@@ -170,7 +170,7 @@ def densify(vol: Volume) -> Volume:
     n = nx * ny * nz
     ids = F.col("id")
     grid = spark.range(0, n).select(
-        (ids % nx + mx).alias("x"), ((ids // nx) % ny + my).alias("y"), (ids // (nx * ny) + mz).alias("z"))
+        (ids % nx + mx).alias("x"), (idiv(ids, nx) % ny + my).alias("y"), (idiv(ids, nx * ny) + mz).alias("z"))
     vt = vol.df.schema["v"].dataType
     df = grid.join(vol.df, list(AXES), "left").select(*AXES, F.coalesce("v", F.lit(0).cast(vt)).alias("v"))
     return Volume(df, vol.meta)

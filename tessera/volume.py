@@ -111,3 +111,12 @@ def measure_dims(df: DataFrame) -> tuple[int, int, int]:
     """
     r = df.agg(*[F.max(a).alias(a) for a in AXES]).first()
     return tuple(int(r[a]) + 1 if r[a] is not None else 0 for a in AXES)
+
+
+def idiv(c, k: int):
+    """Floor division of an integer column by a positive constant (BIGINT).
+
+    Computed through a double quotient: exact for |c| < 2^52, far beyond any
+    coordinate or block id.
+    """
+    return F.floor(c / F.lit(int(k))).cast("bigint")
