@@ -46,6 +46,7 @@ def with_(*ctes: str) -> str:
 
 
 def lit(x: float) -> str:
+    x = float(x)
     if math.isinf(x):
         return "CAST('inf' AS DOUBLE)" if x > 0 else "CAST('-inf' AS DOUBLE)"
     if math.isnan(x):

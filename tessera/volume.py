@@ -34,7 +34,8 @@ DTYPES = {
     "uint8": DType("uint8", "<u1", T.ShortType(), 0, 255, True),
     "uint16": DType("uint16", "<u2", T.IntegerType(), 0, 65535, True),
     "int32": DType("int32", "<i4", T.IntegerType(), -2147483648, 2147483647, True),
-    "int64": DType("int64", "<i8", T.LongType(), -9.223372036854776e18, 9.223372036854776e18, True),
+    # int64 saturates at the largest doubles inside the range (2^63 itself would overflow the cast)
+    "int64": DType("int64", "<i8", T.LongType(), -9.223372036854775e18, 9.223372036854775e18, True),
     "float32": DType("float32", "<f4", T.FloatType(), -3.4028234663852886e38, 3.4028234663852886e38, False),
     "float64": DType("float64", "<f8", T.DoubleType(), -np.inf, np.inf, False),
 }
