@@ -86,3 +86,36 @@ def _box_oracle(r):
 def box_stats(spark, sf_dir):
     """Window sum, sum of squares, mean, sample variance, std (full windows, zero border)."""
     return ls.box_stats(fx.embedding_u16(spark, sf_dir), 3)
+
+
+def _clahe_sql(r, bins=256, slope=3.0, lo=0.0, hi=65535.0):
+    T = 2 * r + 1
+    span = hi - lo + 1
+    return q.with_(q.V2, q.V2DIMS, f"""vox AS (SELECT x, y, z, v, x // {T} AS tx, y // {T} AS ty,
+    CAST(least({bins - 1}, greatest(0, floor((CAST(v AS DOUBLE) - {q.lit(lo)}) * {q.lit(bins)} / {q.lit(span)}))) AS INTEGER) AS b FROM v2),
+hist AS (SELECT z, tx, ty, b, COUNT(*) AS h FROM vox GROUP BY z, tx, ty, b),
+tiles AS (SELECT z, tx, ty, SUM(h) AS n FROM hist GROUP BY z, tx, ty),
+fullb AS (SELECT t.z, t.tx, t.ty, bb.b, t.n, CAST(COALESCE(h.h, 0) AS DOUBLE) AS h
+  FROM tiles t CROSS JOIN range(0, {bins}) bb(b) LEFT JOIN hist h ON h.z = t.z AND h.tx = t.tx AND h.ty = t.ty AND h.b = bb.b),
+clip AS (SELECT *, least(h, {q.lit(slope)} * CAST(n AS DOUBLE) / {q.lit(bins)}) AS c FROM fullb),
+maps AS (SELECT z, tx, ty, b, {q.lit(lo)} + {q.lit(hi - lo)} * (
+    SUM(c) OVER (PARTITION BY z, tx, ty ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    + CAST(b + 1 AS DOUBLE) * SUM(h - c) OVER (PARTITION BY z, tx, ty) / {q.lit(bins)}) / CAST(n AS DOUBLE) AS m FROM clip),
+pos AS (SELECT x, y, z, b, floor((CAST(x AS DOUBLE) - {q.lit(r)}) / {q.lit(T)}) AS fx, floor((CAST(y AS DOUBLE) - {q.lit(r)}) / {q.lit(T)}) AS fy,
+    (CAST(x AS DOUBLE) - {q.lit(r)}) / {q.lit(T)} - floor((CAST(x AS DOUBLE) - {q.lit(r)}) / {q.lit(T)}) AS wx,
+    (CAST(y AS DOUBLE) - {q.lit(r)}) / {q.lit(T)} - floor((CAST(y AS DOUBLE) - {q.lit(r)}) / {q.lit(T)}) AS wy FROM vox),
+look AS (SELECT x, y, z, b,
+    CAST(least((SELECT (nx + {T - 1}) // {T} FROM v2dims) - 1, greatest(0, fx + kx)) AS BIGINT) AS tx,
+    CAST(least((SELECT (ny + {T - 1}) // {T} FROM v2dims) - 1, greatest(0, fy + ky)) AS BIGINT) AS ty,
+    (CASE WHEN kx = 1 THEN wx ELSE 1.0 - wx END) * (CASE WHEN ky = 1 THEN wy ELSE 1.0 - wy END) AS w
+  FROM pos CROSS JOIN (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) c(kx, ky))""") + f"""
+SELECT look.x, look.y, look.z, {q.to_int('SUM(look.w * maps.m)', 0, 65535, 'INTEGER')} AS v
+FROM look JOIN maps ON maps.z = look.z AND maps.tx = look.tx AND maps.ty = look.ty AND maps.b = look.b
+GROUP BY look.x, look.y, look.z"""
+
+
+@register("clahe", _clahe_sql(5))
+def clahe(spark, sf_dir):
+    """G10 (P8): CLAHE with tiles of 2r+1 = 11, 256 bins, slope 3, range 0..65535."""
+    from ..operators.clahe import clahe as run
+    return run(fx.embedding_u16(spark, sf_dir), 5).df
