@@ -251,6 +251,8 @@ def map_blocks(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], radius=(
         if out.shape != (s[2], s[1], s[0]):
             r = radius
             out = out[r[2]:r[2] + s[2], r[1]:r[1] + s[1], r[0]:r[0] + s[0]]
+        if out.dtype != np.dtype(dtype_of(out_dtype).numpy):
+            out = K.to_dtype(out, out_dtype)  # P1/P2, not a truncating cast
         return pd.DataFrame({"gx": [t[0]], "gy": [t[1]], "gz": [t[2]], "ox": [o[0]], "oy": [o[1]], "oz": [o[2]],
                              "sx": [s[0]], "sy": [s[1]], "sz": [s[2]], "payload": [encode(out, out_dtype)]})
 
