@@ -67,3 +67,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
+    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir on a cluster).
+
+    The chunked-array source reads and writes plain paths, so on a cluster the
+    checkpoint folder must be a shared mount for jobs that go through it.
+    """
+    import uuid
+    base = ensure_checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    d = os.path.join(base, "tessera-" + name, uuid.uuid4().hex)
+    os.makedirs(d, exist_ok=True)
+    return d

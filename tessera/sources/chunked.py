@@ -202,6 +202,36 @@ class ChunkReader(DataSourceReader):
         self.box = [[0, c - 1] for c in self.counts]
         self.sets = [None, None, None]
 
+    def _axis_values(self, a):
+        lo, hi = self.box[a]
+        vals = range(lo, hi + 1)
+        return [v for v in vals if v in self.sets[a]] if self.sets[a] is not None else list(vals)
+
+    def partitions(self):
+        n = math.prod(len(self._axis_values(a)) for a in range(3))
+        blk = _pad3(self.m["block"], 1)
+        bpp = max(1, self.part_bytes // max(1, math.prod(blk) * np.dtype(self.m["dtype"]).itemsize))
+        return [_Part(s, min(n, s + bpp)) for s in range(0, n, bpp)] or [_Part(0, 0)]
+
+    def read(self, partition):
+        vx, vy, vz = (self._axis_values(a) for a in range(3))
+        dims, blk = _pad3(self.m["dims"], 1), _pad3(self.m["block"], 1)
+        for i in range(partition.start, partition.end):
+            g = (vx[i % len(vx)], vy[(i // len(vx)) % len(vy)], vz[i // (len(vx) * len(vy))])
+            path = chunk_path(self.root, self.dataset, self.m, g)
+            if not os.path.exists(path):
+                continue
+            o = [g[d] * blk[d] for d in range(3)]
+            s = [min(blk[d], dims[d] - o[d]) for d in range(3)]
+            with open(path, "rb") as f:
+                a = decode_chunk(f.read(), self.m, s)
+            yield (self.dataset, g[0], g[1], g[2], o[0], o[1], o[2], s[0], s[1], s[2],
+                   np.ascontiguousarray(a).tobytes())
+
+
+class PrunedChunkReader(ChunkReader):
+    """Reader with grid-key filter push-down (needs spark.sql.python.filterPushdown.enabled)."""
+
     def pushFilters(self, filters):
         axes = {"gx": 0, "gy": 1, "gz": 2}
         for f in filters:
@@ -229,32 +259,6 @@ class ChunkReader(DataSourceReader):
                 continue
             self.box[a] = [lo, hi]
 
-    def _axis_values(self, a):
-        lo, hi = self.box[a]
-        vals = range(lo, hi + 1)
-        return [v for v in vals if v in self.sets[a]] if self.sets[a] is not None else list(vals)
-
-    def partitions(self):
-        n = math.prod(len(self._axis_values(a)) for a in range(3))
-        blk = _pad3(self.m["block"], 1)
-        bpp = max(1, self.part_bytes // max(1, math.prod(blk) * np.dtype(self.m["dtype"]).itemsize))
-        return [_Part(s, min(n, s + bpp)) for s in range(0, n, bpp)] or [_Part(0, 0)]
-
-    def read(self, partition):
-        vx, vy, vz = (self._axis_values(a) for a in range(3))
-        dims, blk = _pad3(self.m["dims"], 1), _pad3(self.m["block"], 1)
-        for i in range(partition.start, partition.end):
-            g = (vx[i % len(vx)], vy[(i // len(vx)) % len(vy)], vz[i // (len(vx) * len(vy))])
-            path = chunk_path(self.root, self.dataset, self.m, g)
-            if not os.path.exists(path):
-                continue
-            o = [g[d] * blk[d] for d in range(3)]
-            s = [min(blk[d], dims[d] - o[d]) for d in range(3)]
-            with open(path, "rb") as f:
-                a = decode_chunk(f.read(), self.m, s)
-            yield (self.dataset, g[0], g[1], g[2], o[0], o[1], o[2], s[0], s[1], s[2],
-                   np.ascontiguousarray(a).tobytes())
-
 
 # ------------------------------------------------------------------ writer
 
@@ -305,6 +309,8 @@ class ChunkedArraySource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
+        if self.options.get("pushdown", "false").lower() == "true":
+            return PrunedChunkReader(self.options)
         return ChunkReader(self.options)
 
     def writer(self, schema, overwrite):
@@ -312,6 +318,8 @@ class ChunkedArraySource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Register the source and switch on Python filter push-down (a runtime SQL setting)."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(ChunkedArraySource)
 
 
@@ -323,8 +331,9 @@ def open_blocks(spark: SparkSession, root: str, dataset: str):
     register(spark)
     m = read_meta(root, dataset)
     dims = tuple(_pad3(m["dims"], 1))
-    df = (spark.read.format("ndblocks").option("path", root).option("dataset", dataset).load()
-          .drop("dataset"))
+    pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    df = (spark.read.format("ndblocks").option("path", root).option("dataset", dataset)
+          .option("pushdown", pushdown).load().drop("dataset"))
     return BlockVolume(df, VolumeMeta(dims, m["dtype"], attrs=m.get("attrs", {})), tuple(_pad3(m["block"], 1)))
 
 
