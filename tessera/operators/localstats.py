@@ -94,19 +94,31 @@ def _fv() -> Column:
     return F.col("v").cast("float").cast("double")
 
 
-def center_expr(rx, ry, fp_min, fp_max) -> Column:
+# The expressions below read staged columns ``_mean``, ``_std`` (and ``_s``)
+# so that Catalyst analyses small trees; ``cllcn`` adds them by projections.
+def _mean() -> Column:
+    return F.col("_mean")
+
+
+def _std() -> Column:
+    return F.col("_std")
+
+
+def _scol() -> Column:
+    return F.col("_s")
+
+
+def center_expr(fp_min, fp_max) -> Column:
     """G3 ``runCenter``: ``v - mean + fpMean``."""
-    mean, _, _ = _stats(rx, ry)
     fp_mean = (fp_max - fp_min) / 2.0 + fp_min
-    return (_fv() - mean) + F.lit(fp_mean)
+    return (_fv() - _mean()) + F.lit(fp_mean)
 
 
-def stretch_expr(rx, ry, k, fp_min, fp_max) -> Column:
+def stretch_expr(k, fp_min, fp_max) -> Column:
     """G4 ``runStretch`` (gamma = 1): ``(v - fpMean)/2/d * L + fpMean``, d = k*std."""
-    _, _, std = _stats(rx, ry)
     L = fp_max - fp_min
     fp_mean = L / 2.0 + fp_min
-    d = F.lit(float(k)) * std
+    d = F.lit(float(k)) * _std()
     return ieee_div((_fv() - F.lit(fp_mean)) / 2.0, d) * F.lit(L) + F.lit(fp_mean)
 
 
@@ -115,55 +127,52 @@ def _limit(x: Column, limit: float, gamma: float) -> Column:
     return F.when(x < F.lit(float(limit)), x).otherwise(F.pow(x + F.lit(a), F.lit(float(gamma))) + F.lit(b))
 
 
-def _s(d: Column, L: float, limit: float, gamma: float) -> Column:
-    """``s = d == 0 ? 0 : 0.5 * limit(1/d * L)``."""
+def s_expr(k, limit, gamma, fp_min, fp_max) -> Column:
+    """``s = d == 0 ? 0 : 0.5 * limit(1/d * L)`` with d = k*std."""
+    L = fp_max - fp_min
+    d = F.lit(float(k)) * _std()
     return F.when(d == 0, F.lit(0.0)).otherwise(F.lit(0.5) * _limit(ieee_div(F.lit(1.0), d) * F.lit(L), limit, gamma))
 
 
-def stretch_limited_expr(rx, ry, k, limit, gamma, fp_min, fp_max) -> Column:
+def stretch_limited_expr(fp_min, fp_max) -> Column:
     """G5 ``runStretch`` (limited): ``(v - fpMean) * s * L + fpMean`` (the extra L is reproduced)."""
-    _, _, std = _stats(rx, ry)
     L = fp_max - fp_min
     fp_mean = L / 2.0 + fp_min
-    s = _s(F.lit(float(k)) * std, L, limit, gamma)
-    return (_fv() - F.lit(fp_mean)) * s * F.lit(L) + F.lit(fp_mean)
+    return (_fv() - F.lit(fp_mean)) * _scol() * F.lit(L) + F.lit(fp_mean)
 
 
-def center_stretch_expr(rx, ry, k, fp_min, fp_max) -> Column:
+def center_stretch_expr(k, fp_min, fp_max) -> Column:
     """G6 ``runCenterStretch`` (gamma = 1): ``(v - (mean - d))/2/d * L + fpMin``."""
-    mean, _, std = _stats(rx, ry)
     L = fp_max - fp_min
-    d = F.lit(float(k)) * std
-    return ieee_div((_fv() - (mean - d)) / 2.0, d) * F.lit(L) + F.lit(fp_min)
+    d = F.lit(float(k)) * _std()
+    return ieee_div((_fv() - (_mean() - d)) / 2.0, d) * F.lit(L) + F.lit(fp_min)
 
 
-def center_stretch_limited_expr(rx, ry, k, limit, gamma, keep_min_max, fp_min, fp_max) -> Column:
+def center_stretch_limited_expr(keep_min_max, fp_min, fp_max) -> Column:
     """``(v - (mean - L/s*0.5)) * s + fpMin``; ``keepMinMax`` leaves v == min or max unchanged.
 
     Constant regions give s = 0 -> L/s = Inf -> Inf*0 = NaN (P11), reproduced.
     """
-    mean, _, std = _stats(rx, ry)
     L = fp_max - fp_min
-    s = _s(F.lit(float(k)) * std, L, limit, gamma)
-    vmin = mean - ieee_div(F.lit(L), s) * F.lit(0.5)
-    out = (_fv() - vmin) * s + F.lit(fp_min)
+    vmin = _mean() - ieee_div(F.lit(L), _scol()) * F.lit(0.5)
+    out = (_fv() - vmin) * _scol() + F.lit(fp_min)
     if keep_min_max:
         out = F.when((_fv() == F.lit(float(fp_min))) | (_fv() == F.lit(float(fp_max))), _fv()).otherwise(out)
     return out
 
 
-def cllcn_expr(rx, ry, k=3.0, limit=10.0, gamma=0.5, center=True, stretch=True, keep_min_max=True,
-               fp_min=0.0, fp_max=65535.0) -> Column:
-    """G8 dispatch, chosen at plan time.  Returns the float result before clamping."""
+def cllcn_expr(k=3.0, limit=10.0, gamma=0.5, center=True, stretch=True, keep_min_max=True,
+               fp_min=0.0, fp_max=65535.0) -> tuple[bool, Column]:
+    """G8 dispatch, chosen at plan time: (needs ``_s``, float result before clamping)."""
     if gamma == 1:
         if center:
-            return center_stretch_expr(rx, ry, k, fp_min, fp_max) if stretch else center_expr(rx, ry, fp_min, fp_max)
-        return stretch_expr(rx, ry, k, fp_min, fp_max) if stretch else _fv()
+            return False, center_stretch_expr(k, fp_min, fp_max) if stretch else center_expr(fp_min, fp_max)
+        return False, stretch_expr(k, fp_min, fp_max) if stretch else _fv()
     if center:
         if stretch:
-            return center_stretch_limited_expr(rx, ry, k, limit, gamma, keep_min_max, fp_min, fp_max)
-        return center_expr(rx, ry, fp_min, fp_max)
-    return stretch_limited_expr(rx, ry, k, limit, gamma, fp_min, fp_max) if stretch else _fv()
+            return True, center_stretch_limited_expr(keep_min_max, fp_min, fp_max)
+        return False, center_expr(fp_min, fp_max)
+    return (True, stretch_limited_expr(fp_min, fp_max)) if stretch else (False, _fv())
 
 
 def cllcn(vol: Volume, r: int, k: float = 3.0, limit: float = 10.0, gamma: float = 0.5,
@@ -176,8 +185,12 @@ def cllcn(vol: Volume, r: int, k: float = 3.0, limit: float = 10.0, gamma: float
     (``fpMin``/``fpMax``) and the clamp range, as in the reference job.
     """
     out_dtype = out_dtype or vol.dtype
-    sums = box_sums(vol, r, r, extension)
-    f = cllcn_expr(r, r, k, limit, gamma, center, stretch, keep_min_max, min_intensity, max_intensity)
+    mean, _, std = _stats(r, r)
+    staged = box_sums(vol, r, r, extension).select("x", "y", "z", "v", mean.alias("_mean"), std.alias("_std"))
+    need_s, f = cllcn_expr(k, limit, gamma, center, stretch, keep_min_max, min_intensity, max_intensity)
+    if need_s:
+        staged = staged.withColumn("_s", s_expr(k, limit, gamma, min_intensity, max_intensity))
+    sums = staged
     stored = f.cast("float").cast("double")
     clamped = clamp(stored, min_intensity, max_intensity)
     return Volume(sums.select("x", "y", "z", to_type(clamped, out_dtype).alias("v")),

@@ -44,6 +44,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -82,3 +83,27 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     d = os.path.join(base, "tessera-" + name, uuid.uuid4().hex)
     os.makedirs(d, exist_ok=True)
     return d
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable on every executor, whatever the driver's working directory.
+
+    Functions run by ``mapInPandas``/``applyInPandas`` are pickled by
+    reference to this package; a zip of it is added with ``addPyFile`` once
+    per SparkContext (Spark copies it to each executor).
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, dirs, files in os.walk(pkg):
+            dirs[:] = [x for x in dirs if x != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    sc._tessera_shipped = True
