@@ -92,3 +92,88 @@ def job_smooth_cells(spark, sf_dir):
     root = scratch_dir(spark, "j4")
     CH.save_blocks(B.from_voxels(fx.embedding_u16(spark, sf_dir), (16, 16, 1)), root, "emb", "n5", "raw")
     return B.to_voxels(J.smooth_cells(spark, root, "emb", 3.0, 32)).df
+
+
+@register("parquet_blocks_crop", q.with_(q.V4) + "SELECT x, y, z, CAST(v AS INTEGER) AS v FROM v4 WHERE z BETWEEN 4 AND 6 AND v <> 0")
+def parquet_blocks_crop(spark, sf_dir):
+    """A13 + C1: V4 blocks (16,16,4) stored as parquet partitioned by dataset/gz; a crop z >= 4 prunes to
+    the gz = 1 directory (PartitionFilters) before unravelling."""
+    from ..sources import parquet as PQ
+    from ..operators.coords import crop
+    root = scratch_dir(spark, "parquet")
+    v = _v4_u16(spark, sf_dir)
+    PQ.write_blocks(B.from_voxels(v, (16, 16, 4)), root, "v4")
+    bv = PQ.read_blocks(spark, root, "v4", v.meta, (16, 16, 4))
+    bv = B.BlockVolume(bv.df.filter(F.col("gz") == 1), bv.meta, bv.block)
+    vox = B.to_voxels(bv, drop_zeros=True)
+    return crop(vox, (0, 0, 4), (v.dims[0], v.dims[1], 3)).df
+
+
+@register("crop_like", q.with_(q.V4, q.V5) + "SELECT x, y, z, v FROM v5 WHERE x BETWEEN 3 AND 12 AND y BETWEEN 5 AND 24 AND z BETWEEN 1 AND 4")
+def crop_like(spark, sf_dir):
+    """Crop V5 by the interval of another volume (a crop of V4 at (3,5,1) size (10,20,4))."""
+    from ..operators.coords import crop, crop_like as cl
+    other = crop(fx.lineitem_counts(spark, sf_dir), (3, 5, 1), (10, 20, 4))
+    return cl(fx.lineitem_revenue(spark, sf_dir), other).df
+
+
+def _clahe_gradients_sql(r=4):
+    from .q_localstats import _clahe_sql
+    ms = q.mirror_single
+    nx, ny = "(SELECT nx FROM v2dims)", "(SELECT ny FROM v2dims)"
+    return (f"WITH cl AS ({_clahe_sql(r)}),\n" + q.V2DIMS + f"""
+SELECT 'x' AS axis, c.x, c.y, c.z, (CAST(n.v AS DOUBLE) - CAST(p.v AS DOUBLE)) * 0.5 AS v FROM cl c
+  JOIN cl n ON n.y = c.y AND n.z = c.z AND n.x = {ms('c.x + 1', nx)}
+  JOIN cl p ON p.y = c.y AND p.z = c.z AND p.x = {ms('c.x - 1', nx)}
+UNION ALL
+SELECT 'y' AS axis, c.x, c.y, c.z, (CAST(n.v AS DOUBLE) - CAST(p.v AS DOUBLE)) * 0.5 AS v FROM cl c
+  JOIN cl n ON n.x = c.x AND n.z = c.z AND n.y = {ms('c.y + 1', ny)}
+  JOIN cl p ON p.x = c.x AND p.z = c.z AND p.y = {ms('c.y - 1', ny)}""")
+
+
+@register("job_clahe_gradients", _clahe_gradients_sql())
+def job_clahe_gradients(spark, sf_dir):
+    """J2 + A11: CLAHE (radius of scale index 8 = 4), double, centre gradients along x and y with
+    mirror-single borders, written as sibling N5 datasets and read back (axis column)."""
+    root = scratch_dir(spark, "j2")
+    CH.save_blocks(B.from_voxels(fx.embedding_u16(spark, sf_dir), (32, 32, 1)), root, "emb", "n5", "raw")
+    names = J.clahe_gradients(spark, root, "emb", root, 8, block=(32, 32, 1))
+    out = None
+    for axis, name in names.items():
+        d = B.to_voxels(CH.open_blocks(spark, root, name)).df.select(F.lit(axis).alias("axis"), "x", "y", "z", "v")
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def _view_plane_sql(size=(64, 64)):
+    import numpy as np
+    from ..operators import resample as RS
+    t = RS.affine_identity()
+    for axis, ang in ((2, 0.3), (1, 0.1), (0, 0.6)):
+        t = RS.rotate(t, axis, ang)
+    ti = RS.inverse(RS.scale(t, 0.9))
+    p = [f"({q.lit(ti[r, 0])} * CAST(x AS DOUBLE) + {q.lit(ti[r, 1])} * CAST(y AS DOUBLE) + {q.lit(ti[r, 2])} * CAST(z AS DOUBLE) + {q.lit(ti[r, 3])})"
+         for r in range(2)]
+    md = q.mirror_double
+    dnx, dny = "(((SELECT nx FROM v2dims) + 1) // 2)", "(((SELECT ny FROM v2dims) + 1) // 2)"
+    return q.with_(q.V2, q.V2DIMS, f"""ds AS (SELECT tx AS x, ty AS y, CAST(0 AS BIGINT) AS z,
+    SUM(CAST(v AS DOUBLE)) / (CAST(least(2, (SELECT nx FROM v2dims) - 2 * tx) AS DOUBLE) * least(2, (SELECT ny FROM v2dims) - 2 * ty)) AS v
+  FROM (SELECT x // 2 AS tx, y // 2 AS ty, v FROM v2) GROUP BY tx, ty),
+tg AS (SELECT CAST(i AS BIGINT) AS x, CAST(j AS BIGINT) AS y, CAST(0 AS BIGINT) AS z FROM range(0, {size[0]}) a(i), range(0, {size[1]}) b(j)),
+pp AS (SELECT x, y, z, {p[0]} AS p0, {p[1]} AS p1 FROM tg),
+fl AS (SELECT x, y, z, floor(p0) AS f0, floor(p1) AS f1, p0 - floor(p0) AS t0, p1 - floor(p1) AS t1 FROM pp),
+ex AS (SELECT x, y, z, CAST(f0 + b0 AS BIGINT) AS c0, CAST(f1 + b1 AS BIGINT) AS c1,
+         1.0 * (CASE WHEN b0 = 1 THEN t0 ELSE 1.0 - t0 END) * (CASE WHEN b1 = 1 THEN t1 ELSE 1.0 - t1 END) AS w
+       FROM fl, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) cn(b0, b1))""") + f"""
+SELECT ex.x, ex.y, ex.z, {q.to_int('SUM(ex.w * COALESCE(s.v, 0.0))', 0, 255, 'SMALLINT')} AS v
+FROM ex LEFT JOIN ds s ON s.x = {md('ex.c0', dnx)} AND s.y = {md('ex.c1', dny)} AND s.z = ex.z
+GROUP BY ex.x, ex.y, ex.z"""
+
+
+@register("job_view_plane", _view_plane_sql())
+def job_view_plane(spark, sf_dir):
+    """J5 + H9: V2 as a container -> float -> x2 downsampling -> affine (rotate z 0.3, y 0.1, x 0.6;
+    scale 0.9), n-linear, mirror-double -> uint8 plane of 64 x 64."""
+    root = scratch_dir(spark, "j5")
+    CH.save_blocks(B.from_voxels(fx.embedding_u16(spark, sf_dir), (32, 32, 1)), root, "emb", "n5", "raw")
+    return J.view_plane(spark, root, "emb", (64, 64, 1)).df

@@ -199,3 +199,8 @@ def first_slice_float(vol: Volume) -> Volume:
     df = vol.df.filter(F.col("z") == z0).select("x", "y", F.lit(0).cast("bigint").alias("z"),
                                                  F.col("v").cast("float").alias("v"))
     return Volume(df, VolumeMeta((vol.dims[0], vol.dims[1], 1), "float32", (vol.meta.min[0], vol.meta.min[1], 0)))
+
+
+def crop_like(vol: Volume, other: Volume) -> Volume:
+    """Crop to another volume's interval (taken from its metadata)."""
+    return crop(vol, other.meta.min, other.dims)
