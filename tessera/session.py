@@ -20,9 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # block rows are large: keep Arrow batches small so one batch of payloads
-    # stays within a few hundred MB in the Python worker
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    # block rows are large: Arrow batches are bounded by bytes (64 MB), not
+    # only by the record count, so a batch of payloads stays small in the worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
