@@ -62,6 +62,7 @@ def separable(vol: Volume, halves: dict[str, list], extension: str = "zero", den
     df = vol.df.select(*AXES, *[F.col("v").cast("double").alias(n) for n in names])
     cur = Volume(df, vol.meta)  # columns carried through passes
     lo, hi = vol.meta.min, vol.meta.max
+    identical = True  # before the first pass every column is a copy of v: share the taps
     for d in range(nd):
         kernels = {n: halves[n][d] for n in names if halves[n][d] is not None}
         if not kernels:
@@ -73,12 +74,14 @@ def separable(vol: Volume, halves: dict[str, list], extension: str = "zero", den
             # materialise the padded axis: each column is re-read at mirrored positions
             src = _extend_cols(cur, d, reach, extension, names)
         outs = []
+        shared = _taps(src, names[0], a, reach) if identical else None
         for n in names:
             if n in kernels:
-                taps = _taps(src, n, a, len(kernels[n]) - 1)
+                taps = shared if shared is not None else _taps(src, n, a, len(kernels[n]) - 1)
                 outs.append(_conv(taps, kernels[n]).alias(n))
             else:
                 outs.append(F.col(n))
+        identical = False
         src = src.select(*AXES, *outs)
         if extension != "zero":
             src = src.filter(F.col(a).between(lo[d], hi[d]))
