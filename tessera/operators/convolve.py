@@ -1,9 +1,9 @@
 """Separable convolution (F8-F10): Gaussian smoothing and difference of Gaussians.
 
-Voxel form: one pass per axis.  Each tap ``s(x+k)`` is a one-row RANGE frame
-(``rangeBetween(k, k)``) over the same window spec, so a pass is one hash
-exchange on the other two axes and no row multiplication; several kernels on
-the same input (DoG) share the taps.  Mirror borders materialise the padded
+Voxel form: one pass per axis.  Each tap ``s(x+k)`` is an offset window
+function (``lead``/``lag`` on the axis, dense at that point) over one window
+spec, so a pass is one hash exchange on the other two axes and no row
+multiplication; several kernels on the same input (DoG) share the taps.  Mirror borders materialise the padded
 axis first (``coords.extend``); zero borders read absent taps as 0.
 
 The block form (numpy 1-D convolution inside a halo plan) is in
@@ -31,12 +31,19 @@ def gauss_half_kernel(sigma: float) -> np.ndarray:
 
 
 def _taps(df: DataFrame, col: str, axis: str, reach: int) -> dict[int, Column]:
+    """``s(x+k)`` for ``|k| <= reach`` as offset window functions.
+
+    The axis is dense here (sparse input is densified, mirror borders are
+    materialised), so ``lead``/``lag`` by k rows is the sample at distance k;
+    past the ends they are NULL, which is the zero border.  Offset frames cost
+    O(1) per row, unlike one-row RANGE frames.
+    """
     others = [a for a in AXES if a != axis]
     w = Window.partitionBy(*others).orderBy(axis)
     taps = {0: F.col(col)}
     for k in range(1, reach + 1):
-        taps[k] = F.coalesce(F.first(col).over(w.rangeBetween(k, k)), F.lit(0.0))
-        taps[-k] = F.coalesce(F.first(col).over(w.rangeBetween(-k, -k)), F.lit(0.0))
+        taps[k] = F.coalesce(F.lead(col, k).over(w), F.lit(0.0))
+        taps[-k] = F.coalesce(F.lag(col, k).over(w), F.lit(0.0))
     return taps
 
 
