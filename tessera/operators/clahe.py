@@ -19,11 +19,13 @@ from pyspark.sql import Window, functions as F
 
 from ..functions.pointwise import to_type
 from ..volume import AXES, Volume, VolumeMeta, idiv
+from .coords import ensure_dense
 
 
 def clahe(vol: Volume, r: int, bins: int = 256, slope: float = 3.0, lo: float = 0.0, hi: float = 65535.0,
           out_dtype: str | None = None) -> Volume:
     out_dtype = out_dtype or vol.dtype
+    vol = ensure_dense(vol)  # tile counts and outputs cover every voxel
     T = 2 * r + 1
     nx, ny, _ = vol.dims
     mx, my, _ = vol.meta.min

@@ -61,7 +61,7 @@ def separable(vol: Volume, halves: dict[str, list], extension: str = "zero", den
     Sparse input is densified first: after the first pass, absent voxels next
     to present ones carry values the next pass must read.
     """
-    if not dense:
+    if not (dense or vol.meta.dense):
         from .coords import densify
         vol = densify(vol)
     names = list(halves)

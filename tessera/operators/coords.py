@@ -8,6 +8,8 @@ explicit size check.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..volume import AXES, Volume, VolumeMeta, idiv
@@ -173,7 +175,12 @@ def densify(vol: Volume) -> Volume:
         (ids % nx + mx).alias("x"), (idiv(ids, nx) % ny + my).alias("y"), (idiv(ids, nx * ny) + mz).alias("z"))
     vt = vol.df.schema["v"].dataType
     df = grid.join(vol.df, list(AXES), "left").select(*AXES, F.coalesce("v", F.lit(0).cast(vt)).alias("v"))
-    return Volume(df, vol.meta)
+    return Volume(df, replace(vol.meta, dense=True))
+
+
+def ensure_dense(vol: Volume) -> Volume:
+    """The volume itself if its metadata says every voxel has a row, else ``densify``."""
+    return vol if vol.meta.dense else densify(vol)
 
 
 # --------------------------------------------------------------------- C12-C14

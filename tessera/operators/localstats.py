@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.pointwise import clamp, ieee_div, soft_limit_constants, to_type
 from ..volume import Volume, VolumeMeta
-from .coords import extend
+from .coords import ensure_dense, extend
 
 
 def _axis_window_sum(df: DataFrame, cols: list[str], axis: str, others: list[str], r: int,
@@ -49,9 +49,10 @@ def _axis_window_sum(df: DataFrame, cols: list[str], axis: str, others: list[str
 def box_sums(vol: Volume, rx: int, ry: int, extension: str = "zero") -> DataFrame:
     """Per voxel: ``S`` = window sum of v, ``Q`` = window sum of v^2 (exact for integers).
 
-    Output columns ``x, y, z, v, S, Q`` for every voxel of the input's interval.
-    The input must be dense inside its dims (see ``coords.densify``).
+    Output columns ``x, y, z, v, S, Q`` for every voxel of the input's interval
+    (a sparse input is densified first).
     """
+    vol = ensure_dense(vol)  # prefix differences need every row along the axis
     integer = vol.df.schema["v"].dataType.typeName() in ("long", "integer", "short", "byte")
     vt = "bigint" if integer else "double"
     src = vol if extension == "zero" else extend(vol, (rx, ry, 0), extension)

@@ -51,7 +51,7 @@ def neighbours(df: DataFrame, col: str, axis: str, n: int, lo: int, extension: s
 
 
 def _prep(vol: Volume, dense: bool) -> DataFrame:
-    v = vol if dense else densify(vol)
+    v = vol if (dense or vol.meta.dense) else densify(vol)
     return v.df.select(*AXES, F.col("v").cast("double").alias("v"))
 
 

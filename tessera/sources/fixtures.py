@@ -24,14 +24,15 @@ def embedding_image(spark: SparkSession, sf_dir: str) -> Volume:
     ).select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
              F.lit(0).cast("bigint").alias("z"), F.col("e").cast("double").alias("v"))
     r = e.agg(F.max(F.size("embedding")).alias("nx"), F.max("vec_id").alias("ny")).first()
-    return Volume(df, VolumeMeta((int(r["nx"]), int(r["ny"]) + 1, 1), "float64"))
+    # every embedding has the same length and vec_id runs densely from 0: every voxel has a row
+    return Volume(df, VolumeMeta((int(r["nx"]), int(r["ny"]) + 1, 1), "float64", dense=True))
 
 
 def embedding_u16(spark: SparkSession, sf_dir: str) -> Volume:
     """V2: V1 quantised to unsigned 16 bit: ``floor((v+1)*32768)``."""
     v1 = embedding_image(spark, sf_dir)
     df = v1.df.select("x", "y", "z", F.floor((F.col("v") + 1.0) * 32768.0).cast("bigint").alias("v"))
-    return Volume(df, VolumeMeta(v1.dims, "uint16"))
+    return Volume(df, VolumeMeta(v1.dims, "uint16", dense=True))
 
 
 # Event types in alphabetic order give the z axis of V3.

@@ -56,6 +56,8 @@ class VolumeMeta:
     dtype: str = "float64"
     min: tuple[int, int, int] = (0, 0, 0)
     attrs: dict = field(default_factory=dict, compare=False)
+    # every voxel inside dims has a row (set by densify and by dense sources)
+    dense: bool = False
 
     @property
     def ndim(self) -> int:

@@ -78,3 +78,15 @@ def test_constant_image_gives_nan_then_zero_and_keep_min_max(mk):
 def test_stretch_gamma_one_has_no_limiter(mk, s5):
     got = to_array(ls.cllcn(mk(s5), 2, gamma=1.0, center=False, stretch=True))[0]
     assert np.array_equal(got, brute_cllcn(s5, 2, "zero", gamma=1.0, center=False, stretch=True))
+
+
+def test_sparse_input_is_densified(mk, s5):
+    """Absent voxels read as 0: a sparse volume gives the same result as the dense one with zeros."""
+    from tessera.volume import Volume, VolumeMeta
+    a = s5.copy()
+    a[3:6, 2:9] = 0
+    dense = mk(a)
+    sparse = Volume(dense.df.filter("v != 0"), VolumeMeta(dense.dims, "uint16"))
+    assert np.array_equal(to_array(ls.cllcn(sparse, 2)), to_array(ls.cllcn(dense, 2)))
+    assert np.array_equal(to_array(ls.cllcn(sparse, 2, extension="mirror_double")),
+                          to_array(ls.cllcn(dense, 2, extension="mirror_double")))
