@@ -98,3 +98,14 @@ def soft_limit(x, limit: float, gamma: float) -> Column:
 def function_image(x, y, expr=lambda x, y: x * y, dtype: str = "uint8") -> Column:
     """A5: a value computed from the position, wrapped into ``dtype`` like bytes."""
     return wrap_to(expr(_c(x), _c(y)), dtype)
+
+
+def convert(vol, fn, dtype: str | None = None):
+    """A user converter per voxel.  ``fn`` maps the value Column to a
+    Column (JVM-side, preferred) or is a ``pandas_udf`` (Arrow batches)."""
+    from ..volume import AXES, Volume, VolumeMeta
+    out = fn(F.col("v"))
+    if dtype:
+        out = to_type(out, dtype)
+    return Volume(vol.df.select(*AXES, out.alias("v")),
+                  VolumeMeta(vol.dims, dtype or vol.dtype, vol.meta.min, dense=vol.meta.dense))

@@ -211,3 +211,9 @@ def first_slice_float(vol: Volume) -> Volume:
 def crop_like(vol: Volume, other: Volume) -> Volume:
     """Crop to another volume's interval (taken from its metadata)."""
     return crop(vol, other.meta.min, other.dims)
+
+
+def raster_order(vol: Volume) -> DataFrame:
+    """Voxels in flat-iteration order (x fastest).  Only where order is
+    observable (a sorted export); operators never depend on row order."""
+    return vol.df.orderBy("z", "y", "x")

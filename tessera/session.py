@@ -98,12 +98,9 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for d, dirs, files in os.walk(pkg):
-            dirs[:] = [x for x in dirs if x != "__pycache__"]
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(d, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    # compiled bytecode in the zip: fresh worker processes (e.g. the Python
+    # data-source planner) import it without compiling every module again
+    with zipfile.PyZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writepy(pkg)
     sc.addPyFile(out)
     sc._tessera_shipped = True

@@ -37,3 +37,43 @@ def read_image(spark: SparkSession, path: str) -> Volume:
     df = read_images(spark, path)
     r = spark.read.format("image").load(path).select("image.width", "image.height").first()
     return Volume(df.drop("origin"), VolumeMeta((int(r["width"]), int(r["height"]), 1), "uint8"))
+
+
+def _png_gray8(a: np.ndarray) -> bytes:
+    """Minimal 8-bit greyscale PNG (zlib + CRC from the standard library)."""
+    import struct
+    import zlib
+    h, w = a.shape
+    raw = b"".join(b"\x00" + a[y].tobytes() for y in range(h))
+
+    def chunk(t, d):
+        return struct.pack(">I", len(d)) + t + d + struct.pack(">I", zlib.crc32(t + d) & 0xffffffff)
+
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0))
+            + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
+
+
+def write_png_tiles(bv, folder: str) -> None:
+    """Each 2-D uint8 block becomes ``tile_<ox>_<oy>.png``, written by the task that holds it."""
+    import os
+
+    def write(it):
+        for pdf in it:
+            for row in pdf.itertuples(index=False):
+                a = np.frombuffer(row.payload, dtype=np.uint8).reshape(row.sy, row.sx)
+                path = os.path.join(folder, f"tile_{row.ox}_{row.oy}.png")
+                tmp = path + ".tmp"
+                with open(tmp, "wb") as f:
+                    f.write(_png_gray8(a))
+                os.replace(tmp, path)
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    bv.df.filter(F.col("sz") == 1).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
+def read_png_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Voxels of all tiles, placed at the offsets in their file names."""
+    vox = read_images(spark, folder)
+    off = F.regexp_extract("origin", r"tile_(\d+)_(\d+)\.png$", 1).cast("bigint")
+    offy = F.regexp_extract("origin", r"tile_(\d+)_(\d+)\.png$", 2).cast("bigint")
+    return vox.select((F.col("x") + off).alias("x"), (F.col("y") + offy).alias("y"), "z", "v")
