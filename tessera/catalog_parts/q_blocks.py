@@ -94,3 +94,11 @@ def map_blocks_udf(spark, sf_dir):
     out = B.map_blocks(bv, lambda a: a[:, :, 1:-1] + a[:, :, 2:],
                        (1, 0, 0), "zero", "int64", zero_preserving=True)
     return B.to_voxels(out, drop_zeros=True).df
+
+
+@register("cllcn_strips", ORACLES["cllcn"])
+def cllcn_strips(spark, sf_dir):
+    """G11 through two strip passes (x sums with halo (5,0,0), then y sums + formula with halo (0,5,0)),
+    the plan used automatically for large radii."""
+    bv = B.from_voxels(fx.embedding_u16(spark, sf_dir), (16, 16, 1))
+    return B.to_voxels(B.cllcn(bv, 5, strips=True)).df

@@ -48,6 +48,7 @@ class BlockVolume:
     df: DataFrame
     meta: VolumeMeta
     block: tuple[int, int, int]
+    channels: int = 1  # samples per voxel in the payload (trailing numpy axis when > 1)
 
     @property
     def dims(self):
@@ -61,8 +62,9 @@ class BlockVolume:
         return block_grid(self.df.sparkSession, self.dims, self.block)
 
 
-def decode(payload: bytes, dtype: str, sx: int, sy: int, sz: int) -> np.ndarray:
-    return np.frombuffer(payload, dtype=np.dtype(dtype_of(dtype).numpy)).reshape(sz, sy, sx)
+def decode(payload: bytes, dtype: str, sx: int, sy: int, sz: int, channels: int = 1) -> np.ndarray:
+    shape = (sz, sy, sx) if channels == 1 else (sz, sy, sx, channels)
+    return np.frombuffer(payload, dtype=np.dtype(dtype_of(dtype).numpy)).reshape(shape)
 
 
 def encode(a: np.ndarray, dtype: str) -> bytes:
@@ -196,13 +198,13 @@ def halo_pieces(bv: BlockVolume, radius, extension: str = "zero", target_block=N
         p = p.select(F.col("t").alias(f"t{a}"), F.col("g").alias(G[d]), F.col("plo").alias(f"l{a}"),
                      F.col("phi").alias(f"h{a}"))
         df = df.join(p, G[d])
-    dtype = bv.dtype
+    dtype, ch = bv.dtype, bv.channels
 
     def trim(it):
         for pdf in it:
             pays = []
             for row in pdf.itertuples(index=False):
-                a = decode(row.payload, dtype, row.sx, row.sy, row.sz)
+                a = decode(row.payload, dtype, row.sx, row.sy, row.sz, ch)
                 sub = a[row.lz - row.oz:row.hz - row.oz + 1, row.ly - row.oy:row.hy - row.oy + 1,
                         row.lx - row.ox:row.hx - row.ox + 1]
                 pays.append(np.ascontiguousarray(sub).tobytes())
@@ -232,7 +234,7 @@ def _index_map(lo: int, hi: int, n: int, mode: str) -> np.ndarray:
     return np.where(m < n, m, p - 1 - m)
 
 
-def assemble_padded(pdf: pd.DataFrame, dims, tb, radius, extension: str, dtype: str):
+def assemble_padded(pdf: pd.DataFrame, dims, tb, radius, extension: str, dtype: str, channels: int = 1):
     """Step 3a: paste the pieces of one target into its padded array (numpy axes z, y, x)."""
     t = [int(pdf[k].iloc[0]) for k in ("tx", "ty", "tz")]
     o = [t[d] * tb[d] for d in range(3)]
@@ -242,14 +244,15 @@ def assemble_padded(pdf: pd.DataFrame, dims, tb, radius, extension: str, dtype:
     lo = [int(v.min()) if len(v) else 0 for v in valid]
     hi = [int(v.max()) if len(v) else -1 for v in valid]
     np_dt = np.dtype(dtype_of(dtype).numpy)
-    region = np.zeros((hi[2] - lo[2] + 1, hi[1] - lo[1] + 1, hi[0] - lo[0] + 1), dtype=np_dt)
+    tail = () if channels == 1 else (channels,)
+    region = np.zeros((hi[2] - lo[2] + 1, hi[1] - lo[1] + 1, hi[0] - lo[0] + 1) + tail, dtype=np_dt)
     for row in pdf.itertuples(index=False):
         if row.payload is None:
             continue
-        a = np.frombuffer(row.payload, dtype=np_dt).reshape(row.nz, row.ny, row.nx)
+        a = np.frombuffer(row.payload, dtype=np_dt).reshape((row.nz, row.ny, row.nx) + tail)
         region[row.pz - lo[2]:row.pz - lo[2] + row.nz, row.py - lo[1]:row.py - lo[1] + row.ny,
                row.px - lo[0]:row.px - lo[0] + row.nx] = a
-    padded = np.zeros(tuple(len(idx[d]) for d in (2, 1, 0)), dtype=np_dt)
+    padded = np.zeros(tuple(len(idx[d]) for d in (2, 1, 0)) + tail, dtype=np_dt)
     m = [idx[d] >= 0 for d in range(3)]
     if all(mm.any() for mm in m):
         padded[np.ix_(m[2], m[1], m[0])] = region[np.ix_(idx[2][m[2]] - lo[2], idx[1][m[1]] - lo[1], idx[0][m[0]] - lo[0])]
@@ -257,7 +260,8 @@ def assemble_padded(pdf: pd.DataFrame, dims, tb, radius, extension: str, dtype:
 
 
 def map_blocks(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], radius=(0, 0, 0), extension: str = "zero",
-               out_dtype: str | None = None, zero_preserving: bool = False, target_block=None) -> BlockVolume:
+               out_dtype: str | None = None, zero_preserving: bool = False, target_block=None,
+               out_channels: int = 1) -> BlockVolume:
     """``fn(padded) -> centre`` per block, halo ``radius`` per axis.
 
     ``fn`` receives the padded block (numpy axes z, y, x) and returns either
@@ -277,10 +281,13 @@ def map_blocks(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], radius=(
             *[F.lit(0).cast("int").alias(c) for c in ("nx", "ny", "nz")], F.lit(None).cast("binary").alias("payload"))
         pieces = pieces.unionByName(marks)
 
+    ch = bv.channels
+    tail = () if out_channels == 1 else (out_channels,)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        t, o, s, padded = assemble_padded(pdf, dims, tb, radius, extension, dtype)
+        t, o, s, padded = assemble_padded(pdf, dims, tb, radius, extension, dtype, ch)
         out = np.asarray(fn(padded))
-        if out.shape != (s[2], s[1], s[0]):
+        if out.shape != (s[2], s[1], s[0]) + tail:
             r = radius
             out = out[r[2]:r[2] + s[2], r[1]:r[1] + s[1], r[0]:r[0] + s[0]]
         if out.dtype != np.dtype(dtype_of(out_dtype).numpy):
@@ -288,7 +295,7 @@ def map_blocks(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], radius=(
         return (t[0], t[1], t[2], o[0], o[1], o[2], s[0], s[1], s[2], encode(out, out_dtype))
 
     df = grouped_rows(pieces, ["tx", "ty", "tz"], run, BLOCK_SCHEMA, BLOCK_COLUMNS)
-    return BlockVolume(df, VolumeMeta(dims, out_dtype), tb)
+    return BlockVolume(df, VolumeMeta(dims, out_dtype), tb, out_channels)
 
 
 def map_slices(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], padding: int, extension: str = "zero",
@@ -314,10 +321,27 @@ def map_slices(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], padding:
     return map_blocks(bv, per_block, (p, p, 0), extension, out_dtype, zero_preserving)
 
 
+# Above this many bytes per padded group, CLLCN switches to two strip passes.
+MAX_GROUP_BYTES = 256 << 20
+
+
 def cllcn(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, gamma: float = 0.5, center: bool = True,
           stretch: bool = True, keep_min_max: bool = True, extension: str = "zero",
-          min_intensity: float = 0.0, max_intensity: float = 65535.0) -> BlockVolume:
-    """G11 in block form: the slice operator with the CLLCN kernel (integral images per slice)."""
+          min_intensity: float = 0.0, max_intensity: float = 65535.0, strips: bool | None = None) -> BlockVolume:
+    """G11 in block form: the slice operator with the CLLCN kernel (integral images per slice).
+
+    One halo exchange of radius (r, r, 0) while a padded group stays below
+    ``MAX_GROUP_BYTES``; beyond it (large radii such as 1023 at the finest
+    level) two strip passes: window sums along x with halo (r, 0, 0), then
+    along y with halo (0, r, 0) plus the formula.  Both give the same numbers.
+    """
+    bx, by, bz = bv.block
+    if strips is None:
+        strips = (bx + 2 * r) * (by + 2 * r) * bz * 8 * 2 > MAX_GROUP_BYTES
+    if strips:
+        return cllcn_strips(bv, r, k, limit, gamma, center, stretch, keep_min_max, extension,
+                            min_intensity, max_intensity)
+
     def fn(fp):
         return K.cllcn_slice(fp, r, k, limit, gamma, center, stretch, keep_min_max, min_intensity, max_intensity)
     # zero is a fixed point (keepMinMax keeps v == min) only when min_intensity == 0 and keep_min_max
@@ -406,3 +430,40 @@ def nonempty(bv: BlockVolume) -> BlockVolume:
     all-zero binary of the same length (no Python)."""
     zero = F.expr("unhex(repeat('00', octet_length(payload)))")
     return BlockVolume(bv.df.filter(F.col("payload") != zero), bv.meta, bv.block)
+
+
+def cllcn_strips(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, gamma: float = 0.5,
+                 center: bool = True, stretch: bool = True, keep_min_max: bool = True, extension: str = "zero",
+                 min_intensity: float = 0.0, max_intensity: float = 65535.0) -> BlockVolume:
+    """CLLCN as two separable passes; each ships a voxel to ``1 + 2 ceil(r/b)`` targets
+    instead of ``(1 + 2 ceil(r/b))^2``, and a group is a strip, not a 2-D square."""
+    integer = dtype_of(bv.dtype).integer
+    cdt = "int64" if integer else "float64"
+
+    def pass_x(a):
+        v = a.astype(np.float32).astype(np.int64 if integer else np.float64)
+        c = np.zeros(v.shape[:2] + (v.shape[2] + 1,), dtype=v.dtype)
+        out = []
+        for m in (v, v * v):
+            c[:, :, 1:] = m.cumsum(2)
+            w = c.shape[2] - 1 - 2 * r
+            out.append(c[:, :, 2 * r + 1:2 * r + 1 + w] - c[:, :, 0:w])
+        centre = v[:, :, r:r + out[0].shape[2]]
+        return np.stack([centre, out[0], out[1]], axis=-1)
+
+    sums = map_blocks(bv, pass_x, (r, 0, 0), extension, cdt, zero_preserving=True, out_channels=3)
+    out_dtype = bv.dtype
+
+    def pass_y(a):
+        c = np.zeros((a.shape[0], a.shape[1] + 1) + a.shape[2:], dtype=a.dtype)
+        c[:, 1:] = a.cumsum(1)
+        h = a.shape[1] - 2 * r
+        win = c[:, 2 * r + 1:2 * r + 1 + h] - c[:, 0:h]
+        v = a[:, r:r + h, :, 0].astype(np.float64)
+        res = K.cllcn_from_sums(v, win[..., 1].astype(np.float64), win[..., 2].astype(np.float64), r, k, limit,
+                                gamma, center, stretch, keep_min_max, min_intensity, max_intensity)
+        stored = res.astype(np.float32).astype(np.float64)
+        return K.to_dtype(K.clamp(stored, min_intensity, max_intensity), out_dtype)
+
+    zp = keep_min_max and min_intensity == 0.0 and center and stretch and gamma != 1
+    return map_blocks(sums, pass_y, (0, r, 0), extension, out_dtype, zero_preserving=zp)

@@ -65,6 +65,13 @@ def cllcn_slice(fp: np.ndarray, r: int, k: float = 3.0, limit: float = 10.0, gam
     before the float store).  Statistics come from the unmodified slice (P5)."""
     S, Q = box_sums(fp, r)
     v = fp[r:fp.shape[0] - r, r:fp.shape[1] - r].astype(np.float64)
+    return cllcn_from_sums(v, S, Q, r, k, limit, gamma, center, stretch, keep_min_max, fp_min, fp_max)
+
+
+def cllcn_from_sums(v: np.ndarray, S: np.ndarray, Q: np.ndarray, r: int, k: float = 3.0, limit: float = 10.0,
+                    gamma: float = 0.5, center: bool = True, stretch: bool = True, keep_min_max: bool = True,
+                    fp_min: float = 0.0, fp_max: float = 65535.0) -> np.ndarray:
+    """G8 from the (float32-valued) samples and their full-window sums S, Q."""
     bs = (2 * r + 1) * (2 * r + 1)
     scale, scale1, scale2 = 1.0 / bs, 1.0 / (bs - 1), 1.0 / (bs * bs - bs)
     mean = S * scale

@@ -90,3 +90,11 @@ def test_sparse_input_is_densified(mk, s5):
     assert np.array_equal(to_array(ls.cllcn(sparse, 2)), to_array(ls.cllcn(dense, 2)))
     assert np.array_equal(to_array(ls.cllcn(sparse, 2, extension="mirror_double")),
                           to_array(ls.cllcn(dense, 2, extension="mirror_double")))
+
+
+@pytest.mark.parametrize("extension", ["zero", "mirror_double"])
+def test_cllcn_strip_passes_equal_single_pass(mk, s5, extension):
+    vol = mk(s5)
+    want = to_array(ls.cllcn(vol, 4, extension=extension))
+    got = to_array(B.to_voxels(B.cllcn(B.from_voxels(vol, (4, 3, 1)), 4, extension=extension, strips=True)))
+    assert np.array_equal(got, want)
