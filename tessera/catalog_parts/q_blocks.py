@@ -102,3 +102,26 @@ def cllcn_strips(spark, sf_dir):
     the plan used automatically for large radii."""
     bv = B.from_voxels(fx.embedding_u16(spark, sf_dir), (16, 16, 1))
     return B.to_voxels(B.cllcn(bv, 5, strips=True)).df
+
+
+@register("gradient_center_rai_blocks", ORACLES["gradient_center_rai"])
+def gradient_center_rai_blocks(spark, sf_dir):
+    """F2 in block form: halo of one sample along y, mirror-single border, blocks (7,5,1)."""
+    bv = B.from_voxels(fx.embedding_u16(spark, sf_dir), (7, 5, 1))
+    return B.to_voxels(B.center_gradient(bv, 1, "mirror_single")).df
+
+
+@register("gradient_magnitude_3d_blocks", ORACLES["gradient_magnitude_3d"])
+def gradient_magnitude_3d_blocks(spark, sf_dir):
+    """F5 in 3-D block form on V4 (sparse: absent blocks read as zero), sigma = (1, 2, 4)."""
+    bv = B.from_voxels(fx.lineitem_counts(spark, sf_dir), (16, 16, 4))
+    out = B.gradient_magnitude(bv, (1.0, 2.0, 4.0), "zero")
+    return B.to_voxels(out).df
+
+
+@register("clahe_blocks", ORACLES["clahe"])
+def clahe_blocks(spark, sf_dir):
+    """G10 in block form: partial tile histograms per block, tile maps, blend per block with
+    the maps of its neighbour tiles; no voxel leaves its block."""
+    bv = B.from_voxels(fx.embedding_u16(spark, sf_dir), (16, 16, 1))
+    return B.to_voxels(B.clahe(bv, 5)).df

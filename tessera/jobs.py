@@ -44,20 +44,18 @@ def contrast_enhance(spark: SparkSession, n5url: str, n5dataset: str, n5outurl:
 
 def clahe_gradients(spark: SparkSession, url: str, dataset: str, outurl: str, scaleindex: int,
                     block=(16, 16, 16)) -> dict:
-    """CLAHE (radius from the scale level), convert to double, centre gradients along x, y, z with
-    mirror-single borders; three datasets written side by side (A11).  The CLAHE result is
-    checkpointed once and shared by the three branches."""
+    """CLAHE (radius from the scale level), convert to double, centre gradients along each axis with
+    mirror-single borders; the datasets are written side by side (A11).  All in block form: the CLAHE
+    result is checkpointed once (shared folder) and read by the gradient branches."""
     src = CH.open_blocks(spark, url, dataset)
-    vol = B.to_voxels(src)
     r = radius_for_scale(scaleindex)
-    cl = CL.clahe(vol, r, out_dtype=vol.dtype)
-    shared = cut_lineage(cl.df.select(*AXES, F.col("v").cast("double").alias("v")))
-    cl = Volume(shared, VolumeMeta(vol.dims, "float64"))
+    cl = B.clahe(src, r, out_dtype=src.dtype)
+    cl = B.BlockVolume(cut_lineage(cl.df), cl.meta, cl.block)
     names = {}
     for d, a in enumerate(AXES[:cl.meta.ndim]):
-        g = ST.center_gradient(cl, d, "mirror_single", dense=True)
+        g = B.center_gradient(cl, d, "mirror_single")
         name = f"{dataset.rstrip('/')}-gradient-{a}"
-        CH.save_blocks(B.from_voxels(g, block), outurl, name, "n5", "gzip", block=block)
+        CH.save_blocks(g, outurl, name, "n5", "gzip", block=block)
         names[a] = name
     return names
 

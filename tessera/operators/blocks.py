@@ -467,3 +467,163 @@ def cllcn_strips(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, g
 
     zp = keep_min_max and min_intensity == 0.0 and center and stretch and gamma != 1
     return map_blocks(sums, pass_y, (0, r, 0), extension, out_dtype, zero_preserving=zp)
+
+
+# ------------------------------------------------------------------ F1-F5 in block form
+
+def _centre_diff(a: np.ndarray, axis_np: int) -> np.ndarray:
+    """``s(x+1) - s(x-1)`` along a numpy axis of an array padded by one sample on that axis."""
+    hi = [slice(None)] * 3
+    lo = [slice(None)] * 3
+    hi[axis_np] = slice(2, None)
+    lo[axis_np] = slice(0, -2)
+    return a[tuple(hi)] - a[tuple(lo)]
+
+
+def center_gradient(bv: BlockVolume, axis: int, extension: str = "mirror_single", sigma: float | None = None,
+                    out_dtype: str = "float64") -> BlockVolume:
+    """F1/F2/F4 in block form: halo of one sample along ``axis``; norm 0.5 or 2/sigma."""
+    norm = 0.5 if sigma is None else 2.0 / sigma
+    radius = [0, 0, 0]
+    radius[axis] = 1
+
+    def fn(a):
+        return _centre_diff(a.astype(np.float64), 2 - axis) * norm
+
+    return map_blocks(bv, fn, tuple(radius), extension, out_dtype, zero_preserving=True)
+
+
+def gradient_magnitude(bv: BlockVolume, sigma, extension: str = "zero", out_dtype: str = "float64") -> BlockVolume:
+    """F5 in block form: one halo exchange of radius 1 on the volume's axes."""
+    nd = bv.meta.ndim
+    radius = tuple(1 if d < nd else 0 for d in range(3))
+
+    def fn(a):
+        a = a.astype(np.float64)
+        sq = None
+        for d in range(nd):
+            sl = [slice(r, a.shape[i] - r) if r else slice(None) for i, r in enumerate(radius[::-1])]
+            sl[2 - d] = slice(None)
+            g = _centre_diff(a[tuple(sl)], 2 - d) * (2.0 / sigma[d])
+            sq = g * g if sq is None else sq + g * g
+        return np.sqrt(sq)
+
+    return map_blocks(bv, fn, radius, extension, out_dtype, zero_preserving=True)
+
+
+# ------------------------------------------------------------------ G10 in block form
+
+MAX_BROADCAST_MAP_TILES = 32_768  # packed tile maps (256 doubles each) broadcast below this count
+
+
+def clahe(bv: BlockVolume, r: int, bins: int = 256, slope: float = 3.0, lo: float = 0.0, hi: float = 65535.0,
+          out_dtype: str | None = None) -> BlockVolume:
+    """CLAHE (P8) in block form for any radius; voxels never leave their block.
+
+    1. per block, partial histograms per (slice, tile, bin) (``mapInPandas``),
+       summed with partial aggregation; tiles' zero samples in absent blocks are
+       completed from geometry (tile size inside the image, from metadata);
+    2. tile maps with the same window code as the voxel form, packed to one
+       256-value array per tile;
+    3. each block of the grid is grouped with the maps of the tiles around it
+       (at most ``(s/T + 2)^2`` per slice) and blended in numpy.
+    """
+    from .clahe import tile_maps
+    spark = bv.df.sparkSession
+    out_dtype = out_dtype or bv.dtype
+    dtype = bv.dtype
+    T = 2 * r + 1
+    nx, ny, nz = bv.dims
+    ntx, nty = (nx + T - 1) // T, (ny + T - 1) // T
+    span = float(hi - lo + 1)
+    b0 = int(min(bins - 1, max(0, math.floor((0.0 - lo) * bins / span))))
+
+    def bin_of(a):
+        return np.clip(np.floor((a.astype(np.float64) - lo) * float(bins) / span), 0, bins - 1).astype(np.int64)
+
+    def block_hist(it):
+        for pdf in it:
+            keys = []
+            for row in pdf.itertuples(index=False):
+                a = decode(row.payload, dtype, row.sx, row.sy, row.sz)
+                b = bin_of(a)
+                tz = (row.oz + np.arange(row.sz))[:, None, None]
+                ty = ((row.oy + np.arange(row.sy)) // T)[None, :, None]
+                tx = ((row.ox + np.arange(row.sx)) // T)[None, None, :]
+                keys.append(((((tz * nty + ty) * ntx + tx) * bins) + b).ravel())
+            if not keys:
+                continue
+            u, c = np.unique(np.concatenate(keys), return_counts=True)
+            yield pd.DataFrame({"z": u // (nty * ntx * bins), "ty": (u // (ntx * bins)) % nty,
+                                "tx": (u // bins) % ntx, "b": (u % bins).astype(np.int32), "h": c})
+
+    stored = (bv.df.mapInPandas(block_hist, "z long, ty long, tx long, b int, h long")
+              .groupBy("z", "tx", "ty", "b").agg(F.sum("h").alias("h")))
+    i = F.col("id")
+    tiles = spark.range(0, nz * ntx * nty).select(
+        idiv(i, ntx * nty).alias("z"), (idiv(i, ntx) % nty).alias("ty"), (i % ntx).alias("tx"))
+    n_geom = (F.least(F.lit(T), F.lit(nx) - F.col("tx") * T) * F.least(F.lit(T), F.lit(ny) - F.col("ty") * T))
+    totals = stored.groupBy("z", "tx", "ty").agg(F.sum("h").alias("st"))
+    fill = (tiles.join(totals, ["z", "tx", "ty"], "left")
+            .select("z", "tx", "ty", F.lit(b0).alias("b"), (n_geom - F.coalesce("st", F.lit(0))).cast("bigint").alias("h"))
+            .filter(F.col("h") > 0))
+    hist = stored.unionByName(fill).groupBy("z", "tx", "ty", "b").agg(F.sum("h").alias("h"))
+    maps = tile_maps(hist, bins, slope, lo, hi)
+    packed = (maps.groupBy("z", "tx", "ty")
+              .agg(F.sort_array(F.collect_list(F.struct("b", "m"))).alias("bm"))
+              .select("z", "tx", "ty", F.col("bm.m").alias("m")))
+    if nz * ntx * nty <= MAX_BROADCAST_MAP_TILES:
+        packed = F.broadcast(packed)
+
+    grid = block_grid(spark, bv.dims, bv.block)
+
+    def trange(o, s, n):
+        lo_t = F.greatest(F.lit(0), F.floor((o.cast("double") - r) / T)).cast("bigint")
+        hi_t = F.least(F.lit(n - 1), F.floor(((o + s - 1).cast("double") - r) / T) + 1).cast("bigint")
+        return F.sequence(lo_t, hi_t)
+
+    need = (grid.select("gx", "gy", "gz", F.explode(F.sequence(F.col("oz"), F.col("oz") + F.col("sz") - 1)).alias("z"),
+                        trange(F.col("ox"), F.col("sx"), ntx).alias("txs"), trange(F.col("oy"), F.col("sy"), nty).alias("tys"))
+            .select("gx", "gy", "gz", "z", F.explode("txs").alias("tx"), "tys")
+            .select("gx", "gy", "gz", "z", "tx", F.explode("tys").alias("ty")))
+    map_rows = need.join(packed, ["z", "tx", "ty"]).select(
+        "gx", "gy", "gz", *[F.lit(None).cast(t).alias(c) for c, t in
+                            (("ox", "bigint"), ("oy", "bigint"), ("oz", "bigint"), ("sx", "int"), ("sy", "int"),
+                             ("sz", "int"), ("payload", "binary"))], "z", "tx", "ty", "m")
+    geo = grid.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", F.lit(None).cast("binary").alias("payload"))
+    blk_rows = geo.unionByName(bv.df.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload")).select(
+        "*", F.lit(None).cast("bigint").alias("z"), F.lit(None).cast("bigint").alias("tx"),
+        F.lit(None).cast("bigint").alias("ty"), F.lit(None).cast("array<double>").alias("m"))
+    rows = blk_rows.unionByName(map_rows)
+
+    def blend(pdf: pd.DataFrame):
+        g = pdf[pdf["ox"].notna()]
+        r0 = g.iloc[0]
+        ox, oy, oz, sx, sy, sz = (int(r0[c]) for c in ("ox", "oy", "oz", "sx", "sy", "sz"))
+        pay = g["payload"].dropna()
+        a = (np.frombuffer(pay.iloc[0], dtype=np.dtype(dtype_of(dtype).numpy)).reshape(sz, sy, sx)
+             if len(pay) else np.zeros((sz, sy, sx)))
+        mp = pdf[pdf["m"].notna()]
+        tx_lo, ty_lo = int(mp["tx"].min()), int(mp["ty"].min())
+        M = np.zeros((sz, int(mp["ty"].max()) - ty_lo + 1, int(mp["tx"].max()) - tx_lo + 1, bins))
+        for zz, tx, ty, m in zip(mp["z"], mp["tx"], mp["ty"], mp["m"]):
+            M[int(zz) - oz, int(ty) - ty_lo, int(tx) - tx_lo] = np.asarray(m)
+        b = bin_of(a)
+        gxf = ((ox + np.arange(sx)).astype(np.float64) - r) / T
+        gyf = ((oy + np.arange(sy)).astype(np.float64) - r) / T
+        fx, fy = np.floor(gxf), np.floor(gyf)
+        wx, wy = gxf - fx, gyf - fy
+        out = np.zeros((sz, sy, sx))
+        zi = np.arange(sz)[:, None, None]
+        for kx in (0, 1):
+            tx = (np.clip(fx + kx, 0, ntx - 1).astype(np.int64) - tx_lo)[None, None, :]
+            wxk = (wx if kx else 1.0 - wx)[None, None, :]
+            for ky in (0, 1):
+                ty = (np.clip(fy + ky, 0, nty - 1).astype(np.int64) - ty_lo)[None, :, None]
+                wyk = (wy if ky else 1.0 - wy)[None, :, None]
+                out = out + (wxk * wyk) * M[zi, ty, tx, b]
+        res = K.to_dtype(out, out_dtype)
+        return (int(r0["gx"]), int(r0["gy"]), int(r0["gz"]), ox, oy, oz, sx, sy, sz, encode(res, out_dtype))
+
+    df = grouped_rows(rows, ["gx", "gy", "gz"], blend, BLOCK_SCHEMA, BLOCK_COLUMNS)
+    return BlockVolume(df, VolumeMeta(bv.dims, out_dtype), bv.block)

@@ -38,18 +38,7 @@ def clahe(vol: Volume, r: int, bins: int = 256, slope: float = 3.0, lo: float =
     vox = vol.df.select(*AXES, "v", idiv(x, T).alias("tx"), idiv(y, T).alias("ty"), b.alias("b"))
 
     hist = vox.groupBy("z", "tx", "ty", "b").agg(F.count(F.lit(1)).alias("h"))
-    tiles = hist.groupBy("z", "tx", "ty").agg(F.sum("h").alias("n"))
-    full = (tiles.select("z", "tx", "ty", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("b"))
-            .join(hist, ["z", "tx", "ty", "b"], "left")
-            .select("z", "tx", "ty", "b", "n", F.coalesce("h", F.lit(0)).cast("double").alias("h")))
-    limit = F.lit(float(slope)) * F.col("n").cast("double") / F.lit(float(bins))
-    full = full.withColumn("c", F.least(F.col("h"), limit))
-    wt = Window.partitionBy("z", "tx", "ty")
-    wc = wt.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    full = full.withColumn("excess", F.sum(F.col("h") - F.col("c")).over(wt))
-    cdf = F.sum("c").over(wc) + (F.col("b") + 1).cast("double") * F.col("excess") / F.lit(float(bins))
-    maps = full.select("z", "tx", "ty", "b",
-                       (F.lit(float(lo)) + F.lit(float(hi - lo)) * cdf / F.col("n").cast("double")).alias("m"))
+    maps = tile_maps(hist, bins, slope, lo, hi)
 
     gx = (x.cast("double") - F.lit(float(r))) / F.lit(float(T))
     gy = (y.cast("double") - F.lit(float(r))) / F.lit(float(T))
@@ -69,3 +58,20 @@ def clahe(vol: Volume, r: int, bins: int = 256, slope: float = 3.0, lo: float =
     look = pos.select(*AXES, "b", F.explode(F.array(*corners)).alias("k")).select(*AXES, "b", "k.*")
     out = (look.join(maps, ["z", "tx", "ty", "b"]).groupBy(*AXES).agg(F.sum(F.col("w") * F.col("m")).alias("v")))
     return Volume(out.select(*AXES, to_type("v", out_dtype).alias("v")), VolumeMeta(vol.dims, out_dtype, vol.meta.min))
+
+
+def tile_maps(hist, bins: int = 256, slope: float = 3.0, lo: float = 0.0, hi: float = 65535.0):
+    """Clipped-CDF map per tile from counts ``(z, tx, ty, b, h)``: rows ``(z, tx, ty, b, m)``
+    for every bin (``bins`` rows per tile, a bound independent of the data size)."""
+    tiles = hist.groupBy("z", "tx", "ty").agg(F.sum("h").alias("n"))
+    full = (tiles.select("z", "tx", "ty", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("b"))
+            .join(hist, ["z", "tx", "ty", "b"], "left")
+            .select("z", "tx", "ty", "b", "n", F.coalesce("h", F.lit(0)).cast("double").alias("h")))
+    limit = F.lit(float(slope)) * F.col("n").cast("double") / F.lit(float(bins))
+    full = full.withColumn("c", F.least(F.col("h"), limit))
+    wt = Window.partitionBy("z", "tx", "ty")
+    wc = wt.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    full = full.withColumn("excess", F.sum(F.col("h") - F.col("c")).over(wt))
+    cdf = F.sum("c").over(wc) + (F.col("b") + 1).cast("double") * F.col("excess") / F.lit(float(bins))
+    return full.select("z", "tx", "ty", "b",
+                       (F.lit(float(lo)) + F.lit(float(hi - lo)) * cdf / F.col("n").cast("double")).alias("m"))
