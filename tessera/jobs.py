@@ -81,18 +81,21 @@ def smooth_cells(spark: SparkSession, url: str, dataset: str, sigma: float = 3.0
     return B.gauss(src, (sigma,) * 3, "mirror_double", out_dtype="float32")
 
 
-def view_plane(spark: SparkSession, url: str, dataset: str, size=(512, 512, 1)) -> Volume:
+def view_plane(spark: SparkSession, url: str, dataset: str, size=(512, 512, 1), target_block=None) -> Volume:
     """Mirror-double, float, x2 downsampling, affine (rotate z 0.3, y 0.1, x 0.6; scale 0.9),
-    n-linear, back to uint8, on the plane ``[0, size)``."""
+    n-linear, back to uint8, on the plane ``[0, size)``.  Block form throughout."""
     src = CH.open_blocks(spark, url, dataset)
-    vol = B.to_voxels(src)
-    f = Volume(vol.df.select(*AXES, F.col("v").cast("double").alias("v")), VolumeMeta(vol.dims, "float64"))
-    ds = RS.downsample2(f, "float64")
+    even = tuple(b + (b % 2) if n > 1 else b for b, n in zip(src.block, src.dims))
+    if even != tuple(src.block):
+        src = B.retile(src, even)
+    ds = B.downsample2(src, "float64")
     t = RS.affine_identity()
     for axis, ang in ((2, 0.3), (1, 0.1), (0, 0.6)):
         t = RS.rotate(t, axis, ang)
     t = RS.scale(t, 0.9)
-    return RS.affine(ds, t, (0, 0, 0), size, "mirror_double", out_dtype="uint8")
+    tb = target_block or tuple(min(64, s) for s in size)
+    plane = B.affine(ds, t, (0, 0, 0), size, tb, "mirror_double", "uint8")
+    return B.to_voxels(plane)
 
 
 def main(argv=None):

@@ -234,12 +234,10 @@ def _index_map(lo: int, hi: int, n: int, mode: str) -> np.ndarray:
     return np.where(m < n, m, p - 1 - m)
 
 
-def assemble_padded(pdf: pd.DataFrame, dims, tb, radius, extension: str, dtype: str, channels: int = 1):
-    """Step 3a: paste the pieces of one target into its padded array (numpy axes z, y, x)."""
-    t = [int(pdf[k].iloc[0]) for k in ("tx", "ty", "tz")]
-    o = [t[d] * tb[d] for d in range(3)]
-    s = [min(tb[d], dims[d] - o[d]) for d in range(3)]
-    idx = [_index_map(o[d] - radius[d], o[d] + s[d] - 1 + radius[d], dims[d], extension) for d in range(3)]
+def assemble_interval(pdf: pd.DataFrame, dims, lo3, hi3, extension: str, dtype: str, channels: int = 1):
+    """Paste the pieces of one group into the array of the (extended) interval
+    ``[lo3, hi3]`` (x first); returns it with numpy axes z, y, x."""
+    idx = [_index_map(lo3[d], hi3[d], dims[d], extension) for d in range(3)]
     valid = [ix[ix >= 0] for ix in idx]
     lo = [int(v.min()) if len(v) else 0 for v in valid]
     hi = [int(v.max()) if len(v) else -1 for v in valid]
@@ -256,7 +254,17 @@ def assemble_padded(pdf: pd.DataFrame, dims, tb, radius, extension: str, dtype:
     m = [idx[d] >= 0 for d in range(3)]
     if all(mm.any() for mm in m):
         padded[np.ix_(m[2], m[1], m[0])] = region[np.ix_(idx[2][m[2]] - lo[2], idx[1][m[1]] - lo[1], idx[0][m[0]] - lo[0])]
-    return t, o, s, padded
+    return padded
+
+
+def assemble_padded(pdf: pd.DataFrame, dims, tb, radius, extension: str, dtype: str, channels: int = 1):
+    """Step 3a: paste the pieces of one target into its padded array (numpy axes z, y, x)."""
+    t = [int(pdf[k].iloc[0]) for k in ("tx", "ty", "tz")]
+    o = [t[d] * tb[d] for d in range(3)]
+    s = [min(tb[d], dims[d] - o[d]) for d in range(3)]
+    lo3 = [o[d] - radius[d] for d in range(3)]
+    hi3 = [o[d] + s[d] - 1 + radius[d] for d in range(3)]
+    return t, o, s, assemble_interval(pdf, dims, lo3, hi3, extension, dtype, channels)
 
 
 def map_blocks(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], radius=(0, 0, 0), extension: str = "zero",
@@ -627,3 +635,124 @@ def clahe(bv: BlockVolume, r: int, bins: int = 256, slope: float = 3.0, lo: floa
 
     df = grouped_rows(rows, ["gx", "gy", "gz"], blend, BLOCK_SCHEMA, BLOCK_COLUMNS)
     return BlockVolume(df, VolumeMeta(bv.dims, out_dtype), bv.block)
+
+
+# ------------------------------------------------------------------ H7 in block form
+
+def _bbox(ti, nd, ox, oy, oz, sx, sy, sz, F_=None):
+    """Source bounding box (lo, hi per source axis, x first) of a target block, with one
+    sample of slack on each side; works on Columns (F_ = pyspark functions) or numbers."""
+    import math as _m
+    fl = F_.floor if F_ is not None else _m.floor
+    mn = F_.least if F_ is not None else min
+    mxf = F_.greatest if F_ is not None else max
+    xs, ys, zs = (ox, ox + sx - 1), (oy, oy + sy - 1), (oz, oz + sz - 1)
+    out = []
+    for r in range(3):
+        if r < nd:
+            ps = [ti[r][0] * x + ti[r][1] * y + ti[r][2] * z + ti[r][3] for x in xs for y in ys for z in zs]
+            out.append((fl(mn(*ps)) - 1, fl(mxf(*ps)) + 2))
+        else:
+            out.append((oz, oz + sz - 1))
+    return out
+
+
+def affine(bv: BlockVolume, t, target_min, target_size, target_block=None, extension: str = "mirror_double",
+           out_dtype: str | None = None) -> BlockVolume:
+    """H7 (P9) in block form: target(q) = n-linear interpolation of the extended source at T^-1 q.
+
+    Per target block the source bounding box of T^-1(block) is mapped through
+    the extension, exploded to the source blocks it meets (their number is
+    bounded by the block and scale sizes, not by the data), the blocks are
+    trimmed to the box, and one shuffle groups them on the target.
+    """
+    from .resample import inverse
+    spark = bv.df.sparkSession
+    out_dtype = out_dtype or bv.dtype
+    nd = bv.meta.ndim
+    ti = [[float(v) for v in row] for row in inverse(np.asarray(t, dtype=np.float64))]
+    tb = tuple(int(b) for b in (target_block or bv.block))
+    tmin = tuple(int(m) for m in target_min)
+    tsize = tuple(int(s) for s in target_size)
+    dims, dtype = bv.dims, bv.dtype
+    grid = block_grid(spark, tsize, tb)
+
+    def plan(it):
+        # per target block: source box (same function as the kernel) and its image under the extension
+        for pdf in it:
+            rows = []
+            for row in pdf.itertuples(index=False):
+                g = [float(row.ox + tmin[0]), float(row.oy + tmin[1]), float(row.oz + tmin[2])]
+                box = _bbox(ti, nd, *g, float(row.sx), float(row.sy), float(row.sz))
+                rec = [row.gx, row.gy, row.gz]
+                for d in range(3):
+                    ix = _index_map(int(box[d][0]), int(box[d][1]), dims[d], extension)
+                    ix = ix[ix >= 0]
+                    rec += [int(ix.min()), int(ix.max())] if len(ix) else [1, 0]
+                rows.append(rec)
+            yield pd.DataFrame(rows, columns=["tx", "ty", "tz", "mlox", "mhix", "mloy", "mhiy", "mloz", "mhiz"])
+
+    tgt = grid.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz").mapInPandas(
+        plan, "tx bigint, ty bigint, tz bigint, mlox bigint, mhix bigint, mloy bigint, mhiy bigint, mloz bigint, mhiz bigint")
+    live = tgt.filter((F.col("mlox") <= F.col("mhix")) & (F.col("mloy") <= F.col("mhiy")) & (F.col("mloz") <= F.col("mhiz")))
+    for d, a in enumerate("xyz"):
+        b = bv.block[d]
+        live = live.withColumn(G[d], F.explode(F.sequence(idiv(F.col(f"mlo{a}"), b), idiv(F.col(f"mhi{a}"), b))))
+    j = live.join(bv.df, list(G))
+    for d, a in enumerate("xyz"):
+        b = bv.block[d]
+        j = j.withColumn(f"l{a}", F.greatest(F.col(f"mlo{a}"), F.col(G[d]) * b)).withColumn(
+            f"h{a}", F.least(F.col(f"mhi{a}"), F.col(O[d]) + F.col(S[d]) - 1))
+    cols = ["tx", "ty", "tz", "lx", "ly", "lz", "hx", "hy", "hz", "ox", "oy", "oz", "sx", "sy", "sz", "payload"]
+
+    def trim(it):
+        for pdf in it:
+            pays = []
+            for row in pdf.itertuples(index=False):
+                a = decode(row.payload, dtype, row.sx, row.sy, row.sz)
+                pays.append(np.ascontiguousarray(a[row.lz - row.oz:row.hz - row.oz + 1, row.ly - row.oy:row.hy - row.oy + 1,
+                                                   row.lx - row.ox:row.hx - row.ox + 1]).tobytes())
+            yield pd.DataFrame({"tx": pdf["tx"], "ty": pdf["ty"], "tz": pdf["tz"], "px": pdf["lx"], "py": pdf["ly"],
+                                "pz": pdf["lz"], "nx": (pdf["hx"] - pdf["lx"] + 1).astype("int32"),
+                                "ny": (pdf["hy"] - pdf["ly"] + 1).astype("int32"),
+                                "nz": (pdf["hz"] - pdf["lz"] + 1).astype("int32"), "payload": pays})
+
+    pieces = j.select(*cols).mapInPandas(
+        trim, "tx bigint, ty bigint, tz bigint, px bigint, py bigint, pz bigint, nx int, ny int, nz int, payload binary")
+    marks = grid.select(F.col("gx").alias("tx"), F.col("gy").alias("ty"), F.col("gz").alias("tz"),
+                        *[F.lit(0).cast("bigint").alias(c) for c in ("px", "py", "pz")],
+                        *[F.lit(0).cast("int").alias(c) for c in ("nx", "ny", "nz")],
+                        F.lit(None).cast("binary").alias("payload"))
+    pieces = pieces.unionByName(marks)
+
+    def run(pdf: pd.DataFrame):
+        t3 = [int(pdf[k].iloc[0]) for k in ("tx", "ty", "tz")]
+        o = [t3[d] * tb[d] for d in range(3)]
+        s = [min(tb[d], tsize[d] - o[d]) for d in range(3)]
+        g = [float(o[d] + tmin[d]) for d in range(3)]
+        box = _bbox(ti, nd, *g, *[float(v) for v in s])
+        lo3 = [int(box[d][0]) for d in range(3)]
+        hi3 = [int(box[d][1]) for d in range(3)]
+        src = assemble_interval(pdf, dims, lo3, hi3, extension, dtype).astype(np.float64)
+        Z, Y, X = np.meshgrid(np.arange(s[2]) + g[2], np.arange(s[1]) + g[1], np.arange(s[0]) + g[0], indexing="ij")
+        fl, tt = [], []
+        for r in range(nd):
+            p = ti[r][0] * X + ti[r][1] * Y + ti[r][2] * Z + ti[r][3]
+            f = np.floor(p)
+            fl.append(f.astype(np.int64))
+            tt.append(p - f)
+        out = np.zeros(X.shape)
+        for c in range(2 ** nd):
+            bits = [(c >> r) & 1 for r in range(nd)]
+            w = 1.0
+            for r, b in enumerate(bits):
+                w = w * (tt[r] if b else (1.0 - tt[r]))
+            ix = [fl[r] + bits[r] - lo3[r] for r in range(nd)]
+            if nd == 2:
+                ix.append(Z.astype(np.int64) - lo3[2])
+            out = out + w * src[ix[2], ix[1], ix[0]]
+        res = K.to_dtype(out, out_dtype)
+        return (t3[0], t3[1], t3[2], o[0], o[1], o[2], s[0], s[1], s[2], encode(res, out_dtype))
+
+    df = grouped_rows(pieces, ["tx", "ty", "tz"], run, BLOCK_SCHEMA, BLOCK_COLUMNS)
+    return BlockVolume(df, VolumeMeta(tsize, out_dtype, tmin), tb)

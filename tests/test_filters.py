@@ -92,3 +92,18 @@ def test_affine_identity_and_translation(mk):
     t[0, 3] = 0.5  # half-pixel shift: mean of neighbours
     sh = to_array(RS.affine(vol, t, (0, 0, 0), vol.dims, "mirror_double"))[0]
     assert np.allclose(sh[:, 1:], (a[:, 1:] + a[:, :-1]) / 2)
+
+
+@pytest.mark.parametrize("extension", ["mirror_double", "zero"])
+def test_affine_3d_block_form_equals_voxel_form(mk, extension):
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 65535, size=(5, 7, 9)).astype(np.uint16)
+    vol = mk(a)
+    t = RS.affine_identity()
+    for axis, ang in ((2, 0.3), (1, 0.1), (0, 0.6)):
+        t = RS.rotate(t, axis, ang)
+    t = RS.scale(t, 0.9)
+    want = to_array(RS.affine(vol, t, (0, 0, 0), (9, 7, 5), extension, "uint16"))
+    got = to_array(B.to_voxels(B.affine(B.from_voxels(vol, (4, 3, 2)), t, (0, 0, 0), (9, 7, 5), (3, 4, 2),
+                                        extension, "uint16")))
+    assert np.array_equal(got, want)
