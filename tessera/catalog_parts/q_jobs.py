@@ -177,3 +177,14 @@ def job_view_plane(spark, sf_dir):
     root = scratch_dir(spark, "j5")
     CH.save_blocks(B.from_voxels(fx.embedding_u16(spark, sf_dir), (32, 32, 1)), root, "emb", "n5", "raw")
     return J.view_plane(spark, root, "emb", (64, 64, 1)).df
+
+
+@register("job_pyramid", "SELECT x, y, z, v FROM (" + ORACLES["pyramid"].replace("SELECT 1 AS level", "SELECT CAST(1 AS INTEGER) AS level")
+          + ") WHERE level = 3 AND v <> 0")
+def job_pyramid(spark, sf_dir):
+    """H6 job: V4 stored in (8,8,2) blocks; three x2 levels written as s1..s3 datasets (block form,
+    even blocks map 1:1, re-opened from storage per level); level 3 read back."""
+    root = scratch_dir(spark, "pyramid")
+    CH.save_blocks(B.from_voxels(fx.lineitem_counts(spark, sf_dir), (8, 8, 2)), root, "v4/s0", "n5", "raw")
+    names = J.write_pyramid(spark, root, "v4/s0", 3)
+    return B.to_voxels(CH.open_blocks(spark, root, names[-1]), drop_zeros=True).df

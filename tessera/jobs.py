@@ -119,3 +119,24 @@ def main(argv=None):
 
 if __name__ == "__main__":
     main()
+
+
+def write_pyramid(spark: SparkSession, url: str, dataset: str, levels: int, outurl: str | None = None,
+                  group: str | None = None) -> list[str]:
+    """H6 as a job: level k+1 = x2 downsampling of level k (rounded to the type), each level
+    written as its own dataset ``<group>/s<k>`` in the source's block size and re-opened from
+    storage, so lineage never grows with the number of levels."""
+    outurl = outurl or url
+    group = group or dataset.rsplit("/", 1)[0]
+    cur = CH.open_blocks(spark, url, dataset)
+    block = tuple(cur.block)
+    names = []
+    for k in range(1, levels + 1):
+        even = tuple(b + (b % 2) if n > 1 else b for b, n in zip(cur.block, cur.dims))
+        src = B.retile(cur, even) if even != tuple(cur.block) else cur
+        down = B.downsample2(src)
+        name = f"{group}/s{k}"
+        CH.save_blocks(down, outurl, name, "n5", "gzip", block=block)
+        names.append(name)
+        cur = CH.open_blocks(spark, outurl, name)
+    return names

@@ -16,6 +16,19 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_DIMS: dict = {}
+
+
+def _cached(sf_dir: str, name: str, compute):
+    """Dimensions are metadata of a table file: computed once per (path, modification time)."""
+    import os
+    path = f"{sf_dir}/{name}.parquet"
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else None, compute.__name__)
+    if key not in _DIMS:
+        _DIMS[key] = compute()
+    return _DIMS[key]
+
+
 def embedding_image(spark: SparkSession, sf_dir: str) -> Volume:
     """V1: x = position in the embedding, y = vec_id, z = 0, v = element (double)."""
     e = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -23,9 +36,11 @@ def embedding_image(spark: SparkSession, sf_dir: str) -> Volume:
         F.posexplode("embedding").alias("x", "e"), F.col("vec_id").alias("y")
     ).select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
              F.lit(0).cast("bigint").alias("z"), F.col("e").cast("double").alias("v"))
-    r = e.agg(F.max(F.size("embedding")).alias("nx"), F.max("vec_id").alias("ny")).first()
+    def embedding_dims():
+        r = e.agg(F.max(F.size("embedding")).alias("nx"), F.max("vec_id").alias("ny")).first()
+        return (int(r["nx"]), int(r["ny"]) + 1, 1)
     # every embedding has the same length and vec_id runs densely from 0: every voxel has a row
-    return Volume(df, VolumeMeta((int(r["nx"]), int(r["ny"]) + 1, 1), "float64", dense=True))
+    return Volume(df, VolumeMeta(_cached(sf_dir, "embeddings", embedding_dims), "float64", dense=True))
 
 
 def embedding_u16(spark: SparkSession, sf_dir: str) -> Volume:
@@ -50,9 +65,11 @@ def event_counts(spark: SparkSession, sf_dir: str) -> Volume:
     return Volume(df, VolumeMeta((24, 30, len(EVENT_TYPES)), "int64"))
 
 
-def _lineitem_dims(li: DataFrame) -> tuple[int, int, int]:
-    r = li.agg(F.max("l_suppkey").alias("s")).first()
-    return (int(r["s"]) + 1, 50, 7)
+def _lineitem_dims(li: DataFrame, sf_dir: str) -> tuple[int, int, int]:
+    def lineitem_dims():
+        r = li.agg(F.max("l_suppkey").alias("s")).first()
+        return (int(r["s"]) + 1, 50, 7)
+    return _cached(sf_dir, "lineitem", lineitem_dims)
 
 
 def lineitem_counts(spark: SparkSession, sf_dir: str) -> Volume:
@@ -62,7 +79,7 @@ def lineitem_counts(spark: SparkSession, sf_dir: str) -> Volume:
                     (F.col("l_quantity") - 1).cast("bigint").alias("y"),
                     (F.col("l_linenumber") - 1).cast("bigint").alias("z"))
           .groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("v")))
-    return Volume(df, VolumeMeta(_lineitem_dims(li), "int64"))
+    return Volume(df, VolumeMeta(_lineitem_dims(li, sf_dir), "int64"))
 
 
 def lineitem_revenue(spark: SparkSession, sf_dir: str) -> Volume:
@@ -73,4 +90,4 @@ def lineitem_revenue(spark: SparkSession, sf_dir: str) -> Volume:
                     (F.col("l_linenumber") - 1).cast("bigint").alias("z"),
                     F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("c"))
           .groupBy("x", "y", "z").agg(F.sum("c").alias("v")))
-    return Volume(df, VolumeMeta(_lineitem_dims(li), "int64"))
+    return Volume(df, VolumeMeta(_lineitem_dims(li, sf_dir), "int64"))
