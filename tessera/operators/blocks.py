@@ -536,7 +536,6 @@ def clahe(bv: BlockVolume, r: int, bins: int = 256, slope: float = 3.0, lo: floa
     3. each block of the grid is grouped with the maps of the tiles around it
        (at most ``(s/T + 2)^2`` per slice) and blended in numpy.
     """
-    from .clahe import tile_maps
     spark = bv.df.sparkSession
     out_dtype = out_dtype or bv.dtype
     dtype = bv.dtype
@@ -576,10 +575,20 @@ def clahe(bv: BlockVolume, r: int, bins: int = 256, slope: float = 3.0, lo: floa
             .select("z", "tx", "ty", F.lit(b0).alias("b"), (n_geom - F.coalesce("st", F.lit(0))).cast("bigint").alias("h"))
             .filter(F.col("h") > 0))
     hist = stored.unionByName(fill).groupBy("z", "tx", "ty", "b").agg(F.sum("h").alias("h"))
-    maps = tile_maps(hist, bins, slope, lo, hi)
-    packed = (maps.groupBy("z", "tx", "ty")
-              .agg(F.sort_array(F.collect_list(F.struct("b", "m"))).alias("bm"))
-              .select("z", "tx", "ty", F.col("bm.m").alias("m")))
+    def tile_map(pdf: pd.DataFrame):
+        # the clipped CDF of one tile (<= bins rows), same steps as ``clahe.tile_maps``
+        h = np.zeros(bins)
+        h[pdf["b"].to_numpy()] = pdf["h"].to_numpy()
+        n = float(pdf["h"].sum())
+        c = np.minimum(h, slope * n / bins)
+        excess = np.cumsum(h - c)[-1]
+        cdf = np.cumsum(c) + (np.arange(bins) + 1).astype(np.float64) * excess / bins
+        m = lo + (hi - lo) * cdf / n
+        r0 = pdf.iloc[0]
+        return (int(r0["z"]), int(r0["tx"]), int(r0["ty"]), m.astype("<f8").tobytes())
+
+    packed = grouped_rows(hist, ["z", "tx", "ty"], tile_map, "z bigint, tx bigint, ty bigint, m binary",
+                          ["z", "tx", "ty", "m"])
     if nz * ntx * nty <= MAX_BROADCAST_MAP_TILES:
         packed = F.broadcast(packed)
 
@@ -601,7 +610,7 @@ def clahe(bv: BlockVolume, r: int, bins: int = 256, slope: float = 3.0, lo: floa
     geo = grid.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", F.lit(None).cast("binary").alias("payload"))
     blk_rows = geo.unionByName(bv.df.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload")).select(
         "*", F.lit(None).cast("bigint").alias("z"), F.lit(None).cast("bigint").alias("tx"),
-        F.lit(None).cast("bigint").alias("ty"), F.lit(None).cast("array<double>").alias("m"))
+        F.lit(None).cast("bigint").alias("ty"), F.lit(None).cast("binary").alias("m"))
     rows = blk_rows.unionByName(map_rows)
 
     def blend(pdf: pd.DataFrame):
@@ -615,7 +624,7 @@ def clahe(bv: BlockVolume, r: int, bins: int = 256, slope: float = 3.0, lo: floa
         tx_lo, ty_lo = int(mp["tx"].min()), int(mp["ty"].min())
         M = np.zeros((sz, int(mp["ty"].max()) - ty_lo + 1, int(mp["tx"].max()) - tx_lo + 1, bins))
         for zz, tx, ty, m in zip(mp["z"], mp["tx"], mp["ty"], mp["m"]):
-            M[int(zz) - oz, int(ty) - ty_lo, int(tx) - tx_lo] = np.asarray(m)
+            M[int(zz) - oz, int(ty) - ty_lo, int(tx) - tx_lo] = np.frombuffer(m, dtype="<f8")
         b = bin_of(a)
         gxf = ((ox + np.arange(sx)).astype(np.float64) - r) / T
         gyf = ((oy + np.arange(sy)).astype(np.float64) - r) / T
