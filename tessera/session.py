@@ -79,7 +79,11 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     import uuid
     base = ensure_checkpoint_dir(spark)
     if base.startswith("file:"):
-        base = base[len("file:"):]
+        from urllib.parse import urlparse
+        base = urlparse(base).path
+    elif "://" in base:
+        raise ValueError(f"spark.checkpoint.dir {base!r} is not a mounted path; chunked containers are "
+                         "read and written with plain paths, so point it at a shared mount")
     d = os.path.join(base, "tessera-" + name, uuid.uuid4().hex)
     os.makedirs(d, exist_ok=True)
     return d
