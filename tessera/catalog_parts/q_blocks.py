@@ -63,7 +63,7 @@ def downsample_blocks(spark, sf_dir):
     return B.to_voxels(bv, drop_zeros=True).df
 
 
-@register("nonempty_blocks", q.with_(q.V3) + """SELECT x // 4 AS gx, y // 4 AS gy, z // 2 AS gz, COUNT(*) AS n, SUM(v) AS total
+@register("nonempty_blocks", q.with_(q.V3) + """SELECT x // 4 AS gx, y // 4 AS gy, z // 2 AS gz, COUNT(*) AS n, CAST(SUM(v) AS BIGINT) AS total
 FROM v3 WHERE v <> 0 GROUP BY 1, 2, 3""")
 def nonempty_blocks(spark, sf_dir):
     """A10: blocks of V3 (4,4,2) with a non-zero sample (JVM-side test), with their voxel count and sum."""

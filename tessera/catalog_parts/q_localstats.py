@@ -79,7 +79,7 @@ def lcn(spark, sf_dir):
 def _box_oracle(r):
     mean, var, std = q.stats_sql(r)
     return (q.with_(q.V2, q.box_window_sql("v2", r))
-            + f"SELECT x, y, z, v, S, Q, {mean} AS mean, {var} AS var, {std} AS std FROM boxed")
+            + f"SELECT x, y, z, v, CAST(S AS BIGINT) AS S, CAST(Q AS BIGINT) AS Q, {mean} AS mean, {var} AS var, {std} AS std FROM boxed")
 
 
 @register("box_stats", _box_oracle(3))

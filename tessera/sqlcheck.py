@@ -33,7 +33,7 @@ V4 = """v4 AS (
 
 V5 = """v5 AS (
   SELECT CAST(l_suppkey AS BIGINT) AS x, CAST(l_quantity - 1 AS BIGINT) AS y,
-         CAST(l_linenumber - 1 AS BIGINT) AS z, SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS v
+         CAST(l_linenumber - 1 AS BIGINT) AS z, CAST(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS v
   FROM lineitem GROUP BY 1, 2, 3)"""
 
 # dims of V2 / V4 as one-row CTEs

@@ -18,7 +18,8 @@ NO_ORACLE = {"tubeness_3d"}  # eigen-decomposition; checked against numpy in tes
 SUBSET = ["cllcn", "cllcn_blocks", "box_stats", "lcn", "clahe", "block_grid", "radius_by_scale", "crop",
           "extend_mirror_single", "extend_zero", "contrast_window", "vol_add", "vol_div", "vol_max",
           "gradient_center_rai", "hessian_2d", "tubeness_2d", "gauss", "dog_blocks", "downsample", "pyramid",
-          "affine_2d", "retile_roundtrip", "nonempty_blocks", "chunk_roundtrip_zarr", "job_contrast_enhance"]
+          "affine_2d", "retile_roundtrip", "nonempty_blocks", "chunk_roundtrip_zarr", "job_contrast_enhance",
+          "pair", "vol_sub", "copy_into"]
 
 
 def test_entry_smoke(spark):
@@ -38,9 +39,16 @@ def con():
     return duck(SF)
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "ShortType": "SMALLINT", "DoubleType": "DOUBLE",
+                 "FloatType": "FLOAT", "StringType": "VARCHAR"}
+
+
 @pytest.mark.parametrize("name", SUBSET)
 def test_query_matches_oracle(spark, con, name):
-    sp = E.queries()[name](spark, SF).toPandas()
-    dk = con.sql(E.oracle_sql()[name]).df()
-    res = compare(sp, dk)
+    df = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    spark_types = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__) for f in df.schema.fields}
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
+    res = compare(df.toPandas(), rel.df())
     assert res["cols_match"] and res["match"], res
