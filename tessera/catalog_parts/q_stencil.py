@@ -94,11 +94,12 @@ def hessian_2d(spark, sf_dir):
 @register("tubeness_2d", _hessian_sql() + """, ev AS (SELECT x, y, z, m - dd AS la, m + dd AS lb FROM (
   SELECT x, y, z, (h00 + h11) / 2.0 AS m, sqrt(((h00 - h11) / 2.0) * ((h00 - h11) / 2.0) + h01 * h01) AS dd FROM h)),
 s AS (SELECT x, y, z, CASE WHEN abs(la) > abs(lb) THEN la ELSE lb END AS l1, CASE WHEN abs(la) > abs(lb) THEN lb ELSE la END AS l0 FROM ev)
-SELECT x, y, z, round(CASE WHEN l1 < 0 THEN -l1 - abs(l0) WHEN l1 > 0 THEN -(l1 - abs(l0)) ELSE 0.0 END, 6) AS v FROM s""")
+SELECT x, y, z, round(CASE WHEN l1 < 0 THEN -l1 - abs(l0) WHEN l1 > 0 THEN -(l1 - abs(l0)) ELSE 0.0 END, 6) + 0.0 AS v FROM s""")
 def tubeness_2d(spark, sf_dir):
     """F7 (n = 2): +-(|l1| - |l0|) from the Hessian eigenvalues (closed form), sigma = 2."""
     t = S.tubeness(fx.embedding_u16(spark, sf_dir), (2.0, 2.0), "zero")
-    return t.df.select("x", "y", "z", F.round("v", 6).alias("v"))
+    # + 0.0 turns -0.0 into +0.0, so both engines print the same zeros
+    return t.df.select("x", "y", "z", (F.round("v", 6) + F.lit(0.0)).alias("v"))
 
 
 @register("tubeness_3d")
