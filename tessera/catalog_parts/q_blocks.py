@@ -130,7 +130,6 @@ def clahe_blocks(spark, sf_dir):
 @register("affine_2d_blocks", ORACLES["affine_2d"])
 def affine_2d_blocks(spark, sf_dir):
     """H7 in block form: rotate(z, 0.3) then scale(0.9), n-linear, mirror-double, onto V2's interval."""
-    from ..operators import resample as RS
     from .q_filters import _affine_matrix
     v = fx.embedding_u16(spark, sf_dir)
     out = B.affine(B.from_voxels(v, (16, 16, 1)), _affine_matrix(), (0, 0, 0), v.dims, (16, 16, 1),

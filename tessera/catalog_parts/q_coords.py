@@ -6,13 +6,8 @@ from pyspark.sql import functions as F
 
 from .. import sqlcheck as q
 from ..catalog import register
-from ..functions.pointwise import to_type
 from ..operators import coords as C
 from ..sources import fixtures as fx
-from ..volume import Volume, VolumeMeta
-
-V4SEL = "SELECT x, y, z, v FROM v4"
-
 
 @register("crop", q.with_(q.V4, q.V4DIMS) + """SELECT x, y, z, v FROM v4, v4dims
   WHERE x BETWEEN 2 AND 2 + nx // 2 - 1 AND y BETWEEN 10 AND 29 AND z BETWEEN 1 AND 3""")

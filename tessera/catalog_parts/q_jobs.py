@@ -146,7 +146,6 @@ def job_clahe_gradients(spark, sf_dir):
 
 
 def _view_plane_sql(size=(64, 64)):
-    import numpy as np
     from ..operators import resample as RS
     t = RS.affine_identity()
     for axis, ang in ((2, 0.3), (1, 0.1), (0, 0.6)):

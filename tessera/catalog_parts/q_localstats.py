@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from .. import sqlcheck as q
 from ..catalog import register
 from ..operators import localstats as ls

@@ -8,7 +8,7 @@ from .. import sqlcheck as q
 from ..catalog import register
 from ..functions import pointwise as P
 from ..operators import pairwise as E
-from ..operators.coords import crop, translate
+from ..operators.coords import translate
 from ..sources import fixtures as fx
 
 # ------------------------------------------------------------------ D

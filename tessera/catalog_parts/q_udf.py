@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from .. import sqlcheck as q
 from ..catalog import register
-from ..functions.pointwise import convert, to_type
+from ..functions.pointwise import convert
 from ..operators import blocks as B
 from ..operators import resample as RS
 from ..session import scratch_dir
 from ..sources import fixtures as fx
 from ..sources import image as IM
-from ..volume import Volume, VolumeMeta
+from ..volume import Volume
 
 
 @register("user_converter", q.with_(q.V2) + "SELECT x, y, z, CAST((v * 3 + 7) % 1000 AS INTEGER) AS v FROM v2")
@@ -29,7 +29,6 @@ def _tanh2(s):
 @register("pandas_converter", q.with_(q.V1) + "SELECT x, y, z, round(tanh(v * 2.0), 6) AS v FROM v1")
 def pandas_converter(spark, sf_dir):
     """A user converter as a pandas UDF (Arrow batches), for functions without a Column form."""
-    import pandas as pd
     udf = F.pandas_udf(lambda s: _tanh2(s), "double")
     out = convert(fx.embedding_image(spark, sf_dir), udf)
     return out.df.select("x", "y", "z", F.round("v", 6).alias("v"))

@@ -10,16 +10,12 @@ from __future__ import annotations
 import argparse
 import math
 
-import numpy as np
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
-from .functions.pointwise import contrast_window, to_type
+from .functions.pointwise import contrast_window
 from .operators import blocks as B
-from .operators import clahe as CL
 from .operators import compare as CMP
-from .operators import convolve as CV
 from .operators import resample as RS
-from .operators import stencil as ST
 from .sources import chunked as CH
 from .session import cut_lineage
 from .volume import AXES, Volume, VolumeMeta

@@ -18,7 +18,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..volume import AXES, Volume, VolumeMeta
-from .coords import extend
 
 
 def gauss_half_kernel(sigma: float) -> np.ndarray:

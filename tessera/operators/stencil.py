@@ -16,8 +16,6 @@ Border rule for the +-1 neighbours (x in [0, n)):
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..volume import AXES, Volume, VolumeMeta

@@ -18,7 +18,6 @@ def spark():
 def make_volume(spark, arr, dtype="uint16"):
     """Voxel volume from a numpy array with axes (z, y, x)."""
     from tessera.volume import Volume, VolumeMeta
-    from pyspark.sql import types as T
     a = np.asarray(arr)
     if a.ndim == 2:
         a = a[None]

@@ -7,7 +7,6 @@ from tessera.operators import blocks as B
 from tessera.operators import convolve as CV
 from tessera.operators import resample as RS
 from tessera.operators import stencil as ST
-from tessera.volume import Volume, VolumeMeta
 
 from conftest import to_array
 
