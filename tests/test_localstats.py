@@ -98,3 +98,15 @@ def test_cllcn_strip_passes_equal_single_pass(mk, s5, extension):
     want = to_array(ls.cllcn(vol, 4, extension=extension))
     got = to_array(B.to_voxels(B.cllcn(B.from_voxels(vol, (4, 3, 1)), 4, extension=extension, strips=True)))
     assert np.array_equal(got, want)
+
+
+@pytest.mark.parametrize("shape", [(9, 1), (1, 9)])
+@pytest.mark.parametrize("extension", ["zero", "mirror_single", "mirror_double"])
+def test_size_one_axes(mk, shape, extension):
+    """1 x 9 and 9 x 1 slices; mirror maps with n = 1 read the single sample."""
+    a = (np.arange(9, dtype=np.uint16) * 7000 + 123).reshape(shape)
+    vol = mk(a)
+    want = brute_cllcn(a, 2, extension)
+    assert np.array_equal(to_array(ls.cllcn(vol, 2, extension=extension))[0], want)
+    got = to_array(B.to_voxels(B.cllcn(B.from_voxels(vol, (2, 2, 1)), 2, extension=extension)))[0]
+    assert np.array_equal(got, want)
