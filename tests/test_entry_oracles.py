@@ -52,3 +52,19 @@ def test_query_matches_oracle(spark, con, name):
     assert spark_types == duck_types
     res = compare(df.toPandas(), rel.df())
     assert res["cols_match"] and res["match"], res
+
+
+def test_tubeness_3d_query_matches_numpy(spark):
+    """The one query without a SQL oracle: brute-force check against numpy on the same Hessian."""
+    import numpy as np
+    from tessera.operators import stencil as S
+    from tessera.sources import fixtures as fx
+    h = S.hessian(fx.lineitem_counts(spark, SF), (1.0, 1.0, 1.0), "zero").toPandas().sort_values(["x", "y", "z"])
+    m = np.empty((len(h), 3, 3))
+    for d in range(3):
+        for e in range(d, 3):
+            m[:, d, e] = m[:, e, d] = h[f"h{d}{e}"].to_numpy()
+    want = np.round(S.tubeness_values(np.linalg.eigvalsh(m)), 6)
+    got = E.queries()["tubeness_3d"](spark, SF).toPandas().sort_values(["x", "y", "z"])
+    assert len(got) == len(want)
+    assert np.allclose(got.v.to_numpy(), want, atol=2e-6)
