@@ -7,22 +7,21 @@ Schema (one row per stored block; an absent block is all zero)::
 
 The halo plan carries every neighbourhood operator:
 
-1. per axis, a small table ``(t, g, lo, hi)``: target block t needs source
-   block g's samples ``[lo, hi]`` (after mapping the padded interval through
-   the extension).  Its size is bounded by the number of blocks along one axis
-   times the halo copies, computed from metadata, and it is broadcast only
-   below ``MAX_BROADCAST_ROWS``;
-2. the blocks join the three axis tables (broadcast hash joins, no shuffle)
-   and a ``mapInPandas`` trims each copy to the slab the target needs, so
-   only ``(b+2r)^n`` samples per target cross the network;
-3. one ``groupBy(target).applyInPandas`` pastes the pieces into a padded
-   array, applies the extension and runs the numpy kernel.
+1. per axis, the source range each target cell reads (its padded interval
+   mapped through the extension) is a function of the metadata only
+   (``target_ranges``: blocks along one axis, cached per worker);
+2. each source block enters Python once (``mapInPandas``) and emits one
+   trimmed piece per target that reads it, so only ``(b+2r)^n`` samples per
+   target are shuffled and no full-size copy is made before the exchange;
+3. one ``groupBy(target)``-shaped exchange (``grouped_rows``) pastes the pieces
+   into a padded array, applies the extension and runs the numpy kernel.
 
 One shuffle per operator; a group holds one padded block, never more.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 from typing import Callable
@@ -39,8 +38,6 @@ G, O, S = ("gx", "gy", "gz"), ("ox", "oy", "oz"), ("sx", "sy", "sz")
 BLOCK_SCHEMA = ("gx bigint, gy bigint, gz bigint, ox bigint, oy bigint, oz bigint, "
                 "sx int, sy int, sz int, payload binary")
 BLOCK_COLUMNS = ["gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload"]
-# Axis tables above this many rows are shuffled instead of broadcast.
-MAX_BROADCAST_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -154,69 +151,65 @@ def to_voxels(bv: BlockVolume, drop_zeros: bool = False) -> Volume:
 
 # ------------------------------------------------------------------ halo plan
 
-def _mirror(i, n: int, mode: str):
-    if mode == "mirror_single":
-        if n == 1:
-            return F.lit(0).cast("bigint")
-        p = 2 * n - 2
-        m = F.pmod(i, F.lit(p))
-        return F.when(m < n, m).otherwise(F.lit(p) - m)
-    p = 2 * n
-    m = F.pmod(i, F.lit(p))
-    return F.when(m < n, m).otherwise(F.lit(p - 1) - m)
-
-
-def axis_plan(spark: SparkSession, n: int, b: int, r: int, mode: str, tb: int | None = None) -> DataFrame:
-    """Per-axis halo table ``(t, g, lo, hi)``: target cell t (size ``tb``) needs
-    source block g's samples ``[lo, hi]`` (global coordinates)."""
-    tb = tb or b
+@functools.lru_cache(maxsize=64)
+def target_ranges(n: int, r: int, mode: str, tb: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per target cell t along one axis: the source range ``[lo[t], hi[t]]`` its padded
+    interval maps onto (empty: lo > hi).  Metadata-sized, computed once per worker."""
     nt = (n + tb - 1) // tb
-    t = spark.range(0, nt).select(F.col("id").alias("t"))
-    a = F.col("t") * tb - r
-    c = F.least(F.col("t") * tb + tb, F.lit(n)) - 1 + r
-    if mode == "zero" or r == 0:
-        rng = t.select("t", F.greatest(a, F.lit(0)).alias("lo"), F.least(c, F.lit(n - 1)).alias("hi"))
-    else:
-        rng = (t.select("t", F.explode(F.sequence(a, c)).alias("i"))
-               .select("t", _mirror(F.col("i"), n, mode).alias("m"))
-               .groupBy("t").agg(F.min("m").alias("lo"), F.max("m").alias("hi")))
-    pairs = rng.select("t", "lo", "hi", F.explode(F.sequence(idiv(F.col("lo"), b), idiv(F.col("hi"), b))).alias("g"))
-    out = pairs.select("t", "g", F.greatest(F.col("lo"), F.col("g") * b).alias("plo"),
-                       F.least(F.col("hi"), F.col("g") * b + b - 1).alias("phi"))
-    bound = nt * min(2 * math.ceil(r / b) + 2 if r else 1, (n + b - 1) // b)
-    return F.broadcast(out) if bound <= MAX_BROADCAST_ROWS else out
+    lo = np.empty(nt, dtype=np.int64)
+    hi = np.empty(nt, dtype=np.int64)
+    for t in range(nt):
+        o, e = t * tb, min(n, t * tb + tb) - 1
+        if mode == "zero" or r == 0:
+            lo[t], hi[t] = max(0, o - r), min(n - 1, e + r)
+        else:
+            m = _index_map(o - r, e + r, n, mode)
+            lo[t], hi[t] = m.min(), m.max()
+    return lo, hi
 
 
 def halo_pieces(bv: BlockVolume, radius, extension: str = "zero", target_block=None) -> DataFrame:
-    """Steps 1-2 of the halo plan: rows ``(tx, ty, tz, px, py, pz, nx, ny, nz, payload)``
-    with each payload trimmed to the part its target reads."""
-    spark = bv.df.sparkSession
-    tb = tuple(target_block or bv.block)
-    df = bv.df
-    for d, a in enumerate(AXES):
-        p = axis_plan(spark, bv.dims[d], bv.block[d], int(radius[d]), extension, tb[d])
-        p = p.select(F.col("t").alias(f"t{a}"), F.col("g").alias(G[d]), F.col("plo").alias(f"l{a}"),
-                     F.col("phi").alias(f"h{a}"))
-        df = df.join(p, G[d])
-    dtype, ch = bv.dtype, bv.channels
+    """Steps 1-2 of the halo plan: rows ``(tx, ty, tz, px, py, pz, nx, ny, nz, payload)``.
 
-    def trim(it):
+    Each source block enters Python once; per axis the target cells reading it
+    come from ``target_ranges`` (a function of the metadata only), and the block
+    emits one trimmed piece per target, so only the samples a target reads are
+    shuffled and no full-size copy is made before the exchange.
+    """
+    tb = tuple(int(b) for b in (target_block or bv.block))
+    radius = tuple(int(r) for r in radius)
+    dims, dtype, ch = tuple(bv.dims), bv.dtype, bv.channels
+
+    def cut(it):
+        ranges = [target_ranges(dims[d], radius[d], extension, tb[d]) for d in range(3)]
         for pdf in it:
-            pays = []
+            cols = {k: [] for k in ("tx", "ty", "tz", "px", "py", "pz", "nx", "ny", "nz", "payload")}
             for row in pdf.itertuples(index=False):
                 a = decode(row.payload, dtype, row.sx, row.sy, row.sz, ch)
-                sub = a[row.lz - row.oz:row.hz - row.oz + 1, row.ly - row.oy:row.hy - row.oy + 1,
-                        row.lx - row.ox:row.hx - row.ox + 1]
-                pays.append(np.ascontiguousarray(sub).tobytes())
-            yield pd.DataFrame({"tx": pdf["tx"], "ty": pdf["ty"], "tz": pdf["tz"],
-                                "px": pdf["lx"], "py": pdf["ly"], "pz": pdf["lz"],
-                                "nx": (pdf["hx"] - pdf["lx"] + 1).astype("int32"),
-                                "ny": (pdf["hy"] - pdf["ly"] + 1).astype("int32"),
-                                "nz": (pdf["hz"] - pdf["lz"] + 1).astype("int32"), "payload": pays})
-
-    cols = ["tx", "ty", "tz", "lx", "ly", "lz", "hx", "hy", "hz", "ox", "oy", "oz", "sx", "sy", "sz", "payload"]
-    return df.select(*cols).mapInPandas(
-        trim, "tx bigint, ty bigint, tz bigint, px bigint, py bigint, pz bigint, nx int, ny int, nz int, payload binary")
+                o, s = (row.ox, row.oy, row.oz), (row.sx, row.sy, row.sz)
+                per_axis = []
+                for d in range(3):
+                    lo, hi = ranges[d]
+                    plo = np.maximum(lo, o[d])
+                    phi = np.minimum(hi, o[d] + s[d] - 1)
+                    ts = np.flatnonzero(plo <= phi)
+                    per_axis.append([(int(t), int(plo[t]), int(phi[t])) for t in ts])
+                for tz, lz, hz in per_axis[2]:
+                    for ty, ly, hy in per_axis[1]:
+                        for tx, lx, hx in per_axis[0]:
+                            sub = a[lz - o[2]:hz - o[2] + 1, ly - o[1]:hy - o[1] + 1, lx - o[0]:hx - o[0] + 1]
+                            for k, v in (("tx", tx), ("ty", ty), ("tz", tz), ("px", lx), ("py", ly), ("pz", lz),
+                                         ("nx", hx - lx + 1), ("ny", hy - ly + 1), ("nz", hz - lz + 1)):
+                                cols[k].append(v)
+                            cols["payload"].append(np.ascontiguousarray(sub).tobytes())
+            if cols["payload"]:
+                out = pd.DataFrame(cols)
+                for k in ("nx", "ny", "nz"):
+                    out[k] = out[k].astype("int32")
+                yield out
+
+    return bv.df.select("ox", "oy", "oz", "sx", "sy", "sz", "payload").mapInPandas(
+        cut, "tx bigint, ty bigint, tz bigint, px bigint, py bigint, pz bigint, nx int, ny int, nz int, payload binary")
 
 
 def _index_map(lo: int, hi: int, n: int, mode: str) -> np.ndarray:
