@@ -700,26 +700,35 @@ def affine(bv: BlockVolume, t, target_min, target_size, target_block=None, exten
     for d, a in enumerate("xyz"):
         b = bv.block[d]
         live = live.withColumn(G[d], F.explode(F.sequence(idiv(F.col(f"mlo{a}"), b), idiv(F.col(f"mhi{a}"), b))))
-    j = live.join(bv.df, list(G))
-    for d, a in enumerate("xyz"):
-        b = bv.block[d]
-        j = j.withColumn(f"l{a}", F.greatest(F.col(f"mlo{a}"), F.col(G[d]) * b)).withColumn(
-            f"h{a}", F.least(F.col(f"mhi{a}"), F.col(O[d]) + F.col(S[d]) - 1))
-    cols = ["tx", "ty", "tz", "lx", "ly", "lz", "hx", "hy", "hz", "ox", "oy", "oz", "sx", "sy", "sz", "payload"]
+    # requests per source block (their number is bounded by block sizes and scale), then a 1:1 join:
+    # every block enters Python once and is cut into the pieces its targets read
+    req = live.select(*G, F.struct("tx", "ty", "tz", "mlox", "mhix", "mloy", "mhiy", "mloz", "mhiz").alias("r"))
+    req = req.groupBy(*G).agg(F.collect_list("r").alias("reqs"))
+    j = bv.df.join(req, list(G))
 
     def trim(it):
         for pdf in it:
-            pays = []
+            cols = {k: [] for k in ("tx", "ty", "tz", "px", "py", "pz", "nx", "ny", "nz", "payload")}
             for row in pdf.itertuples(index=False):
                 a = decode(row.payload, dtype, row.sx, row.sy, row.sz)
-                pays.append(np.ascontiguousarray(a[row.lz - row.oz:row.hz - row.oz + 1, row.ly - row.oy:row.hy - row.oy + 1,
-                                                   row.lx - row.ox:row.hx - row.ox + 1]).tobytes())
-            yield pd.DataFrame({"tx": pdf["tx"], "ty": pdf["ty"], "tz": pdf["tz"], "px": pdf["lx"], "py": pdf["ly"],
-                                "pz": pdf["lz"], "nx": (pdf["hx"] - pdf["lx"] + 1).astype("int32"),
-                                "ny": (pdf["hy"] - pdf["ly"] + 1).astype("int32"),
-                                "nz": (pdf["hz"] - pdf["lz"] + 1).astype("int32"), "payload": pays})
-
-    pieces = j.select(*cols).mapInPandas(
+                o = (row.ox, row.oy, row.oz)
+                e = (row.ox + row.sx - 1, row.oy + row.sy - 1, row.oz + row.sz - 1)
+                for q in row.reqs:
+                    lo = [max(q["mlo" + c], o[d]) for d, c in enumerate("xyz")]
+                    hi = [min(q["mhi" + c], e[d]) for d, c in enumerate("xyz")]
+                    sub = a[lo[2] - o[2]:hi[2] - o[2] + 1, lo[1] - o[1]:hi[1] - o[1] + 1, lo[0] - o[0]:hi[0] - o[0] + 1]
+                    for k, v in (("tx", q["tx"]), ("ty", q["ty"]), ("tz", q["tz"]), ("px", lo[0]), ("py", lo[1]),
+                                 ("pz", lo[2]), ("nx", hi[0] - lo[0] + 1), ("ny", hi[1] - lo[1] + 1),
+                                 ("nz", hi[2] - lo[2] + 1)):
+                        cols[k].append(int(v))
+                    cols["payload"].append(np.ascontiguousarray(sub).tobytes())
+            if cols["payload"]:
+                out = pd.DataFrame(cols)
+                for k in ("nx", "ny", "nz"):
+                    out[k] = out[k].astype("int32")
+                yield out
+
+    pieces = j.select("ox", "oy", "oz", "sx", "sy", "sz", "payload", "reqs").mapInPandas(
         trim, "tx bigint, ty bigint, tz bigint, px bigint, py bigint, pz bigint, nx int, ny int, nz int, payload binary")
     marks = grid.select(F.col("gx").alias("tx"), F.col("gy").alias("ty"), F.col("gz").alias("tz"),
                         *[F.lit(0).cast("bigint").alias(c) for c in ("px", "py", "pz")],
