@@ -16,7 +16,7 @@ from ..functions.pointwise import invert
 from ..operators import blocks as B
 from ..sources import fixtures as fx
 from ..volume import Volume, VolumeMeta
-from . import q_filters, q_localstats  # noqa: F401  (oracles reused below)
+from . import q_filters, q_localstats, q_pointwise, q_stencil  # noqa: F401  (oracles reused below)
 
 
 @register("cllcn_blocks", ORACLES["cllcn"])
@@ -135,3 +135,11 @@ def affine_2d_blocks(spark, sf_dir):
     out = B.affine(B.from_voxels(v, (16, 16, 1)), _affine_matrix(), (0, 0, 0), v.dims, (16, 16, 1),
                    "mirror_double", "uint16")
     return B.to_voxels(out).df
+
+
+@register("contrast_window_blocks", ORACLES["contrast_window"])
+def contrast_window_blocks(spark, sf_dir):
+    """D2 in block form: pointwise on payloads (one mapInPandas, no shuffle), uint8."""
+    bv = B.from_voxels(fx.embedding_u16(spark, sf_dir), (16, 16, 1))
+    f = lambda a: np.maximum(0.0, np.minimum(255.0, 255.0 - 255.0 * (a.astype(np.float64) - 26000.0) / 6000.0))
+    return B.to_voxels(B.map_pointwise(bv, f, "uint8")).df
