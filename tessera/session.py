@@ -102,9 +102,12 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
-    # compiled bytecode in the zip: fresh worker processes (e.g. the Python
-    # data-source planner) import it without compiling every module again
-    with zipfile.PyZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writepy(pkg)
+    # sources only: the package folder may be read-only, and executors may run another Python
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(pkg):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    f = os.path.join(folder, n)
+                    z.write(f, os.path.join("tessera", os.path.relpath(f, pkg)))
     sc.addPyFile(out)
     sc._tessera_shipped = True
