@@ -6,21 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import bpe
 from tessera.llm import exact_dedup as exact
 from tessera.llm import line_dedup as lines
+from tessera.llm import quality_rules as quality
 from tessera.llm.common import table
 
 
+def tokenizer_file() -> str:
+    """The byte-level tokenizer of the public tokenizer files; they lie at the same place on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_digests(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op3_line_dedup": op3_line_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
