@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe
 from tessera.llm import exact_dedup as exact
+from tessera.llm import language_id as langid
 from tessera.llm import line_dedup as lines
 from tessera.llm import quality_rules as quality
+from tessera.llm import toxicity as toxic
 from tessera.llm.common import table
 
 
@@ -23,6 +25,10 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup_report(table(spark, sf_dir, "documents"))
 
@@ -31,14 +37,20 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
+    "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_toxicity": op8_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
