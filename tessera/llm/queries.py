@@ -10,6 +10,7 @@ from tessera.llm import bpe
 from tessera.llm import exact_dedup as exact
 from tessera.llm import language_id as langid
 from tessera.llm import line_dedup as lines
+from tessera.llm import licenses, mixing
 from tessera.llm import quality_rules as quality
 from tessera.llm import toxicity as toxic
 from tessera.llm.common import table
@@ -33,6 +34,14 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +58,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
+    "op4_license_scan": op4_license_scan,
+    "op6_source_mixing": op6_source_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
@@ -56,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_line_dedup": lines.ORACLE,
+    "op4_license_scan": licenses.ORACLE,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
