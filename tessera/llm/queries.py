@@ -12,6 +12,7 @@ from tessera.llm import language_id as langid
 from tessera.llm import line_dedup as lines
 from tessera.llm import licenses, mixing
 from tessera.llm import quality_rules as quality
+from tessera.llm import suffix_dedup as suffix
 from tessera.llm import toxicity as toxic
 from tessera.llm.common import table
 
@@ -38,6 +39,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.suffix_dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op4_license_scan": op4_license_scan,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
