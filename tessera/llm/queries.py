@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe
 from tessera.llm import exact_dedup as exact
+from tessera.llm import jaccard_join as jaccard
 from tessera.llm import language_id as langid
 from tessera.llm import line_dedup as lines
 from tessera.llm import licenses, mixing
@@ -55,6 +56,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_report(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mixing": op6_source_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
