@@ -11,7 +11,7 @@ probability.  From the same rows a threshold per language is calibrated
 (highest F1); it is an extra column, the language is no input of the score.
 
 The training sample is bounded: about ``TOXIC`` rows with label 1 and
-``CLEAN`` rows with label 0, picked by a hash of the text (all
+``CLEAN`` rows with label 0, picked by a hash of the id (all
 rows where there are fewer).  Every document is scored on its whole text, in
 pieces that overlap by the widest filter less one word, so memory is bounded.
 
@@ -199,16 +199,15 @@ def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> Net:
     """Train on the bounded sample of rows outside the held-out fold; a fifth of it is set aside for calibration."""
-    lab = (labels.where("toxic is not null").groupBy(F.col("doc_id").alias("l_id"))
+    lab = (labels.where("toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("l_id"))
            .agg(F.max((F.col("toxic") >= 1).cast("int")).alias("y")))
-    rows = (docs.where(~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
-            .join(lab, F.col("doc_id") == F.col("l_id")))
-    n = {r["y"]: r["n"] for r in (labels.where("toxic is not null").where(~held_out(F.col("doc_id")))
-                                  .groupBy((F.col("toxic") >= 1).cast("int").alias("y")).agg(F.count("*").alias("n")).collect())}
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
+    n = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count("*").alias("n")).collect()}
     limit = F.when(F.col("y") == 1, toxic / max(1, n.get(1, 0))).otherwise(clean / max(1, n.get(0, 0)))
-    got = rows.where(share < limit).select("lang", "y", word_buckets(F.col("text")).alias("h"),
-                                           F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(5)).alias("part"), "doc_id").toArrow()
+    share = F.pmod(F.xxhash64("l_id"), F.lit(1 << 40)) / float(1 << 40)
+    # about toxic + clean rows of two numbers: bounded by the parameters, so broadcast, and the texts are not shuffled
+    got = docs.select("doc_id", "lang", "text").join(F.broadcast(lab.where(share < limit)), F.col("doc_id") == F.col("l_id")).select(
+        "lang", "y", word_buckets(F.col("text")).alias("h"), F.pmod(F.xxhash64(F.lit(1), "l_id"), F.lit(5)).alias("part"),
+        "doc_id").toArrow()
     order = sorted(range(got.num_rows), key=lambda i: (got["doc_id"][i].as_py() or 0, i))
     texts = [got["h"][i].values.to_numpy().astype(np.int64) for i in order]
     y = np.array([got["y"][i].as_py() for i in order], np.int64)
