@@ -3,13 +3,15 @@
 Documents link when their sets of word shingles have a Jaccard similarity of
 ``PERCENT`` or more.  Equal sets are one class from the start.
 
-1. A global order: shingles by hash, after them the ``HEAVY`` most common ones by
-   frequency.  (Any order gives the same result; this one keeps shared
-   passages out of the prefixes.)  Linked sets share one of their first
-   ``size - ceil(size * PERCENT / 100) + 1`` shingles in this order.
-2. These prefixes are dealt by shingle.  A shingle joins all classes that have it to one of
-   them, so a group costs its size, not its pairs; a task passes on one row per shingle, whatever
-   the number of its classes.  Connected components of these joins hold all links; most documents are in none.
+1. Linked sets of size n miss at most k = n - ceil(n * PERCENT / 100) shingles of
+   each other.  Of every set the shingles in the lowest ``RANGE`` of all
+   hashes are dealt by shingle; a task passes on one row per shingle.  A set
+   with more than k of them that no other set has is out, which leaves few.
+2. The shingles that the others share are ordered by frequency, rarest first, then
+   hash.  With u unshared ones, linked sets have a common shingle among their first
+   k - u + 1 in this order.  Sets that have one of these in common are joined to one of them, so a
+   group costs its size, not its pairs; connected components of these joins hold all links.
+   (Sets with k shingles in the range or fewer, short ones mostly, meet among themselves by their k + 1 lowest shingles.)
 3. The sets of a component meet in one task, or in all pairs of its blocks if there are
    more than ``BLOCK_SETS`` sets or ``BLOCK_SHINGLES`` shingles.  A block's sets, ordered most
    common shingle first, are a compressed trie.  Sets traverse it one
@@ -32,136 +34,159 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower, words, written
+from tessera.llm.common import written
 from tessera.llm.components import components
+from tessera.llm.rolling import Hashes, U, scramble
 
 WORDS = 5
 PERCENT = 75
-HEAVY = 100_000
-SAMPLE_DOCS = 2_000  # shingles found twice in so many neighbouring documents are counted as common
+RANGE = 10  # percent of the hashes beyond 100 - PERCENT
 BLOCK_SETS = 2_048
 BLOCK_SHINGLES = 1 << 20
+MAX_BROADCAST_SETS = 500_000  # rows of four numbers; more are joined by shuffle
+PIECE = 1 << 20  # bytes hashed at a time
 OUT_ROWS = 1 << 16
-U = np.uint64
 
-
-def word_hashes(text: Column) -> Column:
-    return F.transform(words(ascii_lower(F.coalesce(text, F.lit("")))), lambda w: F.xxhash64(w))
-
-
-def shingles(h: np.ndarray, n: int = WORDS) -> np.ndarray:
+# fixed values: ASCII white space, and A-Z to a-z
+SPACES = np.zeros(256, bool)
+SPACES[[0x20, *range(0x09, 0x0E)]] = True
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[65:91] += 32
+
+
+def word_hashes(t: np.ndarray, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, hash) of the words of a byte array, A-Z lower-cased, piece by piece."""
+    begins, found, at = [], [], 0
+    while at < len(t):
+        end = min(len(t), at + PIECE)
+        while end < len(t) and not SPACES[t[end]]:  # a word stays in one piece
+            step = np.flatnonzero(SPACES[t[end:end + PIECE]])
+            end += int(step[0]) if len(step) else min(PIECE, len(t) - end)
+        part = LOWERED[t[at:end]]
+        inside = np.concatenate([[False], ~SPACES[part], [False]])
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        lo, hi = edge[::2], edge[1::2]
+        begins.append(lo + at)
+        found.append(hashes.of(hashes.prefix(part), lo, hi) + (hi - lo).astype(U))
+        at = end
+    return (np.concatenate(begins), np.concatenate(found)) if begins else (np.zeros(0, np.int64), np.zeros(0, U))
+
+
+def shingles(u: np.ndarray, n: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the runs of n words, or of the whole shorter sequence."""
-    if not len(h):
+    if not len(u):
         return np.zeros(0, U)
-    u = h.view(U)
     k = min(n, len(u))
     m = len(u) - k + 1
     s = u[:m] + U(k)  # shorter sequences have hashes of their own
     for i in range(1, k):
         s = s * U(0x9E3779B97F4A7C15) + u[i:i + m]
         s ^= s >> U(31)
-    s = (s ^ (s >> U(29))) * U(0xBF58476D1CE4E5B9)
-    return np.unique(s ^ (s >> U(32)))
+    return np.unique(scramble(s))
 
 
-def _sets(b: pa.RecordBatch) -> list[np.ndarray]:
-    h = b.column("h")
-    flat, off = h.values.to_numpy(zero_copy_only=False), h.offsets.to_numpy()
-    return [shingles(flat[off[i]:off[i + 1]]) for i in range(b.num_rows)]
+def _sets(texts: pa.Array) -> list[np.ndarray]:
+    """Shingle sets of a column of UTF-8 bytes."""
+    hashes, out = Hashes(PIECE + 1), []
+    for x in texts:
+        t = np.frombuffer(x.as_buffer(), np.uint8) if x.is_valid else np.zeros(0, np.uint8)
+        out.append(shingles(word_hashes(t, hashes)[1]))
+    return out
 
 
 def digest(s: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None
 
 
-def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shingle, count) of those found in two different sets or more among SAMPLE_DOCS neighbours."""
-    for b in batches:
-        for i in range(0, b.num_rows, SAMPLE_DOCS):
-            sets = {digest(s): s for s in _sets(b.slice(i, SAMPLE_DOCS)) if len(s)}
-            if sets:
-                s, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
-                yield pa.record_batch({"s": pa.array(s[n > 1].view(np.int64)), "n": pa.array(n[n > 1].astype(np.int64))})
-
-
-class Order:
-    """The global order; ``heavy`` are the most common shingles, rarest of them first."""
-
-    def __init__(self, heavy: np.ndarray):
-        self.by_hash = np.argsort(heavy)
-        self.sorted = heavy[self.by_hash]
-
-    def prefix(self, s: np.ndarray, size: int) -> np.ndarray:
-        if not len(self.sorted):
-            return s[:size]
-        at = np.minimum(np.searchsorted(self.sorted, s), len(self.sorted) - 1)
-        late = self.sorted[at] == s
-        early = s[~late][:size]
-        if len(early) == size:
-            return early
-        return np.append(early, s[late][np.argsort(self.by_hash[at[late]])][:size - len(early)])
+def missing(n: int, percent: int) -> int:
+    """How many shingles a linked set may lack of a set of n."""
+    return n + (-n * percent) // 100
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], heavy, percent: int) -> Iterator[pa.RecordBatch]:
-    order = Order(heavy.value)
+def _low_shingles(batches: Iterator[pa.RecordBatch], percent: int, share: int) -> Iterator[pa.RecordBatch]:
+    """Per document its set's size, digest, and lowest shingles; ``low`` those in the range, ``weak`` for sets with too few there."""
+    limit = U(((1 << 64) - 1) // 100 * min(100, 100 - percent + share))
     for b in batches:
-        sets = _sets(b)
-        yield pa.record_batch({
-            "id": b.column("id"), "key": b.column("key"), "n": pa.array([len(s) for s in sets], pa.int64()),
-            "digest": pa.array([digest(s) for s in sets], pa.int64()),
-            "prefix": pa.array([order.prefix(s, len(s) - -(-len(s) * percent // 100) + 1).tobytes() if len(s) else b""
-                                for s in sets], pa.binary())})
+        for i in range(0, b.num_rows, 1000):
+            part = b.slice(i, 1000)
+            sets = _sets(part.column("text"))
+            low = [s[:np.searchsorted(s, limit)] for s in sets]
+            lack = [missing(len(s), percent) for s in sets]
+            yield pa.record_batch({
+                "id": part.column("id"), "key": part.column("key"), "n": pa.array([len(s) for s in sets], pa.int64()),
+                "digest": pa.array([digest(s) for s in sets], pa.int64()), "q": pa.array([len(x) for x in low], pa.int64()),
+                "k": pa.array(lack, pa.int64()), "low": pa.array([x.tobytes() for x in low], pa.binary()),
+                "weak": pa.array([s[:k + 1].view(np.int64) if len(x) <= k else [] for s, x, k in zip(sets, low, lack)],
+                                 pa.list_(pa.int64()))})
 
 
-def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (a, b)."""
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(a) else np.zeros(0, bool)
-    return a[new], b[new]
+# a row of the deal: the only set of its task with the shingle; the first of several; one of them, known to be shared
+SINGLE, FIRST, SHARED = 0, 1, 2
 
 
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shingle, a, null), one per shingle and batch; rows (any, a, b) for classes of a batch that share one."""
+    """Rows (route, s, digest, kind): one per shingle and batch, dealt by shingle; the others are spread."""
     for b in batches:
         _, at = np.unique(b.column("digest").to_numpy(), return_index=True)
         b = b.take(pa.array(at))
-        parts = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("prefix")]
+        parts = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("low")]
         s = np.concatenate(parts)
         d = np.repeat(b.column("digest").to_numpy(), [len(p) for p in parts])
-        order = np.lexsort((d, s))
+        order = np.argsort(s, kind="stable")
         s, d = s[order], d[order]
-        first = np.append(True, s[1:] != s[:-1])
-        root = d[first][np.cumsum(first) - 1]
-        x, y = _pairs(d[~first], root[~first])
-        out = pa.record_batch({"s": pa.array(np.append(s[first], x)), "a": pa.array(np.append(d[first], x)),
-                               "b": pa.concat_arrays([pa.nulls(int(first.sum()), pa.int64()), pa.array(y)])})
+        first = np.append(True, s[1:] != s[:-1])[:len(s)]
+        several = np.bincount(np.cumsum(first) - 1, minlength=1)[np.cumsum(first) - 1] > 1 if len(s) else first
+        again = np.flatnonzero(several)
+        route = np.append(s[first], (s[again] ^ scramble(d[again].view(U)).view(np.int64)))
+        out = pa.record_batch({
+            "route": pa.array(route), "s": pa.array(np.append(s[first], s[again])),
+            "digest": pa.array(np.append(d[first], d[again])),
+            "kind": pa.array(np.append(np.where(several[first], FIRST, SINGLE), np.full(len(again), SHARED)).astype(np.int32))})
         for i in range(0, out.num_rows, OUT_ROWS):
             yield out.slice(i, OUT_ROWS)
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shingle to edges (a, first class with the shingle); keeps one shingle at a time."""
-    last, root = None, None
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by route to (digest, s) of shingles that two sets or more have; keeps one row of the last shingle."""
+    last = root = None
+    kind_of_root, several = SINGLE, False
     for b in batches:
         if not b.num_rows:
             continue
-        other = b.column("b")
-        known = other.is_valid().to_numpy(zero_copy_only=False)
-        s, d = b.column("s").to_numpy()[~known], b.column("a").to_numpy()[~known]
-        edges = [(b.column("a").to_numpy()[known], other.drop_null().to_numpy())]
+        kind = b.column("kind").to_numpy()
+        s, d = b.column("s").to_numpy(), b.column("digest").to_numpy()
+        out_s, out_d = [s[kind == SHARED]], [d[kind == SHARED]]
+        s, d, kind = s[kind != SHARED], d[kind != SHARED], kind[kind != SHARED]
         if len(s):
-            first = np.append(s[0] != last, s[1:] != s[:-1])
-            at = np.maximum.accumulate(np.where(first, np.arange(len(s)), -1))
-            to = np.where(at >= 0, d[at], root if root is not None else 0)
-            edges.append((d[to != d], to[to != d]))
-            last, root = s[-1], to[-1]
-        x, y = _pairs(*(np.concatenate(e) for e in zip(*edges)))
+            new = np.append(s[0] != last, s[1:] != s[:-1])
+            starts = np.flatnonzero(new) if new[0] else np.append(0, np.flatnonzero(new))
+            group = np.searchsorted(starts, np.arange(len(s)), "right") - 1
+            roots = d[starts]
+            if not new[0]:
+                roots[0] = root
+            many = np.bincount(group, (d != roots[group]) | (kind == FIRST)) > 0
+            if not new[0]:
+                many[0] |= several
+                if many[0] and not several and kind_of_root == SINGLE:  # held back until a second set came
+                    out_s.append(s[:1])
+                    out_d.append(np.array([root]))
+            emit = many[group] & (kind == SINGLE)
+            out_s.append(s[emit])
+            out_d.append(d[emit])
+            kind_of_root = kind_of_root if not new[0] and len(starts) == 1 else int(kind[starts[-1]])
+            last, root, several = s[-1], roots[-1], bool(many[-1])
+        x, y = np.concatenate(out_d), np.concatenate(out_s)
         if len(x):
-            yield pa.record_batch({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+            yield pa.record_batch({"digest": pa.array(x, pa.int64()), "s": pa.array(y, pa.int64())})
+
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """Edges (a, b) from every digest of a shingle to the smallest one."""
+    root = rows.groupBy("s").agg(F.min("digest").alias("b")).withColumnRenamed("s", "r_s")
+    return rows.join(root, F.col("s") == F.col("r_s")).where("digest <> b").select(F.col("digest").alias("a"), "b").distinct()
 
 
 # the trie ------------------------------------------------------------------------
@@ -288,33 +313,39 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(0, b.num_rows, 500):
             part = b.slice(i, 500)
             yield pa.record_batch({"digest": part.column("digest"), "label": part.column("label"), "blocks": part.column("blocks"),
-                                   "set": pa.array([s.tobytes() for s in _sets(part)], pa.binary())})
+                                   "set": pa.array([s.tobytes() for s in _sets(part.column("text"))], pa.binary())})
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                       heavy: int = HEAVY, block_sets: int = BLOCK_SETS) -> DataFrame:
+                       share: int = RANGE, block_sets: int = BLOCK_SETS) -> DataFrame:
     """(id, key, n, group, component): key is a hash of id and text; n the set's size; group is null for empty sets."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    hashed = rows.select("id", "key", word_hashes(F.col("text")).alias("h"))
-    top = (hashed.select("h").mapInArrow(_common, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "s").limit(heavy).collect())  # at most ``heavy`` rows
-    order = spark.sparkContext.broadcast(np.array([r["s"] for r in reversed(top)], np.int64).view(U))
-    sets = written(hashed.mapInArrow(lambda it: _prefixes(it, order, percent),
-                                     "id long, key long, n long, digest long, prefix binary"), "prefixes")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"),
+                       F.col(text_col).cast("binary").alias("text"))
+    sets = written(rows.mapInArrow(lambda it: _low_shingles(it, percent, share),
+                                   "id long, key long, n long, digest long, q long, k long, low binary, weak array<long>"), "low")
     some = sets.where("digest is not null")
-    edges = (some.select("digest", "prefix").mapInArrow(_deal, "s long, a long, b long")
-             .repartition("s").sortWithinPartitions("s").mapInArrow(_meet, "a long, b long"))
-    joined = components(edges)
-
-    classes = some.groupBy("digest").agg(F.min(F.struct("id", "key")).alias("rep"), F.min("id").alias("least"), F.first("n").alias("n"))
-    near = classes.join(joined, F.col("digest") == F.col("node")).select("digest", "label", "rep.id", "rep.key", "n")
+    classes = some.groupBy("digest").agg(F.min(F.struct("id", "key")).alias("rep"), F.min("id").alias("least"),
+                                         *[F.first(c).alias(c) for c in ("n", "q", "k")])
+    shared = written(some.where("q > 0").select("digest", "low").mapInArrow(_deal, "route long, s long, digest long, kind int")
+                     .repartition("route").sortWithinPartitions("route", "s").mapInArrow(_shared, "digest long, s long"), "shared")
+    often = shared.groupBy(F.col("s").alias("o_s")).agg(F.count("*").alias("often"))
+    ranked = (shared.join(often, F.col("s") == F.col("o_s")).groupBy(F.col("digest").alias("f_digest"))
+              .agg(F.sort_array(F.collect_set(F.struct("often", "s"))).alias("found")))
+    left = F.col("k") - F.col("q") + F.size("found")
+    first = (classes.join(ranked, F.col("digest") == F.col("f_digest")).where(left >= 0)
+             .select("digest", F.explode(F.slice("found", F.lit(1), (left + 1).cast("int"))).alias("x")).select("digest", "x.s"))
+    weak = some.where("size(weak) > 0").select("digest", F.explode("weak").alias("s")).distinct()
+    joined = components(_stars(first).unionAll(_stars(weak)))
+
+    near = written(classes.join(joined, F.col("digest") == F.col("node")).select("digest", "label", "rep.id", "rep.key", "n"), "near")
     blocks = near.groupBy(F.col("label").alias("b_label")).agg(
         F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     near = near.join(blocks, F.col("label") == F.col("b_label")).select(
         F.col("id").alias("r_id"), F.col("key").alias("r_key"), "digest", "label", "blocks")
+    if near.count() <= MAX_BROADCAST_SETS:
+        near = F.broadcast(near)
     texts = rows.join(near, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")))
-    member = texts.select("digest", "label", "blocks", word_hashes(F.col("text")).alias("h")).mapInArrow(
+    member = texts.select("digest", "label", "blocks", "text").mapInArrow(
         _set_rows, "digest long, label long, blocks int, set binary")
     member = member.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),

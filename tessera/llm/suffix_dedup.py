@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
+from tessera.llm.rolling import Hashes, U, scramble
 
 LENGTH = 200
 GRAM = 64
@@ -44,33 +45,6 @@ SLAB = 1 << 19
 CROWD = 1024
 OUT_ROWS = 1 << 16
 PLACE = (1 << 20) - 1  # over PART + LENGTH
-BASE = 0x9E3779B97F4A7C15
-U = np.uint64
-
-
-class Hashes:
-    """Rolling hashes: prefix sums of byte * BASE**position, moved to position 0."""
-
-    def __init__(self, size: int):
-        with np.errstate(over="ignore"):
-            self.power, self.inverse = np.full(size, U(BASE)), np.full(size, U(pow(BASE, -1, 1 << 64)))
-            self.power[0] = self.inverse[0] = U(1)
-            np.multiply.accumulate(self.power, out=self.power)
-            np.multiply.accumulate(self.inverse, out=self.inverse)
-
-    def prefix(self, t: np.ndarray) -> np.ndarray:
-        c = np.zeros(len(t) + 1, U)
-        np.cumsum((t.astype(U) + U(1)) * self.power[:len(t)], out=c[1:])
-        return c
-
-    def of(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Hashes of the bytes [lo, hi)."""
-        return scramble((c[hi] - c[lo]) * self.inverse[lo])
-
-
-def scramble(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> U(29))) * U(0xBF58476D1CE4E5B9)
-    return h ^ (h >> U(32))
 
 
 def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
