@@ -341,7 +341,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         lambda it: _judge(it, crowd), "h long, id long, key long, lo long, span int, state int"), "ranges")
 
     def with_texts(asked: DataFrame, how: str) -> DataFrame:
-        asked = asked.withColumnsRenamed({"id": "a_id", "key": "a_key"})
+        # sorted and merged at every size, so that both joins use one exchange of the texts
+        asked = asked.withColumnsRenamed({"id": "a_id", "key": "a_key"}).hint("merge")
         return rows.join(asked, F.col("id").eqNullSafe(F.col("a_id")) & (F.col("key") == F.col("a_key")), how)
 
     asked = (judged.where(F.col("state") > REPEATED).groupBy("id", "key")
