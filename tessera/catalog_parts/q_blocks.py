@@ -84,7 +84,7 @@ def map_slices_udf(spark, sf_dir):
 
 @register("map_blocks_udf", q.with_(q.V4, q.V4DIMS) + """SELECT c.x, c.y, c.z, CAST(c.v + COALESCE(n.v, 0) AS BIGINT) AS v
 FROM (SELECT tx.i AS x, ty.i AS y, tz.i AS z, COALESCE(v4.v, 0) AS v
-      FROM range(0, (SELECT nx FROM v4dims)) tx(i) CROSS JOIN range(0, 50) ty(i) CROSS JOIN range(0, 7) tz(i)
+      FROM range(0, (SELECT nx FROM v4dims)) tx(i) CROSS JOIN range(0, (SELECT ny FROM v4dims)) ty(i) CROSS JOIN range(0, (SELECT nz FROM v4dims)) tz(i)
       LEFT JOIN v4 ON v4.x = tx.i AND v4.y = ty.i AND v4.z = tz.i) c
 LEFT JOIN v4 n ON n.x = c.x + 1 AND n.y = c.y AND n.z = c.z
 WHERE c.v + COALESCE(n.v, 0) <> 0""")

@@ -59,9 +59,10 @@ def interval_of(spark, sf_dir):
     return C.interval_of(fx.event_counts(spark, sf_dir))
 
 
-@register("extend_zero", q.with_(q.V3) + """SELECT CAST(tx.i AS BIGINT) AS x, CAST(ty.i AS BIGINT) AS y, CAST(tz.i AS BIGINT) AS z,
+@register("extend_zero", q.with_(q.V3, q.V3DIMS) + """SELECT CAST(tx.i AS BIGINT) AS x, CAST(ty.i AS BIGINT) AS y, CAST(tz.i AS BIGINT) AS z,
   COALESCE(v3.v, 0) AS v
-FROM range(-2, 26) tx(i) CROSS JOIN range(-1, 31) ty(i) CROSS JOIN range(0, 5) tz(i)
+FROM range(-2, (SELECT nx FROM v3dims) + 2) tx(i) CROSS JOIN range(-1, (SELECT ny FROM v3dims) + 1) ty(i)
+CROSS JOIN range(0, (SELECT nz FROM v3dims)) tz(i)
 LEFT JOIN v3 ON v3.x = tx.i AND v3.y = ty.i AND v3.z = tz.i""")
 def extend_zero(spark, sf_dir):
     """V3 (sparse) on its interval grown by (2,1,0); outside and absent read 0."""

@@ -112,7 +112,7 @@ def _down_sql(src: str, dims: tuple[str, str, str], name: str) -> str:
   FROM (SELECT x // 2 AS tx, y // 2 AS ty, z // 2 AS tz, v FROM {src}) GROUP BY tx, ty, tz)"""
 
 
-@register("downsample", q.with_(q.V4, q.V4DIMS, _down_sql("v4", ("(SELECT nx FROM v4dims)", "50", "7"), "d1"))
+@register("downsample", q.with_(q.V4, q.V4DIMS, _down_sql("v4", (q.NX4, q.NY4, q.NZ4), "d1"))
           + "SELECT x, y, z, v FROM d1")
 def downsample(spark, sf_dir):
     """H4: half-pixel x2 downsampling of V4 (sparse counts), mean over samples inside the dims, rounded."""
@@ -120,9 +120,9 @@ def downsample(spark, sf_dir):
 
 
 @register("pyramid", q.with_(q.V4, q.V4DIMS,
-                             _down_sql("v4", ("(SELECT nx FROM v4dims)", "50", "7"), "d1"),
-                             _down_sql("d1", ("((SELECT nx FROM v4dims) + 1) // 2", "25", "4"), "d2"),
-                             _down_sql("d2", ("(((SELECT nx FROM v4dims) + 1) // 2 + 1) // 2", "13", "2"), "d3"))
+                             _down_sql("v4", (q.NX4, q.NY4, q.NZ4), "d1"),
+                             _down_sql("d1", tuple(f"(({n} + 1) // 2)" for n in (q.NX4, q.NY4, q.NZ4)), "d2"),
+                             _down_sql("d2", tuple(f"((({n} + 1) // 2 + 1) // 2)" for n in (q.NX4, q.NY4, q.NZ4)), "d3"))
           + """SELECT 1 AS level, x, y, z, v FROM d1 UNION ALL SELECT 2, x, y, z, v FROM d2
 UNION ALL SELECT 3, x, y, z, v FROM d3""")
 def pyramid(spark, sf_dir):

@@ -52,7 +52,7 @@ def chunk_roundtrip_zarr(spark, sf_dir):
   SELECT 'blockSize' AS key, '[32,8,3]' AS value, 'ARRAY<BIGINT>' AS type
   UNION ALL SELECT 'compression', '{"level":-1,"type":"gzip","useZlib":false}', 'OBJECT<level: BIGINT, type: STRING, useZlib: BOOLEAN>'
   UNION ALL SELECT 'dataType', '"uint16"', 'STRING'
-  UNION ALL SELECT 'dimensions', '[' || CAST(nx AS VARCHAR) || ',50,7]', 'ARRAY<BIGINT>' FROM v4dims)""")
+  UNION ALL SELECT 'dimensions', '[' || CAST(nx AS VARCHAR) || ',' || CAST(ny AS VARCHAR) || ',' || CAST(nz AS VARCHAR) || ']', 'ARRAY<BIGINT>' FROM v4dims)""")
 def n5_attributes(spark, sf_dir):
     """A4: attributes of the written V4 dataset as (key, JSON value, variant type)."""
     root = scratch_dir(spark, "attrs")

@@ -107,7 +107,7 @@ def vol_mul(spark, sf_dir):
 
 @register("vol_div", q.with_(q.V4, q.V5, q.V4DIMS) + f"""SELECT tx.i AS x, ty.i AS y, tz.i AS z,
   {q.ieee_div('CAST(COALESCE(v5.v, 0) AS DOUBLE)', 'CAST(COALESCE(v4.v, 0) AS DOUBLE)')} AS v
-FROM range(0, (SELECT nx FROM v4dims)) tx(i) CROSS JOIN range(0, 50) ty(i) CROSS JOIN range(0, 7) tz(i)
+FROM range(0, (SELECT nx FROM v4dims)) tx(i) CROSS JOIN range(0, (SELECT ny FROM v4dims)) ty(i) CROSS JOIN range(0, (SELECT nz FROM v4dims)) tz(i)
 LEFT JOIN v4 ON v4.x = tx.i AND v4.y = ty.i AND v4.z = tz.i
 LEFT JOIN v5 ON v5.x = tx.i AND v5.y = ty.i AND v5.z = tz.i""")
 def vol_div(spark, sf_dir):

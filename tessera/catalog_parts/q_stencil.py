@@ -20,7 +20,7 @@ def _v(alias, col="v"):
 
 
 V4DENSE = """d4 AS (SELECT tx.i AS x, ty.i AS y, tz.i AS z, COALESCE(v4.v, 0) AS v
-  FROM range(0, (SELECT nx FROM v4dims)) tx(i) CROSS JOIN range(0, 50) ty(i) CROSS JOIN range(0, 7) tz(i)
+  FROM range(0, (SELECT nx FROM v4dims)) tx(i) CROSS JOIN range(0, (SELECT ny FROM v4dims)) ty(i) CROSS JOIN range(0, (SELECT nz FROM v4dims)) tz(i)
   LEFT JOIN v4 ON v4.x = tx.i AND v4.y = ty.i AND v4.z = tz.i)"""
 
 

@@ -97,12 +97,15 @@ def view_plane(spark: SparkSession, url: str, dataset: str, size=(512, 512, 1),
 
 def main(argv=None):
     p = argparse.ArgumentParser(prog="tessera.jobs")
-    p.add_argument("job", choices=["contrast-enhance", "clahe-gradients", "contrast-export"])
+    p.add_argument("job", choices=["contrast-enhance", "clahe-gradients", "contrast-export",
+                                   "smooth-cells", "view-plane", "pyramid"])
     p.add_argument("--n5url", "-i", required=True)
     p.add_argument("--n5dataset", "-d", required=True)
     p.add_argument("--n5outurl", "-o")
     p.add_argument("--n5outdataset", "-e")
     p.add_argument("--scaleindex", "-s", type=int, default=0)
+    p.add_argument("--levels", "-l", type=int, default=3)
+    p.add_argument("--size", type=int, nargs=3, default=(512, 512, 1))
     a = p.parse_args(argv)
     from .session import get_spark
     spark = get_spark()
@@ -110,12 +113,17 @@ def main(argv=None):
         contrast_enhance(spark, a.n5url, a.n5dataset, a.n5outurl or a.n5url, a.n5outdataset, a.scaleindex)
     elif a.job == "clahe-gradients":
         print(clahe_gradients(spark, a.n5url, a.n5dataset, a.n5outurl or a.n5url, a.scaleindex))
-    else:
+    elif a.job == "contrast-export":
         contrast_export(spark, a.n5url, a.n5dataset, a.n5outurl or a.n5url).show()
-
-
-if __name__ == "__main__":
-    main()
+    elif a.job == "smooth-cells":
+        out = smooth_cells(spark, a.n5url, a.n5dataset)
+        CH.save_blocks(out, a.n5outurl or a.n5url, a.n5outdataset or f"{a.n5dataset.rstrip('/')}-smooth", "n5", "gzip")
+    elif a.job == "view-plane":
+        tile = tuple(min(64, s) for s in a.size)
+        out = B.from_voxels(view_plane(spark, a.n5url, a.n5dataset, tuple(a.size), tile), tile)
+        CH.save_blocks(out, a.n5outurl or a.n5url, a.n5outdataset or f"{a.n5dataset.rstrip('/')}-plane", "n5", "gzip")
+    else:
+        print(write_pyramid(spark, a.n5url, a.n5dataset, a.levels, a.n5outurl, a.n5outdataset))
 
 
 def write_pyramid(spark: SparkSession, url: str, dataset: str, levels: int, outurl: str | None = None,
@@ -137,3 +145,7 @@ def write_pyramid(spark: SparkSession, url: str, dataset: str, levels: int, outu
         names.append(name)
         cur = CH.open_blocks(spark, outurl, name)
     return names
+
+
+if __name__ == "__main__":
+    main()

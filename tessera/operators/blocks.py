@@ -58,6 +58,17 @@ class BlockVolume:
     def grid(self) -> DataFrame:
         return block_grid(self.df.sparkSession, self.dims, self.block)
 
+    def then(self, op: Callable[["BlockVolume"], "BlockVolume"], *, expect_dtype: str | None = None,
+             expect_ndim: int | None = None, expect_block=None) -> "BlockVolume":
+        """Chain an operator (H9), checking type, dimensionality and block size first."""
+        if expect_dtype is not None and self.dtype != expect_dtype:
+            raise TypeError(f"operator expects {expect_dtype}, volume is {self.dtype}")
+        if expect_ndim is not None and self.meta.ndim != expect_ndim:
+            raise ValueError(f"operator expects {expect_ndim}-D input, volume is {self.meta.ndim}-D")
+        if expect_block is not None and tuple(self.block) != tuple(expect_block):
+            raise ValueError(f"operator expects blocks of {tuple(expect_block)}, volume has {tuple(self.block)}")
+        return op(self)
+
 
 def decode(payload: bytes, dtype: str, sx: int, sy: int, sz: int, channels: int = 1) -> np.ndarray:
     shape = (sz, sy, sx) if channels == 1 else (sz, sy, sx, channels)
@@ -118,16 +129,19 @@ def from_voxels(vol: Volume, block) -> BlockVolume:
         ox, oy, oz = gx * bx, gy * by, gz * bz
         sx, sy, sz = min(bx, dims[0] - ox), min(by, dims[1] - oy), min(bz, dims[2] - oz)
         a = np.zeros((sz, sy, sx), dtype=np.dtype(dtype_of(dtype).numpy))
-        a[pdf["z"].to_numpy() - oz, pdf["y"].to_numpy() - oy, pdf["x"].to_numpy() - ox] = pdf["v"].to_numpy()
+        v = pdf["v"].to_numpy()
+        if v.dtype != a.dtype:
+            v = K.to_dtype(v, dtype)  # P1/P2: out of range saturates, it does not wrap
+        a[pdf["z"].to_numpy() - oz, pdf["y"].to_numpy() - oy, pdf["x"].to_numpy() - ox] = v
         return (gx, gy, gz, ox, oy, oz, sx, sy, sz, a.tobytes())
 
     out = grouped_rows(keyed, list(G), paste, BLOCK_SCHEMA, BLOCK_COLUMNS)
-    return BlockVolume(out, VolumeMeta(dims, dtype), (bx, by, bz))
+    return BlockVolume(out, VolumeMeta(dims, dtype, rank=vol.meta.rank), (bx, by, bz))
 
 
 def to_voxels(bv: BlockVolume, drop_zeros: bool = False) -> Volume:
-    """H2 (blocks -> voxels): numpy unravel per block inside ``mapInPandas``."""
-    dtype = bv.dtype
+    """H2 (blocks -> voxels): numpy unravel per block inside ``mapInPandas``; coordinates start at the interval's min."""
+    dtype, (mx, my, mz) = bv.dtype, bv.meta.min
     vtype, np_out = {"uint8": ("smallint", "int16"), "uint16": ("int", "int32"), "int32": ("int", "int32"),
                      "int64": ("bigint", "int64"), "float32": ("float", "float32"),
                      "float64": ("double", "float64")}[dtype]
@@ -140,8 +154,8 @@ def to_voxels(bv: BlockVolume, drop_zeros: bool = False) -> Volume:
                 zz, yy, xx = np.meshgrid(np.arange(row.sz), np.arange(row.sy), np.arange(row.sx), indexing="ij")
                 v = a.ravel()
                 keep = v != 0 if drop_zeros else slice(None)
-                parts.append(pd.DataFrame({"x": (xx.ravel() + row.ox)[keep], "y": (yy.ravel() + row.oy)[keep],
-                                           "z": (zz.ravel() + row.oz)[keep], "v": v[keep].astype(np_out)}))
+                parts.append(pd.DataFrame({"x": (xx.ravel() + (row.ox + mx))[keep], "y": (yy.ravel() + (row.oy + my))[keep],
+                                           "z": (zz.ravel() + (row.oz + mz))[keep], "v": v[keep].astype(np_out)}))
             if parts:
                 yield pd.concat(parts, ignore_index=True)
 
@@ -149,6 +163,21 @@ def to_voxels(bv: BlockVolume, drop_zeros: bool = False) -> Volume:
     return Volume(df, bv.meta)
 
 
+def channels_to_voxels(bv: BlockVolume, names: list[str]) -> DataFrame:
+    """``x, y, z`` and one double column per channel."""
+    dtype, ch, (mx, my, mz) = bv.dtype, bv.channels, bv.meta.min
+
+    def unravel(it):
+        for pdf in it:
+            for row in pdf.itertuples(index=False):
+                a = decode(row.payload, dtype, row.sx, row.sy, row.sz, ch).reshape(row.sz, row.sy, row.sx, ch)
+                zz, yy, xx = np.meshgrid(np.arange(row.sz), np.arange(row.sy), np.arange(row.sx), indexing="ij")
+                out = {"x": xx.ravel() + (row.ox + mx), "y": yy.ravel() + (row.oy + my), "z": zz.ravel() + (row.oz + mz)}
+                yield pd.DataFrame(out | {n: a[..., i].ravel().astype(np.float64) for i, n in enumerate(names)})
+
+    return bv.df.mapInPandas(unravel, "x bigint, y bigint, z bigint, " + ", ".join(f"{n} double" for n in names))
+
+
 # ------------------------------------------------------------------ halo plan
 
 @functools.lru_cache(maxsize=64)
@@ -296,7 +325,7 @@ def map_blocks(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], radius=(
         return (t[0], t[1], t[2], o[0], o[1], o[2], s[0], s[1], s[2], encode(out, out_dtype))
 
     df = grouped_rows(pieces, ["tx", "ty", "tz"], run, BLOCK_SCHEMA, BLOCK_COLUMNS)
-    return BlockVolume(df, VolumeMeta(dims, out_dtype), tb, out_channels)
+    return BlockVolume(df, VolumeMeta(dims, out_dtype, rank=bv.meta.rank), tb, out_channels)
 
 
 def map_slices(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], padding: int, extension: str = "zero",
@@ -322,34 +351,56 @@ def map_slices(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], padding:
     return map_blocks(bv, per_block, (p, p, 0), extension, out_dtype, zero_preserving)
 
 
-# Above this many bytes per padded group, CLLCN switches to two strip passes.
+# A padded group of CLLCN (with its sums) stays below this; beyond it two strip passes, z split as needed.
 MAX_GROUP_BYTES = 256 << 20
 
 
 def cllcn(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, gamma: float = 0.5, center: bool = True,
           stretch: bool = True, keep_min_max: bool = True, extension: str = "zero",
           min_intensity: float = 0.0, max_intensity: float = 65535.0, strips: bool | None = None) -> BlockVolume:
-    """G11 in block form: the slice operator with the CLLCN kernel (integral images per slice).
+    """G8/G11/G12 in block form: the slice operator with the CLLCN kernel.
 
     One halo exchange of radius (r, r, 0) while a padded group stays below
     ``MAX_GROUP_BYTES``; beyond it (large radii such as 1023 at the finest
     level) two strip passes: window sums along x with halo (r, 0, 0), then
-    along y with halo (0, r, 0) plus the formula.  Both give the same numbers.
+    along y with halo (0, r, 0) plus the formula.  Window sums are the same
+    in both plans and in any block size: exact in int64 where the type
+    guarantees it, otherwise in float64 over the samples of the window only
+    (plans may then differ in the last bits, by the order of additions).
     """
     bx, by, bz = bv.block
     if strips is None:
-        strips = (bx + 2 * r) * (by + 2 * r) * bz * 8 * 2 > MAX_GROUP_BYTES
+        strips = (bx + 2 * r) * (by + 2 * r) * bz * 8 * 4 > MAX_GROUP_BYTES
     if strips:
         return cllcn_strips(bv, r, k, limit, gamma, center, stretch, keep_min_max, extension,
                             min_intensity, max_intensity)
+    exact = K.exact_sums(bv.dtype, r)
 
     def fn(fp):
-        return K.cllcn_slice(fp, r, k, limit, gamma, center, stretch, keep_min_max, min_intensity, max_intensity)
+        return K.cllcn_slice(fp, r, k, limit, gamma, center, stretch, keep_min_max, min_intensity, max_intensity, exact)
     # zero is a fixed point (keepMinMax keeps v == min) only when min_intensity == 0 and keep_min_max
     zp = keep_min_max and min_intensity == 0.0 and center and stretch and gamma != 1
     return map_slices(bv, fn, r, extension, min_intensity, max_intensity, bv.dtype, zero_preserving=zp)
 
 
+def box_stats(bv: BlockVolume, r: int, extension: str = "zero") -> BlockVolume:
+    """G1/G2 in block form: five float64 channels (sum, sum of squares, mean, sample variance, std) per voxel."""
+    exact = K.exact_sums(bv.dtype, r)
+    bs = (2 * r + 1) ** 2
+    scale, scale1, scale2 = 1.0 / bs, (1.0 / (bs - 1) if r else math.inf), (1.0 / (bs * bs - bs) if r else math.inf)
+
+    def fn(a):
+        out = []
+        for z in range(a.shape[0]):
+            S, Q = K.box_sums(a[z], r, exact)
+            with np.errstate(invalid="ignore"):
+                var = scale1 * Q - scale2 * S * S
+                out.append(np.stack([S, Q, S * scale, var, np.where(var < 0, 0.0, np.sqrt(np.where(var < 0, 0.0, var)))], -1))
+        return np.stack(out)
+
+    return map_blocks(bv, fn, (r, r, 0), extension, "float64", zero_preserving=r > 0, out_channels=5)
+
+
 def gauss(bv: BlockVolume, sigma, extension: str = "zero", out_dtype: str = "float64") -> BlockVolume:
     """F8 in block form: halo of ``len(kernel)-1`` per axis, numpy separable convolution."""
     from .convolve import gauss_half_kernel
@@ -423,7 +474,7 @@ def downsample2(bv: BlockVolume, out_dtype: str | None = None) -> BlockVolume:
             yield pd.DataFrame(rows, columns=["gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload"])
 
     df = bv.df.mapInPandas(down, BLOCK_SCHEMA)
-    return BlockVolume(df, VolumeMeta(ndims, out_dtype), nb)
+    return BlockVolume(df, VolumeMeta(ndims, out_dtype, rank=bv.meta.rank), nb)
 
 
 def nonempty(bv: BlockVolume) -> BlockVolume:
@@ -437,37 +488,39 @@ def cllcn_strips(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, g
                  center: bool = True, stretch: bool = True, keep_min_max: bool = True, extension: str = "zero",
                  min_intensity: float = 0.0, max_intensity: float = 65535.0) -> BlockVolume:
     """CLLCN as two separable passes; each ships a voxel to ``1 + 2 ceil(r/b)`` targets
-    instead of ``(1 + 2 ceil(r/b))^2``, and a group is a strip, not a 2-D square."""
-    integer = dtype_of(bv.dtype).integer
-    cdt = "int64" if integer else "float64"
+    instead of ``(1 + 2 ceil(r/b))^2``, and a group is a strip, not a 2-D square.
+
+    Slices are independent, so strips are as thin in z as ``MAX_GROUP_BYTES`` asks;
+    thinner ones are put back into the input's blocks at the end.
+    """
+    exact = K.exact_sums(bv.dtype, r)
+    cdt = "int64" if exact else "float64"
+    bx, by, bz = bv.block
+    row = max((bx + 2 * r) * by, (by + 2 * r) * bx) * 8 * 3 * 4  # bytes of a slice's strip with its sums
+    thin = (bx, by, max(1, min(bz, MAX_GROUP_BYTES // row)))
 
     def pass_x(a):
-        v = a.astype(np.float32).astype(np.int64 if integer else np.float64)
-        c = np.zeros(v.shape[:2] + (v.shape[2] + 1,), dtype=v.dtype)
-        out = []
-        for m in (v, v * v):
-            c[:, :, 1:] = m.cumsum(2)
-            w = c.shape[2] - 1 - 2 * r
-            out.append(c[:, :, 2 * r + 1:2 * r + 1 + w] - c[:, :, 0:w])
-        centre = v[:, :, r:r + out[0].shape[2]]
-        return np.stack([centre, out[0], out[1]], axis=-1)
-
-    sums = map_blocks(bv, pass_x, (r, 0, 0), extension, cdt, zero_preserving=True, out_channels=3)
+        v = a.astype(np.float32).astype(np.int64 if exact else np.float64)
+        with np.errstate(invalid="ignore", over="ignore"):
+            s, q = (K.window_sums(m, 2 * r + 1, 2) for m in (v, v * v))
+        return np.stack([v[:, :, r:r + s.shape[2]], s, q], axis=-1)
+
+    sums = map_blocks(bv, pass_x, (r, 0, 0), extension, cdt, zero_preserving=True, out_channels=3, target_block=thin)
     out_dtype = bv.dtype
 
     def pass_y(a):
-        c = np.zeros((a.shape[0], a.shape[1] + 1) + a.shape[2:], dtype=a.dtype)
-        c[:, 1:] = a.cumsum(1)
         h = a.shape[1] - 2 * r
-        win = c[:, 2 * r + 1:2 * r + 1 + h] - c[:, 0:h]
+        with np.errstate(invalid="ignore", over="ignore"):
+            win = K.window_sums(a[..., 1:], 2 * r + 1, 1).astype(np.float64)
         v = a[:, r:r + h, :, 0].astype(np.float64)
-        res = K.cllcn_from_sums(v, win[..., 1].astype(np.float64), win[..., 2].astype(np.float64), r, k, limit,
-                                gamma, center, stretch, keep_min_max, min_intensity, max_intensity)
+        res = K.cllcn_from_sums(v, win[..., 0], win[..., 1], r, k, limit, gamma, center, stretch, keep_min_max,
+                                min_intensity, max_intensity)
         stored = res.astype(np.float32).astype(np.float64)
         return K.to_dtype(K.clamp(stored, min_intensity, max_intensity), out_dtype)
 
     zp = keep_min_max and min_intensity == 0.0 and center and stretch and gamma != 1
-    return map_blocks(sums, pass_y, (0, r, 0), extension, out_dtype, zero_preserving=zp)
+    out = map_blocks(sums, pass_y, (0, r, 0), extension, out_dtype, zero_preserving=zp)
+    return out if thin == tuple(bv.block) else retile(out, bv.block)
 
 
 # ------------------------------------------------------------------ F1-F5 in block form
@@ -636,24 +689,19 @@ def clahe(bv: BlockVolume, r: int, bins: int = 256, slope: float = 3.0, lo: floa
         return (int(r0["gx"]), int(r0["gy"]), int(r0["gz"]), ox, oy, oz, sx, sy, sz, encode(res, out_dtype))
 
     df = grouped_rows(rows, ["gx", "gy", "gz"], blend, BLOCK_SCHEMA, BLOCK_COLUMNS)
-    return BlockVolume(df, VolumeMeta(bv.dims, out_dtype), bv.block)
+    return BlockVolume(df, VolumeMeta(bv.dims, out_dtype, rank=bv.meta.rank), bv.block)
 
 
 # ------------------------------------------------------------------ H7 in block form
 
-def _bbox(ti, nd, ox, oy, oz, sx, sy, sz, F_=None):
-    """Source bounding box (lo, hi per source axis, x first) of a target block, with one
-    sample of slack on each side; works on Columns (F_ = pyspark functions) or numbers."""
-    import math as _m
-    fl = F_.floor if F_ is not None else _m.floor
-    mn = F_.least if F_ is not None else min
-    mxf = F_.greatest if F_ is not None else max
+def _bbox(ti, nd, ox, oy, oz, sx, sy, sz):
+    """Source bounding box (lo, hi per source axis, x first) of a target block, with one sample of slack on each side."""
     xs, ys, zs = (ox, ox + sx - 1), (oy, oy + sy - 1), (oz, oz + sz - 1)
     out = []
     for r in range(3):
         if r < nd:
             ps = [ti[r][0] * x + ti[r][1] * y + ti[r][2] * z + ti[r][3] for x in xs for y in ys for z in zs]
-            out.append((fl(mn(*ps)) - 1, fl(mxf(*ps)) + 2))
+            out.append((math.floor(min(ps)) - 1, math.floor(max(ps)) + 2))
         else:
             out.append((oz, oz + sz - 1))
     return out
@@ -793,4 +841,4 @@ def map_pointwise(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], out_d
                 pays.append(encode(K.to_dtype(np.asarray(fn(a)), out_dtype), out_dtype))
             yield pdf.assign(payload=pays)
 
-    return BlockVolume(df.mapInPandas(run, BLOCK_SCHEMA), VolumeMeta(bv.dims, out_dtype), bv.block)
+    return BlockVolume(df.mapInPandas(run, BLOCK_SCHEMA), VolumeMeta(bv.dims, out_dtype, rank=bv.meta.rank), bv.block)

@@ -16,16 +16,19 @@ from ..volume import AXES, Volume, dtype_of
 
 def compare_volumes(a: Volume, b: Volume) -> DataFrame:
     """Counts of voxels only in a, only in b, in both, differing, and the max |a-b|."""
-    l = a.df.select(*AXES, F.col("v").cast("double").alias("va"))
-    r = b.df.select(*AXES, F.col("v").cast("double").alias("vb"))
+    l = a.df.select(*AXES, F.col("v").alias("va"))
+    r = b.df.select(*AXES, F.col("v").alias("vb"))
     j = l.join(r, list(AXES), "full_outer")
-    va, vb = F.coalesce("va", F.lit(0.0)), F.coalesce("vb", F.lit(0.0))
-    diff = F.abs(va - vb)
+    # compared in the native types (their common type); only the size of a difference is a double
+    va, vb = (F.coalesce(c, F.lit(0).cast(j.schema[c].dataType)) for c in ("va", "vb"))
+    differs = ~va.eqNullSafe(vb)
+    size = F.abs(F.try_subtract(va, vb).cast("double"))
+    diff = F.when(differs, F.coalesce(size, F.abs(va.cast("double") - vb.cast("double")))).otherwise(F.lit(0.0))
     return j.agg(
-        F.sum(F.when(F.col("vb").isNull(), 1).otherwise(0)).cast("bigint").alias("only_a"),
-        F.sum(F.when(F.col("va").isNull(), 1).otherwise(0)).cast("bigint").alias("only_b"),
-        F.sum(F.when(F.col("va").isNotNull() & F.col("vb").isNotNull(), 1).otherwise(0)).cast("bigint").alias("both"),
-        F.sum(F.when(diff != 0, 1).otherwise(0)).cast("bigint").alias("n_diff"),
+        F.count_if(F.col("vb").isNull()).cast("bigint").alias("only_a"),
+        F.count_if(F.col("va").isNull()).cast("bigint").alias("only_b"),
+        F.count_if(F.col("va").isNotNull() & F.col("vb").isNotNull()).cast("bigint").alias("both"),
+        F.count_if(differs).cast("bigint").alias("n_diff"),
         F.coalesce(F.max(diff), F.lit(0.0)).alias("max_abs_diff"))
 
 
@@ -48,13 +51,17 @@ def compare_blocks(a, b) -> DataFrame:
                 sy = row.sy if not pd.isna(row.sy) else row.sy_b
                 sz = row.sz if not pd.isna(row.sz) else row.sz_b
                 n = int(sx) * int(sy) * int(sz)
-                va = np.frombuffer(row.pa, dtype=da).astype(np.float64) if row.pa is not None else np.zeros(n)
-                vb = np.frombuffer(row.pb, dtype=db).astype(np.float64) if row.pb is not None else np.zeros(n)
-                d = np.abs(va - vb)
-                nd.append(int((d != 0).sum()))
-                mx.append(float(d.max()) if n else 0.0)
+                va = np.frombuffer(row.pa, dtype=da) if row.pa is not None else np.zeros(n, da)
+                vb = np.frombuffer(row.pb, dtype=db) if row.pb is not None else np.zeros(n, db)
+                same = (va == vb) | ((va != va) & (vb != vb))  # in the native types; NaN equals NaN
+                x, y = va[~same], vb[~same]
+                size = np.abs(x.astype(np.float64) - y.astype(np.float64))
+                if x.dtype.kind == y.dtype.kind == "i":  # large integers differ by less than a double shows
+                    size = np.maximum(size, 1.0)
+                nd.append(len(x))
+                mx.append(float(size.max()) if len(size) else 0.0)
             yield pd.DataFrame({"nd": nd, "mx": mx})
 
     per = j.mapInPandas(diff, "nd bigint, mx double")
-    return per.agg(F.count(F.lit(1)).alias("n_blocks"), F.sum("nd").alias("n_diff_voxels"),
-                   F.max("mx").alias("max_abs_diff"))
+    return per.agg(F.count(F.lit(1)).alias("n_blocks"), F.coalesce(F.sum("nd"), F.lit(0)).alias("n_diff_voxels"),
+                   F.coalesce(F.max("mx"), F.lit(0.0)).alias("max_abs_diff"))

@@ -96,13 +96,8 @@ def separable(vol: Volume, halves: dict[str, list], extension: str = "zero", den
 
 
 def _extend_cols(vol: Volume, d: int, pad: int, mode: str, names: list[str]) -> DataFrame:
-    from .coords import axis_map
-    a = AXES[d]
-    n, m0 = vol.dims[d], vol.meta.min[d]
-    amap = axis_map(vol.df.sparkSession, n, -pad, n - 1 + pad, mode)
-    df = vol.df
-    return (df.join(amap, (df[a] - F.lit(int(m0))) == amap["m"])
-            .select(*[(F.col("i") + F.lit(int(m0))).alias(x) if x == a else F.col(x) for x in AXES], *names))
+    from .coords import extend_axis
+    return extend_axis(vol.df.select(*AXES, *names), AXES[d], vol.dims[d], pad, vol.meta.min[d], mode)
 
 
 def gauss(vol: Volume, sigma, extension: str = "zero", out_dtype: str | None = None, dense: bool = False) -> Volume:

@@ -1,9 +1,8 @@
 """Coordinate views (C*): crop, translate, slices, extension, copy.
 
 All are projections, filters or equi-joins on coordinates; Catalyst pushes
-crops into the scan.  Extension maps are per-axis tables whose size is bounded
-by the axis length (known from metadata), so they are broadcast behind an
-explicit size check.
+crops into the scan.  An extension explodes, per axis, the padded positions
+that read a voxel: a closed form of its coordinate, without a join.
 """
 
 from __future__ import annotations
@@ -14,14 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..volume import AXES, Volume, VolumeMeta, idiv
 
-# Broadcast an axis table only below this many rows; above it Spark shuffles.
-MAX_BROADCAST_AXIS_ROWS = 4_000_000
-
-
-def _axes_args(lo, hi):
-    return list(zip(AXES, lo, hi))
-
-
 # --------------------------------------------------------------------- C1-C6
 
 def crop(vol: Volume, lo, size) -> Volume:
@@ -102,69 +93,53 @@ def mirror_index(i: Column, n: int, mode: str) -> Column:
     raise ValueError(f"unknown mirror mode {mode!r}")
 
 
-def axis_map(spark: SparkSession, n: int, lo: int, hi: int, mode: str) -> DataFrame:
-    """Rows ``(i, m)`` for ``i`` in ``[lo, hi]``: padded index -> source index."""
-    i = F.col("id")
-    df = spark.range(lo, hi + 1).select(i.alias("i"), mirror_index(i, n, mode).cast("bigint").alias("m"))
-    if hi - lo + 1 <= MAX_BROADCAST_AXIS_ROWS:
-        df = F.broadcast(df)
-    return df
+def mirrored_positions(m: Column, n: int, lo: int, hi: int, mode: str) -> Column:
+    """All ``i`` in ``[lo, hi]`` with ``mirror_index(i, n, mode) == m``, as an array.
+
+    They are ``m`` and its reflection (``-m`` or ``-m-1``) plus multiples of the period.
+    """
+    if n == 1:
+        return F.sequence(F.lit(lo).cast("bigint"), F.lit(hi).cast("bigint"))
+    if mode not in ("mirror_single", "mirror_double"):
+        raise ValueError(f"unknown mirror mode {mode!r}")
+    p, other = (2 * n - 2, -m) if mode == "mirror_single" else (2 * n, -m - 1)
+
+    def steps(c: Column) -> Column:
+        start = c + F.ceil((F.lit(lo) - c) / p) * p
+        return F.when(start <= hi, F.sequence(start, F.greatest(start, F.lit(hi)), F.lit(p).cast("bigint"))) \
+            .otherwise(F.array().cast("array<bigint>"))
+    return F.array_union(steps(m.cast("bigint")), steps(other.cast("bigint")))
+
+
+def extend_axis(df: DataFrame, axis: str, n: int, pad: int, m0: int, mode: str) -> DataFrame:
+    """Rows re-read at every padded position of one axis (at most ``1 + ceil(pad/n)`` times each)."""
+    at = mirrored_positions(F.col(axis) - F.lit(int(m0)), n, -pad, n - 1 + pad, mode)
+    cols = [c for c in df.columns if c != axis]
+    return df.select(F.explode(at).alias("_i"), *cols).select(
+        *[(F.col("_i") + F.lit(int(m0))).alias(axis) if c == axis else F.col(c) for c in df.columns])
 
 
 def extend(vol: Volume, pad, mode: str = "zero") -> Volume:
     """Materialise the volume on its interval grown by ``pad`` per axis.
 
-    ``zero`` adds no rows (absent reads as 0).  Mirror modes join each axis
-    with its index map; a voxel near a border is emitted once per padded
-    position that reads it (at most ``1 + ceil(pad/n)`` times per axis).
+    ``zero`` adds no rows (absent reads as 0); mirror modes explode each axis in turn.
     """
-    if mode == "zero":
-        return Volume(vol.df, VolumeMeta(tuple(d + 2 * int(p) for d, p in zip(vol.dims, pad)), vol.dtype,
-                                         tuple(m - int(p) for m, p in zip(vol.meta.min, pad))))
-    spark = vol.df.sparkSession
+    meta = VolumeMeta(tuple(d + 2 * int(p) for d, p in zip(vol.dims, pad)), vol.dtype,
+                      tuple(m - int(p) for m, p in zip(vol.meta.min, pad)))
     df = vol.df
-    for a, n, p, m0 in zip(AXES, vol.dims, pad, vol.meta.min):
-        p = int(p)
-        if p == 0:
-            continue
-        amap = axis_map(spark, n, -p, n - 1 + p, mode)
-        df = (df.join(amap, (df[a] - F.lit(int(m0))) == amap["m"])
-              .select(*[(F.col("i") + F.lit(int(m0))).alias(x) if x == a else F.col(x) for x in AXES], "v"))
-    return Volume(df, VolumeMeta(tuple(d + 2 * int(p) for d, p in zip(vol.dims, pad)), vol.dtype,
-                                 tuple(m - int(p) for m, p in zip(vol.meta.min, pad))))
-
-
-def extended_value(vol: Volume, coords: DataFrame, mode: str, value: str = "v") -> DataFrame:
-    """Value of the extended volume at arbitrary coordinates ``coords(x,y,z,...)``.
-
-    Each coordinate is mapped into the volume (mirror) or flagged outside
-    (zero); then one equi-join on the mapped coordinates.
-    """
-    mapped = coords
-    inside = F.lit(True)
-    for a, n, m0 in zip(AXES, vol.dims, vol.meta.min):
-        rel = F.col(a) - F.lit(int(m0))
-        if mode == "zero":
-            inside = inside & rel.between(0, n - 1)
-            mapped = mapped.withColumn(f"_{a}", F.col(a))
-        else:
-            mapped = mapped.withColumn(f"_{a}", mirror_index(rel, n, mode) + F.lit(int(m0)))
-    if mode == "zero":
-        mapped = mapped.withColumn("_inside", inside)
-    src = vol.df.select(*[F.col(a).alias(f"_{a}") for a in AXES], F.col("v").alias(value))
-    out = mapped.join(src, [f"_{a}" for a in AXES], "left")
-    val = F.coalesce(F.col(value), F.lit(0).cast(src.schema[value].dataType))
-    if mode == "zero":
-        val = F.when(F.col("_inside"), val).otherwise(F.lit(0).cast(src.schema[value].dataType))
-    keep = [c for c in coords.columns if c != value]
-    return out.select(*keep, val.alias(value))
+    if mode != "zero":
+        for a, n, p, m0 in zip(AXES, vol.dims, pad, vol.meta.min):
+            if int(p):
+                df = extend_axis(df, a, n, int(p), m0, mode)
+    return Volume(df, meta)
 
 
 def densify(vol: Volume) -> Volume:
     """Fill absent voxels inside ``dims`` with 0 (needed before row-shaped windows).
 
     The coordinate grid comes from ``spark.range`` (one row per voxel, split
-    into many partitions), then one left equi-join on coordinates.
+    into many partitions), then one left equi-join on coordinates.  A voxel
+    outside ``dims`` is an error, not a row that disappears.
     """
     spark = vol.df.sparkSession
     nx, ny, nz = vol.dims
@@ -174,7 +149,14 @@ def densify(vol: Volume) -> Volume:
     grid = spark.range(0, n).select(
         (ids % nx + mx).alias("x"), (idiv(ids, nx) % ny + my).alias("y"), (idiv(ids, nx * ny) + mz).alias("z"))
     vt = vol.df.schema["v"].dataType
-    df = grid.join(vol.df, list(AXES), "left").select(*AXES, F.coalesce("v", F.lit(0).cast(vt)).alias("v"))
+    inside = F.lit(True)
+    for a, m0, n in zip(AXES, vol.meta.min, vol.dims):
+        inside = inside & F.col(a).between(int(m0), int(m0) + int(n) - 1)
+    where = F.concat_ws(",", *AXES)
+    outside = F.raise_error(F.concat(F.lit("voxel outside the volume's dims: "), where)).cast("boolean")
+    # a filter above the join's input: it sees every row, also those the join would drop
+    src = vol.df.where(F.when(F.coalesce(inside, F.lit(False)), F.lit(True)).otherwise(outside))
+    df = grid.join(src, list(AXES), "left").select(*AXES, F.coalesce("v", F.lit(0).cast(vt)).alias("v"))
     return Volume(df, replace(vol.meta, dense=True))
 
 

@@ -35,20 +35,39 @@ def clamp(a: np.ndarray, lo: float, hi: float) -> np.ndarray:
 
 # ------------------------------------------------------------------ G (CLLCN)
 
-def box_sums(a: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
+def exact_sums(dtype: str, r: int) -> bool:
+    """Whether window sums and sums of squares of ``dtype`` fit an int64: decided by the type, never by the samples."""
+    t = dtype_of(dtype)
+    # samples pass through float32 first, which holds integers up to 2^24 exactly
+    return t.integer and max(-t.lo, t.hi) <= 2 ** 24 and (2 * r + 1) ** 2 * max(-t.lo, t.hi) ** 2 < 2 ** 63
+
+
+def window_sums(a: np.ndarray, k: int, axis: int) -> np.ndarray:
+    """Sums of every ``k`` neighbours along an axis.
+
+    Each window is the tail of one run of ``k`` samples plus the head of the
+    next, so a sum holds samples of its window only: a huge or NaN sample does
+    not reach the windows beside it, and there is nothing to cancel.
+    """
+    a = np.moveaxis(a, axis, -1)
+    n = a.shape[-1] - k + 1
+    pad = np.zeros(a.shape[:-1] + (-a.shape[-1] % k + k,), a.dtype)
+    runs = np.concatenate([a, pad], -1).reshape(a.shape[:-1] + (-1, k))
+    head = runs.cumsum(-1).reshape(a.shape[:-1] + (-1,))
+    tail = runs[..., ::-1].cumsum(-1)[..., ::-1].reshape(a.shape[:-1] + (-1,))
+    i = np.arange(n)
+    # a window that starts a run is that run; otherwise a tail and a head
+    out = np.where(i % k == 0, tail[..., :n], tail[..., :n] + head[..., k - 1:k - 1 + n])
+    return np.moveaxis(out, -1, axis)
+
+
+def box_sums(a: np.ndarray, r: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Window sums of a and a^2 over (2r+1)^2 for the centre of a 2-D padded
-    slice (``a.shape = (h + 2r, w + 2r)``); integer input is summed exactly."""
-    exact = np.all(np.equal(np.mod(a, 1), 0)) and np.abs(a).max(initial=0) < 2 ** 31
-    work = a.astype(np.int64) if exact else a.astype(np.float64)
-    out = []
-    for m in (work, work * work):
-        c = np.zeros((m.shape[0] + 1, m.shape[1] + 1), dtype=m.dtype)
-        c[1:, 1:] = m.cumsum(0).cumsum(1)
-        k = 2 * r + 1
-        h, w = m.shape[0] - 2 * r, m.shape[1] - 2 * r
-        s = c[k:k + h, k:k + w] - c[0:h, k:k + w] - c[k:k + h, 0:w] + c[0:h, 0:w]
-        out.append(s.astype(np.float64))
-    return out[0], out[1]
+    slice (``a.shape = (h + 2r, w + 2r)``); in int64 if ``exact`` (see ``exact_sums``), else in float64."""
+    k = 2 * r + 1
+    work = a.astype(np.int64 if exact else np.float64)
+    with np.errstate(invalid="ignore", over="ignore"):
+        return tuple(window_sums(window_sums(m, k, 1), k, 0).astype(np.float64) for m in (work, work * work))
 
 
 def soft_limit(x: np.ndarray, limit: float, gamma: float) -> np.ndarray:
@@ -60,10 +79,10 @@ def soft_limit(x: np.ndarray, limit: float, gamma: float) -> np.ndarray:
 
 def cllcn_slice(fp: np.ndarray, r: int, k: float = 3.0, limit: float = 10.0, gamma: float = 0.5,
                 center: bool = True, stretch: bool = True, keep_min_max: bool = True,
-                fp_min: float = 0.0, fp_max: float = 65535.0) -> np.ndarray:
+                fp_min: float = 0.0, fp_max: float = 65535.0, exact: bool = False) -> np.ndarray:
     """G8 on one float32 slice padded by r on both axes; returns the centre (float64,
     before the float store).  Statistics come from the unmodified slice (P5)."""
-    S, Q = box_sums(fp, r)
+    S, Q = box_sums(fp, r, exact)
     v = fp[r:fp.shape[0] - r, r:fp.shape[1] - r].astype(np.float64)
     return cllcn_from_sums(v, S, Q, r, k, limit, gamma, center, stretch, keep_min_max, fp_min, fp_max)
 
@@ -131,10 +150,3 @@ def gauss_block(a: np.ndarray, halves: list) -> np.ndarray:
             continue
         out = convolve_axis(out, half, 2 - d)
     return out
-
-
-# ------------------------------------------------------------------ A12
-
-def nonzero_any(payloads, dtype: str) -> np.ndarray:
-    dt = np.dtype(dtype_of(dtype).numpy)
-    return np.array([np.frombuffer(p, dtype=dt).any() for p in payloads], dtype=bool)

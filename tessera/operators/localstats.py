@@ -11,8 +11,9 @@ The slice operator pads axes 0 and 1 by the radius with the extension before
 taking statistics, so every kept voxel sees a full window: the count is the
 constant ``(2rx+1)(2ry+1)``, extension samples included.
 
-The block form of the same statistics (numpy integral images inside a halo
-plan) is in :mod:`tessera.operators.kernels` / :mod:`tessera.operators.blocks`.
+A window partition is a whole axis line, so this form is for small volumes and
+for checking; the block form (:mod:`tessera.operators.blocks`, halo plan with
+bounded groups) is the one to run at scale.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.pointwise import clamp, ieee_div, soft_limit_constants, to_type
 from ..volume import Volume, VolumeMeta
 from .coords import ensure_dense, extend
+from .kernels import exact_sums
 
 
 def _axis_window_sum(df: DataFrame, cols: list[str], axis: str, others: list[str], r: int,
@@ -34,6 +36,10 @@ def _axis_window_sum(df: DataFrame, cols: list[str], axis: str, others: list[str
     w_order = Window.partitionBy(*others).orderBy(axis)
     w_cum = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_all = Window.partitionBy(*others)
+    if any(df.schema[c].dataType.typeName() == "double" for c in cols):
+        # doubles: frames over the window's own rows, so that no other sample can reach a sum
+        frame = w_order.rowsBetween(-r, r)
+        return df.select("*", *[F.sum(c).over(frame).alias(f"{c}_w") for c in cols])
     for c in cols:
         df = df.withColumn(f"_p_{c}", F.sum(c).over(w_cum))
     sel = []
@@ -46,17 +52,19 @@ def _axis_window_sum(df: DataFrame, cols: list[str], axis: str, others: list[str
     return df.select(*keep, *sel)
 
 
-def box_sums(vol: Volume, rx: int, ry: int, extension: str = "zero") -> DataFrame:
-    """Per voxel: ``S`` = window sum of v, ``Q`` = window sum of v^2 (exact for integers).
+def box_sums(vol: Volume, rx: int, ry: int, extension: str = "zero", as_float: bool = False) -> DataFrame:
+    """Per voxel: ``S`` = window sum of v, ``Q`` = window sum of v^2 (exact for small integer types).
+
+    ``as_float``: samples go through float32 first, as the slice operator does.
 
     Output columns ``x, y, z, v, S, Q`` for every voxel of the input's interval
     (a sparse input is densified first).
     """
     vol = ensure_dense(vol)  # prefix differences need every row along the axis
-    integer = vol.df.schema["v"].dataType.typeName() in ("long", "integer", "short", "byte")
-    vt = "bigint" if integer else "double"
+    vt = "bigint" if exact_sums(vol.dtype, max(rx, ry)) else "double"
     src = vol if extension == "zero" else extend(vol, (rx, ry, 0), extension)
-    df = src.df.select("x", "y", "z", F.col("v").cast(vt).alias("a"), (F.col("v").cast(vt) * F.col("v").cast(vt)).alias("b"))
+    v = (F.col("v").cast("float") if as_float else F.col("v")).cast(vt)
+    df = src.df.select("x", "y", "z", v.alias("a"), (v * v).alias("b"))
     df = _axis_window_sum(df, ["a", "b"], "x", ["z", "y"], rx)
     (x0, y0, _), (x1, y1, _) = vol.meta.min, vol.meta.max
     if extension != "zero":
@@ -187,7 +195,7 @@ def cllcn(vol: Volume, r: int, k: float = 3.0, limit: float = 10.0, gamma: float
     """
     out_dtype = out_dtype or vol.dtype
     mean, _, std = _stats(r, r)
-    staged = box_sums(vol, r, r, extension).select("x", "y", "z", "v", mean.alias("_mean"), std.alias("_std"))
+    staged = box_sums(vol, r, r, extension, as_float=True).select("x", "y", "z", "v", mean.alias("_mean"), std.alias("_std"))
     need_s, f = cllcn_expr(k, limit, gamma, center, stretch, keep_min_max, min_intensity, max_intensity)
     if need_s:
         staged = staged.withColumn("_s", s_expr(k, limit, gamma, min_intensity, max_intensity))

@@ -4,7 +4,8 @@ Operands align on equal coordinates: one equi-join on ``(x, y, z)``.  Absent
 voxels are 0, so add/sub/max need every voxel of either side (full outer
 join); mul keeps the inner join; div densifies first (0/0 is NaN).  Both sides
 are hash-partitioned on the coordinates; for equally blocked block-form
-volumes the join key is the grid position instead (see ``blocks``).
+volumes the join key is the grid position instead (see ``blockops``).
+E1-E3 give A's voxel type; an integer result outside its range saturates.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.pointwise import ieee_div
-from ..volume import AXES, Volume, VolumeMeta
+from ..functions.pointwise import ieee_div, to_type
+from ..volume import AXES, Volume, VolumeMeta, dtype_of
 from .coords import crop, densify
 
 
@@ -30,26 +31,41 @@ def _inner(a: Volume, b: Volume) -> DataFrame:
     return l.join(r, list(AXES), "inner")
 
 
+def _saturated(op: str, va, vb, a: Volume, b: Volume):
+    """E1-E3 in A's voxel type: integers saturate at its ends (P2), floats are rounded to it."""
+    t = dtype_of(a.dtype)
+    if not t.integer:
+        x, y = va.cast("double"), vb.cast("double")
+        return {"add": x + y, "subtract": x - y, "multiply": x * y}[op].cast(t.spark)
+    x, y = (c.cast("bigint") if dtype_of(v.dtype).integer else to_type(c, "int64") for c, v in ((va, a), (vb, b)))
+    exact = {"add": F.try_add, "subtract": F.try_subtract, "multiply": F.try_multiply}[op](x, y)
+    down = {"add": x < 0, "subtract": x < 0, "multiply": (x < 0) != (y < 0)}[op]  # the side an overflow is on
+    full = F.coalesce(exact, F.when(down, F.lit(-2 ** 63)).otherwise(F.lit(2 ** 63 - 1)))
+    if a.dtype == "int64":
+        return full
+    return F.greatest(F.lit(int(t.lo)), F.least(F.lit(int(t.hi)), full)).cast(t.spark)
+
+
 def _zero(c: str, df: DataFrame):
     return F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType))
 
 
 def add(a: Volume, b: Volume) -> Volume:
-    """A + B; result type is A's."""
+    """A + B in A's type."""
     df = _full(a, b)
-    return Volume(df.select(*AXES, (_zero("va", df) + _zero("vb", df)).cast(a.df.schema["v"].dataType).alias("v")), a.meta)
+    return Volume(df.select(*AXES, _saturated("add", _zero("va", df), _zero("vb", df), a, b).alias("v")), a.meta)
 
 
 def sub(a: Volume, b: Volume) -> Volume:
     """A - B."""
     df = _full(a, b)
-    return Volume(df.select(*AXES, (_zero("va", df) - _zero("vb", df)).cast(a.df.schema["v"].dataType).alias("v")), a.meta)
+    return Volume(df.select(*AXES, _saturated("subtract", _zero("va", df), _zero("vb", df), a, b).alias("v")), a.meta)
 
 
 def mul(a: Volume, b: Volume) -> Volume:
     """A * B (absent on either side gives 0, so inner)."""
     df = _inner(a, b)
-    return Volume(df.select(*AXES, (F.col("va") * F.col("vb")).cast(a.df.schema["v"].dataType).alias("v")), a.meta)
+    return Volume(df.select(*AXES, _saturated("multiply", F.col("va"), F.col("vb"), a, b).alias("v")), a.meta)
 
 
 def div(a: Volume, b: Volume) -> Volume:

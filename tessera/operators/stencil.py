@@ -131,6 +131,17 @@ def tubeness_2d_expr(h00: Column, h01: Column, h11: Column) -> Column:
             .otherwise(F.lit(0.0)))
 
 
+def tubeness_2d_values(h00, h01, h11):
+    """``tubeness_2d_expr`` on arrays."""
+    import numpy as np
+    m = (h00 + h11) / 2.0
+    dd = np.sqrt(((h00 - h11) / 2.0) * ((h00 - h11) / 2.0) + h01 * h01)
+    la, lb = m - dd, m + dd
+    l1 = np.where(np.abs(la) > np.abs(lb), la, lb)
+    l0 = np.where(np.abs(la) > np.abs(lb), lb, la)
+    return np.where(l1 < 0, -l1 - np.abs(l0), np.where(l1 > 0, -(l1 - np.abs(l0)), 0.0))
+
+
 def tubeness_values(ev):
     """F7 rule on eigenvalues ``ev`` (rows x n), numpy; sorted by |l| ascending inside."""
     import numpy as np

@@ -52,11 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only a local test session without it gets a fresh scratch folder.
+    is.  Only a local session without it gets a fresh scratch folder; on any
+    other master a missing setting is an error, since executors do not share
+    a machine's temporary folder.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -76,6 +80,8 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     The chunked-array source reads and writes plain paths, so on a cluster the
     checkpoint folder must be a shared mount for jobs that go through it.
     """
+    import atexit
+    import shutil
     import uuid
     base = ensure_checkpoint_dir(spark)
     if base.startswith("file:"):
@@ -86,6 +92,7 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
                          "read and written with plain paths, so point it at a shared mount")
     d = os.path.join(base, "tessera-" + name, uuid.uuid4().hex)
     os.makedirs(d, exist_ok=True)
+    atexit.register(shutil.rmtree, d, ignore_errors=True)  # scratch of this driver process only
     return d
 
 

@@ -12,13 +12,20 @@ from the dataset's metadata file, following the public format descriptions:
   ``/``); full-size chunks in C order.
 
 Codecs: raw, gzip and zlib (stdlib); anything else raises a clear error.
-A missing chunk is all zero and produces no row.  Partitions are ranges of
+A missing chunk is all zero and produces no row; with a Zarr ``fill_value``
+other than 0 it produces a filled block.  Zarr filters and datasets of
+more than three axes are refused.  Partitions are ranges of
 grid ids sized to ``partition_bytes``; ``gx``/``gy``/``gz`` filters are
 pushed into the scan (set ``spark.sql.python.filterPushdown.enabled``).
 
-Writes go chunk by chunk from the executors; each chunk is written to a
-temporary name and renamed, so a retried task rewrites the same chunk
-(idempotent).  ``skip_empty`` leaves all-zero chunks unwritten (A10).
+``save_blocks`` writes a dataset chunk by chunk into a staging folder beside
+it, metadata included; the commit replaces the old dataset by it, an abort
+removes it.  So a rewrite leaves no stale chunk and a failed job no half
+dataset.  A retried task rewrites the same chunks.  ``skip_empty`` leaves
+all-zero chunks unwritten (A10).
+
+Roots are plain paths or URIs that ``pyarrow.fs`` opens (``file:``, ``s3:``,
+``gs:``, ``hdfs:``), on the driver and on the executors.
 """
 
 from __future__ import annotations
@@ -27,11 +34,13 @@ import gzip
 import json
 import math
 import os
+import re
 import struct
 import uuid
 import zlib
 
 import numpy as np
+from pyarrow import fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualTo, GreaterThan,
                                     GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual,
@@ -47,34 +56,87 @@ N5_TYPES = {"uint8": "uint8", "uint16": "uint16", "int32": "int32", "int64": "in
             "float32": "float32", "float64": "float64"}
 
 
+# ------------------------------------------------------------------ storage
+
+class Store:
+    """Files under a root, by relative path."""
+
+    def __init__(self, root: str):
+        if "://" in root or root.startswith("file:"):
+            self.fs, self.base = pafs.FileSystem.from_uri(root)
+        else:
+            self.fs, self.base = pafs.LocalFileSystem(), os.path.abspath(root)
+
+    def at(self, *parts: str) -> str:
+        return "/".join([self.base.rstrip("/"), *[p.strip("/") for p in parts if p.strip("/")]])
+
+    def read(self, path: str) -> bytes | None:
+        """The file's bytes, or None if there is no such file."""
+        if self.fs.get_file_info(path).type != pafs.FileType.File:
+            return None
+        with self.fs.open_input_stream(path) as f:
+            return f.read()
+
+    def write(self, path: str, data: bytes) -> None:
+        self.fs.create_dir(os.path.dirname(path), recursive=True)
+        with self.fs.open_output_stream(path) as f:
+            f.write(data)
+
+    def json(self, path: str) -> dict | None:
+        data = self.read(path)
+        return None if data is None else json.loads(data)
+
+    def children(self, path: str) -> list[str]:
+        return [os.path.basename(x.path) for x in self.fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))]
+
+    def move(self, src: str, dst: str) -> None:
+        """A file or folder; file by file where the store cannot move folders."""
+        try:
+            self.fs.move(src, dst)
+        except OSError:
+            for x in self.fs.get_file_info(pafs.FileSelector(src, recursive=True)):
+                if x.type == pafs.FileType.File:
+                    self.fs.move(x.path, dst + x.path[len(src):])
+
+    def remove(self, path: str) -> None:
+        kind = self.fs.get_file_info(path).type
+        if kind == pafs.FileType.Directory:
+            self.fs.delete_dir(path)
+        elif kind == pafs.FileType.File:
+            self.fs.delete_file(path)
+
+
 # ------------------------------------------------------------------ metadata
 
 def read_meta(root: str, dataset: str) -> dict:
-    """Layout-independent description: dims/block (x first), dtype, codec, layout, separator."""
-    d = os.path.join(root, dataset)
-    n5 = os.path.join(d, "attributes.json")
-    za = os.path.join(d, ".zarray")
-    if os.path.exists(za):
-        with open(za) as f:
-            z = json.load(f)
+    """Layout-independent description: dims/block (x first), dtype, codec, layout, separator, fill, attrs."""
+    st = Store(root)
+    z = st.json(st.at(dataset, ".zarray"))
+    if z is not None:
+        if z.get("filters"):
+            raise NotImplementedError(f"{dataset}: Zarr filters {z['filters']} are not supported")
         dt = np.dtype(z["dtype"])
         comp = z.get("compressor")
-        codec = "raw" if comp is None else comp.get("id")
-        return {"layout": "zarr", "dims": list(reversed(z["shape"])), "block": list(reversed(z["chunks"])),
-                "dtype": dt.name, "byteorder": "<" if dt.byteorder in "<|=" else ">", "codec": codec,
-                "sep": z.get("dimension_separator", "."), "order": z.get("order", "C")}
-    if os.path.exists(n5):
-        with open(n5) as f:
-            a = json.load(f)
+        out = {"layout": "zarr", "dims": list(reversed(z["shape"])), "block": list(reversed(z["chunks"])),
+               "dtype": dt.name, "byteorder": "<" if dt.byteorder in "<|=" else ">",
+               "codec": "raw" if comp is None else comp.get("id"), "sep": z.get("dimension_separator", "."),
+               "order": z.get("order", "C"), "fill": float(z["fill_value"]) if z.get("fill_value") is not None else 0.0,
+               "attrs": st.json(st.at(dataset, ".zattrs")) or {}}
+    else:
+        a = st.json(st.at(dataset, "attributes.json"))
+        if a is None:
+            raise FileNotFoundError(f"no attributes.json or .zarray under {st.at(dataset)}")
         if "dimensions" not in a:
-            raise ValueError(f"{d} is an N5 group, not a dataset")
+            raise ValueError(f"{st.at(dataset)} is an N5 group, not a dataset")
         comp = a.get("compression", {"type": "raw"})
         codec = comp.get("type", "raw")
         if codec == "gzip" and comp.get("useZlib"):
             codec = "zlib"
-        return {"layout": "n5", "dims": a["dimensions"], "block": a["blockSize"], "dtype": N5_TYPES[a["dataType"]],
-                "byteorder": ">", "codec": codec, "sep": "/", "attrs": a}
-    raise FileNotFoundError(f"no attributes.json or .zarray under {d}")
+        out = {"layout": "n5", "dims": a["dimensions"], "block": a["blockSize"], "dtype": N5_TYPES[a["dataType"]],
+               "byteorder": ">", "codec": codec, "sep": "/", "fill": 0.0, "attrs": a}
+    if len(out["dims"]) > 3:
+        raise ValueError(f"{dataset} has {len(out['dims'])} axes; up to three are supported")
+    return out
 
 
 def _pad3(v, fill):
@@ -84,39 +146,65 @@ def _pad3(v, fill):
 
 def write_meta(root: str, dataset: str, meta: VolumeMeta, block, layout: str = "n5", codec: str = "raw",
                sep: str = ".", attrs: dict | None = None) -> None:
-    """Create the dataset's metadata (driver side, before the chunk writes)."""
-    nd = meta.ndim
+    """The dataset's metadata, with the volume's own number of axes and the given attributes."""
+    nd = meta.stored_rank
     dims, blk = list(meta.dims)[:nd], list(block)[:nd]
-    d = os.path.join(root, dataset)
-    os.makedirs(d, exist_ok=True)
+    st = Store(root)
+
+    def put(path: str, content: dict) -> None:
+        st.write(path, json.dumps(content).encode())
     if layout == "n5":
-        rootattr = os.path.join(root, "attributes.json")
-        if not os.path.exists(rootattr):
-            with open(rootattr, "w") as f:
-                json.dump({"n5": "4.0.0"}, f)
+        if st.read(st.at("attributes.json")) is None:
+            put(st.at("attributes.json"), {"n5": "4.0.0"})
         comp = {"type": "raw"} if codec == "raw" else {"type": "gzip", "level": -1, "useZlib": codec == "zlib"}
         out = dict(attrs or {})
         out.update({"dimensions": dims, "blockSize": blk, "dataType": meta.dtype, "compression": comp})
-        with open(os.path.join(d, "attributes.json"), "w") as f:
-            json.dump(out, f)
+        put(st.at(dataset, "attributes.json"), out)
     elif layout == "zarr":
-        zg = os.path.join(root, ".zgroup")
-        if not os.path.exists(zg):
-            with open(zg, "w") as f:
-                json.dump({"zarr_format": 2}, f)
+        if st.read(st.at(".zgroup")) is None:
+            put(st.at(".zgroup"), {"zarr_format": 2})
         comp = None if codec == "raw" else {"id": codec, "level": 5} if codec in ("gzip", "zlib") else {"id": codec}
-        z = {"zarr_format": 2, "shape": list(reversed(dims)), "chunks": list(reversed(blk)),
-             "dtype": np.dtype(dtype_of(meta.dtype).numpy).str, "compressor": comp, "fill_value": 0,
-             "order": "C", "filters": None, "dimension_separator": sep}
-        with open(os.path.join(d, ".zarray"), "w") as f:
-            json.dump(z, f)
-        if attrs:
-            with open(os.path.join(d, ".zattrs"), "w") as f:
-                json.dump(attrs, f)
+        put(st.at(dataset, ".zarray"), {
+            "zarr_format": 2, "shape": list(reversed(dims)), "chunks": list(reversed(blk)),
+            "dtype": np.dtype(dtype_of(meta.dtype).numpy).str, "compressor": comp, "fill_value": 0,
+            "order": "C", "filters": None, "dimension_separator": sep})
+        own = {k: v for k, v in (attrs or {}).items() if k not in ("dimensions", "blockSize", "dataType", "compression")}
+        if own:
+            put(st.at(dataset, ".zattrs"), own)
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
 
+OWN_FILES = re.compile(r"attributes\.json|\.zarray|\.zattrs|\d+(\.\d+)*")
+
+
+def publish(root: str, stage: str, dataset: str) -> None:
+    """Replace the dataset by the staged one; other datasets below it stay."""
+    st = Store(root)
+    new, final, old = st.at(stage, dataset), st.at(dataset), st.at(stage + "-old")
+    there = st.children(final)
+    own = [n for n in there if OWN_FILES.fullmatch(n)]
+    if dataset.strip("/") and len(own) == len(there):
+        if there:
+            st.move(final, old)
+        else:
+            st.fs.create_dir(os.path.dirname(final), recursive=True)
+            st.remove(final)
+        st.move(new, final)
+    else:
+        st.fs.create_dir(old, recursive=True)
+        for n in own:
+            st.move(st.at(dataset, n), f"{old}/{n}")
+        for n in st.children(new):
+            st.move(f"{new}/{n}", st.at(dataset, n))
+    for n in ("attributes.json", ".zgroup"):  # of the root group
+        data = st.read(st.at(stage, n))
+        if data is not None and st.read(st.at(n)) is None:
+            st.write(st.at(n), data)
+    st.remove(old)
+    st.remove(st.at(stage))
+
+
 # ------------------------------------------------------------------ chunk codec
 
 def _decompress(data: bytes, codec: str) -> bytes:
@@ -139,13 +227,10 @@ def _compress(data: bytes, codec: str) -> bytes:
     raise NotImplementedError(f"chunk codec {codec!r} is not supported (raw, gzip, zlib are)")
 
 
-def chunk_path(root: str, dataset: str, m: dict, g) -> str:
+def chunk_key(m: dict, g) -> str:
     nd = len(m["dims"])
-    g = list(g)[:nd]
-    if m["layout"] == "n5":
-        return os.path.join(root, dataset, *[str(int(v)) for v in g])
-    key = m["sep"].join(str(int(v)) for v in reversed(g))
-    return os.path.join(root, dataset, *key.split("/"))
+    g = [str(int(v)) for v in list(g)[:nd]]
+    return "/".join(g) if m["layout"] == "n5" else m["sep"].join(reversed(g))
 
 
 def decode_chunk(raw: bytes, m: dict, size) -> np.ndarray:
@@ -216,15 +301,15 @@ class ChunkReader(DataSourceReader):
     def read(self, partition):
         vx, vy, vz = (self._axis_values(a) for a in range(3))
         dims, blk = _pad3(self.m["dims"], 1), _pad3(self.m["block"], 1)
+        st = Store(self.root)
         for i in range(partition.start, partition.end):
             g = (vx[i % len(vx)], vy[(i // len(vx)) % len(vy)], vz[i // (len(vx) * len(vy))])
-            path = chunk_path(self.root, self.dataset, self.m, g)
-            if not os.path.exists(path):
+            data = st.read(st.at(self.dataset, chunk_key(self.m, g)))
+            if data is None and not self.m["fill"]:
                 continue
             o = [g[d] * blk[d] for d in range(3)]
             s = [min(blk[d], dims[d] - o[d]) for d in range(3)]
-            with open(path, "rb") as f:
-                a = decode_chunk(f.read(), self.m, s)
+            a = np.full(s[::-1], self.m["fill"], self.m["dtype"]) if data is None else decode_chunk(data, self.m, s)
             yield (self.dataset, g[0], g[1], g[2], o[0], o[1], o[2], s[0], s[1], s[2],
                    np.ascontiguousarray(a).tobytes())
 
@@ -271,10 +356,12 @@ class ChunkWriter(DataSourceWriter):
     def __init__(self, options):
         self.root = options["path"]
         self.dataset = options["dataset"]
+        self.stage = options.get("stage", "")
         self.skip_empty = options.get("skip_empty", "true").lower() == "true"
 
     def write(self, rows):
-        m = read_meta(self.root, self.dataset)
+        m = read_meta("/".join(filter(None, [self.root.rstrip("/"), self.stage])), self.dataset)
+        st = Store(self.root)
         np_dt = np.dtype(dtype_of(m["dtype"]).numpy)
         written = skipped = 0
         for r in rows:
@@ -282,20 +369,21 @@ class ChunkWriter(DataSourceWriter):
             if self.skip_empty and not a.any():
                 skipped += 1
                 continue
-            path = chunk_path(self.root, self.dataset, m, (r["gx"], r["gy"], r["gz"]))
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            tmp = f"{path}.{uuid.uuid4().hex}.tmp"
-            with open(tmp, "wb") as f:
-                f.write(encode_chunk(a, m))
-            os.replace(tmp, path)
+            path = st.at(self.stage, self.dataset, chunk_key(m, (r["gx"], r["gy"], r["gz"])))
+            tmp = f"{path}.{uuid.uuid4().hex}.tmp"  # another attempt of this task may write the same chunk
+            st.write(tmp, encode_chunk(a, m))
+            st.fs.move(tmp, path)
             written += 1
         return _Done(written, skipped)
 
     def commit(self, messages):
-        pass
+        if self.stage:
+            publish(self.root, self.stage, self.dataset)
 
     def abort(self, messages):
-        pass
+        if self.stage:
+            st = Store(self.root)
+            st.remove(st.at(self.stage))
 
 
 class ChunkedArraySource(DataSource):
@@ -334,18 +422,22 @@ def open_blocks(spark: SparkSession, root: str, dataset: str):
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     df = (spark.read.format("ndblocks").option("path", root).option("dataset", dataset)
           .option("pushdown", pushdown).load().drop("dataset"))
-    return BlockVolume(df, VolumeMeta(dims, m["dtype"], attrs=m.get("attrs", {})), tuple(_pad3(m["block"], 1)))
+    meta = VolumeMeta(dims, m["dtype"], attrs=m["attrs"], rank=len(m["dims"]))
+    return BlockVolume(df, meta, tuple(_pad3(m["block"], 1)))
 
 
 def save_blocks(bv, root: str, dataset: str, layout: str = "n5", codec: str = "raw", sep: str = ".",
                 block=None, skip_empty: bool = True, attrs: dict | None = None) -> None:
-    """Write a BlockVolume as a dataset (re-blocked to ``block`` first if needed)."""
+    """Write a BlockVolume as a dataset (re-blocked to ``block`` first if needed), replacing an older one.
+
+    The dataset has the volume's ``stored_rank`` axes."""
     from ..operators.blocks import retile
     block = tuple(block or bv.block)
     if tuple(bv.block) != block:
         bv = retile(bv, block)
-    write_meta(root, dataset, bv.meta, block, layout, codec, sep, attrs)
+    stage = f".stage-{uuid.uuid4().hex}"
+    write_meta(f"{root.rstrip('/')}/{stage}", dataset, bv.meta, block, layout, codec, sep, attrs)
     register(bv.df.sparkSession)
     (bv.df.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload")
-     .write.format("ndblocks").mode("append").option("path", root).option("dataset", dataset)
+     .write.format("ndblocks").mode("append").option("path", root).option("dataset", dataset).option("stage", stage)
      .option("skip_empty", str(skip_empty).lower()).save())

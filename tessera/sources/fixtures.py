@@ -19,11 +19,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _DIMS: dict = {}
 
 
-def _cached(sf_dir: str, name: str, compute):
+def _cached(sf_dir: str, name: str, compute, *more):
     """Dimensions are metadata of a table file: computed once per (path, modification time)."""
     import os
     path = f"{sf_dir}/{name}.parquet"
-    key = (path, os.path.getmtime(path) if os.path.exists(path) else None, compute.__name__)
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else None, compute.__name__, *more)
     if key not in _DIMS:
         _DIMS[key] = compute()
     return _DIMS[key]
@@ -50,44 +50,47 @@ def embedding_u16(spark: SparkSession, sf_dir: str) -> Volume:
     return Volume(df, VolumeMeta(v1.dims, "uint16", dense=True))
 
 
-# Event types in alphabetic order give the z axis of V3.
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+def _max_dims(df: DataFrame, sf_dir: str, name: str, **cols) -> tuple:
+    """Largest value of each column expression (metadata of the table file)."""
+    def largest():
+        r = df.agg(*[F.max(c).alias(k) for k, c in cols.items()]).first()
+        return tuple(int(r[k]) if r[k] is not None else -1 for k in cols)
+    return _cached(sf_dir, name, largest, *cols)
 
 
 def event_counts(spark: SparkSession, sf_dir: str) -> Volume:
-    """V3: x = hour, y = day-1, z = event-type rank, v = count(*) — sparse."""
+    """V3: x = hour, y = day-1, z = rank of the event type in alphabetic order, v = count(*) — sparse.
+
+    Dims and the type list come from the table.
+    """
     ev = _read(spark, sf_dir, "events").select("ts", "event_type")
-    rank = F.array_position(F.array(*[F.lit(t) for t in EVENT_TYPES]), F.col("event_type")) - 1
-    df = (ev.select(F.hour("ts").cast("bigint").alias("x"),
-                    (F.dayofmonth("ts") - 1).cast("bigint").alias("y"),
-                    rank.cast("bigint").alias("z"))
+    hour, day = F.hour("ts").cast("bigint"), (F.dayofmonth("ts") - 1).cast("bigint")
+
+    def event_types():
+        return sorted(r["event_type"] for r in ev.select("event_type").distinct().collect())  # a row per type
+    types = _cached(sf_dir, "events", event_types)
+    nx, ny = _max_dims(ev, sf_dir, "events", hour=hour, day=day)
+    rank = F.array_position(F.array(*[F.lit(t) for t in types]), F.col("event_type")) - 1
+    df = (ev.select(hour.alias("x"), day.alias("y"), rank.cast("bigint").alias("z"))
           .groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("v")))
-    return Volume(df, VolumeMeta((24, 30, len(EVENT_TYPES)), "int64"))
+    return Volume(df, VolumeMeta((nx + 1, ny + 1, len(types)), "int64", rank=3))
 
 
-def _lineitem_dims(li: DataFrame, sf_dir: str) -> tuple[int, int, int]:
-    def lineitem_dims():
-        r = li.agg(F.max("l_suppkey").alias("s")).first()
-        return (int(r["s"]) + 1, 50, 7)
-    return _cached(sf_dir, "lineitem", lineitem_dims)
+def _lineitem(spark: SparkSession, sf_dir: str, *more) -> tuple[DataFrame, tuple[int, int, int]]:
+    li = _read(spark, sf_dir, "lineitem")
+    at = {"x": F.col("l_suppkey").cast("bigint"), "y": (F.col("l_quantity") - 1).cast("bigint"),
+          "z": (F.col("l_linenumber") - 1).cast("bigint")}
+    dims = tuple(n + 1 for n in _max_dims(li, sf_dir, "lineitem", **at))
+    return li.select(*[c.alias(k) for k, c in at.items()], *more), dims
 
 
 def lineitem_counts(spark: SparkSession, sf_dir: str) -> Volume:
     """V4: x = l_suppkey, y = l_quantity-1, z = l_linenumber-1, v = count(*)."""
-    li = _read(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_linenumber")
-    df = (li.select(F.col("l_suppkey").cast("bigint").alias("x"),
-                    (F.col("l_quantity") - 1).cast("bigint").alias("y"),
-                    (F.col("l_linenumber") - 1).cast("bigint").alias("z"))
-          .groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("v")))
-    return Volume(df, VolumeMeta(_lineitem_dims(li, sf_dir), "int64"))
+    li, dims = _lineitem(spark, sf_dir)
+    return Volume(li.groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("v")), VolumeMeta(dims, "int64", rank=3))
 
 
 def lineitem_revenue(spark: SparkSession, sf_dir: str) -> Volume:
     """V5: as V4 with v = sum of the extended price in cents (exact BIGINT)."""
-    li = _read(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_linenumber", "l_extendedprice")
-    df = (li.select(F.col("l_suppkey").cast("bigint").alias("x"),
-                    (F.col("l_quantity") - 1).cast("bigint").alias("y"),
-                    (F.col("l_linenumber") - 1).cast("bigint").alias("z"),
-                    F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("c"))
-          .groupBy("x", "y", "z").agg(F.sum("c").alias("v")))
-    return Volume(df, VolumeMeta(_lineitem_dims(li, sf_dir), "int64"))
+    li, dims = _lineitem(spark, sf_dir, F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("c"))
+    return Volume(li.groupBy("x", "y", "z").agg(F.sum("c").alias("v")), VolumeMeta(dims, "int64", rank=3))

@@ -15,7 +15,7 @@ from ..volume import Volume, VolumeMeta
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Voxels of every image under ``path``: ``origin, x, y, z, v`` (channel 0 for colour images)."""
+    """Voxels of every image under ``path``: ``origin, x, y, z, v``; colour images have a plane per channel on z."""
     img = spark.read.format("image").load(path).select(
         F.col("image.origin").alias("origin"), F.col("image.width").alias("w"), F.col("image.height").alias("h"),
         F.col("image.nChannels").alias("c"), F.col("image.data").alias("data"))
@@ -23,10 +23,10 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     def unravel(it):
         for pdf in it:
             for row in pdf.itertuples(index=False):
-                a = np.frombuffer(row.data, dtype=np.uint8).reshape(row.h, row.w, row.c)[:, :, 0]
-                yy, xx = np.mgrid[0:row.h, 0:row.w]
+                a = np.frombuffer(row.data, dtype=np.uint8).reshape(row.h, row.w, row.c).transpose(2, 0, 1)
+                zz, yy, xx = np.mgrid[0:row.c, 0:row.h, 0:row.w]
                 yield pd.DataFrame({"origin": row.origin, "x": xx.ravel().astype(np.int64),
-                                    "y": yy.ravel().astype(np.int64), "z": np.zeros(a.size, dtype=np.int64),
+                                    "y": yy.ravel().astype(np.int64), "z": zz.ravel().astype(np.int64),
                                     "v": a.ravel().astype(np.int16)})
 
     return img.mapInPandas(unravel, "origin string, x bigint, y bigint, z bigint, v smallint")
@@ -35,8 +35,11 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
 def read_image(spark: SparkSession, path: str) -> Volume:
     """One image file as a uint8 volume (dims read from the image header)."""
     df = read_images(spark, path)
-    r = spark.read.format("image").load(path).select("image.width", "image.height").first()
-    return Volume(df.drop("origin"), VolumeMeta((int(r["width"]), int(r["height"]), 1), "uint8"))
+    found = spark.read.format("image").load(path).select("image.width", "image.height", "image.nChannels").limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{path} holds {'several images' if found else 'no image'}; use read_images")
+    r = found[0]
+    return Volume(df.drop("origin"), VolumeMeta((int(r["width"]), int(r["height"]), int(r["nChannels"])), "uint8"))
 
 
 def _png_gray8(a: np.ndarray) -> bytes:

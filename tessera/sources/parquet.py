@@ -1,8 +1,9 @@
 """Parquet blocks and voxels (A13): the columnar store Spark prunes natively.
 
 Blocks are written partitioned by ``dataset`` and ``gz`` so that a crop in z
-prunes directories, and row-group min/max statistics on ``gx``/``gy`` let the
-scan skip the rest; voxels are partitioned by ``dataset`` and sorted by
+prunes directories; they are dealt by ranges of (gz, gy, gx), so a plane
+spreads over as many tasks as its size asks, and row-group min/max statistics
+on ``gx``/``gy`` let the scan skip the rest; voxels are partitioned by ``dataset`` and sorted by
 ``z, y, x`` within files so that crops read few row groups.
 """
 
@@ -16,7 +17,7 @@ from ..volume import Volume
 
 def write_blocks(bv: BlockVolume, path: str, dataset: str, mode: str = "append") -> None:
     (bv.df.withColumn("dataset", F.lit(dataset))
-     .repartition("dataset", "gz").sortWithinPartitions("gy", "gx")
+     .repartitionByRange("dataset", "gz", "gy", "gx").sortWithinPartitions("dataset", "gz", "gy", "gx")
      .write.mode(mode).partitionBy("dataset", "gz").parquet(path))
 
 

@@ -20,11 +20,10 @@ V2 = """v2 AS (
   FROM (SELECT vec_id AS y, unnest(range(len(embedding))) AS x, unnest(embedding) AS e FROM embeddings))"""
 
 V3 = """v3 AS (
-  SELECT CAST(hour(ts) AS BIGINT) AS x, CAST(day(ts) - 1 AS BIGINT) AS y,
-         CAST(CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
-                              WHEN 'signup' THEN 3 WHEN 'view' THEN 4 ELSE -1 END AS BIGINT) AS z,
-         COUNT(*) AS v
-  FROM events GROUP BY 1, 2, 3)"""
+  SELECT CAST(hour(ts) AS BIGINT) AS x, CAST(day(ts) - 1 AS BIGINT) AS y, CAST(t.z AS BIGINT) AS z, COUNT(*) AS v
+  FROM events JOIN (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS z
+                    FROM (SELECT DISTINCT event_type FROM events)) t USING (event_type)
+  GROUP BY 1, 2, 3)"""
 
 V4 = """v4 AS (
   SELECT CAST(l_suppkey AS BIGINT) AS x, CAST(l_quantity - 1 AS BIGINT) AS y,
@@ -38,7 +37,10 @@ V5 = """v5 AS (
 
 # dims of V2 / V4 as one-row CTEs
 V2DIMS = """v2dims AS (SELECT CAST(max(len(embedding)) AS BIGINT) AS nx, CAST(max(vec_id) + 1 AS BIGINT) AS ny FROM embeddings)"""
-V4DIMS = """v4dims AS (SELECT CAST(max(l_suppkey) + 1 AS BIGINT) AS nx, CAST(50 AS BIGINT) AS ny, CAST(7 AS BIGINT) AS nz FROM lineitem)"""
+V4DIMS = """v4dims AS (SELECT CAST(max(l_suppkey) + 1 AS BIGINT) AS nx, CAST(max(l_quantity) AS BIGINT) AS ny,
+  CAST(max(l_linenumber) AS BIGINT) AS nz FROM lineitem)"""
+V3DIMS = """v3dims AS (SELECT max(x) + 1 AS nx, max(y) + 1 AS ny, max(z) + 1 AS nz FROM v3)"""
+NX4, NY4, NZ4 = (f"(SELECT {n} FROM v4dims)" for n in ("nx", "ny", "nz"))
 
 
 def with_(*ctes: str) -> str:

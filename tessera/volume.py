@@ -58,11 +58,18 @@ class VolumeMeta:
     attrs: dict = field(default_factory=dict, compare=False)
     # every voxel inside dims has a row (set by densify and by dense sources)
     dense: bool = False
+    # number of axes of a stored dataset; None: 3 if the third axis is longer than 1, else 2
+    rank: int | None = None
 
     @property
     def ndim(self) -> int:
+        """Axes that operators work on: a third axis of size 1 has no neighbours."""
         return 3 if self.dims[2] > 1 else 2
 
+    @property
+    def stored_rank(self) -> int:
+        return self.rank or self.ndim
+
     @property
     def max(self) -> tuple[int, int, int]:
         return tuple(m + d - 1 for m, d in zip(self.min, self.dims))
@@ -100,22 +107,6 @@ class Volume:
         return op(self)
 
 
-def voxels(df: DataFrame, value: str = "v") -> DataFrame:
-    """Normalise a frame to the voxel schema ``x, y, z BIGINT, v``."""
-    cols = [F.col(a).cast("bigint").alias(a) if a in df.columns else F.lit(0).cast("bigint").alias(a)
-            for a in AXES]
-    return df.select(*cols, F.col(value).alias("v"))
-
-
-def measure_dims(df: DataFrame) -> tuple[int, int, int]:
-    """Dimensions of a zero-based voxel frame (one small aggregate action).
-
-    Use only where no metadata exists; block sources carry ``dims``.
-    """
-    r = df.agg(*[F.max(a).alias(a) for a in AXES]).first()
-    return tuple(int(r[a]) + 1 if r[a] is not None else 0 for a in AXES)
-
-
 def idiv(c, k: int):
     """Floor division of an integer column by a positive constant (BIGINT).
 

@@ -29,9 +29,9 @@ def test_entry_smoke(spark):
 
 
 def test_registry_has_oracles():
-    qs, os_ = E.queries(), E.oracle_sql()
-    assert set(os_) <= set(qs)
-    assert set(qs) - set(os_) == NO_ORACLE
+    from tessera.catalog import ORACLES, QUERIES
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(QUERIES) <= set(E.queries())
+    assert set(QUERIES) - set(ORACLES) == NO_ORACLE
 
 
 @pytest.fixture(scope="module")
