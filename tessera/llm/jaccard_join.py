@@ -6,8 +6,9 @@ Documents link when their sets of word shingles have a Jaccard similarity of
 1. Linked sets of size n miss at most k = n - ceil(n * PERCENT / 100) shingles of
    each other.  Of every set the shingles in the lowest ``RANGE`` of all
    hashes are dealt by shingle; a task passes on one row per shingle.  A set
-   with more than k of them that no other set has is out, which leaves few.
-2. The shingles that the others share are ordered by frequency, rarest first, then
+   with more than k of them that no other set has is out.  The others deal the rest of their
+   shingles in the same way among themselves, which leaves few.
+2. The shingles that these share with one another are ordered by frequency, rarest first, then
    hash.  With u unshared ones, linked sets have a common shingle among their first
    k - u + 1 in this order.  Sets that have one of these in common are joined to one of them, so a
    group costs its size, not its pairs; connected components of these joins hold all links.
@@ -106,9 +107,13 @@ def missing(n: int, percent: int) -> int:
     return n + (-n * percent) // 100
 
 
+def range_end(percent: int, share: int) -> np.uint64:
+    return U(((1 << 64) - 1) // 100 * min(100, 100 - percent + share))
+
+
 def _low_shingles(batches: Iterator[pa.RecordBatch], percent: int, share: int) -> Iterator[pa.RecordBatch]:
     """Per document its set's size, digest, and lowest shingles; ``low`` those in the range, ``weak`` for sets with too few there."""
-    limit = U(((1 << 64) - 1) // 100 * min(100, 100 - percent + share))
+    limit = range_end(percent, share)
     for b in batches:
         for i in range(0, b.num_rows, 1000):
             part = b.slice(i, 1000)
@@ -123,6 +128,16 @@ def _low_shingles(batches: Iterator[pa.RecordBatch], percent: int, share: int) -
                                  pa.list_(pa.int64()))})
 
 
+def _high_shingles(batches: Iterator[pa.RecordBatch], percent: int, share: int) -> Iterator[pa.RecordBatch]:
+    """The shingles beyond the range."""
+    limit = range_end(percent, share)
+    for b in batches:
+        for i in range(0, b.num_rows, 1000):
+            part = b.slice(i, 1000)
+            high = [s[np.searchsorted(s, limit):].tobytes() for s in _sets(part.column("text"))]
+            yield pa.record_batch({"digest": part.column("digest"), "low": pa.array(high, pa.binary())})
+
+
 # a row of the deal: the only set of its task with the shingle; the first of several; one of them, known to be shared
 SINGLE, FIRST, SHARED = 0, 1, 2
 
@@ -141,10 +156,11 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several = np.bincount(np.cumsum(first) - 1, minlength=1)[np.cumsum(first) - 1] > 1 if len(s) else first
         again = np.flatnonzero(several)
         route = np.append(s[first], (s[again] ^ scramble(d[again].view(U)).view(np.int64)))
-        out = pa.record_batch({
-            "route": pa.array(route), "s": pa.array(np.append(s[first], s[again])),
-            "digest": pa.array(np.append(d[first], d[again])),
-            "kind": pa.array(np.append(np.where(several[first], FIRST, SINGLE), np.full(len(again), SHARED)).astype(np.int32))})
+        digests = np.append(d[first], d[again])
+        kind = np.append(np.where(several[first], FIRST, SINGLE), np.full(len(again), SHARED)).astype(np.int32)
+        by_set = np.argsort(digests, kind="stable")  # rows of a set follow one another, which compresses well
+        out = pa.record_batch({"route": pa.array(route[by_set]), "s": pa.array(np.append(s[first], s[again])[by_set]),
+                               "digest": pa.array(digests[by_set]), "kind": pa.array(kind[by_set])})
         for i in range(0, out.num_rows, OUT_ROWS):
             yield out.slice(i, OUT_ROWS)
 
@@ -183,6 +199,20 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"digest": pa.array(x, pa.int64()), "s": pa.array(y, pa.int64())})
 
 
+def _found_shared(low: DataFrame) -> DataFrame:
+    """(digest, s) of the shingles in ``low`` that another set has too."""
+    return (low.mapInArrow(_deal, "route long, s long, digest long, kind int")
+            .repartition("route").sortWithinPartitions("route", "s").mapInArrow(_shared, "digest long, s long"))
+
+
+def _with_texts(rows: DataFrame, near: DataFrame) -> DataFrame:
+    """``near`` (id, key and more) with the texts; broadcast up to MAX_BROADCAST_SETS rows, else joined by shuffle."""
+    near = near.withColumnsRenamed({"id": "r_id", "key": "r_key"})
+    if near.count() <= MAX_BROADCAST_SETS:
+        near = F.broadcast(near)
+    return rows.join(near, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")))
+
+
 def _stars(rows: DataFrame) -> DataFrame:
     """Edges (a, b) from every digest of a shingle to the smallest one."""
     root = rows.groupBy("s").agg(F.min("digest").alias("b")).withColumnRenamed("s", "r_s")
@@ -304,8 +334,21 @@ def _join_blocks(group: pa.Table, percent: int) -> pa.Table:
     found = links([sets[k] for k in in_left], None if alone else [sets[k] for k in in_right], percent) \
         if in_left and (alone or in_right) else []
     at = in_left + in_right
-    return pa.table({"a": pa.array([names[at[x]] for x, _ in found], pa.int64()),
-                     "b": pa.array([names[at[y]] for _, y in found], pa.int64())})
+    edges = [(names[at[x]], names[at[y]]) for x, y in found]
+    whole = group.column("blocks")[0].as_py() == 1  # then its components are final: every set with the smallest of them
+    if whole:
+        up: dict[int, int] = {}
+
+        def top(x):
+            while up.setdefault(x, x) != x:
+                x = up[x]
+            return x
+        for x, y in edges:
+            x, y = top(x), top(y)
+            up[max(x, y)] = min(x, y)
+        edges = [(x, top(x)) for x in list(up)]
+    a, b = zip(*edges) if edges else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "final": pa.array([whole] * len(edges), pa.bool_())})
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,33 +369,40 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     some = sets.where("digest is not null")
     classes = some.groupBy("digest").agg(F.min(F.struct("id", "key")).alias("rep"), F.min("id").alias("least"),
                                          *[F.first(c).alias(c) for c in ("n", "q", "k")])
-    shared = written(some.where("q > 0").select("digest", "low").mapInArrow(_deal, "route long, s long, digest long, kind int")
-                     .repartition("route").sortWithinPartitions("route", "s").mapInArrow(_shared, "digest long, s long"), "shared")
-    often = shared.groupBy(F.col("s").alias("o_s")).agg(F.count("*").alias("often"))
-    ranked = (shared.join(often, F.col("s") == F.col("o_s")).groupBy(F.col("digest").alias("f_digest"))
-              .agg(F.sort_array(F.collect_set(F.struct("often", "s"))).alias("found")))
-    left = F.col("k") - F.col("q") + F.size("found")
-    first = (classes.join(ranked, F.col("digest") == F.col("f_digest")).where(left >= 0)
-             .select("digest", F.explode(F.slice("found", F.lit(1), (left + 1).cast("int"))).alias("x")).select("digest", "x.s"))
+    shared = written(_found_shared(some.where("q > 0").select("digest", "low")), "shared")
+    in_range = shared.groupBy(F.col("digest").alias("f_digest")).agg(F.count_distinct("s").alias("found"))
+    left = written(classes.join(in_range, F.col("digest") == F.col("f_digest")).where("found >= q - k")
+                   .select("digest", "rep.id", "rep.key", "n", "k"), "left")
+    high = _found_shared(_with_texts(rows, left).select("digest", "text")
+                         .mapInArrow(lambda it: _high_shingles(it, percent, share), "digest long, low binary"))
+    # of the shingles in the range only those that two of the remaining sets have
+    low = shared.join(left.select("digest"), "digest", "left_semi").select("digest", "s").distinct()
+    every = written(low.unionAll(high.distinct()), "every")
+    often = every.groupBy(F.col("s").alias("o_s")).agg(F.count("*").alias("often")).where("often > 1")
+    ranked = (every.join(often, F.col("s") == F.col("o_s")).groupBy(F.col("digest").alias("f_digest"))
+              .agg(F.sort_array(F.collect_list(F.struct("often", "s"))).alias("found")))
+    free = F.col("k") - F.col("n") + F.size("found")
+    first = (left.join(ranked, F.col("digest") == F.col("f_digest")).where(free >= 0)
+             .select("digest", F.explode(F.slice("found", F.lit(1), (free + 1).cast("int"))).alias("x")).select("digest", "x.s"))
     weak = some.where("size(weak) > 0").select("digest", F.explode("weak").alias("s")).distinct()
     joined = components(_stars(first).unionAll(_stars(weak)))
 
     near = written(classes.join(joined, F.col("digest") == F.col("node")).select("digest", "label", "rep.id", "rep.key", "n"), "near")
     blocks = near.groupBy(F.col("label").alias("b_label")).agg(
         F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    near = near.join(blocks, F.col("label") == F.col("b_label")).select(
-        F.col("id").alias("r_id"), F.col("key").alias("r_key"), "digest", "label", "blocks")
-    if near.count() <= MAX_BROADCAST_SETS:
-        near = F.broadcast(near)
-    texts = rows.join(near, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")))
+    texts = _with_texts(rows, near.join(blocks, F.col("label") == F.col("b_label")).select("id", "key", "digest", "label", "blocks"))
     member = texts.select("digest", "label", "blocks", "text").mapInArrow(
         _set_rows, "digest long, label long, blocks int, set binary")
     member = member.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                         lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")))
-    pairs = member.select("label", "digest", "set", "block", F.explode(meets).alias("p")).select("label", "p.i", "p.j", "digest", "set", "block")
-    found = pairs.groupBy("label", "i", "j").applyInArrow(lambda g: _join_blocks(g, percent), "a long, b long")
-    linked = components(found)
+    pairs = member.select("label", "digest", "set", "blocks", "block", F.explode(meets).alias("p")).select(
+        "label", "p.i", "p.j", "digest", "set", "blocks", "block")
+    found = written(pairs.groupBy("label", "i", "j").applyInArrow(lambda g: _join_blocks(g, percent),
+                                                                  "a long, b long, final boolean"), "links")
+    linked = found.where("final").select(F.col("a").alias("node"), F.col("b").alias("label"))
+    if not found.where("not final").isEmpty():
+        linked = linked.unionAll(components(found.where("not final").select("a", "b")))
 
     named = classes.join(linked, F.col("digest") == F.col("node"), "left").select(
         "digest", "least", F.coalesce("label", "digest").alias("label"))
