@@ -16,16 +16,22 @@ from ..volume import Volume
 I64 = (-9223372036854774784, 9223372036854774784)
 
 
-def _kernel_values(half: np.ndarray, name: str = "k") -> str:
+def _kernel_values(half, name: str = "k") -> str:
+    """A kernel table (k, w): given numbers, or for a sigma the normalised Gaussian computed in SQL."""
+    if isinstance(half, float):
+        n = max(2, int(3.0 * half + 0.5) + 1)
+        w = lambda i: f"exp(-(CAST({i} AS DOUBLE) * {i}) / {q.lit(2.0 * half * half)})"
+        return (f"{name} AS (SELECT k, {w('k')} / (SELECT SUM({w('j')}) FROM range({1 - n}, {n}) s(j)) AS w "
+                f"FROM range({1 - n}, {n}) t(k))")
     rows = [f"({i}, {q.lit(float(half[abs(i)]))})" for i in range(-(len(half) - 1), len(half))]
     return f"{name} AS (SELECT * FROM (VALUES {', '.join(rows)}) t(k, w))"
 
 
 def _sep_sql(src: str, halves: list, out: str, extension: str, dims: str, vcol: str = "v") -> list[str]:
-    """CTEs applying one kernel per axis (x then y) by joining a kernel table."""
+    """CTEs applying one kernel per axis (x, y, then z) by joining a kernel table."""
     ctes, cur = [], src
     for d, half in enumerate(halves):
-        a = "xy"[d]
+        a = "xyz"[d]
         kn = f"{out}_k{d}"
         ctes.append(_kernel_values(half, kn))
         n = f"(SELECT n{a} FROM {dims})"
@@ -34,16 +40,16 @@ def _sep_sql(src: str, halves: list, out: str, extension: str, dims: str, vcol:
         else:
             fn = q.mirror_single if extension == "mirror_single" else q.mirror_double
             cond = f"s.{a} = {fn(f't.{a} + {kn}.k', n)}"
-        other = "y" if a == "x" else "x"
+        same = " AND ".join(f"s.{o} = t.{o}" for o in "xyz" if o != a)
         nxt = f"{out}_{d}"
         ctes.append(f"""{nxt} AS (SELECT t.x, t.y, t.z, SUM({kn}.w * s.{vcol}) AS {vcol} FROM {cur} t CROSS JOIN {kn}
-  JOIN {cur} s ON {cond} AND s.{other} = t.{other} AND s.z = t.z GROUP BY t.x, t.y, t.z)""")
+  JOIN {cur} s ON {cond} AND {same} GROUP BY t.x, t.y, t.z)""")
         cur = nxt
     return ctes, cur
 
 
 def _gauss_sql():
-    half = CV.gauss_half_kernel(2.0)
+    half = 2.0
     ctes, last = _sep_sql("v2", [half, half], "g", "zero", "v2dims")
     return (q.with_(q.V2, q.V2DIMS, *ctes)
             + f"SELECT x, y, z, {q.to_int('v', 0, 65535, 'INTEGER')} AS v FROM {last}")
@@ -56,7 +62,7 @@ def gauss(spark, sf_dir):
 
 
 def _gauss_mirror_sql():
-    half = CV.gauss_half_kernel(1.5)
+    half = 1.5
     ctes, last = _sep_sql("v2", [half, half], "g", "mirror_double", "v2dims")
     return (q.with_(q.V2, q.V2DIMS, *ctes)
             + f"SELECT x, y, z, {q.to_int('v', 0, 65535, 'INTEGER')} AS v FROM {last}")
@@ -70,7 +76,7 @@ def gauss_mirror(spark, sf_dir):
 
 def _dog_sql():
     inv = "inv AS (SELECT x, y, z, CAST(CAST(65535.0 - CAST(v AS DOUBLE) AS FLOAT) AS DOUBLE) AS v FROM v2)"
-    h4, h3 = CV.gauss_half_kernel(4.0), CV.gauss_half_kernel(3.0)
+    h4, h3 = 4.0, 3.0
     c1, l1 = _sep_sql("inv", [h4, h4], "a", "mirror_single", "v2dims")
     c2, l2 = _sep_sql("inv", [h3, h3], "b", "mirror_single", "v2dims")
     return (q.with_(q.V2, q.V2DIMS, inv, *c1, *c2)
@@ -143,9 +149,8 @@ def _affine_matrix():
 
 
 def _affine_sql():
-    ti = RS.inverse(_affine_matrix())
-    p = [f"({q.lit(ti[r, 0])} * CAST(x AS DOUBLE) + {q.lit(ti[r, 1])} * CAST(y AS DOUBLE) + {q.lit(ti[r, 2])} * CAST(z AS DOUBLE) + {q.lit(ti[r, 3])})"
-         for r in range(2)]
+    # the inverse written out: unscale by 0.9, rotate back by 0.3
+    p = ["((cos(0.3) * x + sin(0.3) * y) / 0.9)", "((cos(0.3) * y - sin(0.3) * x) / 0.9)"]
     ms = q.mirror_double
     return q.with_(q.V2, q.V2DIMS, f"""tg AS (SELECT x, y, z, {p[0]} AS p0, {p[1]} AS p1 FROM v2),
 fl AS (SELECT x, y, z, floor(p0) AS f0, floor(p1) AS f1, p0 - floor(p0) AS t0, p1 - floor(p1) AS t1 FROM tg),

@@ -21,7 +21,6 @@ from ..sources import fixtures as fx
 from ..volume import Volume, VolumeMeta
 from .q_filters import _sep_sql
 from .q_localstats import _cllcn_oracle
-from ..operators.convolve import gauss_half_kernel
 
 
 def _v4_u16(spark, sf_dir) -> Volume:
@@ -81,7 +80,7 @@ def job_contrast_export(spark, sf_dir):
 
 
 def _smooth_sql():
-    h = gauss_half_kernel(3.0)
+    h = 3.0
     ctes, last = _sep_sql("v2", [h, h], "g", "mirror_double", "v2dims")
     return q.with_(q.V2, q.V2DIMS, *ctes) + f"SELECT x, y, z, CAST(v AS FLOAT) AS v FROM {last}"
 
@@ -146,13 +145,7 @@ def job_clahe_gradients(spark, sf_dir):
 
 
 def _view_plane_sql(size=(64, 64)):
-    from ..operators import resample as RS
-    t = RS.affine_identity()
-    for axis, ang in ((2, 0.3), (1, 0.1), (0, 0.6)):
-        t = RS.rotate(t, axis, ang)
-    ti = RS.inverse(RS.scale(t, 0.9))
-    p = [f"({q.lit(ti[r, 0])} * CAST(x AS DOUBLE) + {q.lit(ti[r, 1])} * CAST(y AS DOUBLE) + {q.lit(ti[r, 2])} * CAST(z AS DOUBLE) + {q.lit(ti[r, 3])})"
-         for r in range(2)]
+    p = q.unrotated("x", "y", "z")[:2]
     md = q.mirror_double
     dnx, dny = "(((SELECT nx FROM v2dims) + 1) // 2)", "(((SELECT ny FROM v2dims) + 1) // 2)"
     return q.with_(q.V2, q.V2DIMS, f"""ds AS (SELECT tx AS x, ty AS y, CAST(0 AS BIGINT) AS z,

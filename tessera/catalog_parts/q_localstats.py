@@ -86,10 +86,11 @@ def box_stats(spark, sf_dir):
     return ls.box_stats(fx.embedding_u16(spark, sf_dir), 3)
 
 
-def _clahe_sql(r, bins=256, slope=3.0, lo=0.0, hi=65535.0):
+def _clahe_sql(r, bins=256, slope=3.0, lo=0.0, hi=65535.0, src=None, dims=None):
+    """``src``: CTEs that end with a dense volume v2, ``dims``: the CTE of its dims under the name v2dims."""
     T = 2 * r + 1
     span = hi - lo + 1
-    return q.with_(q.V2, q.V2DIMS, f"""vox AS (SELECT x, y, z, v, x // {T} AS tx, y // {T} AS ty,
+    return q.with_(*(src or [q.V2]), dims or q.V2DIMS, f"""vox AS (SELECT x, y, z, v, x // {T} AS tx, y // {T} AS ty,
     CAST(least({bins - 1}, greatest(0, floor((CAST(v AS DOUBLE) - {q.lit(lo)}) * {q.lit(bins)} / {q.lit(span)}))) AS INTEGER) AS b FROM v2),
 hist AS (SELECT z, tx, ty, b, COUNT(*) AS h FROM vox GROUP BY z, tx, ty, b),
 tiles AS (SELECT z, tx, ty, SUM(h) AS n FROM hist GROUP BY z, tx, ty),

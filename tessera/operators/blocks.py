@@ -291,10 +291,11 @@ def assemble_padded(pdf: pd.DataFrame, dims, tb, radius, extension: str, dtype:
 
 def map_blocks(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], radius=(0, 0, 0), extension: str = "zero",
                out_dtype: str | None = None, zero_preserving: bool = False, target_block=None,
-               out_channels: int = 1) -> BlockVolume:
+               out_channels: int = 1, with_origin: bool = False) -> BlockVolume:
     """``fn(padded) -> centre`` per block, halo ``radius`` per axis.
 
-    ``fn`` receives the padded block (numpy axes z, y, x) and returns either
+    ``fn`` receives the padded block (numpy axes z, y, x; with ``with_origin`` also
+    the centre's offset and size, x first) and returns either
     the centre or an array of the padded shape (cropped here).  With
     ``zero_preserving=False`` every block of the grid is computed, also where
     no source block exists (a kernel may map zeros to non-zero values).
@@ -316,7 +317,7 @@ def map_blocks(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], radius=(
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         t, o, s, padded = assemble_padded(pdf, dims, tb, radius, extension, dtype, ch)
-        out = np.asarray(fn(padded))
+        out = np.asarray(fn(padded, o, s) if with_origin else fn(padded))
         if out.shape != (s[2], s[1], s[0]) + tail:
             r = radius
             out = out[r[2]:r[2] + s[2], r[1]:r[1] + s[1], r[0]:r[0] + s[0]]
@@ -567,128 +568,135 @@ def gradient_magnitude(bv: BlockVolume, sigma, extension: str = "zero", out_dtyp
 
 # ------------------------------------------------------------------ G10 in block form
 
-MAX_BROADCAST_MAP_TILES = 32_768  # packed tile maps (256 doubles each) broadcast below this count
+def clahe_maps(h: np.ndarray, slope: float, lo: float, hi: float) -> np.ndarray:
+    """Tile maps from histograms (last axis: bins): clipped CDFs, same steps as ``clahe.tile_maps``."""
+    bins = h.shape[-1]
+    h = h.astype(np.float64)
+    n = h.sum(-1, keepdims=True)
+    c = np.minimum(h, slope * n / bins)
+    excess = np.cumsum(h - c, -1)[..., -1:]
+    return lo + (hi - lo) * (np.cumsum(c, -1) + (np.arange(bins) + 1).astype(np.float64) * excess / bins) / n
 
 
 def clahe(bv: BlockVolume, r: int, bins: int = 256, slope: float = 3.0, lo: float = 0.0, hi: float = 65535.0,
-          out_dtype: str | None = None) -> BlockVolume:
-    """CLAHE (P8) in block form for any radius; voxels never leave their block.
-
-    1. per block, partial histograms per (slice, tile, bin) (``mapInPandas``),
-       summed with partial aggregation; tiles' zero samples in absent blocks are
-       completed from geometry (tile size inside the image, from metadata);
-    2. tile maps with the same window code as the voxel form, packed to one
-       256-value array per tile;
-    3. each block of the grid is grouped with the maps of the tiles around it
-       (at most ``(s/T + 2)^2`` per slice) and blended in numpy.
+          out_dtype: str | None = None, halo: bool | None = None) -> BlockVolume:
+    """CLAHE (P8) in block form for any radius.
+
+    Tiles much smaller than a block: one halo exchange of two tiles on each
+    side; a block counts the histograms it needs itself.  Larger tiles: each
+    block counts a packed histogram per (slice, tile), one exchange sums them
+    to tile maps, and a second one brings the maps to the blocks that blend
+    them.  Both give the same numbers: the histograms are counts.
     """
-    spark = bv.df.sparkSession
     out_dtype = out_dtype or bv.dtype
     dtype = bv.dtype
     T = 2 * r + 1
     nx, ny, nz = bv.dims
     ntx, nty = (nx + T - 1) // T, (ny + T - 1) // T
     span = float(hi - lo + 1)
-    b0 = int(min(bins - 1, max(0, math.floor((0.0 - lo) * bins / span))))
 
     def bin_of(a):
         return np.clip(np.floor((a.astype(np.float64) - lo) * float(bins) / span), 0, bins - 1).astype(np.int64)
 
-    def block_hist(it):
-        for pdf in it:
-            keys = []
-            for row in pdf.itertuples(index=False):
-                a = decode(row.payload, dtype, row.sx, row.sy, row.sz)
-                b = bin_of(a)
-                tz = (row.oz + np.arange(row.sz))[:, None, None]
-                ty = ((row.oy + np.arange(row.sy)) // T)[None, :, None]
-                tx = ((row.ox + np.arange(row.sx)) // T)[None, None, :]
-                keys.append(((((tz * nty + ty) * ntx + tx) * bins) + b).ravel())
-            if not keys:
-                continue
-            u, c = np.unique(np.concatenate(keys), return_counts=True)
-            yield pd.DataFrame({"z": u // (nty * ntx * bins), "ty": (u // (ntx * bins)) % nty,
-                                "tx": (u // bins) % ntx, "b": (u % bins).astype(np.int32), "h": c})
-
-    stored = (bv.df.mapInPandas(block_hist, "z long, ty long, tx long, b int, h long")
-              .groupBy("z", "tx", "ty", "b").agg(F.sum("h").alias("h")))
-    i = F.col("id")
-    tiles = spark.range(0, nz * ntx * nty).select(
-        idiv(i, ntx * nty).alias("z"), (idiv(i, ntx) % nty).alias("ty"), (i % ntx).alias("tx"))
-    n_geom = (F.least(F.lit(T), F.lit(nx) - F.col("tx") * T) * F.least(F.lit(T), F.lit(ny) - F.col("ty") * T))
-    totals = stored.groupBy("z", "tx", "ty").agg(F.sum("h").alias("st"))
-    fill = (tiles.join(totals, ["z", "tx", "ty"], "left")
-            .select("z", "tx", "ty", F.lit(b0).alias("b"), (n_geom - F.coalesce("st", F.lit(0))).cast("bigint").alias("h"))
-            .filter(F.col("h") > 0))
-    hist = stored.unionByName(fill).groupBy("z", "tx", "ty", "b").agg(F.sum("h").alias("h"))
-    def tile_map(pdf: pd.DataFrame):
-        # the clipped CDF of one tile (<= bins rows), same steps as ``clahe.tile_maps``
-        h = np.zeros(bins)
-        h[pdf["b"].to_numpy()] = pdf["h"].to_numpy()
-        n = float(pdf["h"].sum())
-        c = np.minimum(h, slope * n / bins)
-        excess = np.cumsum(h - c)[-1]
-        cdf = np.cumsum(c) + (np.arange(bins) + 1).astype(np.float64) * excess / bins
-        m = lo + (hi - lo) * cdf / n
-        r0 = pdf.iloc[0]
-        return (int(r0["z"]), int(r0["tx"]), int(r0["ty"]), m.astype("<f8").tobytes())
-
-    packed = grouped_rows(hist, ["z", "tx", "ty"], tile_map, "z bigint, tx bigint, ty bigint, m binary",
-                          ["z", "tx", "ty", "m"])
-    if nz * ntx * nty <= MAX_BROADCAST_MAP_TILES:
-        packed = F.broadcast(packed)
-
-    grid = block_grid(spark, bv.dims, bv.block)
-
-    def trange(o, s, n):
-        lo_t = F.greatest(F.lit(0), F.floor((o.cast("double") - r) / T)).cast("bigint")
-        hi_t = F.least(F.lit(n - 1), F.floor(((o + s - 1).cast("double") - r) / T) + 1).cast("bigint")
-        return F.sequence(lo_t, hi_t)
-
-    need = (grid.select("gx", "gy", "gz", F.explode(F.sequence(F.col("oz"), F.col("oz") + F.col("sz") - 1)).alias("z"),
-                        trange(F.col("ox"), F.col("sx"), ntx).alias("txs"), trange(F.col("oy"), F.col("sy"), nty).alias("tys"))
-            .select("gx", "gy", "gz", "z", F.explode("txs").alias("tx"), "tys")
-            .select("gx", "gy", "gz", "z", "tx", F.explode("tys").alias("ty")))
-    map_rows = need.join(packed, ["z", "tx", "ty"]).select(
-        "gx", "gy", "gz", *[F.lit(None).cast(t).alias(c) for c, t in
-                            (("ox", "bigint"), ("oy", "bigint"), ("oz", "bigint"), ("sx", "int"), ("sy", "int"),
-                             ("sz", "int"), ("payload", "binary"))], "z", "tx", "ty", "m")
-    geo = grid.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", F.lit(None).cast("binary").alias("payload"))
-    blk_rows = geo.unionByName(bv.df.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload")).select(
-        "*", F.lit(None).cast("bigint").alias("z"), F.lit(None).cast("bigint").alias("tx"),
-        F.lit(None).cast("bigint").alias("ty"), F.lit(None).cast("binary").alias("m"))
-    rows = blk_rows.unionByName(map_rows)
-
-    def blend(pdf: pd.DataFrame):
-        g = pdf[pdf["ox"].notna()]
-        r0 = g.iloc[0]
-        ox, oy, oz, sx, sy, sz = (int(r0[c]) for c in ("ox", "oy", "oz", "sx", "sy", "sz"))
-        pay = g["payload"].dropna()
-        a = (np.frombuffer(pay.iloc[0], dtype=np.dtype(dtype_of(dtype).numpy)).reshape(sz, sy, sx)
-             if len(pay) else np.zeros((sz, sy, sx)))
-        mp = pdf[pdf["m"].notna()]
-        tx_lo, ty_lo = int(mp["tx"].min()), int(mp["ty"].min())
-        M = np.zeros((sz, int(mp["ty"].max()) - ty_lo + 1, int(mp["tx"].max()) - tx_lo + 1, bins))
-        for zz, tx, ty, m in zip(mp["z"], mp["tx"], mp["ty"], mp["m"]):
-            M[int(zz) - oz, int(ty) - ty_lo, int(tx) - tx_lo] = np.frombuffer(m, dtype="<f8")
-        b = bin_of(a)
-        gxf = ((ox + np.arange(sx)).astype(np.float64) - r) / T
-        gyf = ((oy + np.arange(sy)).astype(np.float64) - r) / T
+    def tiles_of(o, s, n):  # first and last tile whose map a block at o of size s blends
+        return max(0, (o - r) // T), min(n - 1, (o + s - 1 - r) // T + 1)
+
+    def blend(b, M, o, s, tx_lo, ty_lo):
+        """b: bins of the block's samples; M: maps (z, ty, tx, bin) from tile (ty_lo, tx_lo) on."""
+        gxf = ((o[0] + np.arange(s[0])).astype(np.float64) - r) / T
+        gyf = ((o[1] + np.arange(s[1])).astype(np.float64) - r) / T
         fx, fy = np.floor(gxf), np.floor(gyf)
         wx, wy = gxf - fx, gyf - fy
-        out = np.zeros((sz, sy, sx))
-        zi = np.arange(sz)[:, None, None]
+        out, zi = np.zeros(b.shape), np.arange(s[2])[:, None, None]
         for kx in (0, 1):
             tx = (np.clip(fx + kx, 0, ntx - 1).astype(np.int64) - tx_lo)[None, None, :]
             wxk = (wx if kx else 1.0 - wx)[None, None, :]
             for ky in (0, 1):
                 ty = (np.clip(fy + ky, 0, nty - 1).astype(np.int64) - ty_lo)[None, :, None]
-                wyk = (wy if ky else 1.0 - wy)[None, :, None]
-                out = out + (wxk * wyk) * M[zi, ty, tx, b]
-        res = K.to_dtype(out, out_dtype)
-        return (int(r0["gx"]), int(r0["gy"]), int(r0["gz"]), ox, oy, oz, sx, sy, sz, encode(res, out_dtype))
+                out = out + (wxk * (wy if ky else 1.0 - wy)[None, :, None]) * M[zi, ty, tx, b]
+        return K.to_dtype(out, out_dtype)
+
+    bx, by, bz = bv.block
+    if halo is None:
+        halo = 4 * T <= min(bx, by)
+    if halo:
+        R = 2 * T
+
+        def near(padded, o, s):
+            (x0, x1), (y0, y1) = tiles_of(o[0], s[0], ntx), tiles_of(o[1], s[1], nty)
+            ax, ay = x0 * T - (o[0] - R), y0 * T - (o[1] - R)
+            ex, ey = min(nx, (x1 + 1) * T) - (o[0] - R), min(ny, (y1 + 1) * T) - (o[1] - R)
+            M = []
+            for z in range(s[2]):
+                b = bin_of(padded[z, ay:ey, ax:ex])
+                t = (np.arange(ey - ay) // T)[:, None] * (x1 - x0 + 1) + (np.arange(ex - ax) // T)[None, :]
+                h = np.bincount((t * bins + b).ravel(), minlength=(y1 - y0 + 1) * (x1 - x0 + 1) * bins)
+                M.append(clahe_maps(h.reshape(y1 - y0 + 1, x1 - x0 + 1, bins), slope, lo, hi))
+            return blend(bin_of(padded[:, R:R + s[1], R:R + s[0]]), np.stack(M), o, s, x0, y0)
+
+        return map_blocks(bv, near, (R, R, 0), "zero", out_dtype, with_origin=True)
+
+    b0 = int(bin_of(np.zeros(1))[0])
+    size = lambda tx, ty: min(T, nx - tx * T) * min(T, ny - ty * T)  # noqa: E731  samples of a tile inside the image
+
+    def count(it):
+        for pdf in it:
+            rows, held = [], 0
+            for row in pdf.itertuples(index=False):
+                b = bin_of(decode(row.payload, dtype, row.sx, row.sy, row.sz))
+                for ty in range(row.oy // T, (row.oy + row.sy - 1) // T + 1):
+                    ys = slice(max(0, ty * T - row.oy), (ty + 1) * T - row.oy)
+                    for tx in range(row.ox // T, (row.ox + row.sx - 1) // T + 1):
+                        xs = slice(max(0, tx * T - row.ox), (tx + 1) * T - row.ox)
+                        for z in range(row.sz):
+                            h = np.bincount(b[z, ys, xs].ravel(), minlength=bins)
+                            rows.append((int(row.oz + z), tx, ty, h.astype("<i4").tobytes()))
+                            held += 4 * bins
+                if held > 16 << 20:
+                    yield pd.DataFrame(rows, columns=["z", "tx", "ty", "h"])
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=["z", "tx", "ty", "h"])
 
-    df = grouped_rows(rows, ["gx", "gy", "gz"], blend, BLOCK_SCHEMA, BLOCK_COLUMNS)
+    def tile_map(pdf: pd.DataFrame):
+        r0 = pdf.iloc[0]
+        h = sum(np.frombuffer(x, "<i4").astype(np.int64) for x in pdf["h"])
+        h[b0] += size(int(r0["tx"]), int(r0["ty"])) - int(h.sum())  # zeros of blocks that are not stored
+        return int(r0["z"]), int(r0["tx"]), int(r0["ty"]), clahe_maps(h, slope, lo, hi).astype("<f8").tobytes()
+
+    maps = grouped_rows(bv.df.mapInPandas(count, "z long, tx long, ty long, h binary"), ["z", "tx", "ty"], tile_map,
+                        "z long, tx long, ty long, m binary", ["z", "tx", "ty", "m"])
+
+    def blocks_of(t, n, b):  # blocks with a sample whose blend reads tile t (border tiles also serve what lies beyond their centre)
+        first = F.when(t == 0, F.lit(0)).otherwise(F.greatest(F.lit(0), (t - 1) * T + r))
+        last = F.when(t == (n[0] - 1), F.lit(n[1] - 1)).otherwise(F.least(F.lit(n[1] - 1), (t + 1) * T + r - 1))
+        return F.explode(F.sequence(idiv(first, b), idiv(last, b)))
+    to_blocks = (maps.withColumn("gx", blocks_of(F.col("tx"), (ntx, nx), bx)).withColumn("gy", blocks_of(F.col("ty"), (nty, ny), by))
+                 .withColumn("gz", idiv(F.col("z"), bz)).select("gx", "gy", "gz", "z", "tx", "ty", "m", F.lit(None).cast("binary").alias("payload")))
+    none = [F.lit(None).cast("long").alias(c) for c in ("z", "tx", "ty")] + [F.lit(None).cast("binary").alias("m")]
+    grid = bv.grid().select(*G, *none, F.lit(None).cast("binary").alias("payload"))
+    rows = grid.unionByName(bv.df.select(*G, *none, "payload")).unionByName(to_blocks)
+
+    def far(pdf: pd.DataFrame):
+        g = [int(pdf[c].iloc[0]) for c in G]
+        o = [x * b for x, b in zip(g, (bx, by, bz))]
+        s = [min(b, n - x) for x, b, n in zip(o, (bx, by, bz), (nx, ny, nz))]
+        pay = pdf["payload"].dropna()
+        a = decode(pay.iloc[0], dtype, *s) if len(pay) else np.zeros(s[::-1])
+        (x0, x1), (y0, y1) = tiles_of(o[0], s[0], ntx), tiles_of(o[1], s[1], nty)
+        M = np.empty((s[2], y1 - y0 + 1, x1 - x0 + 1, bins))
+        for ty in range(y0, y1 + 1):  # a tile without stored blocks is all zero
+            for tx in range(x0, x1 + 1):
+                h = np.zeros(bins, np.int64)
+                h[b0] = size(tx, ty)
+                M[:, ty - y0, tx - x0] = clahe_maps(h, slope, lo, hi)
+        mp = pdf[pdf["m"].notna()]
+        for z, tx, ty, m in zip(mp["z"], mp["tx"], mp["ty"], mp["m"]):
+            if x0 <= tx <= x1 and y0 <= ty <= y1:
+                M[int(z) - o[2], int(ty) - y0, int(tx) - x0] = np.frombuffer(m, "<f8")
+        return (*g, *o, *s, encode(blend(bin_of(a), M, o, s, x0, y0), out_dtype))
+
+    df = grouped_rows(rows, list(G), far, BLOCK_SCHEMA, BLOCK_COLUMNS)
     return BlockVolume(df, VolumeMeta(bv.dims, out_dtype, rank=bv.meta.rank), bv.block)
 
 
@@ -712,9 +720,9 @@ def affine(bv: BlockVolume, t, target_min, target_size, target_block=None, exten
     """H7 (P9) in block form: target(q) = n-linear interpolation of the extended source at T^-1 q.
 
     Per target block the source bounding box of T^-1(block) is mapped through
-    the extension, exploded to the source blocks it meets (their number is
-    bounded by the block and scale sizes, not by the data), the blocks are
-    trimmed to the box, and one shuffle groups them on the target.
+    the extension and exploded to the source blocks it meets; an equi-join on
+    grid keys brings the blocks, they are trimmed to the box, and one shuffle
+    groups the pieces on the target.
     """
     from .resample import inverse
     spark = bv.df.sparkSession
@@ -748,35 +756,30 @@ def affine(bv: BlockVolume, t, target_min, target_size, target_block=None, exten
     for d, a in enumerate("xyz"):
         b = bv.block[d]
         live = live.withColumn(G[d], F.explode(F.sequence(idiv(F.col(f"mlo{a}"), b), idiv(F.col(f"mhi{a}"), b))))
-    # requests per source block (their number is bounded by block sizes and scale), then a 1:1 join:
-    # every block enters Python once and is cut into the pieces its targets read
-    req = live.select(*G, F.struct("tx", "ty", "tz", "mlox", "mhix", "mloy", "mhiy", "mloz", "mhiz").alias("r"))
-    req = req.groupBy(*G).agg(F.collect_list("r").alias("reqs"))
-    j = bv.df.join(req, list(G))
+    # one row per (target, source block) pair; a block that many targets read (a border under a mirror, zooming in) is a
+    # hot key of an equi-join, which the adaptive skew join splits
+    req = live.select(*G, "tx", "ty", "tz", "mlox", "mhix", "mloy", "mhiy", "mloz", "mhiz")
+    j = req.join(bv.df, list(G))
 
     def trim(it):
+        names = ["tx", "ty", "tz", "px", "py", "pz", "nx", "ny", "nz", "payload"]
         for pdf in it:
-            cols = {k: [] for k in ("tx", "ty", "tz", "px", "py", "pz", "nx", "ny", "nz", "payload")}
+            rows, held = [], 0
             for row in pdf.itertuples(index=False):
                 a = decode(row.payload, dtype, row.sx, row.sy, row.sz)
-                o = (row.ox, row.oy, row.oz)
-                e = (row.ox + row.sx - 1, row.oy + row.sy - 1, row.oz + row.sz - 1)
-                for q in row.reqs:
-                    lo = [max(q["mlo" + c], o[d]) for d, c in enumerate("xyz")]
-                    hi = [min(q["mhi" + c], e[d]) for d, c in enumerate("xyz")]
-                    sub = a[lo[2] - o[2]:hi[2] - o[2] + 1, lo[1] - o[1]:hi[1] - o[1] + 1, lo[0] - o[0]:hi[0] - o[0] + 1]
-                    for k, v in (("tx", q["tx"]), ("ty", q["ty"]), ("tz", q["tz"]), ("px", lo[0]), ("py", lo[1]),
-                                 ("pz", lo[2]), ("nx", hi[0] - lo[0] + 1), ("ny", hi[1] - lo[1] + 1),
-                                 ("nz", hi[2] - lo[2] + 1)):
-                        cols[k].append(int(v))
-                    cols["payload"].append(np.ascontiguousarray(sub).tobytes())
-            if cols["payload"]:
-                out = pd.DataFrame(cols)
-                for k in ("nx", "ny", "nz"):
-                    out[k] = out[k].astype("int32")
-                yield out
-
-    pieces = j.select("ox", "oy", "oz", "sx", "sy", "sz", "payload", "reqs").mapInPandas(
+                o, s = (row.ox, row.oy, row.oz), (row.sx, row.sy, row.sz)
+                lo = [max(m, x) for m, x in zip((row.mlox, row.mloy, row.mloz), o)]
+                hi = [min(m, x + n - 1) for m, x, n in zip((row.mhix, row.mhiy, row.mhiz), o, s)]
+                sub = np.ascontiguousarray(a[lo[2] - o[2]:hi[2] - o[2] + 1, lo[1] - o[1]:hi[1] - o[1] + 1, lo[0] - o[0]:hi[0] - o[0] + 1])
+                rows.append((row.tx, row.ty, row.tz, *lo, *[h - l + 1 for l, h in zip(lo, hi)], sub.tobytes()))
+                held += sub.nbytes
+                if held > 32 << 20:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
+
+    pieces = j.select("tx", "ty", "tz", "mlox", "mhix", "mloy", "mhiy", "mloz", "mhiz", *O, *S, "payload").mapInPandas(
         trim, "tx bigint, ty bigint, tz bigint, px bigint, py bigint, pz bigint, nx int, ny int, nz int, payload binary")
     marks = grid.select(F.col("gx").alias("tx"), F.col("gy").alias("ty"), F.col("gz").alias("tz"),
                         *[F.lit(0).cast("bigint").alias(c) for c in ("px", "py", "pz")],

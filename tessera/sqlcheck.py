@@ -94,6 +94,41 @@ def mirror_double(i: str, n: str) -> str:
     return f"(CASE WHEN {m} < ({n}) THEN {m} ELSE {p} - 1 - {m} END)"
 
 
+def unrotated(x: str, y: str, z: str) -> list[str]:
+    """The view-plane transform (rotate z 0.3, y 0.1, x 0.6, scale 0.9) undone, written out axis by axis."""
+    qx, qy, qz = (f"({c} / 0.9)" for c in (x, y, z))
+    ay, az = f"(cos(0.6) * {qy} + sin(0.6) * {qz})", f"(cos(0.6) * {qz} - sin(0.6) * {qy})"
+    bx, bz = f"(cos(0.1) * {qx} - sin(0.1) * {az})", f"(sin(0.1) * {qx} + cos(0.1) * {az})"
+    return [f"(cos(0.3) * {bx} + sin(0.3) * {ay})", f"(cos(0.3) * {ay} - sin(0.3) * {bx})", bz]
+
+
+def dense_sql(name: str, src: str) -> str:
+    """CTE: every voxel of V4's interval, 0 where ``src`` has no row."""
+    return f"""{name} AS (SELECT tx.i AS x, ty.i AS y, tz.i AS z, COALESCE(s.v, 0) AS v
+  FROM range(0, {NX4}) tx(i) CROSS JOIN range(0, {NY4}) ty(i) CROSS JOIN range(0, {NZ4}) tz(i)
+  LEFT JOIN {src} s ON s.x = tx.i AND s.y = ty.i AND s.z = tz.i)"""
+
+
+def jacobi_sql(src: str, sweeps: int = 6) -> tuple[list[str], str]:
+    """CTEs of cyclic Jacobi rotations on a symmetric 3x3 matrix (columns a00, a01, a02, a11, a12, a22 of ``src``,
+    with x, y, z); in the last one a00, a11, a22 are the eigenvalues."""
+    ctes, cur = [], src
+    for k, (p, r) in enumerate([(0, 1), (0, 2), (1, 2)] * sweeps):
+        o = 3 - p - r
+        n = lambda i, j: f"a{min(i, j)}{max(i, j)}"
+        app, arr, apr, aop, aor = n(p, p), n(r, r), n(p, r), n(o, p), n(o, r)
+        th = f"(({arr} - {app}) / (2.0 * {apr}))"
+        t = f"CASE WHEN {apr} = 0 THEN 0.0 ELSE (CASE WHEN {th} >= 0 THEN 1.0 ELSE -1.0 END) / (abs({th}) + sqrt({th} * {th} + 1.0)) END"
+        ctes.append(f"jt{k} AS (SELECT *, {t} AS t FROM {cur})")
+        ctes.append(f"jc{k} AS (SELECT *, 1.0 / sqrt(t * t + 1.0) AS c FROM jt{k})")
+        new = {app: f"{app} - t * {apr}", arr: f"{arr} + t * {apr}", apr: "0.0", aop: f"c * {aop} - t * c * {aor}",
+               aor: f"t * c * {aop} + c * {aor}"}
+        cols = ", ".join(f"{new.get(a, a)} AS {a}" for a in ("a00", "a01", "a02", "a11", "a12", "a22"))
+        cur = f"jr{k}"
+        ctes.append(f"{cur} AS MATERIALIZED (SELECT x, y, z, {cols} FROM jc{k})")
+    return ctes, cur
+
+
 def box_window_sql(src: str, r: int, out: str = "boxed", vexpr: str = "v") -> str:
     """Two CTEs: RANGE-window sums over x then y (direct frames, no prefix trick)."""
     return f"""{out}_1 AS (
