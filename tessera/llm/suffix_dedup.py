@@ -42,7 +42,7 @@ LENGTH = 200
 GRAM = 64
 PART = 1 << 18  # starts of one text handled at a time
 SLAB = 1 << 19
-CROWD = 1024
+CROWD = 8192
 OUT_ROWS = 1 << 16
 PLACE = (1 << 20) - 1  # over PART + LENGTH
 
@@ -353,8 +353,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 .mapInArrow(lambda it: _compare(it, length, slab), "id long, key long, lo long, span int"))
     ranges = judged.where(F.col("state") == REPEATED).select("id", "key", "lo", "span").unionByName(compared)
     if not judged.where(F.col("state") == CROWDED).isEmpty():
-        starts = written(snippets.where(F.col("state") == CROWDED).mapInArrow(
-            lambda it: _starts(it, length), "id long, key long, lo long, d binary"), "starts")
+        starts = snippets.where(F.col("state") == CROWDED).mapInArrow(
+            lambda it: _starts(it, length), "id long, key long, lo long, d binary")
         often = starts.groupBy("d").count().where("count > 1").select("d")
         ranges = ranges.unionByName(starts.join(often, "d", "left_semi").select("id", "key", "lo", F.lit(0).alias("span")))
     ranges = (ranges.groupBy("id", "key").agg(F.collect_list(F.shiftleft("lo", 16) + F.col("span")).alias("ranges")))
