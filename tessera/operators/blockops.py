@@ -30,10 +30,12 @@ def saturating(op, a: np.ndarray, b: np.ndarray, dtype: str) -> np.ndarray:
         K.to_dtype(b, "int64") if b.dtype.kind == "f" else b.astype(np.int64)
     with np.errstate(over="ignore"):
         exact, near = op(x, y), op(x.astype(np.float64), y.astype(np.float64))
-    ends = np.iinfo(np.dtype(t.numpy))
-    if dtype == "int64":  # where the double result is past the ends, int64 arithmetic has wrapped
-        return np.where(near >= 2.0 ** 63, ends.max, np.where(near < -2.0 ** 63, ends.min, exact))
-    return np.clip(np.where(np.abs(near) < 2.0 ** 62, exact, np.sign(near) * 2.0 ** 62), ends.min, ends.max).astype(np.dtype(t.numpy))
+    ends, out = np.iinfo(np.dtype(t.numpy)), exact
+    large = np.abs(near) >= 2.0 ** 62  # int64 arithmetic may have wrapped: these few again in Python's integers
+    if large.any():
+        out[large] = np.clip(op(x[large].astype(object), y[large].astype(object)), int(np.iinfo(np.int64).min),
+                             int(np.iinfo(np.int64).max)).astype(np.int64)
+    return np.clip(out, ends.min, ends.max).astype(np.dtype(t.numpy))
 
 
 def _check(a: BlockVolume, b: BlockVolume) -> None:

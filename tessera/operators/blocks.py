@@ -485,16 +485,155 @@ def nonempty(bv: BlockVolume) -> BlockVolume:
     return BlockVolume(bv.df.filter(F.col("payload") != zero), bv.meta, bv.block)
 
 
+def prefix_windows(bv: BlockVolume, r: int, axis: int, values, centre, finish, out_dtype: str, out_channels: int = 1,
+                   every_block: bool = False) -> BlockVolume:
+    """Sums over ``[x-r, x+r]`` along one axis, zero beyond the volume, at a cost that does not depend on r.
+
+    ``values(block)`` gives int64 channels to sum (exact, see ``kernels.exact_sums``), ``centre(block)`` what each
+    voxel keeps; ``finish(centre, sums)`` makes the output block.
+
+    1. Every block sends its totals per line; for each row of blocks along the axis they become
+       the sums before each block (one exchange of ``1/block`` of the data).
+    2. These are joined to the blocks on grid keys.  With them a block's running sums hold for the whole line.
+    3. A voxel's window is the running sum at x+r less that at x-r-1: each target block reads two pieces of its own size
+       (one exchange), however far away they are; the last running sum serves all targets past the end.
+    """
+    n, b, nb = bv.dims[axis], bv.block[axis], -(-bv.dims[axis] // bv.block[axis])
+    dims, block, dtype, ch = tuple(bv.dims), tuple(bv.block), bv.dtype, bv.channels
+    ax, others = 2 - axis, [g for d, g in enumerate(G) if d != axis]
+
+    def totals(it):
+        for pdf in it:
+            yield pdf[list(G)].assign(t=[
+                values(decode(x.payload, dtype, x.sx, x.sy, x.sz, ch)).sum(ax).tobytes() for x in pdf.itertuples(index=False)])
+
+    def before(pdf: pd.DataFrame) -> pd.DataFrame:
+        at = pdf.set_index(G[axis])["t"]
+        acc, rows = None, []
+        for g in range(nb):
+            if acc is not None:
+                rows.append((g, acc.tobytes()))
+            if g in at.index:
+                t = np.frombuffer(at[g], np.int64)
+                acc = t.copy() if acc is None else acc + t
+            elif acc is None:
+                continue
+        out = pd.DataFrame(rows, columns=[G[axis], "e"])
+        for c in others:
+            out[c] = pdf[c].iloc[0]
+        return out[[*G, "e"]]
+
+    sums_before = (bv.df.select(*G, *S, "payload").mapInPandas(totals, "gx long, gy long, gz long, t binary")
+                   .groupBy(*others).applyInPandas(before, "gx long, gy long, gz long, e binary"))
+    joined = bv.df.select(*G, "payload").join(sums_before, list(G), "full_outer")
+    names = ["tx", "ty", "tz", "kind", "at", "size", "payload"]
+    CENTRE, AHEAD, BEHIND, REST = 0, 1, 2, 3
+
+    def cut(it):
+        for pdf in it:
+            rows, held = [], 0
+            for row in pdf.itertuples(index=False):
+                g = [row.gx, row.gy, row.gz]
+                o = [int(x) * k for x, k in zip(g, block)]
+                s = [min(k, m - x) for x, k, m in zip(o, block, dims)]
+                a = decode(row.payload, dtype, *s, ch) if row.payload is not None else None
+                shape = (s[2], s[1], s[0], 2)
+                run = np.zeros(shape, np.int64) if a is None else values(a).cumsum(ax)
+                if row.e is not None:
+                    line = [k for d, k in enumerate(shape) if d != ax]
+                    run = run + np.expand_dims(np.frombuffer(row.e, np.int64).reshape(line), ax)
+                lo, hi = o[axis], o[axis] + s[axis]
+
+                def send(kind, first, last, shift):
+                    """The running sums for targets first..last (x - shift is the place read)."""
+                    for t in range(max(0, first) // b, min(n - 1, last) // b + 1):
+                        x0, x1 = max(first, t * b, 0), min(last, t * b + b - 1, n - 1)
+                        if x0 > x1:
+                            continue
+                        if kind == REST:
+                            part = np.take(run, [s[axis] - 1], ax)
+                        else:
+                            part = np.take(run, np.arange(x0 - shift - lo, x1 - shift - lo + 1), ax)
+                        key = list(g)
+                        key[axis] = t
+                        rows.append((*key, kind, x0 - t * b, x1 - x0 + 1, np.ascontiguousarray(part).tobytes()))
+
+                send(AHEAD, lo - r, hi - 1 - r, -r)
+                send(BEHIND, lo + r + 1, hi + r, r + 1)
+                if hi == n:
+                    send(REST, n - r, n - 1, 0)
+                if a is not None:
+                    rows.append((*g, CENTRE, 0, s[axis], np.ascontiguousarray(centre(a)).tobytes()))
+                held = sum(len(x[-1]) for x in rows[-64:]) + held
+                if held > 32 << 20:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
+
+    pieces = joined.select(*G, "payload", "e").mapInPandas(
+        cut, "tx long, ty long, tz long, kind int, at int, size int, payload binary")
+    if every_block:
+        pieces = pieces.unionByName(bv.grid().select(
+            *[F.col(x).alias(t) for x, t in zip(G, ("tx", "ty", "tz"))], F.lit(REST).alias("kind"), F.lit(0).alias("at"),
+            F.lit(0).alias("size"), F.lit(None).cast("binary").alias("payload")))
+
+    def target(pdf: pd.DataFrame):
+        g = [int(pdf[c].iloc[0]) for c in ("tx", "ty", "tz")]
+        o = [x * k for x, k in zip(g, block)]
+        s = [min(k, m - x) for x, k, m in zip(o, block, dims)]
+        acc, mid = np.zeros((s[2], s[1], s[0], 2), np.int64), np.zeros((s[2], s[1], s[0]), np.int64)
+        for kind, at, size, payload in zip(pdf["kind"], pdf["at"], pdf["size"], pdf["payload"]):
+            if payload is None:
+                continue
+            if kind == CENTRE:
+                mid = np.frombuffer(payload, np.int64).reshape(mid.shape)
+                continue
+            where = [slice(None)] * 4
+            where[ax] = slice(int(at), int(at) + int(size))
+            shape = [s[2], s[1], s[0], 2]
+            shape[ax] = 1 if kind == REST else int(size)
+            part = np.frombuffer(payload, np.int64).reshape(shape)
+            if kind == BEHIND:
+                acc[tuple(where)] -= part
+            else:
+                acc[tuple(where)] += part
+        return (*g, *o, *s, encode(finish(mid, acc), out_dtype))
+
+    df = grouped_rows(pieces, ["tx", "ty", "tz"], target, BLOCK_SCHEMA, BLOCK_COLUMNS)
+    return BlockVolume(df, VolumeMeta(dims, out_dtype, rank=bv.meta.rank), block, out_channels)
+
+
 def cllcn_strips(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, gamma: float = 0.5,
                  center: bool = True, stretch: bool = True, keep_min_max: bool = True, extension: str = "zero",
-                 min_intensity: float = 0.0, max_intensity: float = 65535.0) -> BlockVolume:
-    """CLLCN as two separable passes; each ships a voxel to ``1 + 2 ceil(r/b)`` targets
-    instead of ``(1 + 2 ceil(r/b))^2``, and a group is a strip, not a 2-D square.
+                 min_intensity: float = 0.0, max_intensity: float = 65535.0, prefix: bool | None = None) -> BlockVolume:
+    """CLLCN as two separable passes, for large radii.
 
-    Slices are independent, so strips are as thin in z as ``MAX_GROUP_BYTES`` asks;
-    thinner ones are put back into the input's blocks at the end.
+    Exact types with a zero border: running sums (``prefix_windows``), which ship two pieces
+    of a block's size per pass whatever the radius.  Otherwise halo strips: a voxel goes to ``1 + 2 ceil(r/b)``
+    targets; slices are independent, so strips are as thin in z as
+    ``MAX_GROUP_BYTES`` asks, and thinner ones are put back into the input's blocks at the end.
     """
     exact = K.exact_sums(bv.dtype, r)
+    out_dtype = bv.dtype
+    zp = keep_min_max and min_intensity == 0.0 and center and stretch and gamma != 1
+
+    def formula(v, S, Q):
+        res = K.cllcn_from_sums(v.astype(np.float64), S.astype(np.float64), Q.astype(np.float64), r, k, limit, gamma, center,
+                                stretch, keep_min_max, min_intensity, max_intensity)
+        stored = res.astype(np.float32).astype(np.float64)
+        return K.to_dtype(K.clamp(stored, min_intensity, max_intensity), out_dtype)
+
+    if prefix is None:
+        prefix = exact and extension == "zero"
+    if prefix:
+        if not exact or extension != "zero":
+            raise ValueError("running sums need an exact voxel type and a zero border")
+        sums = prefix_windows(bv, r, 0, lambda a: np.stack([a.astype(np.int64), a.astype(np.int64) ** 2], -1),
+                              lambda a: a.astype(np.int64), lambda v, acc: np.concatenate([v[..., None], acc], -1), "int64", 3)
+        return prefix_windows(sums, r, 1, lambda a: a[..., 1:], lambda a: a[..., 0],
+                              lambda v, acc: formula(v, acc[..., 0], acc[..., 1]), out_dtype, every_block=not zp)
+
     cdt = "int64" if exact else "float64"
     bx, by, bz = bv.block
     row = max((bx + 2 * r) * by, (by + 2 * r) * bx) * 8 * 3 * 4  # bytes of a slice's strip with its sums
@@ -507,19 +646,13 @@ def cllcn_strips(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, g
         return np.stack([v[:, :, r:r + s.shape[2]], s, q], axis=-1)
 
     sums = map_blocks(bv, pass_x, (r, 0, 0), extension, cdt, zero_preserving=True, out_channels=3, target_block=thin)
-    out_dtype = bv.dtype
 
     def pass_y(a):
         h = a.shape[1] - 2 * r
         with np.errstate(invalid="ignore", over="ignore"):
-            win = K.window_sums(a[..., 1:], 2 * r + 1, 1).astype(np.float64)
-        v = a[:, r:r + h, :, 0].astype(np.float64)
-        res = K.cllcn_from_sums(v, win[..., 0], win[..., 1], r, k, limit, gamma, center, stretch, keep_min_max,
-                                min_intensity, max_intensity)
-        stored = res.astype(np.float32).astype(np.float64)
-        return K.to_dtype(K.clamp(stored, min_intensity, max_intensity), out_dtype)
+            win = K.window_sums(a[..., 1:], 2 * r + 1, 1)
+        return formula(a[:, r:r + h, :, 0], win[..., 0], win[..., 1])
 
-    zp = keep_min_max and min_intensity == 0.0 and center and stretch and gamma != 1
     out = map_blocks(sums, pass_y, (0, r, 0), extension, out_dtype, zero_preserving=zp)
     return out if thin == tuple(bv.block) else retile(out, bv.block)
 

@@ -46,9 +46,11 @@ def downsample2(vol: Volume, out_dtype: str | None = None) -> Volume:
 
 def pyramid(vol: Volume, levels: int, out_dtype: str | None = None) -> list[Volume]:
     """H6: repeated H4; level k is rounded to the type before level k+1 reads it."""
+    from ..session import cut_lineage
     out, cur = [], vol
     for _ in range(levels):
         cur = downsample2(cur, out_dtype)
+        cur = cur.with_df(cut_lineage(cur.df))  # read by the next level and by the caller: computed once
         out.append(cur)
     return out
 
