@@ -476,15 +476,17 @@ def _view_3d_sql(size=(48, 48)):
     dims = [f"(({n} + 1) // 2)" for n in (q.NX4, q.NY4, q.NZ4)]
     cnt = " * ".join(f"least(2, {n} - 2 * t{a})" for a, n in zip("xyz", (q.NX4, q.NY4, q.NZ4)))
     ds = f"""ds AS (SELECT tx AS x, ty AS y, tz AS z, SUM(CAST(v AS DOUBLE)) / CAST({cnt} AS DOUBLE) AS v
-  FROM (SELECT x // 2 AS tx, y // 2 AS ty, z // 2 AS tz, v FROM v4) GROUP BY tx, ty, tz)"""
+  FROM (SELECT x // 2 AS tx, y // 2 AS ty, z // 2 AS tz, v // 50000 AS v FROM v5) GROUP BY tx, ty, tz)"""
     target = f"SELECT CAST(i AS BIGINT) AS x, CAST(j AS BIGINT) AS y, CAST(0 AS BIGINT) AS z FROM range(0, {size[0]}) a(i), range(0, {size[1]}) b(j)"
-    return q.with_(q.V4, q.V4DIMS, ds, *_affine_3d_ctes("ds", dims, target)) \
+    return q.with_(q.V5, q.V4DIMS, ds, *_affine_3d_ctes("ds", dims, target)) \
         + f"SELECT x, y, z, {q.to_int('v', 0, 255, 'SMALLINT')} AS v FROM res"
 
 
 @register("job_view_plane_3d", _view_3d_sql())
 def job_view_plane_3d(spark, sf_dir):
-    """J5 on a 3-D container: x2 downsampling, 3-D rotation, a plane of 48 x 48."""
+    """J5 on a 3-D container (V5 // 50000): x2 downsampling, 3-D rotation, a plane of 48 x 48."""
     root = scratch_dir(spark, "j5-3d")
-    CH.save_blocks(B.from_voxels(_v4_u16(spark, sf_dir), BLK), root, "v4", "n5", "raw")
-    return J.view_plane(spark, root, "v4", (48, 48, 1)).df
+    v5 = fx.lineitem_revenue(spark, sf_dir)
+    small = v5.df.select("x", "y", "z", to_type(F.floor(F.col("v") / 50000), "uint16").alias("v"))
+    CH.save_blocks(B.from_voxels(Volume(small, VolumeMeta(v5.dims, "uint16", rank=3)), BLK), root, "v5", "n5", "raw")
+    return J.view_plane(spark, root, "v5", (48, 48, 1)).df
