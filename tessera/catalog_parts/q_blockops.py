@@ -185,6 +185,13 @@ def cllcn_3d_strips(spark, sf_dir):
     return B.to_voxels(B.cllcn(_v5u(spark, sf_dir), 3, strips=True), drop_zeros=True).df
 
 
+@register("cllcn_large_blocks", _cllcn_3d_sql(5))
+def cllcn_large_blocks(spark, sf_dir):
+    """G11 on V5U in blocks of 64 cubed."""
+    v = _v5u(spark, sf_dir)
+    return B.to_voxels(B.cllcn(B.retile(v, (64, 64, 64)), 5), drop_zeros=True).df
+
+
 @register("cllcn_center_blocks", _cllcn_3d_sql(2, center=True, stretch=False))
 def cllcn_center_blocks(spark, sf_dir):
     """G3 in block form."""

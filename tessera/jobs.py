@@ -19,7 +19,7 @@ from .operators import compare as CMP
 from .operators import resample as RS
 from .sources import chunked as CH
 from .session import cut_lineage
-from .volume import AXES, Volume, VolumeMeta
+from .volume import AXES, Volume
 
 
 def radius_for_scale(scale_index: int, base: int = 1023) -> int:
