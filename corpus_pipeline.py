@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.bpe import bpe_digests
-from tessera.llm.common import table, written
+from tessera.llm.common import WRITTEN, drop_written, table, written
 from tessera.llm.jaccard_join import jaccard_dedup
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.mixing import mix
@@ -58,10 +58,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STAGES applied to ``documents``; each result but the last is written and reread."""
+    """STAGES applied to ``documents``; each result but the last is written and reread.
+
+    What a stage has written on its way, and the result that it read, go as soon as its own is there.
+    """
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
+        before = len(WRITTEN) - (k > 0)
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = written(docs, f"stage{k + 1}")
+            drop_written(spark, WRITTEN[before:-1])
     return docs

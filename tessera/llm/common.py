@@ -22,18 +22,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+WRITTEN: list[str] = []  # paths of the tables that ``written`` has made in this process
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again.
 
     Cuts the lineage with a table that survives lost executors and that can
-    be read with column pruning.
+    be read with column pruning.  Whoever has written out a result may drop what
+    was made for it with ``drop_written``.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing reads any more."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        WRITTEN.remove(p)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -40,6 +40,7 @@ LEAST_CAUGHT = 0.01
 WINDOW = 8  # words
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
+MAX_BROADCAST_REJECTED = 500_000  # rows of an id, a hash and a language
 
 
 def _hashed_windows(h: Column) -> Column:
@@ -162,9 +163,15 @@ def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                    lang_col: str = "lang") -> DataFrame:
     """The documents that are kept, with all their columns.
 
-    Rows and features are written together once, so each text is read once and never shuffled.
+    Only counts are written.  The rejected documents (id, text hash, language) are taken out by an
+    anti-join: broadcast up to MAX_BROADCAST_REJECTED rows, so that no text is shuffled, else by shuffle.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
-                       F.col(text_col).alias("text"))
-    feats = written(features(rows), "quality")
-    return judged(feats, labels, "id").where("kept").select("row.*")
+    named = [F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("key")]
+    feats = written(features(docs.select(*named, F.col(text_col).alias("text"))), "quality")
+    bad = (judged(feats, labels, "id").where("not kept")
+           .select(F.col("id").alias("b_id"), F.col("key").alias("b_key"), F.col("lang").alias("b_lang")).distinct())
+    bad = written(bad, "rejected")
+    if bad.count() <= MAX_BROADCAST_REJECTED:
+        bad = F.broadcast(bad)
+    same = F.col("id").eqNullSafe(F.col("b_id")) & (F.col("key") == F.col("b_key")) & F.col("lang").eqNullSafe(F.col("b_lang"))
+    return docs.select(F.struct("*").alias("row"), *named).join(bad, same, "left_anti").select("row.*")
