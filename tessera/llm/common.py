@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_table(spark: SparkSession, **columns: tuple[pa.DataType, list]) -> DataFrame:
+    """A few rows known at the driver, handed over as Arrow (no Python worker reads them)."""
+    return spark.createDataFrame(pa.table({c: pa.array(values, kind) for c, (kind, values) in columns.items()}))
+
+
 WRITTEN: list[str] = []  # paths of the tables that ``written`` has made in this process
 
 

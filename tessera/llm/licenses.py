@@ -16,10 +16,11 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, UPPER, ascii_lower
+from tessera.llm.common import LOWER, UPPER, ascii_lower, small_table
 
 # fixed values: equivalent spellings, replaced in this order in lower-case text
 SPELLINGS = (("licence", "license"), ("licencing", "licensing"), ("acknowledgment", "acknowledgement"),
@@ -159,7 +160,7 @@ def digest(c: Column) -> Column:
 def known_texts(docs: DataFrame, known: dict[str, tuple[str, ...]]) -> DataFrame:
     """(k_digest, license): one row per digest."""
     rows = [(k, t) for k in sorted(known) for t in known[k]]
-    df = docs.sparkSession.createDataFrame(rows, "license string, text string")
+    df = small_table(docs.sparkSession, license=(pa.string(), [k for k, _ in rows]), text=(pa.string(), [t for _, t in rows]))
     return (df.groupBy(digest(canonical(F.col("text"))).alias("k_digest")).agg(F.min("license").alias("license")))
 
 

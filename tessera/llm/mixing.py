@@ -30,10 +30,11 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import words, written
+from tessera.llm.common import small_table, words, written
 
 TARGET_ENTROPY = 0.97
 MAX_REPEATS = 2.0
@@ -104,8 +105,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         return [(s, 0, 0.0, 1.0, 1, 0) for s, _ in totals]
     w = weights(tokens, solve_exponent(tokens, target_entropy, max_repeats, budget_tokens))
     e = [max(x, 1.0) if budget_tokens is None else x for x in passes(tokens, w, budget_tokens)]  # 1 but for rounding
-    rest = [(s, (x - math.floor(x)) * t) for (s, t), x in zip(totals, e)]
-    room = docs.sparkSession.createDataFrame(rest or [(None, 0.0)], "p_source string, room double")
+    room = small_table(docs.sparkSession, p_source=(pa.string(), [s for s, _ in totals]),
+                       room=(pa.float64(), [(x - math.floor(x)) * t for (_, t), x in zip(totals, e)]))
     run = F.sum("tokens").over(Window.partitionBy("source").orderBy("cell"))  # at most CELLS rows per source
     taken = {r["source"]: r["cells"] for r in hist.withColumn("run", run)
              .join(room, F.col("source").eqNullSafe(F.col("p_source"))).where("run <= room")
@@ -117,8 +118,9 @@ def _copies(docs: DataFrame, rows: list[tuple], id_col: str, text_col: str, sour
             block_tokens: int) -> DataFrame:
     """A row for each copy of a document: row, id, source, tokens, weight, pass, block, order_key."""
     spark = docs.sparkSession
-    table = spark.createDataFrame(rows or [(None, 0, 0.0, 1.0, 1, 0)],
-                                  "p_source string, p_tokens long, weight double, passes double, whole int, cells int")
+    kinds = {"p_source": pa.string(), "p_tokens": pa.int64(), "weight": pa.float64(), "passes": pa.float64(), "whole": pa.int32(),
+             "cells": pa.int32()}
+    table = small_table(spark, **{c: (kind, [r[k] for r in rows]) for k, (c, kind) in enumerate(kinds.items())})
     if len(rows) <= MAX_BROADCAST_SOURCES:
         table = F.broadcast(table)
     blocks = max(1, math.ceil(sum(t * p for _, t, _, p, _, _ in rows) / block_tokens))
