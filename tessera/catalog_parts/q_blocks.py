@@ -99,7 +99,14 @@ def map_blocks_udf(spark, sf_dir):
 @register("cllcn_strips", ORACLES["cllcn"])
 def cllcn_strips(spark, sf_dir):
     """G11 through two strip passes (x sums with halo (5,0,0), then y sums + formula with halo (0,5,0)),
-    the plan used automatically for large radii."""
+    the plan for large radii where running sums do not apply."""
+    bv = B.from_voxels(fx.embedding_u16(spark, sf_dir), (16, 16, 1))
+    return B.to_voxels(B.cllcn_strips(bv, 5, prefix=False)).df
+
+
+@register("cllcn_running_sums", ORACLES["cllcn"])
+def cllcn_running_sums(spark, sf_dir):
+    """G11 through running sums along x, then y, the plan used automatically for large radii."""
     bv = B.from_voxels(fx.embedding_u16(spark, sf_dir), (16, 16, 1))
     return B.to_voxels(B.cllcn(bv, 5, strips=True)).df
 
