@@ -98,22 +98,27 @@ def test_file_uri(spark, mk, root):
     assert np.array_equal(read(spark, root, "d")[0], a) and np.array_equal(read(spark, f"file://{root}", "d")[0], a)
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Unset:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
     class Context:
         master = "spark://head:7077"
-        getConf = spark.sparkContext.getConf
-        getCheckpointDir = staticmethod(lambda: None)
 
-    class Session:
-        sparkContext = Context()
+        @staticmethod
+        def getConf():
+            return Unset
 
-        class conf:
-            get = staticmethod(lambda key, default=None: default)
-    conf = spark.sparkContext.getConf()
-    if conf.get("spark.checkpoint.dir", None):
-        pytest.skip("the session names a folder")
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext, conf = Context, Unset
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.ensure_checkpoint_dir(Session())
+        session.ensure_checkpoint_dir(Session)
 
 
 def test_fixture_dims_come_from_the_tables(spark, tmp_path):
