@@ -127,14 +127,14 @@ def _judge(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordB
             h = t.column("h").to_numpy()
         if done and crowded is not None:  # rows of the crowded anchor come first
             n = int((h[:done] == crowded).sum())
-            yield from _state(t.slice(0, n), np.full(n, CROWDED))
+            yield from _crowded(t.slice(0, n))
             t, done, h = t.slice(n), done - n, h[n:]
             crowded = None
         if done:
             yield from _groups(t.slice(0, done), crowd)
         carry = t.slice(done) if b is not None else None
         if carry is not None and carry.num_rows > 16 * crowd:  # one anchor only; its ranges are passed on as they come
-            yield from _state(carry, np.full(carry.num_rows, CROWDED))
+            yield from _crowded(carry)
             crowded, carry = int(h[-1]), None
 
 
@@ -143,6 +143,13 @@ def _with_end(batches):
     yield None
 
 
+def _crowded(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a crowded anchor, passed on as they come; one that has copies in its batch stands for them and is REPEATED."""
+    w = t.column("w").to_numpy()
+    yield from _state(t, np.where(w > 0, CROWDED, 0))
+    yield from _state(t, np.where(w == 1, 0, REPEATED))
+
+
 def _groups(t: pa.RecordBatch, crowd: int) -> Iterator[pa.RecordBatch]:
     h, g, w = (t.column(x).to_numpy() for x in ("h", "g", "w"))
     real = w > 0

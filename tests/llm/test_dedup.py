@@ -122,6 +122,23 @@ def test_suffix_dedup_parts(spark, monkeypatch):
         assert sorted(s for lo, hi in ranges for s in range(lo, hi + 1)) == list(range(len(t) - 39))
 
 
+def test_suffix_dedup_copies_in_a_crowd(spark):
+    """Copies within one batch whose anchor has so many rows that it is streamed."""
+    rng = random.Random(9)
+    passage = "".join(rng.choices("abcdefgh ", k=300))
+    texts = ["".join(rng.choices("stuvwxyz", k=8)) + passage for _ in range(60)]
+    rows = list(enumerate([t for t in texts[:5] for _ in range(2)] + texts[5:]))
+    most = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(most)
+    spark.conf.set(most, "20")
+    try:
+        table = docs(spark, rows).coalesce(1).sortWithinPartitions("doc_id")
+        got = rows_of(S.suffix_dedup(table, length=80, gram=16, crowd=1), "doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+    finally:
+        spark.conf.set(most, before)
+    assert got == in_order((i, *b) for (i, _), b in zip(rows, brute_removed([t.encode() for _, t in rows], 80)))
+
+
 def test_suffix_dedup_empty(spark):
     assert S.suffix_dedup_digests(docs(spark, [])).count() == 0
 
