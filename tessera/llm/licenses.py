@@ -16,6 +16,8 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,7 @@ SPELLINGS = (("licence", "license"), ("licencing", "licensing"), ("acknowledgmen
              ("noncommercial", "non commercial"), ("organis", "organiz"), ("per cent", "percent"),
              ("recognis", "recogniz"), ("sub-license", "sublicense"), ("utilis", "utiliz"), ("whilst", "while"),
              ("wilful", "willful"), ("https://", "http://"), ("&", " and "))
+EMPTY = hashlib.sha256(b"").hexdigest()
 COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright|\(c\)|©)"
 
 # fixed values: one-line notices and what they name
@@ -141,11 +144,20 @@ KNOWN = {
 } | {k + "-notice": v for k, v in NOTICES.items()}
 
 
-def canonical_words(text: Column) -> Column:
-    """Lower-cased text without copyright marks to canonical form."""
+def respelled(text: Column) -> Column:
     for old, new in SPELLINGS:
         text = F.replace(text, F.lit(old), F.lit(new))
-    return F.btrim(F.regexp_replace(text, "[^a-z0-9]+", " "))
+    return text
+
+
+def canonical_words(text: Column) -> Column:
+    """Lower-cased text without copyright marks to canonical form."""
+    return F.btrim(F.regexp_replace(respelled(text), "[^a-z0-9]+", " "))
+
+
+def canonical_lines(text: Column) -> Column:
+    """``canonical_words`` of every line of lower-cased text but for blanks at the ends; no spelling holds a line end."""
+    return F.split(F.regexp_replace(respelled(text), "[^a-z0-9\n]+", " "), "\n")
 
 
 def canonical(text: Column) -> Column:
@@ -168,13 +180,11 @@ def license_scan(docs: DataFrame, known: dict[str, tuple[str, ...]] = KNOWN,
                  notices: dict[str, tuple[str, ...]] = NOTICES) -> DataFrame:
     """Per document: doc_id, canonical_sha256, license (of the entire text, or null), notices (names, sorted, once each)."""
     # the dictionaries are parameters of fixed size: a few rows
-    names = {r["k_digest"]: r["license"] for r in known_texts(docs, notices).collect()}
+    names = {r["k_digest"]: r["license"] for r in known_texts(docs, notices).collect() if r["k_digest"] != EMPTY}
     pairs = [F.lit(x) for d in sorted(names) for x in (d, names[d])]
     lookup = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-    lines = F.split(ascii_lower(F.coalesce("text", F.lit(""))), "\n")
-    # a notice holds one of these words; other lines cannot match and are not canonicalised
-    hints = F.filter(lines, lambda x: x.contains("licen") | x.contains("rights reserved"))
-    found = F.transform(hints, lambda x: lookup[digest(canonical_words(x))])
+    lines = canonical_lines(ascii_lower(F.coalesce("text", F.lit(""))))
+    found = F.transform(lines, lambda x: lookup[digest(F.btrim(x))])
     rows = docs.select("doc_id", digest(canonical(F.col("text"))).alias("canonical_sha256"),
                        F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull()))).alias("notices"))
     got = rows.join(F.broadcast(known_texts(docs, known)), F.col("canonical_sha256") == F.col("k_digest"), "left")

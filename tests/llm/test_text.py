@@ -119,6 +119,15 @@ def test_license_texts(spark):
     assert C.license_scan(docs(spark, [])).count() == 0
 
 
+def test_notices_in_any_spelling_of_a_line(spark):
+    lines = ["All  rights reserved.", "All rights\treserved", "all\u00a0rights reserved", "ALL RIGHTS-RESERVED", "all rights reserved"]
+    rows = [(k, f"text\r\n{x}\r\n\nmore") for k, x in enumerate(lines)]
+    assert {r.notices for r in C.license_scan(docs(spark, rows)).collect()} == {"all-rights-reserved"}
+    own = {"own": ("Do not copy!",), "blank": ("(c) 2020",)}
+    rows = [(1, "a\nDO NOT  COPY\n\nb"), (2, "do not\ncopy"), (3, "all rights reserved\n")]
+    assert rows_of(C.license_scan(docs(spark, rows), notices=own), "doc_id", "notices") == [(1, "own"), (2, ""), (3, "")]
+
+
 # mixing ----------------------------------------------------------------------------
 
 def test_exponent():
