@@ -8,8 +8,8 @@ rejects "at least ``risk / rules`` of the good documents fall above it" at
 level ``delta / (strata * rules * cutoffs)`` (Bonferroni over every test that
 is made), so with probability 1 - ``delta`` every stratum loses at most ``risk`` of its
 good documents.  Of the certified cutoffs the one that rejects most bad
-labelled documents is used, the loosest in a tie; a rule without a certified cutoff, or whose cutoffs find
-less than ``LEAST_CAUGHT`` of the stratum's bad documents, rejects nothing.  The grid is fixed beforehand, so all labelled rows
+labelled documents is used, the loosest in a tie; a rule without a certified cutoff that
+finds a bad one rejects nothing, whatever share of the bad ones the rule is after.  The grid is fixed beforehand, so all labelled rows
 serve as holdout.
 
 Strata are the listed languages and one for the rest, so the table of cutoffs
@@ -36,7 +36,6 @@ RULES = ("symbol_share", "same_word_share", "dup_line_share", "repeat_share")
 CUTOFFS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5)
 RISK = 0.02
 DELTA = 0.05
-LEAST_CAUGHT = 0.01
 WINDOW = 8  # words
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -126,14 +125,14 @@ def cutoffs(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang_co
             .join(good, F.col("id") == F.col("l_id")))
     cells = [(r, c) for r in RULES for c in grid]
     counts = held.groupBy("stratum").agg(
-        F.count_if("good").alias("n"), F.count_if(~F.col("good")).alias("bad"),
+        F.count_if("good").alias("n"),
         *[F.count_if(F.col("good") & (F.col(r) > c)).alias(f"g{i}") for i, (r, c) in enumerate(cells)],
         *[F.count_if(~F.col("good") & (F.col(r) > c)).alias(f"b{i}") for i, (r, c) in enumerate(cells)])
     tests = (len(langs) + 1) * len(cells)
-    one = counts.select("stratum", "n", "bad", F.explode(F.array(*[
+    one = counts.select("stratum", "n", F.explode(F.array(*[
         F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"g{i}").alias("k"), F.col(f"b{i}").alias("caught"))
-        for i, (r, c) in enumerate(cells)])).alias("x")).select("stratum", "n", "bad", "x.*")
-    certified = one.where((F.col("caught") > 0) & (F.col("caught") >= LEAST_CAUGHT * F.col("bad"))
+        for i, (r, c) in enumerate(cells)])).alias("x")).select("stratum", "n", "x.*")
+    certified = one.where((F.col("caught") > 0)
                           & (binomial_cdf(F.col("k"), F.col("n"), risk / len(RULES)) <= delta / tests))
     best = certified.groupBy("stratum", "rule").agg(F.max(F.struct("caught", "cutoff"))["cutoff"].alias("cutoff"))
     return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))

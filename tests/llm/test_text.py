@@ -211,6 +211,18 @@ def test_certified_cutoffs(spark):
     assert all(r.kept for r in Q.quality_report(other, labels).collect())  # that stratum has no good rows
 
 
+def test_rare_junk_beside_common_junk(spark):
+    """A rule acts on what it finds, however many bad documents of another kind the stratum has."""
+    rng = random.Random(10)
+    vocab = [f"w{k}" for k in range(500)]
+    plain = [(k, " ".join(rng.choices(vocab, k=30))) for k in range(3000)]
+    junk = [(5000 + k, " ".join(w + "###" for w in rng.choices(vocab, k=30))) for k in range(5)]
+    labels = spark.createDataFrame([(i, int(i < 2000), 0) for i, _ in plain + junk], LABELS)  # 1,000 plain ones are bad too
+    table = docs(spark, plain + junk).withColumn("lang", F.lit("en"))
+    got = {r.doc_id: r.kept for r in Q.quality_report(table, labels).collect()}
+    assert all(got[i] for i, _ in plain if i < 2000) and not any(got[i] for i, _ in junk)
+
+
 def test_quality_empty(spark):
     none = spark.createDataFrame([], LABELS)
     assert Q.quality_report(docs(spark, []), none).count() == Q.quality_filter(docs(spark, []), none).count() == 0
