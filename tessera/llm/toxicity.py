@@ -7,13 +7,16 @@ so that two words rarely share all rows and inflected forms share some.  Filters
 whole text, and a logistic layer gives the score.  Training is
 Adam on the log loss; one embedding dimension starts from the bucket's log
 odds in the training rows.  A Platt fit on rows set aside makes the score a
-probability.  From the same rows a threshold per language is calibrated
-(highest F1); it is an extra column, the language is no input of the score.
+probability at the class shares of the sample.  A threshold per language is calibrated
+(highest F1) on the scores of all labelled rows outside the held-out fold that
+were not trained on, counted by language and score bin, each class
+weighted to its share of the labels; it is an extra column, the language is no input of the score.
 
 The training sample is bounded: about ``TOXIC`` rows with label 1 and
 ``CLEAN`` rows with label 0, picked by a hash of the id (all
-rows where there are fewer).  Every document is scored on its whole text, in
-pieces that overlap by the widest filter less one word, so memory is bounded.
+rows where there are fewer).  Every document is scored once on its whole text, in
+pieces that overlap by the widest filter less one word, so memory is bounded; the scores
+are written, and the thresholds are found and applied without the texts.
 
 Defined cases: null, empty and wordless texts are scored (all filters pool
 0); null ids count as the empty text for the fold; a doc_id with several labels is toxic if
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_mod
+from tessera.llm.common import crc_mod, written
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -45,6 +48,7 @@ BATCH = 32
 RATE = 0.01
 PIECE = 1 << 15  # words scored at a time
 THRESHOLD = 0.7
+BINS = 1 << 12  # of scores, for the thresholds
 HELD_OUT_FOLD, FOLDS = 1, 3
 TABLES = ("e0", "e1", "e2")
 
@@ -78,7 +82,6 @@ class Net:
             self.p[f"b{w}"] = np.zeros(FILTERS, f)
         self.platt = (1.0, 0.0)
         self.constant: float | None = None
-        self.thresholds: dict[str, float] = {}
 
     def pooled(self, h: np.ndarray, where: bool = False):
         """Maximum of every filter over the words ``h`` (0 at least), and its place."""
@@ -185,69 +188,111 @@ def platt(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
-    """Middle of the gap below the cut with the highest F1; THRESHOLD where a class is missing."""
-    if not 0 < y.sum() < len(y):
+def best_threshold(scores: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, top: np.ndarray | None = None) -> float:
+    """Middle of the gap below the cut with the highest F1; THRESHOLD where a class is missing.
+
+    An entry may stand for ``n`` rows, ``y`` of them toxic, with scores from ``scores`` to ``top``.
+    """
+    n, top = np.ones(len(y)) if n is None else n, scores if top is None else top
+    if not 0 < y.sum() < n.sum():
         return THRESHOLD
     order = np.argsort(-scores, kind="stable")
     s, hit = scores[order], np.cumsum(y[order])
-    f1 = 2 * hit / (np.arange(1, len(s) + 1) + y.sum())
+    f1 = 2 * hit / (np.cumsum(n[order]) + y.sum())
     last = np.append(s[1:] < s[:-1], True)  # equal scores are cut together
     i = int(np.where(last, f1, -1).argmax())
-    return float((s[i] + (s[i + 1] if i + 1 < len(s) else 0.0)) / 2)
+    return float((s[i] + (top[order][i + 1] if i + 1 < len(s) else 0.0)) / 2)
 
 
-def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> Net:
-    """Train on the bounded sample of rows outside the held-out fold; a fifth of it is set aside for calibration."""
+def learnable(labels: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """(l_id, y, sampled, aside) of the labelled ids outside the held-out fold; a fifth is set aside for calibration."""
     lab = (labels.where("toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("l_id"))
            .agg(F.max((F.col("toxic") >= 1).cast("int")).alias("y")))
     n = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count("*").alias("n")).collect()}
     limit = F.when(F.col("y") == 1, toxic / max(1, n.get(1, 0))).otherwise(clean / max(1, n.get(0, 0)))
     share = F.pmod(F.xxhash64("l_id"), F.lit(1 << 40)) / float(1 << 40)
-    # about toxic + clean rows of two numbers: bounded by the parameters, so broadcast, and the texts are not shuffled
-    got = docs.select("doc_id", "lang", "text").join(F.broadcast(lab.where(share < limit)), F.col("doc_id") == F.col("l_id")).select(
-        "lang", "y", word_buckets(F.col("text")).alias("h"), F.pmod(F.xxhash64(F.lit(1), "l_id"), F.lit(5)).alias("part"),
-        "doc_id").toArrow()
+    return lab.select("l_id", "y", (share < limit).alias("sampled"),
+                      (F.pmod(F.xxhash64(F.lit(1), "l_id"), F.lit(5)) == 0).alias("aside"))
+
+
+def fit(docs: DataFrame, lab: DataFrame) -> Net:
+    """Train on the bounded sample; what is set aside of it gives the Platt fit."""
+    # about toxic + clean rows of a few numbers: bounded by the parameters, so broadcast, and the texts are not shuffled
+    got = docs.select("doc_id", "text").join(F.broadcast(lab.where("sampled")), F.col("doc_id") == F.col("l_id")).select(
+        "y", word_buckets(F.col("text")).alias("h"), "aside", "doc_id").toArrow()
     order = sorted(range(got.num_rows), key=lambda i: (got["doc_id"][i].as_py() or 0, i))
     texts = [got["h"][i].values.to_numpy().astype(np.int64) for i in order]
     y = np.array([got["y"][i].as_py() for i in order], np.int64)
-    part = np.array([got["part"][i].as_py() for i in order])
-    lang = np.array([got["lang"][i].as_py() or "" for i in order], object)
+    aside = np.array([got["aside"][i].as_py() for i in order], bool)
     net = Net()
     if not 0 < y.sum() < len(y):
         net.constant = float(y.mean()) if len(y) else 0.0
         return net
-    use = part != 0 if 0 < y[part != 0].sum() < (part != 0).sum() else part >= 0
+    use = ~aside if 0 < y[~aside].sum() < (~aside).sum() else aside | ~aside
     train(net, [t for t, u in zip(texts, use) if u], y[use])
     aside = ~use if 0 < y[~use].sum() < (~use).sum() else use
     logits = np.array([net.logit(t) for t, u in zip(texts, aside) if u])
-    # the sample holds the classes in other shares than the labels do
     net.platt = platt(logits, y[aside])
-    scores = 1 / (1 + np.exp(-np.clip(net.platt[0] * logits + net.platt[1], -30, 30)))
-    net.thresholds = {g: best_threshold(scores[lang[aside] == g], y[aside][lang[aside] == g])
-                      for g in sorted(set(lang[aside])) if g}
-    net.thresholds[""] = best_threshold(scores, y[aside])
     return net
 
 
+def score_bins(scored: DataFrame, lab: DataFrame) -> DataFrame:
+    """(lang, bin, low, high, toxic, n): scores and weighted counts of the labelled rows that were not trained on.
+
+    Training takes another part of each class, so a class is weighted by its labels over those left.  Where a class
+    has none left, the rows trained on count too.
+    """
+    fresh = ~F.col("sampled") | F.col("aside")
+    n = {r["y"]: r for r in lab.groupBy("y").agg(F.count("*").alias("n"), F.count_if(fresh).alias("left")).collect()}
+    if all(r["left"] for r in n.values()):
+        lab, weight = lab.where(fresh), {y: r["n"] / r["left"] for y, r in n.items()}
+    else:
+        weight = {}
+    counts = (scored.join(lab.select("l_id", "y"), F.col("doc_id") == F.col("l_id"))
+              .groupBy("lang", F.floor(F.col("score") * BINS).alias("bin"))
+              .agg(F.min("score").alias("low"), F.max("score").alias("high"),
+                   F.count_if(F.col("y") == 1).alias("n1"), F.count_if(F.col("y") == 0).alias("n0")))
+    toxic, clean = F.col("n1") * float(weight.get(1, 1)), F.col("n0") * float(weight.get(0, 1))
+    return counts.select("lang", "bin", "low", "high", toxic.alias("toxic"), (toxic + clean).alias("n"))
+
+
+def _best(bins) -> float:
+    return best_threshold(*(bins[c].to_numpy(float) for c in ("low", "toxic", "n", "high")))
+
+
+def with_thresholds(scored: DataFrame, lab: DataFrame) -> DataFrame:
+    """``scored`` with lang_threshold."""
+    bins = written(score_bins(scored, lab), "toxicity-bins")
+    overall = (bins.groupBy("bin").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("toxic").alias("toxic"),
+                                       F.sum("n").alias("n")).orderBy("bin").toPandas())  # BINS rows at most
+    # one row per language, from at most BINS + 1 rows each
+    cuts = bins.where("lang <> ''").groupBy("lang").applyInPandas(
+        lambda p: p[["lang"]].head(1).assign(lang_threshold=_best(p)), "lang string, lang_threshold double")
+    return scored.join(cuts.withColumnRenamed("lang", "c_lang").hint("broadcast"), F.col("lang") == F.col("c_lang"), "left").withColumn(
+        "lang_threshold", F.coalesce("lang_threshold", F.lit(_best(overall))))
+
+
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     net = shared.value
     for b in batches:
         h = b.column("h")
         flat, off = h.values.to_numpy(zero_copy_only=False), h.offsets.to_numpy()
         got = np.array([net.score(flat[off[i]:off[i + 1]]) for i in range(b.num_rows)])
-        cut = np.array([net.thresholds.get(g or "", net.thresholds.get("", THRESHOLD)) for g in b.column("lang").to_pylist()])
-        yield pa.record_batch({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"),
-                               "score": pa.array(got, pa.float64()),
-                               "predicted": pa.array((got >= THRESHOLD).astype(np.int32)),
-                               "lang_threshold": pa.array(cut, pa.float64()),
-                               "flagged": pa.array(got >= cut, pa.bool_())})
+        yield pa.record_batch({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "lang": b.column("lang"),
+                               "score": pa.array(got, pa.float64())})
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted, lang_threshold, flagged (score at or above it)."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **bounds))
+    lab = learnable(labels, toxic, clean)
+    net = fit(docs, lab)
+    shared = docs.sparkSession.sparkContext.broadcast(net)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
                        F.col("lang").cast("string").alias("lang"), word_buckets(F.col("text")).alias("h"))
-    return rows.mapInArrow(lambda it: _score(it, shared), "doc_id long, held_out boolean, score double, predicted int, "
-                                                          "lang_threshold double, flagged boolean")
+    scored = rows.mapInArrow(lambda it: _score(it, shared), "doc_id long, held_out boolean, lang string, score double")
+    if net.constant is None:
+        scored = with_thresholds(written(scored, "toxicity"), lab)
+    else:
+        scored = scored.withColumn("lang_threshold", F.lit(THRESHOLD))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+                         "lang_threshold", (F.col("score") >= F.col("lang_threshold")).alias("flagged"))

@@ -251,6 +251,33 @@ def test_toxicity_cases(spark):
     assert T.toxicity(docs(spark, []), none).count() == 0
 
 
+def test_threshold_of_a_rare_language(spark):
+    """Each language's cut has the highest F1, at the labels' own share of the classes, over all rows not trained on."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(1200):
+        bad = rng.random() < 0.2
+        text = rng.choices([f"w{k}" for k in range(40)], k=12) + ["vile"] * (rng.random() < (0.8 if bad else 0.1))
+        rows.append((i, " ".join(text), "xx" if i % 12 == 0 else "en"))
+        labels.append((i, 1, int(bad)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in T.toxicity(table, spark.createDataFrame(labels, LABELS), toxic=60, clean=90).collect()}
+    lang, toxic = {i: g for i, _, g in rows}, {i: y for i, _, y in labels}
+    cut = {lang[i]: r.lang_threshold for i, r in got.items()}
+    assert len({(lang[i], r.lang_threshold) for i, r in got.items()}) == 2 and T.THRESHOLD not in cut.values()
+    lab = T.learnable(spark.createDataFrame(labels, LABELS), 60, 90).collect()
+    assert {r.l_id for r in lab} == {i for i, r in got.items() if not r.held_out}
+    fresh = [r.l_id for r in lab if not r.sampled or r.aside]
+    weight = [sum(toxic[r.l_id] == y for r in lab) / sum(toxic[i] == y for i in fresh) for y in (0, 1)]
+    for g in ("en", "xx"):
+        at = [i for i in fresh if lang[i] == g]
+
+        def f1(c):
+            hit = sum(weight[1] for i in at if toxic[i] and got[i].score >= c)
+            return 2 * hit / (sum(weight[toxic[i]] for i in at if got[i].score >= c) + sum(weight[1] for i in at if toxic[i]))
+        assert f1(cut[g]) >= max(f1(got[i].score) for i in at) - 0.01  # but for the width of a bin
+
+
 def test_pieces_score_as_whole(monkeypatch):
     net, rng = T.Net(), np.random.default_rng(1)
     h = rng.integers(0, 1 << 57, 500)
