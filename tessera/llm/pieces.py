@@ -6,9 +6,11 @@ piece, the highest score first and of equal scores the leftmost; the pair on top
 and the pairs that it now forms with its neighbours are put on the agenda, until it is empty.
 What is no piece at the end goes out as its UTF-8 bytes.
 
-No merge can reach across two neighbouring characters that no piece holds side by
-side, so a text is cut there first and every part has an agenda of its own: parts that
-come back (words, as a rule) are looked up, and a very long text costs no more than its parts.
+No merge can reach across two neighbouring characters that no piece holds side by side.  Where that holds for a space after
+another character, a text is cut into words, and each has an agenda of its own.  The words of a batch that
+the worker does not remember are encoded together: their agendas are the rows of an array of scores, and in every
+round each word takes the top of its row.  Long words, and texts of models whose pieces reach across spaces, are cut between such
+characters and go through an agenda on a heap, so a very long text costs no more than its parts.
 
 Decoding joins the pieces, U+2581 as a space without the first one; a byte that is no part of
 valid UTF-8 becomes U+FFFD.
@@ -23,6 +25,8 @@ alike and all returned; null ids are kept; an empty table gives an empty result;
 from __future__ import annotations
 
 import heapq
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -35,28 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-KNOWN_PARTS = 1 << 18  # parts of up to KNOWN_CHARS characters whose ids a worker remembers
+KNOWN_WORDS = 1 << 19  # words of up to KNOWN_CHARS characters whose ids a worker remembers
 KNOWN_CHARS = 48
+WIDTHS = (8, 16, 32, KNOWN_CHARS + 1)  # agendas of words up to so many symbols share an array
+FOREIGN = 1 << 21  # symbols of characters that are no piece: this and the code point
+NEVER = np.iinfo(np.int32).max  # place in the agenda of a pair that is no piece
 SLICE_BYTES = 1 << 20  # text encoded at once
 OUT_BYTES = 4 << 20
 
 
-class Parts(dict):
-    """Ids of the parts met so far; ``encode`` makes those of a new one."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, part: str) -> list[int]:
-        ids = self.encode(part)
-        if len(part) <= KNOWN_CHARS:
-            if len(self) >= KNOWN_PARTS:
-                self.clear()
-            self[part] = ids
-        return ids
-
-
 class Pieces:
     """Encoder and decoder of one model file."""
 
@@ -80,7 +71,18 @@ class Pieces:
         # words are cut off by one pattern where no piece holds a space after another character
         self.words = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") \
             if not any(x[0] != SPACE and x[1] == SPACE for x in self.beside) else None
-        self.known_words, self.known_parts = Parts(self.word), Parts(self.part)
+        self.known: dict[str, bytes] = {}  # ids of words, their first space left out, as little-endian unsigned 32-bit integers
+        self.symbol = np.arange(FOREIGN, FOREIGN + 0x110000)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
+        of = lambda p: self.ids.get(p, FOREIGN + ord(p) if len(p) == 1 else None)
+        pairs = sorted((a * 2 * FOREIGN + b, i) for p, i in self.ids.items() for k in range(1, len(p))
+                       if (a := of(p[:k])) is not None and (b := of(p[k:])) is not None)
+        self.pair = np.array([k for k, _ in pairs] + [np.iinfo(np.int64).max])  # the last one stands for no pair
+        self.merged = np.array([i for _, i in pairs] + [-1])
+        scores = np.array([lib.get_score(i) for i in range(n)])
+        self.place = np.append(np.unique(-scores, return_inverse=True)[1][self.merged[:-1]], NEVER).astype(np.int32)
 
     # encoding ---------------------------------------------------------------------
     def agenda(self, text: str) -> list[str]:
@@ -110,31 +112,110 @@ class Pieces:
                     heapq.heappush(heap, (-score[new], prior, left, new))
         return [s for s in symbols if s]
 
-    def word(self, text: str) -> list[int]:
-        """Ids of a word (or a text without words), cut between characters that no piece holds side by side."""
-        cuts = [k for k, two in enumerate(zip(text, text[1:]), 1) if two not in self.beside]
-        if not cuts:
-            return self.known_parts[text]
-        return [i for lo, hi in zip([0, *cuts], [*cuts, len(text)]) for i in self.known_parts[text[lo:hi]]]
-
     def part(self, text: str) -> list[int]:
-        """Ids of the symbols that the agenda leaves."""
+        """Ids of a text, cut between characters that no piece holds side by side."""
+        cuts = [k for k, two in enumerate(zip(text, text[1:]), 1) if two not in self.beside]
         out = []
-        for s in self.agenda(text):
-            i = self.ids.get(s)
-            if i is not None:
-                out.append(i)
-            else:
-                out += [self.bytes[b] for b in s.encode()]
+        for lo, hi in zip([0, *cuts], [*cuts, len(text)]):
+            for s in self.agenda(text[lo:hi]):
+                i = self.ids.get(s)
+                if i is not None:
+                    out.append(i)
+                else:
+                    out += [self.bytes[b] for b in s.encode()]
+        return out
+
+    def agendas(self, words: list[str], width: int) -> list[bytes]:
+        """Packed ids of words of at most ``width`` characters: the agendas side by side, one pair of each word a round."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        chars = self.symbol[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")]
+        at = np.arange(width)
+        done = np.full((len(words), width + 1), -1)  # symbols; -1 behind the last one
+        done[:, :width][at < sizes[:, None]] = chars
+        rows, s = np.arange(len(words)), done.copy()
+        x = np.full(s.shape, len(self.merged) - 1)  # pair of each symbol with the next
+        r, c = np.nonzero(s[:, 1:] >= 0)
+        x[r, c] = self.look_up(s[r, c], s[r, c + 1])
+        while len(rows):
+            top = self.place[x]
+            k = top.argmin(1)  # of equal scores the leftmost
+            all_rows = np.arange(len(rows))
+            live = top[all_rows, k] < NEVER
+            if not live.all():
+                done[rows[~live]] = s[~live]
+                rows, s, x, k = rows[live], s[live], x[live], k[live]
+                all_rows = all_rows[:len(rows)]
+            if not len(rows):
+                break
+            s[all_rows, k] = self.merged[x[all_rows, k]]
+            behind = at >= k[:, None] + 1
+            s[:, :-1][behind], x[:, :-1][behind] = s[:, 1:][behind], x[:, 1:][behind]
+            x[all_rows, k] = self.look_up(s[all_rows, k], s[all_rows, k + 1])
+            left = np.flatnonzero(k)
+            x[left, k[left] - 1] = self.look_up(s[left, k[left] - 1], s[left, k[left]])
+        r, c = np.nonzero(done >= 0)
+        ids = done[r, c]
+        foreign = np.flatnonzero(ids >= FOREIGN)
+        if len(foreign):  # their bytes instead
+            found = [[self.bytes[b] for b in chr(i - FOREIGN).encode("utf-8", "surrogatepass")] for i in ids[foreign].tolist()]
+            n = np.ones(len(ids), np.int64)
+            n[foreign] = [len(f) for f in found]
+            first, ids, r = np.cumsum(n) - n, np.repeat(ids, n), np.repeat(r, n)
+            for f, at_ in zip(found, first[foreign].tolist()):
+                ids[at_:at_ + len(f)] = f
+        raw = ids.astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(r, minlength=len(words)))).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def look_up(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places of pairs of symbols in the table of pairs, the last place if there is none."""
+        key = a * (2 * FOREIGN) + b
+        k = np.searchsorted(self.pair, key)
+        return np.where((self.pair[k] == key) & (b >= 0), k, len(self.pair) - 1)
+
+    def split(self, text: str) -> list[str]:
+        """Words of a text without the space in front of each (the first one's is added)."""
+        if "  " in text or SPACE in text or text[:1] == " " or text[-1:] == " ":
+            return [w[1:] for w in self.words.findall(SPACE + text.replace(" ", SPACE))]
+        return text.split(" ")
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words, those of similar length together."""
+        words.sort(key=len)
+        sizes = list(map(len, words))
+        lo = 0
+        for width in WIDTHS:
+            hi = bisect_left(sizes, width)
+            for k in range(lo, hi, 1 << 15):
+                part = words[k:min(hi, k + (1 << 15))]
+                self.known.update(zip(part, self.agendas([SPACE + w for w in part], width)))
+            lo = hi
+        self.known.update((w, packed(self.part(SPACE + w))) for w in words[lo:])
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts with begin and end."""
+        begin, end = packed([self.begin]), packed([self.end])
+        if self.words is None:
+            return [begin + (packed(self.part(SPACE + t.replace(" ", SPACE))) if t else b"") + end for t in texts]
+        split = [self.split(t) if t else [] for t in texts]
+        needed = set(chain.from_iterable(split))
+        unknown = needed.difference(self.known)
+        if len(self.known) + len(unknown) > KNOWN_WORDS:
+            self.known.clear()
+            unknown = needed
+        unknown = list(unknown)
+        self.learn(unknown)
+        look = self.known.__getitem__
+        out = [b"".join([begin, *map(look, words), end]) for words in split]
+        for w in reversed(unknown):  # sorted by length: long words are not remembered
+            if len(w) <= KNOWN_CHARS:
+                break
+            del self.known[w]
         return out
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text with begin and end."""
-        if not text:
-            return [self.begin, self.end]
-        spaced = SPACE + text.replace(" ", SPACE)
-        parts = self.words.findall(spaced) if self.words else [spaced]
-        return [self.begin, *chain.from_iterable(map(self.known_words.__getitem__, parts)), self.end]
+        return np.frombuffer(self.encode_batch([text])[0], "<u4").tolist()
 
     # decoding ---------------------------------------------------------------------
     def decode(self, ids: list[int]) -> str:
@@ -166,6 +247,10 @@ def _utf8(raw: bytes) -> str:
     return "".join(out)
 
 
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 @cache
 def pieces(path: str) -> Pieces:
     return Pieces(path)
@@ -183,15 +268,15 @@ def _run(batches: Iterator[pa.RecordBatch], path: str, check: bool) -> Iterator[
         cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES, prepend=-1)).tolist() + [b.num_rows]
         for lo, hi in zip(cuts, cuts[1:]):
             texts = b.column("text").slice(lo, hi - lo).to_pylist()
-            ids = [p.encode(t) for t in texts]
-            decoded = [p.decode(i) for i in ids]
+            ids = p.encode_batch(texts)
+            decoded = [p.decode(array("I", i).tolist()) for i in ids]
             agrees = [None] * len(texts)
             if check:
                 theirs = p.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)
-                agrees = [x == y and d == e for x, y, d, e in zip(ids, theirs, decoded, p.library.decode(theirs, num_threads=1))]
+                agrees = [x == packed(y) and d == e for x, y, d, e in zip(ids, theirs, decoded, p.library.decode(theirs, num_threads=1))]
             for doc, i, d, a in zip(b.column("id").slice(lo, hi - lo).to_pylist(), ids, decoded, agrees):
-                rows.append((doc, len(i), np.array(i, "<u4").tobytes(), d, a))
-                held += 5 * len(i) + len(d)
+                rows.append((doc, len(i) // 4, i, d, a))
+                held += len(i) + len(d)
                 if held > OUT_BYTES:
                     yield _rows(rows, check)
                     rows, held = [], 0

@@ -61,9 +61,29 @@ def test_long_texts(text, library):
 
 def test_forgetting(library, monkeypatch):
     """More distinct parts than are remembered."""
-    monkeypatch.setattr(P, "KNOWN_PARTS", 5)
-    p, text = P.Pieces(PATH), " ".join(f"word{k}x" for k in range(200)) * 2
-    assert p.encode(text) == library.encode(text, add_bos=True, add_eos=True) and len(p.known_words) <= 5
+    monkeypatch.setattr(P, "KNOWN_WORDS", 250)
+    p = P.Pieces(PATH)
+    texts = [" ".join(f"word{k}x" for k in range(lo, lo + 90)) + " " + "y" * lo for lo in (0, 60, 120, 60, 0)]
+    for k in range(0, 5, 2):
+        assert p.encode_batch(texts[k:k + 2]) == [packed(i) for i in library.encode(texts[k:k + 2], add_bos=True, add_eos=True)]
+        assert len(p.known) <= 250 and max(map(len, p.known)) <= P.KNOWN_CHARS
+
+
+def test_agendas_side_by_side_equal_the_heap():
+    """Rows of the array and the heap merge alike, foreign characters and equal scores included."""
+    import random
+    p, rng = P.pieces(PATH), random.Random(7)
+    words = ["".join(rng.choices("aeinrst▁  the漢🙂\n", k=rng.randint(1, 40))).replace(" ", P.SPACE) for _ in range(3000)]
+    words = [P.SPACE + w for w in words]
+    assert p.agendas(words, 42) == [packed(p.part(w)) for w in words]
+
+
+def test_models_whose_pieces_reach_across_spaces(library, monkeypatch):
+    """Without cuts at spaces a whole text goes through the heap."""
+    p = P.Pieces(PATH)
+    p.words = None
+    texts = ["the quick  brown fox\n", "", " x "]
+    assert p.encode_batch(texts) == [packed(i) for i in library.encode(texts, add_bos=True, add_eos=True)]
 
 
 @pytest.mark.parametrize("rows", [awkward(), [], [(1, None)]])
