@@ -6,6 +6,7 @@ Everything here returns a Column: JVM-side, whole-stage codegen, no Python.
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
@@ -33,12 +34,20 @@ def to_type(v, dtype: str) -> Column:
         if dtype == "float32":
             return v.cast("float")
         return v.cast("double")
+    lo, hi = F.lit(t.lo if abs(t.hi) < 2 ** 63 else Decimal(t.lo)), F.lit(t.hi if abs(t.hi) < 2 ** 63 else Decimal(t.hi))
     d = v.cast("double")
-    sat = (F.when(F.isnan(d), F.lit(0.0))
-           .when(d <= t.lo, F.lit(float(t.lo)))
-           .when(d >= t.hi, F.lit(float(t.hi)))
-           .otherwise(d))
-    return round_half_away(sat).cast(t.spark)
+    inside = F.when(F.isnan(d) | (d <= float(t.lo)) | (d >= float(t.hi)), F.lit(0.0)).otherwise(d)
+    if dtype == "uint64":  # a bigint holds the lower half of the range; doubles above have no fraction
+        half = float(2 ** 63)
+        rounded = (F.when(inside >= half, (inside - half).cast("bigint").cast("decimal(20,0)") + F.lit(Decimal(2 ** 63)))
+                   .otherwise(round_half_away(F.when(inside >= half, F.lit(0.0)).otherwise(inside)).cast("decimal(20,0)")))
+    else:
+        rounded = round_half_away(inside)
+    from_float = (F.when(F.isnan(d), F.lit(0)).when(d <= float(t.lo), lo).when(d >= float(t.hi), hi)
+                  .otherwise(rounded.cast(t.spark)).cast(t.spark))
+    # an integer column stays one (its type is known when the plan is made, so one branch is left)
+    kept = F.greatest(lo, F.least(hi, v.cast("decimal(20,0)" if dtype == "uint64" else "bigint"))).cast(t.spark)
+    return F.when(F.typeof(v).isin("tinyint", "smallint", "int", "bigint"), kept).otherwise(from_float)
 
 
 def wrap_to(v, dtype: str) -> Column:

@@ -12,7 +12,7 @@ import math
 
 import numpy as np
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from .operators import blocks as B
 from .operators import compare as CMP
@@ -71,20 +71,18 @@ def contrast_export(spark: SparkSession, url: str, dataset: str, outurl: str, bl
 
 
 def smooth_cells(spark: SparkSession, url: str, dataset: str, sigma: float = 3.0, cell: int = 32):
-    """Mirror-double border, float, Gaussian sigma, result in cells of ``cell``."""
+    """Mirror-double border, float, Gaussian sigma, result in cells of ``cell``; cut, smoothed and put into cells in one exchange."""
     src = CH.open_blocks(spark, url, dataset)
-    if tuple(src.block) != (cell,) * 3:
-        src = B.retile(src, tuple(cell if n > 1 else 1 for n in src.dims))
-    return B.gauss(src, (sigma,) * 3, "mirror_double", out_dtype="float32")
+    cells = B.retile(src.chain(), tuple(cell if n > 1 else 1 for n in src.dims))
+    return B.gauss(cells, (sigma,) * 3, "mirror_double", out_dtype="float32")
 
 
 def view_plane(spark: SparkSession, url: str, dataset: str, size=(512, 512, 1), target_block=None) -> Volume:
     """Mirror-double, float, x2 downsampling, affine (rotate z 0.3, y 0.1, x 0.6; scale 0.9),
     n-linear, back to uint8, on the plane ``[0, size)``.  Block form throughout."""
     src = CH.open_blocks(spark, url, dataset)
-    even = tuple(b + (b % 2) if n > 1 else b for b, n in zip(src.block, src.dims))
-    if even != tuple(src.block):
-        src = B.retile(src, even)
+    if any(b % 2 for b, n in zip(src.block, src.dims) if n > 1):
+        src = src.chain()  # blocks of an odd size are halved in an exchange
     ds = B.downsample2(src, "float64")
     t = RS.affine_identity()
     for axis, ang in ((2, 0.3), (1, 0.1), (0, 0.6)):
@@ -128,22 +126,15 @@ def main(argv=None):
 
 def write_pyramid(spark: SparkSession, url: str, dataset: str, levels: int, outurl: str | None = None,
                   group: str | None = None) -> list[str]:
-    """H6 as a job: level k+1 = x2 downsampling of level k (rounded to the type), each level
-    written as its own dataset ``<group>/s<k>`` in the source's block size and re-opened from
-    storage, so lineage never grows with the number of levels."""
+    """H6 as a job: x2 downsampling again and again (rounded to the type at each level), all levels from one read of the
+    source and written in one job, each as its own dataset ``<group>/s<k>`` in the source's block size."""
     outurl = outurl or url
     group = group or dataset.rsplit("/", 1)[0]
-    cur = CH.open_blocks(spark, url, dataset)
-    block = tuple(cur.block)
-    names = []
-    for k in range(1, levels + 1):
-        even = tuple(b + (b % 2) if n > 1 else b for b, n in zip(cur.block, cur.dims))
-        src = B.retile(cur, even) if even != tuple(cur.block) else cur
-        down = B.downsample2(src)
-        name = f"{group}/s{k}"
-        CH.save_blocks(down, outurl, name, "n5", "gzip", block=block)
-        names.append(name)
-        cur = CH.open_blocks(spark, outurl, name)
+    src = CH.open_blocks(spark, url, dataset)
+    rows, metas = B.pyramid(src, levels)
+    names = [f"{group}/s{k}" for k in range(1, levels + 1)]
+    CH.save_many(rows.withColumn("dataset", F.concat(F.lit(f"{group}/s"), F.col("level").cast("string"))), outurl,
+                 {name: (meta, src.block) for name, meta in zip(names, metas)}, "n5", "gzip")
     return names
 
 

@@ -1,7 +1,8 @@
 """Block form of the pairwise operators (E1-E7), stencils (F3, F6, F7), user kernels (F10) and views.
 
 Pairwise operators join equally blocked volumes on the grid position, so a
-shuffle moves payloads, not voxels.  Stencils are one halo exchange each.
+shuffle moves payloads, not voxels; volumes on different grids (translated, cropped, other blocks) are cut on the result's
+grid and meet in one exchange (``combine``).  Stencils are one halo exchange each.
 Views filter grid keys (pushed into the chunk source) and cut payloads; a crop
 that is not aligned with the blocks is one exchange.
 """
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..volume import dtype_of
 from . import kernels as K
-from .blocks import (BLOCK_COLUMNS, BLOCK_SCHEMA, BlockVolume, G, O, S, decode, encode, grouped_rows, map_blocks)
+from .halo import (BLOCK_COLUMNS, BLOCK_SCHEMA, BlockVolume, G, O, Outbox, S, decode, encode, gathered, grouped_rows, map_blocks,
+                   on_interval, operand)
 
 
 # ------------------------------------------------------------------ E1-E7
@@ -38,17 +40,41 @@ def saturating(op, a: np.ndarray, b: np.ndarray, dtype: str) -> np.ndarray:
     return np.clip(out, ends.min, ends.max).astype(np.dtype(t.numpy))
 
 
-def _check(a: BlockVolume, b: BlockVolume) -> None:
-    if tuple(a.block) != tuple(b.block) or tuple(a.dims) != tuple(b.dims):
-        raise ValueError("pairwise operators need equal dims and blocks; retile one side first")
+def aligned(*volumes: BlockVolume) -> bool:
+    """Whether the volumes share interval and blocks, so that equal grid positions hold equal coordinates."""
+    first = volumes[0]
+    return all(v.source is None and tuple(v.block) == tuple(first.block) and tuple(v.dims) == tuple(first.dims)
+               and tuple(v.meta.min) == tuple(first.meta.min) for v in volumes)
 
 
-def pairwise(a: BlockVolume, b: BlockVolume, fn, out_dtype: str, how: str = "full_outer", channels: int = 1) -> BlockVolume:
-    """``fn(block of A, block of B)`` on equal grid positions; an absent block is zero.
+def combine(volumes: list[BlockVolume], fn, out_dtype: str, on: BlockVolume | None = None, extension="zero",
+            how: str = "full_outer", channels: int = 1) -> BlockVolume:
+    """``fn(block of each volume)`` on the interval and the blocks of ``on`` (the first volume), voxel by voxel at equal coordinates.
 
+    Beyond its own interval a volume is extended (one rule, or one for each).  Their origins, sizes and blocks may differ: every
+    source block is cut on the grid of the result and its pieces regrouped, all volumes in one exchange; the
+    stages of a chain run there too.  ``how``: "full_outer" gives blocks that some volume reaches, "inner" those that
+    all reach, "grid" all.
+    """
+    on = volumes[0] if on is None else on
+    rules = [extension] * len(volumes) if isinstance(extension, str) else list(extension)
+    meta = replace(on.meta, dtype=out_dtype, dense=False)
+    every = how == "grid" or how == "full_outer" and any(not s.zero_preserving for v in volumes for s in v.stages)
+    df = gathered([operand(v, e) for v, e in zip(volumes, rules)], fn, meta, on.block, out_dtype, channels, every, how == "inner")
+    return BlockVolume(df, meta, tuple(on.block), channels)
+
+
+def pairwise(a: BlockVolume, b: BlockVolume, fn, out_dtype: str, how: str = "full_outer", channels: int = 1,
+             on: BlockVolume | None = None, extension="zero") -> BlockVolume:
+    """``fn(block of A, block of B)`` at equal coordinates; the result has the interval and blocks of ``on`` (A).
+
+    Volumes on one grid are joined on the grid position, an absent block is zero; others go through ``combine``.
     ``how="grid"`` computes every block of the grid, also where neither side has one.
     """
-    _check(a, b)
+    if not aligned(a, b, *([on] if on is not None else [])):
+        if how == "inner" and any(not s.zero_preserving for v in (a, b) for s in v.stages):
+            how = "grid"  # a stage may make samples where no block is stored
+        return combine([a, b], fn, out_dtype, on, extension, how, channels)
     da, db = np.dtype(dtype_of(a.dtype).numpy), np.dtype(dtype_of(b.dtype).numpy)
     left = a.df.select(*G, *O, *S, F.col("payload").alias("pa"))
     right = b.df.select(*G, *[F.col(c).alias(f"{c}_b") for c in (*O, *S)], F.col("payload").alias("pb"))
@@ -60,54 +86,61 @@ def pairwise(a: BlockVolume, b: BlockVolume, fn, out_dtype: str, how: str = "ful
             j = j.select(*G, *[F.coalesce(c, f"{c}_b").alias(c) for c in (*O, *S)], "pa", "pb")
 
     def run(it):
+        out = Outbox(BLOCK_COLUMNS, S)
         for pdf in it:
-            out = []
             for row in pdf.itertuples(index=False):
                 shape = (row.sz, row.sy, row.sx)
                 x = np.frombuffer(row.pa, da).reshape(shape) if row.pa is not None else np.zeros(shape, da)
                 y = np.frombuffer(row.pb, db).reshape(shape) if row.pb is not None else np.zeros(shape, db)
-                out.append(encode(fn(x, y), out_dtype))
-            yield pdf[BLOCK_COLUMNS[:-1]].assign(payload=out)
+                if out.add((*row[:9], encode(fn(x, y), out_dtype))):
+                    yield out.frame()
+        if out.rows:
+            yield out.frame()
 
     df = j.select(*G, *O, *S, "pa", "pb").mapInPandas(run, BLOCK_SCHEMA)
     return BlockVolume(df, replace(a.meta, dtype=out_dtype, dense=False), a.block, channels)
 
 
-def add(a: BlockVolume, b: BlockVolume) -> BlockVolume:
-    """A + B in A's type."""
-    return pairwise(a, b, lambda x, y, d=a.dtype: saturating(np.add, x, y, d), a.dtype)
+def add(a: BlockVolume, b: BlockVolume, on: BlockVolume | None = None, extension="zero") -> BlockVolume:
+    """A + B in A's type, on the interval of ``on`` (A)."""
+    return pairwise(a, b, lambda x, y, d=a.dtype: saturating(np.add, x, y, d), a.dtype, on=on, extension=extension)
 
 
-def sub(a: BlockVolume, b: BlockVolume) -> BlockVolume:
+def sub(a: BlockVolume, b: BlockVolume, on: BlockVolume | None = None, extension="zero") -> BlockVolume:
     """A - B in A's type."""
-    return pairwise(a, b, lambda x, y, d=a.dtype: saturating(np.subtract, x, y, d), a.dtype)
+    return pairwise(a, b, lambda x, y, d=a.dtype: saturating(np.subtract, x, y, d), a.dtype, on=on, extension=extension)
 
 
-def mul(a: BlockVolume, b: BlockVolume) -> BlockVolume:
+def mul(a: BlockVolume, b: BlockVolume, on: BlockVolume | None = None, extension="zero") -> BlockVolume:
     """A * B in A's type; a block absent on either side is zero."""
-    return pairwise(a, b, lambda x, y, d=a.dtype: saturating(np.multiply, x, y, d), a.dtype, "inner")
+    return pairwise(a, b, lambda x, y, d=a.dtype: saturating(np.multiply, x, y, d), a.dtype, "inner", on=on, extension=extension)
 
 
-def div(a: BlockVolume, b: BlockVolume) -> BlockVolume:
+def div(a: BlockVolume, b: BlockVolume, on: BlockVolume | None = None, extension="zero") -> BlockVolume:
     """A / B over the whole interval in double with IEEE rules (0/0 is NaN)."""
     def fn(x, y):
         with np.errstate(divide="ignore", invalid="ignore"):
             return x.astype(np.float64) / y.astype(np.float64)
-    return pairwise(a, b, fn, "float64", "grid")
+    return pairwise(a, b, fn, "float64", "grid", on=on, extension=extension)
 
 
 def multiply_cell(a: BlockVolume, b: BlockVolume, lo, size) -> BlockVolume:
-    """E5: A * B restricted to one cell's interval."""
-    return mul(crop(a, lo, size), crop(b, lo, size))
+    """E5: A * B restricted to one cell's interval, which both must hold; cut and multiplied in one exchange."""
+    cell = cropped(a, lo, size)
+    return mul(a, b, on=replace(a, meta=cell))
 
 
-def vmax(sources: list[BlockVolume], floor: float | None = 0) -> BlockVolume:
-    """Per-voxel maximum of n volumes of one type, and of ``floor`` (the output's former zeros)."""
-    for s in sources[1:]:
-        _check(sources[0], s)
+def vmax(sources: list[BlockVolume], floor: float | None = 0, on: BlockVolume | None = None) -> BlockVolume:
+    """Per-voxel maximum of n volumes of one type, and of ``floor`` (the output's former zeros), on the first one's interval."""
     dtype, n = sources[0].dtype, len(sources)
     if any(s.dtype != dtype for s in sources):
         raise TypeError("E6 takes volumes of one voxel type")
+
+    def highest(*blocks):
+        out = np.maximum.reduce(blocks)
+        return out if floor is None else np.maximum(out, np.asarray(floor, out.dtype))
+    if not aligned(*sources, *([on] if on is not None else [])):
+        return combine(sources, highest, dtype, on)
     u = sources[0].df.select(*BLOCK_COLUMNS)
     for s in sources[1:]:
         u = u.unionAll(s.df.select(*BLOCK_COLUMNS))
@@ -115,17 +148,28 @@ def vmax(sources: list[BlockVolume], floor: float | None = 0) -> BlockVolume:
     def one(pdf: pd.DataFrame):
         r = pdf.iloc[0]
         blocks = [decode(p, dtype, int(r.sx), int(r.sy), int(r.sz)) for p in pdf["payload"]]
-        out = np.maximum.reduce(blocks)
-        if floor is not None or len(blocks) < n:  # an absent block is zero
-            out = np.maximum(out, np.asarray(floor if floor is not None else 0, out.dtype))
-        return (*(int(r[c]) for c in BLOCK_COLUMNS[:-1]), encode(out, dtype))
+        if len(blocks) < n:  # an absent block is zero
+            blocks.append(np.zeros_like(blocks[0]))
+        return (*(int(r[c]) for c in BLOCK_COLUMNS[:-1]), encode(highest(*blocks), dtype))
 
     return BlockVolume(grouped_rows(u, list(G), one, BLOCK_SCHEMA, BLOCK_COLUMNS), sources[0].meta, sources[0].block)
 
 
-def pair(a: BlockVolume, b: BlockVolume) -> BlockVolume:
+def pair(a: BlockVolume, b: BlockVolume, on: BlockVolume | None = None, extension="zero") -> BlockVolume:
     """Two float64 channels (A, B) per voxel."""
-    return pairwise(a, b, lambda x, y: np.stack([x, y], -1).astype(np.float64), "float64", channels=2)
+    return pairwise(a, b, lambda x, y: np.stack([x, y], -1).astype(np.float64), "float64", channels=2, on=on, extension=extension)
+
+
+def center_gradient_by_views(bv: BlockVolume, axis: int, extension: str = "mirror_single") -> BlockVolume:
+    """F1 as the difference of two shifted views of the extended volume, halved, cropped to the volume (F2).
+
+    Both views are operands on the volume's own grid: one exchange.
+    """
+    step = [0, 0, 0]
+    step[axis] = -1
+    behind, ahead = translate_inverse(bv, step), translate(bv, step)  # s(x-1) and s(x+1)
+    wide = "float64" if dtype_of(bv.dtype).integer else bv.dtype
+    return combine([ahead, behind], lambda b, a: (b.astype(np.float64) - a.astype(np.float64)) * 0.5, wide, bv, extension)
 
 
 # ------------------------------------------------------------------ F3, F6, F7, F10
@@ -195,57 +239,42 @@ def convolve_separable(bv: BlockVolume, half_kernels, extension: str = "zero", o
 
 # ------------------------------------------------------------------ C1-C6
 
+def cropped(bv: BlockVolume, lo, size):
+    """Metadata of the interval ``[lo, lo+size)`` (in the volume's coordinates), which the volume must hold."""
+    at, size = [int(o) - int(m) for o, m in zip(lo, bv.meta.min)], tuple(int(s) for s in size)
+    if any(o < 0 or o + s > n for o, s, n in zip(at, size, bv.dims)):
+        raise ValueError(f"crop {at}+{size} reaches outside the volume {bv.dims}")
+    return replace(bv.meta, dims=size, min=tuple(int(o) for o in lo), dense=False)
+
+
 def crop(bv: BlockVolume, lo, size) -> BlockVolume:
     """The interval ``[lo, lo+size)`` (in the volume's coordinates); its blocks start at ``lo``.
 
     Only blocks that meet the interval are read.  If ``lo`` lies on block borders, blocks are cut in place; otherwise
     their pieces are regrouped in one exchange.
     """
-    lo = [int(o) - int(m) for o, m in zip(lo, bv.meta.min)]
-    size = [int(s) for s in size]
-    if any(o < 0 or o + s > n for o, s, n in zip(lo, size, bv.dims)):
-        raise ValueError(f"crop {lo}+{size} reaches outside the volume {bv.dims}")
-    b, dtype, ch = bv.block, bv.dtype, bv.channels
+    meta, bv = cropped(bv, lo, size), bv.end()
+    at, b, dtype, ch = [o - m for o, m in zip(meta.min, bv.meta.min)], bv.block, bv.dtype, bv.channels
     df = bv.df
-    for g, o, s, k in zip(G, lo, size, b):
+    for g, o, s, k in zip(G, at, meta.dims, b):
         df = df.filter(F.col(g).between(o // k, (o + s - 1) // k))
-    meta = replace(bv.meta, dims=tuple(size), min=tuple(m + o for m, o in zip(bv.meta.min, lo)), dense=False)
+    inside = replace(bv, stored=df)
+    if any(o % k for o, k in zip(at, b)):
+        return on_interval(inside, meta.min, meta.dims, b)
 
-    def pieces(it):
+    def cut(it):
+        out = Outbox(BLOCK_COLUMNS, S)
         for pdf in it:
-            rows = []
             for row in pdf.itertuples(index=False):
-                a = decode(row.payload, dtype, row.sx, row.sy, row.sz, ch)
-                org, sz = (row.ox, row.oy, row.oz), (row.sx, row.sy, row.sz)
-                spans = []
-                for d in range(3):
-                    p, e = max(org[d], lo[d]), min(org[d] + sz[d], lo[d] + size[d])
-                    spans.append([(t, max(p, lo[d] + t * b[d]), min(e, lo[d] + (t + 1) * b[d]))
-                                  for t in range((p - lo[d]) // b[d], (e - 1 - lo[d]) // b[d] + 1)])
-                for tz, z0, z1 in spans[2]:
-                    for ty, y0, y1 in spans[1]:
-                        for tx, x0, x1 in spans[0]:
-                            cut = a[z0 - org[2]:z1 - org[2], y0 - org[1]:y1 - org[1], x0 - org[0]:x1 - org[0]]
-                            rows.append((tx, ty, tz, x0 - lo[0], y0 - lo[1], z0 - lo[2], x1 - x0, y1 - y0, z1 - z0,
-                                         np.ascontiguousarray(cut).tobytes()))
-            if rows:
-                yield pd.DataFrame(rows, columns=BLOCK_COLUMNS)
-
-    cut = df.select(*BLOCK_COLUMNS).mapInPandas(pieces, BLOCK_SCHEMA)
-    if all(o % k == 0 for o, k in zip(lo, b)):
-        return BlockVolume(cut, meta, b, ch)
-
-    def paste(pdf: pd.DataFrame):
-        t = [int(pdf[g].iloc[0]) for g in G]
-        o = [x * k for x, k in zip(t, b)]
-        s = [min(k, n - x) for k, n, x in zip(b, size, o)]
-        out = np.zeros((s[2], s[1], s[0]) + ((ch,) if ch > 1 else ()), np.dtype(dtype_of(dtype).numpy))
-        for row in pdf.itertuples(index=False):
-            x, y, z = row.ox - o[0], row.oy - o[1], row.oz - o[2]
-            out[z:z + row.sz, y:y + row.sy, x:x + row.sx] = decode(row.payload, dtype, row.sx, row.sy, row.sz, ch)
-        return (*t, *o, *s, encode(out, dtype))
+                o = [x - p for x, p in zip((row.ox, row.oy, row.oz), at)]
+                s = [min(n, e - x) for n, e, x in zip((row.sx, row.sy, row.sz), meta.dims, o)]
+                a = decode(row.payload, dtype, row.sx, row.sy, row.sz, ch)[:s[2], :s[1], :s[0]]
+                if out.add((*[x // k for x, k in zip(o, b)], *o, *s, encode(a, dtype))):
+                    yield out.frame()
+        if out.rows:
+            yield out.frame()
 
-    return BlockVolume(grouped_rows(cut, list(G), paste, BLOCK_SCHEMA, BLOCK_COLUMNS), meta, b, ch)
+    return BlockVolume(df.select(*BLOCK_COLUMNS).mapInPandas(cut, BLOCK_SCHEMA), meta, b, ch)
 
 
 def crop_like(bv: BlockVolume, other: BlockVolume) -> BlockVolume:
@@ -270,7 +299,7 @@ def translate_inverse(bv: BlockVolume, t) -> BlockVolume:
 
 def hyperslice(bv: BlockVolume, axis: int, pos: int) -> BlockVolume:
     """Fix one axis at ``pos`` and drop it; only the blocks that hold the position are read."""
-    at, dtype = int(pos) - int(bv.meta.min[axis]), bv.dtype
+    at, dtype, bv = int(pos) - int(bv.meta.min[axis]), bv.dtype, bv.end()
     keep = [d for d in range(3) if d != axis]
     df = bv.df.filter(F.col(G[axis]) == at // bv.block[axis])
 
@@ -297,6 +326,6 @@ def tiled(bv: BlockVolume, op, tile) -> BlockVolume:
     return retile(out, bv.block)
 
 
-__all__ = ["add", "sub", "mul", "div", "multiply_cell", "vmax", "pair", "gradient_forward", "hessian", "hessian_names",
+__all__ = ["aligned", "combine", "cropped", "center_gradient_by_views", "on_interval", "add", "sub", "mul", "div", "multiply_cell", "vmax", "pair", "gradient_forward", "hessian", "hessian_names",
            "tubeness", "convolve_separable", "crop", "crop_like", "zero_min", "translate", "translate_inverse", "hyperslice",
            "tiled"]

@@ -1,29 +1,14 @@
-"""Block form (H1-H3, H10-H12, U1-U4): volumes as DataFrames of chunks.
+"""Block form of the operators (H1-H12, D*, F1-F9, G): volumes as DataFrames of chunks.
 
-Schema (one row per stored block; an absent block is all zero)::
-
-    gx, gy, gz BIGINT   grid position      ox, oy, oz BIGINT  world offset
-    sx, sy, sz INT      cropped size       payload BINARY     little-endian, x fastest
-
-The halo plan carries every neighbourhood operator:
-
-1. per axis, the source range each target cell reads (its padded interval
-   mapped through the extension) is a function of the metadata only
-   (``target_ranges``: blocks along one axis, cached per worker);
-2. each source block enters Python once (``mapInPandas``) and emits one
-   trimmed piece per target that reads it, so only ``(b+2r)^n`` samples per
-   target are shuffled and no full-size copy is made before the exchange;
-3. one ``groupBy(target)``-shaped exchange (``grouped_rows``) pastes the pieces
-   into a padded array, applies the extension and runs the numpy kernel.
-
-One shuffle per operator; a group holds one padded block, never more.
+Neighbourhood operators are kernels on the halo plan (``halo``): one exchange for an operator, or for a chain of them.
+Operators with a plan of their own follow: running sums (any radius), tile histograms (CLAHE), affine resampling.
 """
 
 from __future__ import annotations
 
-import functools
 import math
-from dataclasses import dataclass
+from dataclasses import replace
+from decimal import Decimal
 from typing import Callable
 
 import numpy as np
@@ -32,91 +17,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..plans.grid import block_grid
 from ..volume import AXES, Volume, VolumeMeta, dtype_of, idiv
+from . import exact as X
 from . import kernels as K
-
-G, O, S = ("gx", "gy", "gz"), ("ox", "oy", "oz"), ("sx", "sy", "sz")
-BLOCK_SCHEMA = ("gx bigint, gy bigint, gz bigint, ox bigint, oy bigint, oz bigint, "
-                "sx int, sy int, sz int, payload binary")
-BLOCK_COLUMNS = ["gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload"]
-
-
-@dataclass(frozen=True)
-class BlockVolume:
-    df: DataFrame
-    meta: VolumeMeta
-    block: tuple[int, int, int]
-    channels: int = 1  # samples per voxel in the payload (trailing numpy axis when > 1)
-
-    @property
-    def dims(self):
-        return self.meta.dims
-
-    @property
-    def dtype(self):
-        return self.meta.dtype
-
-    def grid(self) -> DataFrame:
-        return block_grid(self.df.sparkSession, self.dims, self.block)
-
-    def then(self, op: Callable[["BlockVolume"], "BlockVolume"], *, expect_dtype: str | None = None,
-             expect_ndim: int | None = None, expect_block=None) -> "BlockVolume":
-        """Chain an operator (H9), checking type, dimensionality and block size first."""
-        if expect_dtype is not None and self.dtype != expect_dtype:
-            raise TypeError(f"operator expects {expect_dtype}, volume is {self.dtype}")
-        if expect_ndim is not None and self.meta.ndim != expect_ndim:
-            raise ValueError(f"operator expects {expect_ndim}-D input, volume is {self.meta.ndim}-D")
-        if expect_block is not None and tuple(self.block) != tuple(expect_block):
-            raise ValueError(f"operator expects blocks of {tuple(expect_block)}, volume has {tuple(self.block)}")
-        return op(self)
-
-
-def decode(payload: bytes, dtype: str, sx: int, sy: int, sz: int, channels: int = 1) -> np.ndarray:
-    shape = (sz, sy, sx) if channels == 1 else (sz, sy, sx, channels)
-    return np.frombuffer(payload, dtype=np.dtype(dtype_of(dtype).numpy)).reshape(shape)
-
-
-def encode(a: np.ndarray, dtype: str) -> bytes:
-    return np.ascontiguousarray(a, dtype=np.dtype(dtype_of(dtype).numpy)).tobytes()
-
-
-def grouped_rows(df: DataFrame, keys: list[str], per_group: Callable[[pd.DataFrame], tuple], schema: str,
-                 columns: list[str]) -> DataFrame:
-    """Grouped map with one Python call per Arrow batch instead of per group.
-
-    Same physical shape as ``groupBy(keys).applyInPandas``: one hash exchange
-    on ``keys``, a sort inside each partition, then ``mapInPandas`` walks the
-    contiguous groups of each batch; a group that continues into the next
-    batch is carried over, so a group is never split and never larger in
-    memory than itself.
-    """
-    def run(it):
-        carry = None
-        for pdf in it:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if not len(pdf):
-                continue
-            k = pdf[keys].to_numpy()
-            tail = (k == k[-1]).all(axis=1)
-            cut = int(np.argmax(tail))
-            body, carry = pdf.iloc[:cut], pdf.iloc[cut:]
-            if len(body):
-                kb = k[:cut]
-                starts = np.concatenate([[0], np.flatnonzero((kb[1:] != kb[:-1]).any(axis=1)) + 1, [cut]])
-                rows = [per_group(body.iloc[a:b]) for a, b in zip(starts[:-1], starts[1:])]
-                yield pd.DataFrame(rows, columns=columns)
-        if carry is not None and len(carry):
-            yield pd.DataFrame([per_group(carry)], columns=columns)
-
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
-
+from .halo import (BLOCK_COLUMNS, BLOCK_SCHEMA, G, MAX_GROUP_BYTES, O, S, BlockVolume, Outbox, Stage, _halved, _index_map, _paste, _read,  # noqa: F401
+                   added, decode, encode, grouped_rows, image, map_blocks, on_interval, target_ranges)
+from .running import box_windows
 
 # ------------------------------------------------------------------ H2 / H3
 
 def from_voxels(vol: Volume, block) -> BlockVolume:
     """H3 (voxels -> blocks): group by grid position, paste, missing -> 0.
 
-    Blocks without any voxel are not emitted (they read as zero)."""
+    Blocks without any voxel are not emitted (they read as zero).  The interval keeps its min."""
     bx, by, bz = (int(b) for b in block)
     dims, dtype = vol.dims, vol.dtype
     m = vol.meta.min
@@ -130,36 +42,44 @@ def from_voxels(vol: Volume, block) -> BlockVolume:
         sx, sy, sz = min(bx, dims[0] - ox), min(by, dims[1] - oy), min(bz, dims[2] - oz)
         a = np.zeros((sz, sy, sx), dtype=np.dtype(dtype_of(dtype).numpy))
         v = pdf["v"].to_numpy()
+        if v.dtype == object:  # decimals of uint64
+            v = np.array([int(n) for n in v], np.uint64)
         if v.dtype != a.dtype:
             v = K.to_dtype(v, dtype)  # P1/P2: out of range saturates, it does not wrap
         a[pdf["z"].to_numpy() - oz, pdf["y"].to_numpy() - oy, pdf["x"].to_numpy() - ox] = v
         return (gx, gy, gz, ox, oy, oz, sx, sy, sz, a.tobytes())
 
     out = grouped_rows(keyed, list(G), paste, BLOCK_SCHEMA, BLOCK_COLUMNS)
-    return BlockVolume(out, VolumeMeta(dims, dtype, rank=vol.meta.rank), (bx, by, bz))
+    return BlockVolume(out, replace(vol.meta, dense=False), (bx, by, bz))
 
 
 def to_voxels(bv: BlockVolume, drop_zeros: bool = False) -> Volume:
     """H2 (blocks -> voxels): numpy unravel per block inside ``mapInPandas``; coordinates start at the interval's min."""
     dtype, (mx, my, mz) = bv.dtype, bv.meta.min
-    vtype, np_out = {"uint8": ("smallint", "int16"), "uint16": ("int", "int32"), "int32": ("int", "int32"),
-                     "int64": ("bigint", "int64"), "float32": ("float", "float32"),
-                     "float64": ("double", "float64")}[dtype]
+    spark_type = dtype_of(dtype).spark.simpleString()
+    wide = {"uint8": np.int16, "uint16": np.int32, "uint32": np.int64}.get(dtype)
 
     def unravel(it):
+        parts, held = [], 0
         for pdf in it:
-            parts = []
             for row in pdf.itertuples(index=False):
                 a = decode(row.payload, dtype, row.sx, row.sy, row.sz)
                 zz, yy, xx = np.meshgrid(np.arange(row.sz), np.arange(row.sy), np.arange(row.sx), indexing="ij")
                 v = a.ravel()
                 keep = v != 0 if drop_zeros else slice(None)
+                v = v[keep]
+                if dtype == "uint64":
+                    v = [Decimal(int(n)) for n in v]
                 parts.append(pd.DataFrame({"x": (xx.ravel() + (row.ox + mx))[keep], "y": (yy.ravel() + (row.oy + my))[keep],
-                                           "z": (zz.ravel() + (row.oz + mz))[keep], "v": v[keep].astype(np_out)}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
-
-    df = bv.df.mapInPandas(unravel, f"x bigint, y bigint, z bigint, v {vtype}")
+                                           "z": (zz.ravel() + (row.oz + mz))[keep], "v": v.astype(wide) if wide else v}))
+                held += len(v)
+                if held > 1 << 20:
+                    yield pd.concat(parts, ignore_index=True)
+                    parts, held = [], 0
+        if parts:
+            yield pd.concat(parts, ignore_index=True)
+
+    df = bv.df.mapInPandas(unravel, f"x bigint, y bigint, z bigint, v {spark_type}")
     return Volume(df, bv.meta)
 
 
@@ -178,157 +98,6 @@ def channels_to_voxels(bv: BlockVolume, names: list[str]) -> DataFrame:
     return bv.df.mapInPandas(unravel, "x bigint, y bigint, z bigint, " + ", ".join(f"{n} double" for n in names))
 
 
-# ------------------------------------------------------------------ halo plan
-
-@functools.lru_cache(maxsize=64)
-def target_ranges(n: int, r: int, mode: str, tb: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per target cell t along one axis: the source range ``[lo[t], hi[t]]`` its padded
-    interval maps onto (empty: lo > hi).  Metadata-sized, computed once per worker."""
-    nt = (n + tb - 1) // tb
-    lo = np.empty(nt, dtype=np.int64)
-    hi = np.empty(nt, dtype=np.int64)
-    for t in range(nt):
-        o, e = t * tb, min(n, t * tb + tb) - 1
-        if mode == "zero" or r == 0:
-            lo[t], hi[t] = max(0, o - r), min(n - 1, e + r)
-        else:
-            m = _index_map(o - r, e + r, n, mode)
-            lo[t], hi[t] = m.min(), m.max()
-    return lo, hi
-
-
-def halo_pieces(bv: BlockVolume, radius, extension: str = "zero", target_block=None) -> DataFrame:
-    """Steps 1-2 of the halo plan: rows ``(tx, ty, tz, px, py, pz, nx, ny, nz, payload)``.
-
-    Each source block enters Python once; per axis the target cells reading it
-    come from ``target_ranges`` (a function of the metadata only), and the block
-    emits one trimmed piece per target, so only the samples a target reads are
-    shuffled and no full-size copy is made before the exchange.
-    """
-    tb = tuple(int(b) for b in (target_block or bv.block))
-    radius = tuple(int(r) for r in radius)
-    dims, dtype, ch = tuple(bv.dims), bv.dtype, bv.channels
-
-    def cut(it):
-        ranges = [target_ranges(dims[d], radius[d], extension, tb[d]) for d in range(3)]
-        for pdf in it:
-            cols = {k: [] for k in ("tx", "ty", "tz", "px", "py", "pz", "nx", "ny", "nz", "payload")}
-            for row in pdf.itertuples(index=False):
-                a = decode(row.payload, dtype, row.sx, row.sy, row.sz, ch)
-                o, s = (row.ox, row.oy, row.oz), (row.sx, row.sy, row.sz)
-                per_axis = []
-                for d in range(3):
-                    lo, hi = ranges[d]
-                    plo = np.maximum(lo, o[d])
-                    phi = np.minimum(hi, o[d] + s[d] - 1)
-                    ts = np.flatnonzero(plo <= phi)
-                    per_axis.append([(int(t), int(plo[t]), int(phi[t])) for t in ts])
-                for tz, lz, hz in per_axis[2]:
-                    for ty, ly, hy in per_axis[1]:
-                        for tx, lx, hx in per_axis[0]:
-                            sub = a[lz - o[2]:hz - o[2] + 1, ly - o[1]:hy - o[1] + 1, lx - o[0]:hx - o[0] + 1]
-                            for k, v in (("tx", tx), ("ty", ty), ("tz", tz), ("px", lx), ("py", ly), ("pz", lz),
-                                         ("nx", hx - lx + 1), ("ny", hy - ly + 1), ("nz", hz - lz + 1)):
-                                cols[k].append(v)
-                            cols["payload"].append(np.ascontiguousarray(sub).tobytes())
-            if cols["payload"]:
-                out = pd.DataFrame(cols)
-                for k in ("nx", "ny", "nz"):
-                    out[k] = out[k].astype("int32")
-                yield out
-
-    return bv.df.select("ox", "oy", "oz", "sx", "sy", "sz", "payload").mapInPandas(
-        cut, "tx bigint, ty bigint, tz bigint, px bigint, py bigint, pz bigint, nx int, ny int, nz int, payload binary")
-
-
-def _index_map(lo: int, hi: int, n: int, mode: str) -> np.ndarray:
-    i = np.arange(lo, hi + 1)
-    if mode == "zero":
-        return np.where((i >= 0) & (i < n), i, -1)
-    if mode == "mirror_single":
-        if n == 1:
-            return np.zeros_like(i)
-        p = 2 * n - 2
-        m = np.mod(i, p)
-        return np.where(m < n, m, p - m)
-    p = 2 * n
-    m = np.mod(i, p)
-    return np.where(m < n, m, p - 1 - m)
-
-
-def assemble_interval(pdf: pd.DataFrame, dims, lo3, hi3, extension: str, dtype: str, channels: int = 1):
-    """Paste the pieces of one group into the array of the (extended) interval
-    ``[lo3, hi3]`` (x first); returns it with numpy axes z, y, x."""
-    idx = [_index_map(lo3[d], hi3[d], dims[d], extension) for d in range(3)]
-    valid = [ix[ix >= 0] for ix in idx]
-    lo = [int(v.min()) if len(v) else 0 for v in valid]
-    hi = [int(v.max()) if len(v) else -1 for v in valid]
-    np_dt = np.dtype(dtype_of(dtype).numpy)
-    tail = () if channels == 1 else (channels,)
-    region = np.zeros((hi[2] - lo[2] + 1, hi[1] - lo[1] + 1, hi[0] - lo[0] + 1) + tail, dtype=np_dt)
-    for row in pdf.itertuples(index=False):
-        if row.payload is None:
-            continue
-        a = np.frombuffer(row.payload, dtype=np_dt).reshape((row.nz, row.ny, row.nx) + tail)
-        region[row.pz - lo[2]:row.pz - lo[2] + row.nz, row.py - lo[1]:row.py - lo[1] + row.ny,
-               row.px - lo[0]:row.px - lo[0] + row.nx] = a
-    padded = np.zeros(tuple(len(idx[d]) for d in (2, 1, 0)) + tail, dtype=np_dt)
-    m = [idx[d] >= 0 for d in range(3)]
-    if all(mm.any() for mm in m):
-        padded[np.ix_(m[2], m[1], m[0])] = region[np.ix_(idx[2][m[2]] - lo[2], idx[1][m[1]] - lo[1], idx[0][m[0]] - lo[0])]
-    return padded
-
-
-def assemble_padded(pdf: pd.DataFrame, dims, tb, radius, extension: str, dtype: str, channels: int = 1):
-    """Step 3a: paste the pieces of one target into its padded array (numpy axes z, y, x)."""
-    t = [int(pdf[k].iloc[0]) for k in ("tx", "ty", "tz")]
-    o = [t[d] * tb[d] for d in range(3)]
-    s = [min(tb[d], dims[d] - o[d]) for d in range(3)]
-    lo3 = [o[d] - radius[d] for d in range(3)]
-    hi3 = [o[d] + s[d] - 1 + radius[d] for d in range(3)]
-    return t, o, s, assemble_interval(pdf, dims, lo3, hi3, extension, dtype, channels)
-
-
-def map_blocks(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], radius=(0, 0, 0), extension: str = "zero",
-               out_dtype: str | None = None, zero_preserving: bool = False, target_block=None,
-               out_channels: int = 1, with_origin: bool = False) -> BlockVolume:
-    """``fn(padded) -> centre`` per block, halo ``radius`` per axis.
-
-    ``fn`` receives the padded block (numpy axes z, y, x; with ``with_origin`` also
-    the centre's offset and size, x first) and returns either
-    the centre or an array of the padded shape (cropped here).  With
-    ``zero_preserving=False`` every block of the grid is computed, also where
-    no source block exists (a kernel may map zeros to non-zero values).
-    """
-    out_dtype = out_dtype or bv.dtype
-    radius = tuple(int(r) for r in radius)
-    tb = tuple(int(b) for b in (target_block or bv.block))
-    dims, dtype = bv.dims, bv.dtype
-    pieces = halo_pieces(bv, radius, extension, tb)
-    if not zero_preserving:
-        marks = block_grid(bv.df.sparkSession, dims, tb).select(
-            F.col("gx").alias("tx"), F.col("gy").alias("ty"), F.col("gz").alias("tz"),
-            *[F.lit(0).cast("bigint").alias(c) for c in ("px", "py", "pz")],
-            *[F.lit(0).cast("int").alias(c) for c in ("nx", "ny", "nz")], F.lit(None).cast("binary").alias("payload"))
-        pieces = pieces.unionByName(marks)
-
-    ch = bv.channels
-    tail = () if out_channels == 1 else (out_channels,)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        t, o, s, padded = assemble_padded(pdf, dims, tb, radius, extension, dtype, ch)
-        out = np.asarray(fn(padded, o, s) if with_origin else fn(padded))
-        if out.shape != (s[2], s[1], s[0]) + tail:
-            r = radius
-            out = out[r[2]:r[2] + s[2], r[1]:r[1] + s[1], r[0]:r[0] + s[0]]
-        if out.dtype != np.dtype(dtype_of(out_dtype).numpy):
-            out = K.to_dtype(out, out_dtype)  # P1/P2, not a truncating cast
-        return (t[0], t[1], t[2], o[0], o[1], o[2], s[0], s[1], s[2], encode(out, out_dtype))
-
-    df = grouped_rows(pieces, ["tx", "ty", "tz"], run, BLOCK_SCHEMA, BLOCK_COLUMNS)
-    return BlockVolume(df, VolumeMeta(dims, out_dtype, rank=bv.meta.rank), tb, out_channels)
-
-
 def map_slices(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], padding: int, extension: str = "zero",
                min_intensity: float = -3.4028234663852886e38, max_intensity: float = 3.4028234663852886e38,
                out_dtype: str | None = None, zero_preserving: bool = False) -> BlockVolume:
@@ -352,10 +121,6 @@ def map_slices(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], padding:
     return map_blocks(bv, per_block, (p, p, 0), extension, out_dtype, zero_preserving)
 
 
-# A padded group of CLLCN (with its sums) stays below this; beyond it two strip passes, z split as needed.
-MAX_GROUP_BYTES = 256 << 20
-
-
 def cllcn(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, gamma: float = 0.5, center: bool = True,
           stretch: bool = True, keep_min_max: bool = True, extension: str = "zero",
           min_intensity: float = 0.0, max_intensity: float = 65535.0, strips: bool | None = None) -> BlockVolume:
@@ -363,11 +128,8 @@ def cllcn(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, gamma: f
 
     One halo exchange of radius (r, r, 0) while a padded group stays below
     ``MAX_GROUP_BYTES``; beyond it (large radii such as 1023 at the finest
-    level) two strip passes: window sums along x with halo (r, 0, 0), then
-    along y with halo (0, r, 0) plus the formula.  Window sums are the same
-    in both plans and in any block size: exact in int64 where the type
-    guarantees it, otherwise in float64 over the samples of the window only
-    (plans may then differ in the last bits, by the order of additions).
+    level) two passes of running sums, along x and along y.  Window sums are exact, and the same
+    in both plans and in any block size, for every voxel type (``exact``).
     """
     bx, by, bz = bv.block
     if strips is None:
@@ -384,22 +146,27 @@ def cllcn(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, gamma: f
     return map_slices(bv, fn, r, extension, min_intensity, max_intensity, bv.dtype, zero_preserving=zp)
 
 
-def box_stats(bv: BlockVolume, r: int, extension: str = "zero") -> BlockVolume:
-    """G1/G2 in block form: five float64 channels (sum, sum of squares, mean, sample variance, std) per voxel."""
-    exact = K.exact_sums(bv.dtype, r)
+def box_stats(bv: BlockVolume, r: int, extension: str = "zero", running: bool | None = None) -> BlockVolume:
+    """G1/G2 in block form: five float64 channels (sum, sum of squares, mean, sample variance, std) per voxel.
+
+    One halo exchange while a padded group stays below ``MAX_GROUP_BYTES``, running sums beyond it (or with ``running``).
+    """
+    exact, dtype = K.exact_sums(bv.dtype, r), bv.dtype
     bs = (2 * r + 1) ** 2
     scale, scale1, scale2 = 1.0 / bs, (1.0 / (bs - 1) if r else math.inf), (1.0 / (bs * bs - bs) if r else math.inf)
 
-    def fn(a):
-        out = []
-        for z in range(a.shape[0]):
-            S, Q = K.box_sums(a[z], r, exact)
-            with np.errstate(invalid="ignore"):
-                var = scale1 * Q - scale2 * S * S
-                out.append(np.stack([S, Q, S * scale, var, np.where(var < 0, 0.0, np.sqrt(np.where(var < 0, 0.0, var)))], -1))
-        return np.stack(out)
+    def channels(S, Q):
+        with np.errstate(invalid="ignore"):
+            var = scale1 * Q - scale2 * S * S
+            return np.stack([S, Q, S * scale, var, np.where(var < 0, 0.0, np.sqrt(np.where(var < 0, 0.0, var)))], -1)
 
-    return map_blocks(bv, fn, (r, r, 0), extension, "float64", zero_preserving=r > 0, out_channels=5)
+    bx, by, bz = bv.block
+    if running or running is None and (bx + 2 * r) * (by + 2 * r) * bz * 8 * 5 > MAX_GROUP_BYTES:
+        df = box_windows(bv.df, bv.dims, bv.block, r, extension, lambda p, s: X.fields(decode(p, dtype, *s), exact),
+                         lambda p, f, s: encode(channels(*X.sums(f, exact, (s[2], s[1], s[0]))), "float64"), every_block=r == 0)
+        return BlockVolume(df, replace(bv.meta, dtype="float64", dense=False), bv.block, 5)
+    return map_blocks(bv, lambda a: np.stack([channels(*K.box_sums(x, r, exact)) for x in a]), (r, r, 0), extension, "float64",
+                      zero_preserving=r > 0, out_channels=5)
 
 
 def gauss(bv: BlockVolume, sigma, extension: str = "zero", out_dtype: str = "float64") -> BlockVolume:
@@ -444,178 +211,101 @@ def downsample2(bv: BlockVolume, out_dtype: str | None = None) -> BlockVolume:
     2b (no halo).  Source blocks of even size map 1:1 to target blocks of
     half size, so no shuffle is needed: one ``mapInPandas`` pass."""
     out_dtype = out_dtype or bv.dtype
-    if any(b % 2 for b, n in zip(bv.block, bv.dims) if n > 1):
-        raise ValueError("block form x2 downsampling needs even block sizes; retile first")
     dims = bv.dims
     ndims = tuple((n + 1) // 2 for n in dims)
+    halves = Stage(None, tuple(dims), out_dtype, halved=tuple(n > 1 for n in dims), zero_preserving=True)
+    if bv.source is not None:
+        return added(bv, halves, ndims, (0, 0, 0), tuple(max(1, b // 2) if n > 1 else b for b, n in zip(bv.block, dims)))
+    if any(b % 2 for b, n in zip(bv.block, bv.dims) if n > 1):
+        raise ValueError("block form x2 downsampling needs even block sizes; retile first, or chain()")
     nb = tuple(b // 2 if n > 1 else b for b, n in zip(bv.block, dims))
     dtype = bv.dtype
 
     def down(it):
+        out = Outbox(BLOCK_COLUMNS, ("sx", "sy", "sz"))
         for pdf in it:
-            rows = []
             for row in pdf.itertuples(index=False):
-                a = decode(row.payload, dtype, row.sx, row.sy, row.sz).astype(np.float64)
-                ssum, cnt = a, np.ones_like(a)
-                for ax in range(3):
-                    if a.shape[ax] == 1 and dims[2 - ax] == 1:
-                        continue
-                    if ssum.shape[ax] % 2:
-                        pad = [(0, 0)] * 3
-                        pad[ax] = (0, 1)
-                        ssum, cnt = np.pad(ssum, pad), np.pad(cnt, pad)
-                    sh = list(ssum.shape)
-                    sh[ax:ax + 1] = [sh[ax] // 2, 2]
-                    ssum, cnt = ssum.reshape(sh).sum(ax + 1), cnt.reshape(sh).sum(ax + 1)
-                out = K.to_dtype(ssum / cnt, out_dtype)
-                o = (row.ox // 2 if dims[0] > 1 else row.ox, row.oy // 2 if dims[1] > 1 else row.oy,
-                     row.oz // 2 if dims[2] > 1 else row.oz)
-                rows.append((row.gx, row.gy, row.gz, o[0], o[1], o[2], out.shape[2], out.shape[1], out.shape[0],
-                             encode(out, out_dtype)))
-            yield pd.DataFrame(rows, columns=["gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload"])
-
-    df = bv.df.mapInPandas(down, BLOCK_SCHEMA)
-    return BlockVolume(df, VolumeMeta(ndims, out_dtype, rank=bv.meta.rank), nb)
-
-
-def nonempty(bv: BlockVolume) -> BlockVolume:
-    """A10: keep blocks with a non-zero sample, compared JVM-side against an
-    all-zero binary of the same length (no Python)."""
-    zero = F.expr("unhex(repeat('00', octet_length(payload)))")
-    return BlockVolume(bv.df.filter(F.col("payload") != zero), bv.meta, bv.block)
+                a = _halved(decode(row.payload, dtype, row.sx, row.sy, row.sz), halves)
+                o = [x // 2 if h else x for x, h in zip((row.ox, row.oy, row.oz), halves.halved)]
+                if out.add((row.gx, row.gy, row.gz, *o, *a.shape[::-1], encode(a, out_dtype))):
+                    yield out.frame()
+        if out.rows:
+            yield out.frame()
 
+    df = bv.df.select(*BLOCK_COLUMNS).mapInPandas(down, BLOCK_SCHEMA)
+    return BlockVolume(df, replace(bv.meta, dims=ndims, dtype=out_dtype, min=(0, 0, 0), dense=False), nb)
 
-def prefix_windows(bv: BlockVolume, r: int, axis: int, values, centre, finish, out_dtype: str, out_channels: int = 1,
-                   every_block: bool = False) -> BlockVolume:
-    """Sums over ``[x-r, x+r]`` along one axis, zero beyond the volume, at a cost that does not depend on r.
 
-    ``values(block)`` gives int64 channels to sum (exact, see ``kernels.exact_sums``), ``centre(block)`` what each
-    voxel keeps; ``finish(centre, sums)`` makes the output block.
+def pyramid(bv: BlockVolume, levels: int) -> tuple[DataFrame, list[VolumeMeta]]:
+    """H6 in block form: ``level`` (1 ... levels) and block columns of all levels, from one read of the source in one exchange.
 
-    1. Every block sends its totals per line; for each row of blocks along the axis they become
-       the sums before each block (one exchange of ``1/block`` of the data).
-    2. These are joined to the blocks on grid keys.  With them a block's running sums hold for the whole line.
-    3. A voxel's window is the running sum at x+r less that at x-r-1: each target block reads two pieces of its own size
-       (one exchange), however far away they are; the last running sum serves all targets past the end.
+    A task halves a source block again and again (its sides are multiples of 2^levels, or it covers its axis),
+    rounding to the type at every level, so each level's piece is the block's own; the pieces, a seventh of the data in 3-D, are
+    put together in blocks of the source's size.  Other blocks are cut to such sides first.
     """
-    n, b, nb = bv.dims[axis], bv.block[axis], -(-bv.dims[axis] // bv.block[axis])
-    dims, block, dtype, ch = tuple(bv.dims), tuple(bv.block), bv.dtype, bv.channels
-    ax, others = 2 - axis, [g for d, g in enumerate(G) if d != axis]
-
-    def totals(it):
+    dims, dtype, goal = tuple(bv.dims), bv.dtype, tuple(bv.block)
+    step = 1 << levels
+    block = tuple(b if b % step == 0 or b >= n else -(-b // step) * step for b, n in zip(goal, dims))
+    if block != goal:
+        bv = retile(bv, block)
+    stages, metas = [], []
+    for _ in range(levels):
+        stages.append(Stage(None, dims, dtype, halved=tuple(n > 1 for n in dims)))
+        dims = tuple((n + 1) // 2 for n in dims)
+        metas.append(replace(bv.meta, dims=dims, min=(0, 0, 0), dense=False))
+    names = ["level", "tx", "ty", "tz", "px", "py", "pz", "nx", "ny", "nz", "payload"]
+
+    def halves(it):
+        out = Outbox(names, ("level", "nx", "ny", "nz"))
         for pdf in it:
-            yield pdf[list(G)].assign(t=[
-                values(decode(x.payload, dtype, x.sx, x.sy, x.sz, ch)).sum(ax).tobytes() for x in pdf.itertuples(index=False)])
-
-    def before(pdf: pd.DataFrame) -> pd.DataFrame:
-        at = pdf.set_index(G[axis])["t"]
-        acc, rows = None, []
-        for g in range(nb):
-            if acc is not None:
-                rows.append((g, acc.tobytes()))
-            if g in at.index:
-                t = np.frombuffer(at[g], np.int64)
-                acc = t.copy() if acc is None else acc + t
-            elif acc is None:
-                continue
-        out = pd.DataFrame(rows, columns=[G[axis], "e"])
-        for c in others:
-            out[c] = pdf[c].iloc[0]
-        return out[[*G, "e"]]
-
-    sums_before = (bv.df.select(*G, *S, "payload").mapInPandas(totals, "gx long, gy long, gz long, t binary")
-                   .groupBy(*others).applyInPandas(before, "gx long, gy long, gz long, e binary"))
-    joined = bv.df.select(*G, "payload").join(sums_before, list(G), "full_outer")
-    names = ["tx", "ty", "tz", "kind", "at", "size", "payload"]
-    CENTRE, AHEAD, BEHIND, REST = 0, 1, 2, 3
-
-    def cut(it):
-        for pdf in it:
-            rows, held = [], 0
             for row in pdf.itertuples(index=False):
-                g = [row.gx, row.gy, row.gz]
-                o = [int(x) * k for x, k in zip(g, block)]
-                s = [min(k, m - x) for x, k, m in zip(o, block, dims)]
-                a = decode(row.payload, dtype, *s, ch) if row.payload is not None else None
-                shape = (s[2], s[1], s[0], 2)
-                run = np.zeros(shape, np.int64) if a is None else values(a).cumsum(ax)
-                if row.e is not None:
-                    line = [k for d, k in enumerate(shape) if d != ax]
-                    run = run + np.expand_dims(np.frombuffer(row.e, np.int64).reshape(line), ax)
-                lo, hi = o[axis], o[axis] + s[axis]
-
-                def send(kind, first, last, shift):
-                    """The running sums for targets first..last (x - shift is the place read)."""
-                    for t in range(max(0, first) // b, min(n - 1, last) // b + 1):
-                        x0, x1 = max(first, t * b, 0), min(last, t * b + b - 1, n - 1)
-                        if x0 > x1:
-                            continue
-                        if kind == REST:
-                            part = np.take(run, [s[axis] - 1], ax)
-                        else:
-                            part = np.take(run, np.arange(x0 - shift - lo, x1 - shift - lo + 1), ax)
-                        key = list(g)
-                        key[axis] = t
-                        rows.append((*key, kind, x0 - t * b, x1 - x0 + 1, np.ascontiguousarray(part).tobytes()))
-
-                send(AHEAD, lo - r, hi - 1 - r, -r)
-                send(BEHIND, lo + r + 1, hi + r, r + 1)
-                if hi == n:
-                    send(REST, n - r, n - 1, 0)
-                if a is not None:
-                    rows.append((*g, CENTRE, 0, s[axis], np.ascontiguousarray(centre(a)).tobytes()))
-                held = sum(len(x[-1]) for x in rows[-64:]) + held
-                if held > 32 << 20:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
-
-    pieces = joined.select(*G, "payload", "e").mapInPandas(
-        cut, "tx long, ty long, tz long, kind int, at int, size int, payload binary")
-    if every_block:
-        pieces = pieces.unionByName(bv.grid().select(
-            *[F.col(x).alias(t) for x, t in zip(G, ("tx", "ty", "tz"))], F.lit(REST).alias("kind"), F.lit(0).alias("at"),
-            F.lit(0).alias("size"), F.lit(None).cast("binary").alias("payload")))
-
-    def target(pdf: pd.DataFrame):
-        g = [int(pdf[c].iloc[0]) for c in ("tx", "ty", "tz")]
-        o = [x * k for x, k in zip(g, block)]
-        s = [min(k, m - x) for x, k, m in zip(o, block, dims)]
-        acc, mid = np.zeros((s[2], s[1], s[0], 2), np.int64), np.zeros((s[2], s[1], s[0]), np.int64)
-        for kind, at, size, payload in zip(pdf["kind"], pdf["at"], pdf["size"], pdf["payload"]):
-            if payload is None:
-                continue
-            if kind == CENTRE:
-                mid = np.frombuffer(payload, np.int64).reshape(mid.shape)
-                continue
-            where = [slice(None)] * 4
-            where[ax] = slice(int(at), int(at) + int(size))
-            shape = [s[2], s[1], s[0], 2]
-            shape[ax] = 1 if kind == REST else int(size)
-            part = np.frombuffer(payload, np.int64).reshape(shape)
-            if kind == BEHIND:
-                acc[tuple(where)] -= part
-            else:
-                acc[tuple(where)] += part
-        return (*g, *o, *s, encode(finish(mid, acc), out_dtype))
-
-    df = grouped_rows(pieces, ["tx", "ty", "tz"], target, BLOCK_SCHEMA, BLOCK_COLUMNS)
-    return BlockVolume(df, VolumeMeta(dims, out_dtype, rank=bv.meta.rank), block, out_channels)
+                a, o = decode(row.payload, dtype, row.sx, row.sy, row.sz), [row.ox, row.oy, row.oz]
+                for level, stage in enumerate(stages, 1):
+                    a, o = _halved(a, stage), [x // 2 if h else x for x, h in zip(o, stage.halved)]
+                    if out.add((level, *[x // b for x, b in zip(o, block)], *o, *a.shape[::-1], encode(a, dtype))):
+                        yield out.frame()
+        if out.rows:
+            yield out.frame()
+
+    rows = bv.df.select(*O, *S, "payload").mapInPandas(
+        halves, "level int, tx long, ty long, tz long, px long, py long, pz long, nx int, ny int, nz int, payload binary")
+
+    def paste(pdf: pd.DataFrame):
+        level, *t = (int(pdf[c].iloc[0]) for c in names[:4])
+        o = [x * b for x, b in zip(t, block)]
+        s = [min(b, n - x) for x, b, n in zip(o, block, metas[level - 1].dims)]
+        return (level, *t, *o, *s, _paste(pdf, [(x, x + k - 1) for x, k in zip(o, s)], dtype, 1).tobytes())
+
+    out = grouped_rows(rows, names[:4], paste, "level int, " + BLOCK_SCHEMA, ["level", *BLOCK_COLUMNS])
+    if block != goal:  # back to the source's blocks
+        parts = [retile(BlockVolume(out.where(F.col("level") == k).select(*BLOCK_COLUMNS), m, block), goal).df.withColumn("level", F.lit(k))
+                 for k, m in enumerate(metas, 1)]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+    return out.select("level", *BLOCK_COLUMNS), metas
+
+
+def nonempty(bv: BlockVolume) -> BlockVolume:
+    """A10: keep blocks with a non-zero sample, compared JVM-side against an
+    all-zero binary of the same length (no Python)."""
+    zero = F.expr("unhex(repeat('00', octet_length(payload)))")
+    return BlockVolume(bv.df.filter(F.col("payload") != zero), bv.meta, bv.block, bv.channels)
 
 
 def cllcn_strips(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, gamma: float = 0.5,
                  center: bool = True, stretch: bool = True, keep_min_max: bool = True, extension: str = "zero",
                  min_intensity: float = 0.0, max_intensity: float = 65535.0, prefix: bool | None = None) -> BlockVolume:
-    """CLLCN as two separable passes, for large radii.
+    """CLLCN as two separable passes, for large radii, any border and any voxel type.
 
-    Exact types with a zero border: running sums (``prefix_windows``), which ship two pieces
-    of a block's size per pass whatever the radius.  Otherwise halo strips: a voxel goes to ``1 + 2 ceil(r/b)``
+    Running sums (``running``) ship two pieces of a block's size per pass whatever the radius, and are exact.
+    ``prefix=False`` takes halo strips instead: a voxel goes to ``1 + 2 ceil(r/b)``
     targets; slices are independent, so strips are as thin in z as
-    ``MAX_GROUP_BYTES`` asks, and thinner ones are put back into the input's blocks at the end.
+    ``MAX_GROUP_BYTES`` asks, and thinner ones are put back into the input's blocks at the end; types
+    without exact int64 sums then differ in the last bits.
     """
     exact = K.exact_sums(bv.dtype, r)
-    out_dtype = bv.dtype
+    out_dtype, dtype = bv.dtype, bv.dtype
     zp = keep_min_max and min_intensity == 0.0 and center and stretch and gamma != 1
 
     def formula(v, S, Q):
@@ -624,15 +314,12 @@ def cllcn_strips(bv: BlockVolume, r: int, k: float = 3.0, limit: float = 10.0, g
         stored = res.astype(np.float32).astype(np.float64)
         return K.to_dtype(K.clamp(stored, min_intensity, max_intensity), out_dtype)
 
-    if prefix is None:
-        prefix = exact and extension == "zero"
-    if prefix:
-        if not exact or extension != "zero":
-            raise ValueError("running sums need an exact voxel type and a zero border")
-        sums = prefix_windows(bv, r, 0, lambda a: np.stack([a.astype(np.int64), a.astype(np.int64) ** 2], -1),
-                              lambda a: a.astype(np.int64), lambda v, acc: np.concatenate([v[..., None], acc], -1), "int64", 3)
-        return prefix_windows(sums, r, 1, lambda a: a[..., 1:], lambda a: a[..., 0],
-                              lambda v, acc: formula(v, acc[..., 0], acc[..., 1]), out_dtype, every_block=not zp)
+    if prefix is not False:
+        def finish(payload, f, s):
+            v = np.zeros((s[2], s[1], s[0])) if payload is None else decode(payload, dtype, *s).astype(np.float32)
+            return encode(formula(v, *X.sums(f, exact, v.shape)), out_dtype)
+        df = box_windows(bv.df, bv.dims, bv.block, r, extension, lambda p, s: X.fields(decode(p, dtype, *s), exact), finish, not zp)
+        return BlockVolume(df, replace(bv.meta, dtype=out_dtype, dense=False), bv.block)
 
     cdt = "int64" if exact else "float64"
     bx, by, bz = bv.block
@@ -830,127 +517,152 @@ def clahe(bv: BlockVolume, r: int, bins: int = 256, slope: float = 3.0, lo: floa
         return (*g, *o, *s, encode(blend(bin_of(a), M, o, s, x0, y0), out_dtype))
 
     df = grouped_rows(rows, list(G), far, BLOCK_SCHEMA, BLOCK_COLUMNS)
-    return BlockVolume(df, VolumeMeta(bv.dims, out_dtype, rank=bv.meta.rank), bv.block)
+    return BlockVolume(df, replace(bv.meta, dtype=out_dtype, dense=False), bv.block)
 
 
 # ------------------------------------------------------------------ H7 in block form
 
-def _bbox(ti, nd, ox, oy, oz, sx, sy, sz):
-    """Source bounding box (lo, hi per source axis, x first) of a target block, with one sample of slack on each side."""
-    xs, ys, zs = (ox, ox + sx - 1), (oy, oy + sy - 1), (oz, oz + sz - 1)
+def _bbox(ti, o, s):
+    """Range of source samples (lo, hi per axis, x first) that interpolation at T^-1 of a target block reads, one more on each side."""
+    corners = [(x, y, z) for x in (o[0], o[0] + s[0] - 1) for y in (o[1], o[1] + s[1] - 1) for z in (o[2], o[2] + s[2] - 1)]
     out = []
-    for r in range(3):
-        if r < nd:
-            ps = [ti[r][0] * x + ti[r][1] * y + ti[r][2] * z + ti[r][3] for x in xs for y in ys for z in zs]
-            out.append((math.floor(min(ps)) - 1, math.floor(max(ps)) + 2))
-        else:
-            out.append((oz, oz + sz - 1))
+    for row in ti:
+        ps = [row[0] * x + row[1] * y + row[2] * z + row[3] for x, y, z in corners]
+        out.append((math.floor(min(ps)) - 1, math.floor(max(ps)) + 2))
     return out
 
 
+def _unfolded(o: int, s: int, n: int, mode: str, lo: int, hi: int):
+    """Where the samples [o, o+s) of an axis of n lie in its extension over [lo, hi]: (first, last, sign, offset), sample = sign * place + offset."""
+    e = o + s - 1
+    if mode == "zero":
+        runs = [(o, e, 1, 0)]
+    elif mode == "mirror_single" and n == 1:
+        runs = [(lo, hi, 0, 0)]
+    else:
+        p, c = (2 * n - 2, 0) if mode == "mirror_single" else (2 * n, 1)
+        runs = [r for k in range(lo // p - 1, hi // p + 2) for r in ((k * p + o, k * p + e, 1, -k * p), (k * p - c - e, k * p - c - o, -1, k * p - c))]
+    return [(max(a, lo), min(b, hi), sign, off) for a, b, sign, off in runs if max(a, lo) <= min(b, hi)]
+
+
+def _work_block(ti, block, most: int) -> tuple[int, int, int]:
+    """The block halved along its widest reach until the source of one part takes at most ``most`` bytes."""
+    block = list(block)
+
+    def size():
+        return math.prod(sum(abs(row[j]) * (block[j] - 1) for j in range(3)) + 4 for row in ti) * 8 * 3
+    while size() > most and max(block) > 1:
+        j = max((j for j in range(3) if block[j] > 1), key=lambda j: max(abs(row[j]) for row in ti) * block[j])
+        block[j] = (block[j] + 1) // 2
+    return tuple(block)
+
+
 def affine(bv: BlockVolume, t, target_min, target_size, target_block=None, extension: str = "mirror_double",
-           out_dtype: str | None = None) -> BlockVolume:
+           out_dtype: str | None = None, group_bytes: int | None = None) -> BlockVolume:
     """H7 (P9) in block form: target(q) = n-linear interpolation of the extended source at T^-1 q.
 
-    Per target block the source bounding box of T^-1(block) is mapped through
-    the extension and exploded to the source blocks it meets; an equi-join on
-    grid keys brings the blocks, they are trimmed to the box, and one shuffle
-    groups the pieces on the target.
+    A source block finds the targets that read it: each of its places in the extension (itself and its mirror images) is a
+    box; T of the box gives target cells, and those whose own source range meets the box get that part.  A target and a
+    source block are a pair only if they meet along the target's axes as well as the source's, which leaves out most of the
+    corners of a rotated bounding box.  One exchange, no join.
+
+    The source of a target grows with the block and the reduction of T.  Where it would pass ``group_bytes``
+    (``MAX_GROUP_BYTES``) smaller targets are computed and put together in one more exchange.
     """
     from .resample import inverse
-    spark = bv.df.sparkSession
     out_dtype = out_dtype or bv.dtype
     nd = bv.meta.ndim
     ti = [[float(v) for v in row] for row in inverse(np.asarray(t, dtype=np.float64))]
-    tb = tuple(int(b) for b in (target_block or bv.block))
-    tmin = tuple(int(m) for m in target_min)
-    tsize = tuple(int(s) for s in target_size)
-    dims, dtype = bv.dims, bv.dtype
-    grid = block_grid(spark, tsize, tb)
-
-    def plan(it):
-        # per target block: source box (same function as the kernel) and its image under the extension
-        for pdf in it:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                g = [float(row.ox + tmin[0]), float(row.oy + tmin[1]), float(row.oz + tmin[2])]
-                box = _bbox(ti, nd, *g, float(row.sx), float(row.sy), float(row.sz))
-                rec = [row.gx, row.gy, row.gz]
-                for d in range(3):
-                    ix = _index_map(int(box[d][0]), int(box[d][1]), dims[d], extension)
-                    ix = ix[ix >= 0]
-                    rec += [int(ix.min()), int(ix.max())] if len(ix) else [1, 0]
-                rows.append(rec)
-            yield pd.DataFrame(rows, columns=["tx", "ty", "tz", "mlox", "mhix", "mloy", "mhiy", "mloz", "mhiz"])
-
-    tgt = grid.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz").mapInPandas(
-        plan, "tx bigint, ty bigint, tz bigint, mlox bigint, mhix bigint, mloy bigint, mhiy bigint, mloz bigint, mhiz bigint")
-    live = tgt.filter((F.col("mlox") <= F.col("mhix")) & (F.col("mloy") <= F.col("mhiy")) & (F.col("mloz") <= F.col("mhiz")))
-    for d, a in enumerate("xyz"):
-        b = bv.block[d]
-        live = live.withColumn(G[d], F.explode(F.sequence(idiv(F.col(f"mlo{a}"), b), idiv(F.col(f"mhi{a}"), b))))
-    # one row per (target, source block) pair; a block that many targets read (a border under a mirror, zooming in) is a
-    # hot key of an equi-join, which the adaptive skew join splits
-    req = live.select(*G, "tx", "ty", "tz", "mlox", "mhix", "mloy", "mhiy", "mloz", "mhiz")
-    j = req.join(bv.df, list(G))
-
-    def trim(it):
-        names = ["tx", "ty", "tz", "px", "py", "pz", "nx", "ny", "nz", "payload"]
+    ti = [ti[r] if r < nd else [float(r == j) for j in range(4)] for r in range(3)]  # a 2-D volume is read at the target's z
+    forward = np.linalg.inv(np.vstack([ti, [0, 0, 0, 1]]))
+    goal = tuple(int(b) for b in (target_block or bv.block))
+    tmin, tsize = tuple(int(m) for m in target_min), tuple(int(s) for s in target_size)
+    tb = _work_block(ti, tuple(min(b, n) for b, n in zip(goal, tsize)), group_bytes or MAX_GROUP_BYTES)
+    if tb == tuple(min(b, n) for b, n in zip(goal, tsize)):
+        tb = goal
+    dims, dtype, smin = tuple(bv.dims), bv.dtype, tuple(bv.meta.min)
+    cells = [-(-n // b) for n, b in zip(tsize, tb)]
+    reach = [(lo - m, hi - m) for (lo, hi), m in zip(_bbox(ti, tmin, tsize), smin)]  # of all targets, in samples of the source
+    names = ["tx", "ty", "tz", "px", "py", "pz", "nx", "ny", "nz", "payload"]
+
+    def source_box(c):
+        """Source ranges of a target cell, in samples of the source."""
+        o = [x * b for x, b in zip(c, tb)]
+        s = [min(b, n - x) for x, b, n in zip(o, tb, tsize)]
+        return [(lo - m, hi - m) for (lo, hi), m in zip(_bbox(ti, [float(x + m) for x, m in zip(o, tmin)], [float(x) for x in s]), smin)]
+
+    def targets(box):
+        """Target cells that the box of the extended source may serve: T of it, one sample wider, along the target's axes."""
+        mid = np.array([(a + b) / 2 + m for (a, b), m in zip(box, smin)])
+        half = np.array([(b - a) / 2 + 1.001 for a, b in box])
+        centre, wide = forward[:3, :3] @ mid + forward[:3, 3] - tmin, np.abs(forward[:3, :3]) @ half
+        first = [max(0, math.floor((c - w) / b)) for c, w, b in zip(centre, wide, tb)]
+        last = [min(k - 1, math.floor((c + w) / b)) for c, w, b, k in zip(centre, wide, tb, cells)]
+        for z in range(first[2], last[2] + 1):
+            for y in range(first[1], last[1] + 1):
+                for x in range(first[0], last[0] + 1):
+                    yield x, y, z
+
+    def cut(it):
+        out = Outbox(names, ("nx", "ny", "nz"))
         for pdf in it:
-            rows, held = [], 0
             for row in pdf.itertuples(index=False):
                 a = decode(row.payload, dtype, row.sx, row.sy, row.sz)
                 o, s = (row.ox, row.oy, row.oz), (row.sx, row.sy, row.sz)
-                lo = [max(m, x) for m, x in zip((row.mlox, row.mloy, row.mloz), o)]
-                hi = [min(m, x + n - 1) for m, x, n in zip((row.mhix, row.mhiy, row.mhiz), o, s)]
-                sub = np.ascontiguousarray(a[lo[2] - o[2]:hi[2] - o[2] + 1, lo[1] - o[1]:hi[1] - o[1] + 1, lo[0] - o[0]:hi[0] - o[0] + 1])
-                rows.append((row.tx, row.ty, row.tz, *lo, *[h - l + 1 for l, h in zip(lo, hi)], sub.tobytes()))
-                held += sub.nbytes
-                if held > 32 << 20:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
+                runs = [_unfolded(o[d], s[d], dims[d], extension if d < nd else "zero", *reach[d]) for d in range(3)]
+                for place in ((x, y, z) for z in runs[2] for y in runs[1] for x in runs[0]):
+                    for c in targets([(p[0], p[1]) for p in place]):
+                        part = []
+                        for (first, last, sign, off), (lo, hi) in zip(place, source_box(c)):
+                            ends = sorted((sign * max(first, lo) + off, sign * min(last, hi) + off))
+                            part.append(ends if max(first, lo) <= min(last, hi) else None)
+                        if None in part:
+                            continue
+                        sub = a[tuple(slice(lo - x, hi - x + 1) for (lo, hi), x in zip(part[::-1], o[::-1]))]
+                        if out.add((*c, *[lo for lo, _ in part], *[hi - lo + 1 for lo, hi in part], np.ascontiguousarray(sub).tobytes())):
+                            yield out.frame()
+        if out.rows:
+            yield out.frame()
 
-    pieces = j.select("tx", "ty", "tz", "mlox", "mhix", "mloy", "mhiy", "mloz", "mhiz", *O, *S, "payload").mapInPandas(
-        trim, "tx bigint, ty bigint, tz bigint, px bigint, py bigint, pz bigint, nx int, ny int, nz int, payload binary")
-    marks = grid.select(F.col("gx").alias("tx"), F.col("gy").alias("ty"), F.col("gz").alias("tz"),
-                        *[F.lit(0).cast("bigint").alias(c) for c in ("px", "py", "pz")],
-                        *[F.lit(0).cast("int").alias(c) for c in ("nx", "ny", "nz")],
-                        F.lit(None).cast("binary").alias("payload"))
-    pieces = pieces.unionByName(marks)
+    rows = bv.df.select(*O, *S, "payload").mapInPandas(
+        cut, "tx bigint, ty bigint, tz bigint, px bigint, py bigint, pz bigint, nx int, ny int, nz int, payload binary")
+    marks = block_grid(rows.sparkSession, tsize, tb).select(
+        F.col("gx").alias("tx"), F.col("gy").alias("ty"), F.col("gz").alias("tz"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ("px", "py", "pz")],
+        *[F.lit(0).cast("int").alias(c) for c in ("nx", "ny", "nz")], F.lit(None).cast("binary").alias("payload"))
 
     def run(pdf: pd.DataFrame):
-        t3 = [int(pdf[k].iloc[0]) for k in ("tx", "ty", "tz")]
-        o = [t3[d] * tb[d] for d in range(3)]
-        s = [min(tb[d], tsize[d] - o[d]) for d in range(3)]
-        g = [float(o[d] + tmin[d]) for d in range(3)]
-        box = _bbox(ti, nd, *g, *[float(v) for v in s])
-        lo3 = [int(box[d][0]) for d in range(3)]
-        hi3 = [int(box[d][1]) for d in range(3)]
-        src = assemble_interval(pdf, dims, lo3, hi3, extension, dtype).astype(np.float64)
-        Z, Y, X = np.meshgrid(np.arange(s[2]) + g[2], np.arange(s[1]) + g[1], np.arange(s[0]) + g[0], indexing="ij")
+        c = [int(pdf[k].iloc[0]) for k in ("tx", "ty", "tz")]
+        o = [x * b for x, b in zip(c, tb)]
+        s = [min(b, n - x) for x, b, n in zip(o, tb, tsize)]
+        box = source_box(c)
+        modes = [extension if d < nd else "zero" for d in range(3)]  # the z of a 2-D volume is not extended
+        held = [image(lo, hi, n, m) for (lo, hi), n, m in zip(box, dims, modes)]
+        src = _paste(pdf, held, dtype, 1).astype(np.float64)
+        src = _read(src, held, box, dims, modes)
+        Z, Y, X = np.meshgrid(*[np.arange(s[d]) + float(o[d] + tmin[d]) for d in (2, 1, 0)], indexing="ij")
         fl, tt = [], []
         for r in range(nd):
             p = ti[r][0] * X + ti[r][1] * Y + ti[r][2] * Z + ti[r][3]
             f = np.floor(p)
-            fl.append(f.astype(np.int64))
+            fl.append(f.astype(np.int64) - smin[r])
             tt.append(p - f)
         out = np.zeros(X.shape)
-        for c in range(2 ** nd):
-            bits = [(c >> r) & 1 for r in range(nd)]
+        for k in range(2 ** nd):
+            bits = [(k >> r) & 1 for r in range(nd)]
             w = 1.0
             for r, b in enumerate(bits):
                 w = w * (tt[r] if b else (1.0 - tt[r]))
-            ix = [fl[r] + bits[r] - lo3[r] for r in range(nd)]
+            ix = [fl[r] + bits[r] - box[r][0] for r in range(nd)]
             if nd == 2:
-                ix.append(Z.astype(np.int64) - lo3[2])
+                ix.append(Z.astype(np.int64) - smin[2] - box[2][0])
             out = out + w * src[ix[2], ix[1], ix[0]]
-        res = K.to_dtype(out, out_dtype)
-        return (t3[0], t3[1], t3[2], o[0], o[1], o[2], s[0], s[1], s[2], encode(res, out_dtype))
+        return (*c, *o, *s, encode(K.to_dtype(out, out_dtype), out_dtype))
 
-    df = grouped_rows(pieces, ["tx", "ty", "tz"], run, BLOCK_SCHEMA, BLOCK_COLUMNS)
-    return BlockVolume(df, VolumeMeta(tsize, out_dtype, tmin), tb)
+    df = grouped_rows(rows.unionByName(marks), ["tx", "ty", "tz"], run, BLOCK_SCHEMA, BLOCK_COLUMNS)
+    meta = replace(bv.meta, dims=tsize, dtype=out_dtype, min=tmin, rank=bv.meta.stored_rank, dense=False)
+    out = BlockVolume(df, meta, tb)
+    return out if tb == goal else retile(out, goal)
 
 
 # ------------------------------------------------------------------ D* in block form
@@ -959,22 +671,26 @@ def map_pointwise(bv: BlockVolume, fn: Callable[[np.ndarray], np.ndarray], out_d
     """A pointwise converter on payloads: one ``mapInPandas``, no shuffle.
 
     If ``fn(0) != 0`` absent (all-zero) blocks change too, so the stored blocks
-    are left-joined to the block grid first (one join on grid keys)."""
+    are left-joined to the block grid first (one join on grid keys).  ``fn`` sees the samples in their own type."""
     out_dtype = out_dtype or bv.dtype
     dtype = bv.dtype
     f0 = np.asarray(fn(np.zeros((1, 1, 1), dtype=np.dtype(dtype_of(dtype).numpy))))
+    if bv.source is not None:
+        return added(bv, Stage(fn, tuple(bv.dims), out_dtype, zero_preserving=not f0.any()))
     df = bv.df.select(*BLOCK_COLUMNS)
     if f0.any():
         grid = bv.grid().select(*G, *O, *S)
         df = grid.join(df.select(*G, "payload"), list(G), "left").select(*BLOCK_COLUMNS)
 
     def run(it):
+        out = Outbox(BLOCK_COLUMNS, ("sx", "sy", "sz"))
         for pdf in it:
-            pays = []
             for row in pdf.itertuples(index=False):
                 a = (decode(row.payload, dtype, row.sx, row.sy, row.sz) if row.payload is not None
                      else np.zeros((row.sz, row.sy, row.sx), dtype=np.dtype(dtype_of(dtype).numpy)))
-                pays.append(encode(K.to_dtype(np.asarray(fn(a)), out_dtype), out_dtype))
-            yield pdf.assign(payload=pays)
+                if out.add((*row[:9], encode(K.to_dtype(np.asarray(fn(a)), out_dtype), out_dtype))):
+                    yield out.frame()
+        if out.rows:
+            yield out.frame()
 
-    return BlockVolume(df.mapInPandas(run, BLOCK_SCHEMA), VolumeMeta(bv.dims, out_dtype, rank=bv.meta.rank), bv.block)
+    return BlockVolume(df.mapInPandas(run, BLOCK_SCHEMA), replace(bv.meta, dtype=out_dtype, dense=False), bv.block)

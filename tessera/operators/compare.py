@@ -1,8 +1,8 @@
 """Same-data check across containers.
 
 Voxel form: one full outer join on coordinates (absent = 0) and one global
-aggregate.  Block form: full outer join on grid keys of equally blocked
-volumes; numpy compares each pair of payloads; one global aggregate.
+aggregate.  Block form: a join of digests on grid keys of equally blocked
+volumes; numpy compares the payloads of those that differ; one global aggregate.
 """
 
 from __future__ import annotations
@@ -32,14 +32,43 @@ def compare_volumes(a: Volume, b: Volume) -> DataFrame:
         F.coalesce(F.max(diff), F.lit(0.0)).alias("max_abs_diff"))
 
 
+# Keys of differing blocks up to this many are broadcast (24 bytes each); beyond it they are joined by shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def differing_blocks(a, b) -> tuple[DataFrame, DataFrame]:
+    """(grid positions where a block is stored in a or b, those whose bytes differ), from SHA-256 digests: no payload moves.
+
+    An absent block is all zero.  Volumes of different types differ wherever a sample is not zero.
+    """
+    from ..session import cut_lineage
+
+    def digests(v, name):
+        zero = F.expr("unhex(repeat('00', octet_length(payload)))")
+        digest = F.when(F.col("payload") == zero, F.lit(None)).otherwise(F.sha2("payload", 256))
+        return v.df.select("gx", "gy", "gz", digest.alias(name))
+    found = cut_lineage(digests(a, "da").join(digests(b, "db"), ["gx", "gy", "gz"], "full_outer"))
+    same = F.col("da").eqNullSafe(F.col("db"))
+    if a.dtype != b.dtype:
+        same = F.col("da").isNull() & F.col("db").isNull()
+    return found.select("gx", "gy", "gz"), found.where(~same).select("gx", "gy", "gz")
+
+
 def compare_blocks(a, b) -> DataFrame:
-    """A12 in block form: ``n_blocks, n_diff_voxels, max_abs_diff`` over the union of stored blocks."""
-    if tuple(a.block) != tuple(b.block) or tuple(a.dims) != tuple(b.dims):
-        raise ValueError("block comparison needs equal dims and blocks; retile one side first")
+    """A12 in block form: ``n_blocks, n_diff_voxels, max_abs_diff`` over the union of stored blocks.
+
+    Digests are joined first; payloads are only shuffled for blocks whose digests differ.
+    """
+    from .blockops import aligned
+    if not aligned(a, b):
+        raise ValueError("block comparison needs equal intervals and blocks; bring one side onto the other's first (on_interval)")
     keys = ["gx", "gy", "gz"]
-    l = a.df.select(*keys, "sx", "sy", "sz", F.col("payload").alias("pa"))
-    r = b.df.select(*keys, F.col("sx").alias("sx_b"), F.col("sy").alias("sy_b"), F.col("sz").alias("sz_b"),
-                    F.col("payload").alias("pb"))
+    everywhere, differ = differing_blocks(a, b)
+    few = differ.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+    only = lambda v: v.df.join(F.broadcast(differ) if few else differ, keys, "left_semi")
+    l = only(a).select(*keys, "sx", "sy", "sz", F.col("payload").alias("pa"))
+    r = only(b).select(*keys, F.col("sx").alias("sx_b"), F.col("sy").alias("sy_b"), F.col("sz").alias("sz_b"),
+                       F.col("payload").alias("pb"))
     j = l.join(r, keys, "full_outer")
     da, db = np.dtype(dtype_of(a.meta.dtype).numpy), np.dtype(dtype_of(b.meta.dtype).numpy)
 
@@ -56,12 +85,14 @@ def compare_blocks(a, b) -> DataFrame:
                 same = (va == vb) | ((va != va) & (vb != vb))  # in the native types; NaN equals NaN
                 x, y = va[~same], vb[~same]
                 size = np.abs(x.astype(np.float64) - y.astype(np.float64))
-                if x.dtype.kind == y.dtype.kind == "i":  # large integers differ by less than a double shows
+                if x.dtype.kind in "iu" and y.dtype.kind in "iu":  # large integers differ by less than a double shows
                     size = np.maximum(size, 1.0)
                 nd.append(len(x))
                 mx.append(float(size.max()) if len(size) else 0.0)
             yield pd.DataFrame({"nd": nd, "mx": mx})
 
     per = j.mapInPandas(diff, "nd bigint, mx double")
-    return per.agg(F.count(F.lit(1)).alias("n_blocks"), F.coalesce(F.sum("nd"), F.lit(0)).alias("n_diff_voxels"),
-                   F.coalesce(F.max("mx"), F.lit(0.0)).alias("max_abs_diff"))
+    stored = everywhere.select(F.lit(1).alias("n"), F.lit(0).cast("long").alias("nd"), F.lit(0.0).alias("mx"))
+    return stored.unionAll(per.select(F.lit(0).alias("n"), "nd", "mx")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_blocks"), F.coalesce(F.sum("nd"), F.lit(0)).alias("n_diff_voxels"),
+        F.coalesce(F.max("mx"), F.lit(0.0)).alias("max_abs_diff"))

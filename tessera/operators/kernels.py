@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 from ..volume import dtype_of
+from . import exact as X
 
 
 # ------------------------------------------------------------------ P1-P3
@@ -18,14 +19,23 @@ def round_half_away(a: np.ndarray) -> np.ndarray:
 
 
 def to_dtype(a: np.ndarray, dtype: str) -> np.ndarray:
-    """Integers round half away from zero and saturate; NaN -> 0."""
+    """Integers round half away from zero and saturate at the ends of the type; NaN -> 0.
+
+    A sample that is in the type already, or an integer inside its range, is not touched.
+    """
     t = dtype_of(dtype)
-    if not t.integer:
-        return a.astype(np.dtype(t.numpy))
-    d = np.asarray(a, dtype=np.float64)
-    d = np.where(np.isnan(d), 0.0, d)
-    d = np.clip(d, t.lo, t.hi)
-    return round_half_away(d).astype(np.dtype(t.numpy))
+    a, want = np.asarray(a), np.dtype(t.numpy)
+    if a.dtype == want or not t.integer:
+        return a.astype(want, copy=False)
+    ends = np.iinfo(want)
+    if a.dtype.kind in "iu":
+        have = np.iinfo(a.dtype)
+        return np.clip(a, max(have.min, ends.min), min(have.max, ends.max)).astype(want)
+    d = a.astype(np.float64)
+    d = round_half_away(np.where(np.isnan(d), 0.0, d))
+    low, high = d <= float(ends.min), d >= float(ends.max)  # 2^63 - 1 and 2^64 - 1 are 2^63 and 2^64 as doubles
+    out = np.where(low | high, 0.0, d).astype(want)
+    return np.where(high, want.type(ends.max), np.where(low, want.type(ends.min), out))
 
 
 def clamp(a: np.ndarray, lo: float, hi: float) -> np.ndarray:
@@ -63,11 +73,10 @@ def window_sums(a: np.ndarray, k: int, axis: int) -> np.ndarray:
 
 def box_sums(a: np.ndarray, r: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Window sums of a and a^2 over (2r+1)^2 for the centre of a 2-D padded
-    slice (``a.shape = (h + 2r, w + 2r)``); in int64 if ``exact`` (see ``exact_sums``), else in float64."""
+    slice (``a.shape = (h + 2r, w + 2r)``), exact and rounded once; ``exact``: int64 holds them (see ``exact_sums``)."""
     k = 2 * r + 1
-    work = a.astype(np.int64 if exact else np.float64)
-    with np.errstate(invalid="ignore", over="ignore"):
-        return tuple(window_sums(window_sums(m, k, 1), k, 0).astype(np.float64) for m in (work, work * work))
+    f = X.window_fields(X.window_fields(X.fields(a, exact), k, 1), k, 0)
+    return X.sums(f, exact, (a.shape[0] - 2 * r, a.shape[1] - 2 * r))
 
 
 def soft_limit(x: np.ndarray, limit: float, gamma: float) -> np.ndarray:

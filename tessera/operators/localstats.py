@@ -11,9 +11,9 @@ The slice operator pads axes 0 and 1 by the radius with the extension before
 taking statistics, so every kept voxel sees a full window: the count is the
 constant ``(2rx+1)(2ry+1)``, extension samples included.
 
-A window partition is a whole axis line, so this form is for small volumes and
-for checking; the block form (:mod:`tessera.operators.blocks`, halo plan with
-bounded groups) is the one to run at scale.
+A window partition is a segment of an axis line with the radius around it (``SEGMENT``), so it is
+bounded whatever the volume.  The block form (:mod:`tessera.operators.blocks`, halo plan with
+bounded groups) moves far fewer bytes and is the one to run at scale.
 """
 
 from __future__ import annotations
@@ -21,25 +21,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.pointwise import clamp, ieee_div, soft_limit_constants, to_type
-from ..volume import Volume, VolumeMeta
+from ..volume import Volume, VolumeMeta, idiv
 from .coords import ensure_dense, extend
 from .kernels import exact_sums
 
 
-def _axis_window_sum(df: DataFrame, cols: list[str], axis: str, others: list[str], r: int,
-                     total_cols: bool = True) -> DataFrame:
+SEGMENT = 4096  # samples of a line in a window partition, or four radii if that is more
+
+
+def _segments(df: DataFrame, axis: str, r: int, lo: int, n: int):
+    """Rows dealt to segments of the axis, each with the r samples on both sides of it (at most 1.5 rows for one).
+
+    Gives (rows, further partition columns, what keeps a segment's own rows)."""
+    size = max(SEGMENT, 4 * r)
+    if n <= size:
+        return df, [], lambda d: d
+    at = F.col(axis) - F.lit(int(lo))
+    first = idiv(F.greatest(at - r, F.lit(0)), size)
+    last = F.least(idiv(at + r, size), F.lit((n - 1) // size))
+    return (df.withColumn("_seg", F.explode(F.sequence(first, last))), ["_seg"],
+            lambda d: d.where(idiv(at, size) == F.col("_seg")).drop("_seg"))
+
+
+def _axis_window_sum(df: DataFrame, cols: list[str], axis: str, others: list[str], r: int, lo: int, n: int) -> DataFrame:
     """Add ``<c>_w`` = sum of ``c`` over ``[axis-r, axis+r]`` for each c in cols.
 
-    Rows must be dense along ``axis`` inside each ``others`` group; positions
-    beyond the group's ends count as 0.
+    Rows must be dense along ``axis`` inside each ``others`` group, from ``lo`` on ``n`` of them; positions
+    beyond the group's ends count as 0.  Running sums start with the segment's first row, which is r before its own first.
     """
-    w_order = Window.partitionBy(*others).orderBy(axis)
+    df, more, own = _segments(df, axis, r, lo, n)
+    w_order = Window.partitionBy(*others, *more).orderBy(axis)
     w_cum = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(*others)
+    w_all = Window.partitionBy(*others, *more)
     if any(df.schema[c].dataType.typeName() == "double" for c in cols):
         # doubles: frames over the window's own rows, so that no other sample can reach a sum
         frame = w_order.rowsBetween(-r, r)
-        return df.select("*", *[F.sum(c).over(frame).alias(f"{c}_w") for c in cols])
+        return own(df.select("*", *[F.sum(c).over(frame).alias(f"{c}_w") for c in cols]))
     for c in cols:
         df = df.withColumn(f"_p_{c}", F.sum(c).over(w_cum))
     sel = []
@@ -49,7 +66,7 @@ def _axis_window_sum(df: DataFrame, cols: list[str], axis: str, others: list[str
         lo = F.coalesce(F.lag(p, r + 1).over(w_order), F.lit(0).cast(df.schema[c].dataType))
         sel.append((hi - lo).alias(f"{c}_w"))
     keep = [c for c in df.columns if not c.startswith("_p_")]
-    return df.select(*keep, *sel)
+    return own(df.select(*keep, *sel))
 
 
 def box_sums(vol: Volume, rx: int, ry: int, extension: str = "zero", as_float: bool = False) -> DataFrame:
@@ -65,13 +82,14 @@ def box_sums(vol: Volume, rx: int, ry: int, extension: str = "zero", as_float: b
     src = vol if extension == "zero" else extend(vol, (rx, ry, 0), extension)
     v = (F.col("v").cast("float") if as_float else F.col("v")).cast(vt)
     df = src.df.select("x", "y", "z", v.alias("a"), (v * v).alias("b"))
-    df = _axis_window_sum(df, ["a", "b"], "x", ["z", "y"], rx)
     (x0, y0, _), (x1, y1, _) = vol.meta.min, vol.meta.max
+    (lx, ly, _), (nx, ny, _) = src.meta.min, src.dims
+    df = _axis_window_sum(df, ["a", "b"], "x", ["z", "y"], rx, lx, nx)
     if extension != "zero":
         # the pass over y needs the padded rows, but only the kept columns
         df = df.filter(F.col("x").between(x0, x1))
     df = df.select("x", "y", "z", "a", F.col("a_w").alias("s1"), F.col("b_w").alias("q1"))
-    df = _axis_window_sum(df, ["s1", "q1"], "y", ["z", "x"], ry)
+    df = _axis_window_sum(df, ["s1", "q1"], "y", ["z", "x"], ry, ly, ny)
     if extension != "zero":
         df = df.filter(F.col("y").between(y0, y1))
     return df.select("x", "y", "z", F.col("a").alias("v"), F.col("s1_w").alias("S"), F.col("q1_w").alias("Q"))

@@ -1,6 +1,6 @@
 """Pairwise and n-ary voxel operators.
 
-Operands align on equal coordinates: one equi-join on ``(x, y, z)``.  Absent
+Operands align on equal coordinates, the result has A's interval: one equi-join on ``(x, y, z)``.  Absent
 voxels are 0, so add/sub/max need every voxel of either side (full outer
 join); mul keeps the inner join; div densifies first (0/0 is NaN).  Both sides
 are hash-partitioned on the coordinates; for equally blocked block-form
@@ -19,9 +19,16 @@ from ..volume import AXES, Volume, VolumeMeta, dtype_of
 from .coords import crop, densify
 
 
+def _within(b: Volume, a: Volume) -> DataFrame:
+    """The voxels of B inside A's interval; outside it there is no result."""
+    if tuple(a.meta.min) == tuple(b.meta.min) and tuple(a.dims) == tuple(b.dims):
+        return b.df
+    return crop(b, a.meta.min, a.dims).df
+
+
 def _full(a: Volume, b: Volume) -> DataFrame:
     l = a.df.select(*AXES, F.col("v").alias("va"))
-    r = b.df.select(*AXES, F.col("v").alias("vb"))
+    r = _within(b, a).select(*AXES, F.col("v").alias("vb"))
     return l.join(r, list(AXES), "full_outer")
 
 
@@ -83,7 +90,7 @@ def vmax(sources: list[Volume], floor: float | None = 0) -> Volume:
 
     A union and one aggregation: partial max per partition before the shuffle.
     """
-    u = reduce(lambda x, y: x.unionByName(y), [s.df.select(*AXES, "v") for s in sources])
+    u = reduce(lambda x, y: x.unionByName(y), [_within(s, sources[0]).select(*AXES, "v") for s in sources])
     m = F.max("v")
     if floor is not None:
         m = F.greatest(m, F.lit(floor).cast(u.schema["v"].dataType))

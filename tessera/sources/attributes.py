@@ -1,22 +1,28 @@
-"""Container attributes (A4): every metadata file of a container as rows.
+"""Container attributes (A4): the metadata of groups and datasets as rows ``(path, key, value, type)``.
 
-Read with Spark's whole-text reader, parsed to VARIANT and exploded, so a
-container with many datasets is listed in parallel:
-``(path, key, value, type)`` where ``value`` is JSON text and ``type`` the
-variant schema (``ARRAY<BIGINT>``, ``STRING``, ``OBJECT<...>``).
+``value`` is JSON text and ``type`` the variant schema (``ARRAY<BIGINT>``, ``STRING``, ``OBJECT<...>``).
+
+``list_attributes`` reads N5 files with Spark's whole-text reader.  ``container_attributes`` covers both layouts through a data source of
+its own (``format("ndattributes")``), as Spark's file listing skips names with a leading dot: it walks groups, reads ``attributes.json``,
+``.zgroup``, ``.zarray`` and ``.zattrs`` through the container's store, and does not enter datasets, so chunks are
+never listed.  A partition is a folder of the first level; comparisons of ``path`` with ``=``, ``IN`` and a prefix
+(``LIKE 'a/%'``) are pushed into the walk.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, StringStartsWith
 
+from .chunked import CURRENT, Store
 
-def list_attributes(spark: SparkSession, root: str, names=("attributes.json",)) -> DataFrame:
-    """N5 attributes of every group and dataset under ``root``.
+FILES = ("attributes.json", ".zgroup", ".zarray", ".zattrs")
 
-    Spark's file listing skips names starting with a dot, so Zarr's
-    ``.zarray``/``.zattrs`` are read by ``chunked.read_meta`` instead.
-    """
+
+def list_attributes(spark: SparkSession, root: str, names=("attributes.json",)) -> DataFrame:
+    """N5 attributes of every group and dataset under ``root``, by Spark's text reader."""
     frames = []
     for name in names:
         df = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
@@ -37,3 +43,82 @@ def get_attribute(attrs: DataFrame, key: str, spark_type: str) -> DataFrame:
     """Typed read of one key per path, e.g. ``get_attribute(a, 'dimensions', 'array<bigint>')``."""
     return attrs.filter(F.col("key") == key).select(
         "path", F.expr(f"variant_get(parse_json(value), '$', '{spark_type}')").alias(key))
+
+
+class AttributeReader(DataSourceReader):
+    def __init__(self, options):
+        self.root = options["path"]
+        self.paths, self.prefix = None, ""  # what the pushed filters leave
+
+    def pushFilters(self, filters):
+        for f in filters:
+            if getattr(f, "attribute", None) != ("path",):
+                yield f
+            elif isinstance(f, (EqualTo, In)):
+                found = {f.value} if isinstance(f, EqualTo) else {v for v in f.value if v is not None}
+                self.paths = found if self.paths is None else self.paths & found
+            elif isinstance(f, StringStartsWith):
+                if f.value.startswith(self.prefix):
+                    self.prefix = f.value
+                elif not self.prefix.startswith(f.value):
+                    self.paths = set()
+            else:
+                yield f
+
+    def _may_hold(self, path: str) -> bool:
+        """Whether the folder or one below it may be asked for."""
+        below = f"{path}/" if path else ""
+        if not (below.startswith(self.prefix) or self.prefix.startswith(below)):
+            return path.startswith(self.prefix)
+        return self.paths is None or any(p == path or p.startswith(below) for p in self.paths)
+
+    def _asked(self, path: str) -> bool:
+        return path.startswith(self.prefix) and (self.paths is None or path in self.paths)
+
+    def partitions(self):
+        first = [n for n in Store(self.root).folders(Store(self.root).at()) if not n.startswith(".") and self._may_hold(n)]
+        return [InputPartition(("", False)), *(InputPartition((n, True)) for n in sorted(first))]
+
+    def read(self, partition):
+        st, (path, deep) = Store(self.root), partition.value
+        todo = [path]
+        while todo:
+            path = todo.pop()
+            at = path
+            now = st.json(st.at(path, CURRENT)) if path else None
+            if now is not None:  # published by versions: what the current one says
+                at = f"{path}/{now['version']}"
+            dataset = now is not None
+            for name in FILES:
+                found = st.json(st.at(at, name))
+                if found is None:
+                    continue
+                dataset |= name == ".zarray" or "dimensions" in found
+                if self._asked(path):
+                    yield from ((path, name, k, json.dumps(v, separators=(",", ":"), sort_keys=True)) for k, v in found.items())
+            if deep:
+                # below a dataset there may be others, but its own numbered folders hold chunks
+                todo += [p for n in st.folders(st.at(path)) if not (n.startswith((".", "v-")) or dataset and n.isdigit())
+                         and self._may_hold(p := f"{path}/{n}")]
+
+
+class ContainerAttributes(DataSource):
+    """``format("ndattributes")``: ``path`` (below the container), ``file``, ``key``, ``value`` (JSON)."""
+
+    @classmethod
+    def name(cls):
+        return "ndattributes"
+
+    def schema(self):
+        return "path string, file string, key string, value string"
+
+    def reader(self, schema):
+        return AttributeReader(self.options)
+
+
+def container_attributes(spark: SparkSession, root: str) -> DataFrame:
+    """Attributes of every group and dataset of an N5 or Zarr container: ``path`` (below the root, '' for it), ``file``, ``key``, ``value``, ``type``."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ContainerAttributes)
+    df = spark.read.format("ndattributes").option("path", root).load()
+    return df.withColumn("type", F.schema_of_variant(F.parse_json("value")))

@@ -14,15 +14,24 @@ from the dataset's metadata file, following the public format descriptions:
 Codecs: raw, gzip and zlib (stdlib); anything else raises a clear error.
 A missing chunk is all zero and produces no row; with a Zarr ``fill_value``
 other than 0 it produces a filled block.  Zarr filters and datasets of
-more than three axes are refused.  Partitions are ranges of
-grid ids sized to ``partition_bytes``; ``gx``/``gy``/``gz`` filters are
+more than three axes are refused.  ``gx``/``gy``/``gz`` filters are
 pushed into the scan (set ``spark.sql.python.filterPushdown.enabled``).
 
-``save_blocks`` writes a dataset chunk by chunk into a staging folder beside
-it, metadata included; the commit replaces the old dataset by it, an abort
-removes it.  So a rewrite leaves no stale chunk and a failed job no half
+Planning: a small grid is cut into ranges of grid ids sized to ``partition_bytes``.  For a large one (``INDEX_CELLS``) a
+Spark job lists the chunks that are stored and writes an index, dealt into partitions by their bytes; the driver
+reads one line a partition, a task the keys of its own.
+
+``save_blocks`` replaces a dataset, metadata included, as a whole:
+
+* where folders can be renamed (local, HDFS) tasks write into a staging folder, and the commit moves the old dataset out
+  and the new one in.  A note says how far it got, so a commit that was cut off is finished by whoever opens or writes the dataset next;
+* elsewhere (object stores) tasks write the final keys of a new version ``<dataset>/v-<id>``, a complete
+  dataset, and the commit writes one file, ``<dataset>/current.json``, which names it.  No chunk is moved; older versions
+  stay readable for whoever has opened them, until ``drop_old_versions``.
+
+So a rewrite leaves no stale chunk and a failed job no half
 dataset.  A retried task rewrites the same chunks.  ``skip_empty`` leaves
-all-zero chunks unwritten (A10).
+all-zero chunks unwritten (A10).  ``save_many`` writes several datasets in one job.
 
 Roots are plain paths or URIs that ``pyarrow.fs`` opens (``file:``, ``s3:``,
 ``gs:``, ``hdfs:``), on the driver and on the executors.
@@ -31,6 +40,7 @@ Roots are plain paths or URIs that ``pyarrow.fs`` opens (``file:``, ``s3:``,
 from __future__ import annotations
 
 import gzip
+import hashlib
 import json
 import math
 import os
@@ -40,20 +50,22 @@ import uuid
 import zlib
 
 import numpy as np
+import pandas as pd
+import pyarrow.dataset as pads
 from pyarrow import fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualTo, GreaterThan,
                                     GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual,
                                     WriterCommitMessage)
 
-from ..volume import VolumeMeta, dtype_of
+from ..volume import DTYPES, VolumeMeta, dtype_of
 
 SCHEMA = ("dataset string, gx bigint, gy bigint, gz bigint, ox bigint, oy bigint, oz bigint, "
           "sx int, sy int, sz int, payload binary")
 
-# N5 data type names and the numpy types they denote.
-N5_TYPES = {"uint8": "uint8", "uint16": "uint16", "int32": "int32", "int64": "int64",
-            "float32": "float32", "float64": "float64"}
+INDEX_CELLS = 10_000  # grids with more cells are planned from the chunks that are stored
+CURRENT = "current.json"  # names the version of a dataset that is published by versions
 
 
 # ------------------------------------------------------------------ storage
@@ -67,6 +79,11 @@ class Store:
         else:
             self.fs, self.base = pafs.LocalFileSystem(), os.path.abspath(root)
 
+    @property
+    def renames(self) -> bool:
+        """Whether a folder can be moved in one step."""
+        return self.fs.type_name in ("local", "hdfs")
+
     def at(self, *parts: str) -> str:
         return "/".join([self.base.rstrip("/"), *[p.strip("/") for p in parts if p.strip("/")]])
 
@@ -82,6 +99,14 @@ class Store:
         with self.fs.open_output_stream(path) as f:
             f.write(data)
 
+    def put(self, path: str, data: bytes) -> None:
+        """A file that is never seen half written, whoever else writes it at the same time."""
+        if not self.renames:  # an object appears as a whole
+            return self.write(path, data)
+        tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+        self.write(tmp, data)
+        self.fs.move(tmp, path)
+
     def json(self, path: str) -> dict | None:
         data = self.read(path)
         return None if data is None else json.loads(data)
@@ -89,14 +114,19 @@ class Store:
     def children(self, path: str) -> list[str]:
         return [os.path.basename(x.path) for x in self.fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))]
 
-    def move(self, src: str, dst: str) -> None:
-        """A file or folder; file by file where the store cannot move folders."""
-        try:
-            self.fs.move(src, dst)
-        except OSError:
-            for x in self.fs.get_file_info(pafs.FileSelector(src, recursive=True)):
-                if x.type == pafs.FileType.File:
-                    self.fs.move(x.path, dst + x.path[len(src):])
+    def files(self, path: str) -> list[tuple[str, int]]:
+        """(path below ``path``, bytes) of every file in the folder and its subfolders."""
+        if self.fs.get_file_info(path).type != pafs.FileType.Directory:
+            return []
+        found = self.fs.get_file_info(pafs.FileSelector(path, allow_not_found=True, recursive=True))
+        return [(x.path[len(path.rstrip("/")) + 1:], x.size) for x in found if x.type == pafs.FileType.File]
+
+    def folders(self, path: str) -> list[str]:
+        found = self.fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+        return [os.path.basename(x.path) for x in found if x.type == pafs.FileType.Directory]
+
+    def exists(self, path: str) -> bool:
+        return self.fs.get_file_info(path).type != pafs.FileType.NotFound
 
     def remove(self, path: str) -> None:
         kind = self.fs.get_file_info(path).type
@@ -109,7 +139,18 @@ class Store:
 # ------------------------------------------------------------------ metadata
 
 def read_meta(root: str, dataset: str) -> dict:
-    """Layout-independent description: dims/block (x first), dtype, codec, layout, separator, fill, attrs."""
+    """Layout-independent description: dims/block (x first), dtype, codec, layout, separator, fill, attrs, path.
+
+    ``path`` is where the chunks lie: the dataset itself, or its current version.
+    """
+    finish_publish(root, dataset)
+    st = Store(root)
+    now = st.json(st.at(dataset, CURRENT))
+    return meta_at(root, dataset if now is None else f"{dataset.rstrip('/')}/{now['version']}")
+
+
+def meta_at(root: str, dataset: str) -> dict:
+    """``read_meta`` of what lies at this very path."""
     st = Store(root)
     z = st.json(st.at(dataset, ".zarray"))
     if z is not None:
@@ -120,7 +161,7 @@ def read_meta(root: str, dataset: str) -> dict:
         out = {"layout": "zarr", "dims": list(reversed(z["shape"])), "block": list(reversed(z["chunks"])),
                "dtype": dt.name, "byteorder": "<" if dt.byteorder in "<|=" else ">",
                "codec": "raw" if comp is None else comp.get("id"), "sep": z.get("dimension_separator", "."),
-               "order": z.get("order", "C"), "fill": float(z["fill_value"]) if z.get("fill_value") is not None else 0.0,
+               "order": z.get("order", "C"), "fill": _fill(z.get("fill_value"), dt),
                "attrs": st.json(st.at(dataset, ".zattrs")) or {}}
     else:
         a = st.json(st.at(dataset, "attributes.json"))
@@ -132,11 +173,20 @@ def read_meta(root: str, dataset: str) -> dict:
         codec = comp.get("type", "raw")
         if codec == "gzip" and comp.get("useZlib"):
             codec = "zlib"
-        out = {"layout": "n5", "dims": a["dimensions"], "block": a["blockSize"], "dtype": N5_TYPES[a["dataType"]],
-               "byteorder": ">", "codec": codec, "sep": "/", "fill": 0.0, "attrs": a}
+        if a["dataType"] not in DTYPES:
+            raise NotImplementedError(f"{dataset}: data type {a['dataType']!r} is not supported")
+        out = {"layout": "n5", "dims": a["dimensions"], "block": a["blockSize"], "dtype": a["dataType"],
+               "byteorder": ">", "codec": codec, "sep": "/", "fill": 0, "attrs": a}
     if len(out["dims"]) > 3:
         raise ValueError(f"{dataset} has {len(out['dims'])} axes; up to three are supported")
-    return out
+    return out | {"path": dataset}
+
+
+def _fill(value, dt: np.dtype):
+    """A Zarr fill value in its own type: integers stay whole, floats may be NaN or infinite (by name)."""
+    if value is None:
+        return 0
+    return int(value) if dt.kind in "iu" else float(value)
 
 
 def _pad3(v, fill):
@@ -175,34 +225,100 @@ def write_meta(root: str, dataset: str, meta: VolumeMeta, block, layout: str = "
         raise ValueError(f"unknown layout {layout!r}")
 
 
-OWN_FILES = re.compile(r"attributes\.json|\.zarray|\.zattrs|\d+(\.\d+)*")
+OWN_FILES = re.compile(r"attributes\.json|\.zarray|\.zattrs|current\.json|v-[0-9a-f]{32}|\d+(\.\d+)*")
+ROOT_FILES = ("attributes.json", ".zgroup")  # metadata of the root group
+
+
+def _note(st: Store, dataset: str) -> str:
+    return st.at(f".publish-{hashlib.sha1(dataset.strip('/').encode()).hexdigest()[:20]}.json")
 
 
 def publish(root: str, stage: str, dataset: str) -> None:
-    """Replace the dataset by the staged one; other datasets below it stay."""
+    """Replace the dataset by the staged one, by moving folders; other datasets below it stay."""
+    st = Store(root)
+    there = st.children(st.at(dataset))
+    whole = bool(dataset.strip("/")) and all(OWN_FILES.fullmatch(n) for n in there)
+    note = {"stage": stage, "dataset": dataset, "whole": whole, "step": "out"}
+    st.put(_note(st, dataset), json.dumps(note).encode())
+    _go_on(st, note)
+
+
+def finish_publish(root: str, dataset: str) -> None:
+    """Finish a commit that was cut off between the old dataset and the new one."""
     st = Store(root)
-    new, final, old = st.at(stage, dataset), st.at(dataset), st.at(stage + "-old")
-    there = st.children(final)
-    own = [n for n in there if OWN_FILES.fullmatch(n)]
-    if dataset.strip("/") and len(own) == len(there):
-        if there:
-            st.move(final, old)
+    if st.renames:
+        note = st.json(_note(st, dataset))
+        if note is not None:
+            _go_on(st, note)
+
+
+def _go_on(st: Store, note: dict) -> None:
+    """The steps of a commit from the one that the note names; each may have been done in part."""
+    dataset = note["dataset"]
+    new, final, old = st.at(note["stage"], dataset), st.at(dataset), st.at(f"{note['stage']}-old")
+    if note["step"] == "out":
+        if note["whole"]:
+            if st.exists(final):
+                st.fs.move(final, old)
         else:
-            st.fs.create_dir(os.path.dirname(final), recursive=True)
-            st.remove(final)
-        st.move(new, final)
-    else:
-        st.fs.create_dir(old, recursive=True)
-        for n in own:
-            st.move(st.at(dataset, n), f"{old}/{n}")
-        for n in st.children(new):
-            st.move(f"{new}/{n}", st.at(dataset, n))
-    for n in ("attributes.json", ".zgroup"):  # of the root group
+            st.fs.create_dir(old, recursive=True)
+            for n in sorted(st.children(final)):
+                if OWN_FILES.fullmatch(n):
+                    st.fs.move(f"{final}/{n}", f"{old}/{n}")
+        note = note | {"step": "in"}
+        st.put(_note(st, dataset), json.dumps(note).encode())
+    if st.exists(new):
+        st.fs.create_dir(os.path.dirname(final), recursive=True)
+        if note["whole"]:
+            st.fs.move(new, final)
+        else:
+            st.fs.create_dir(final, recursive=True)
+            for n in sorted(st.children(new), key=lambda n: not n[:1].isdigit()):  # chunks first, metadata last
+                st.fs.move(f"{new}/{n}", f"{final}/{n}")
+    _root_files(st, note["stage"])
+    st.remove(old)
+    st.remove(st.at(note["stage"], dataset))
+    st.remove(_note(st, dataset))
+
+
+def _root_files(st: Store, stage: str) -> None:
+    for n in ROOT_FILES:
         data = st.read(st.at(stage, n))
         if data is not None and st.read(st.at(n)) is None:
             st.write(st.at(n), data)
-    st.remove(old)
-    st.remove(st.at(stage))
+
+
+def publish_version(root: str, dataset: str, version: str) -> None:
+    """Make a written version the dataset's content: one file."""
+    st = Store(root)
+    st.put(st.at(dataset, CURRENT), json.dumps({"version": version}).encode())
+
+
+def drop_old_versions(spark: SparkSession, root: str, dataset: str) -> int:
+    """Delete everything of the dataset but its current version, in a Spark job; gives the number of files."""
+    st = Store(root)
+    now = (st.json(st.at(dataset, CURRENT)) or {}).get("version")
+    if now is None:
+        return 0
+    stale = [n for n in st.children(st.at(dataset)) if OWN_FILES.fullmatch(n) and n not in (CURRENT, now)]
+    parts = [(f"{v}/{n}",) for v in stale if v.startswith("v-") for n in st.children(st.at(dataset, v))] \
+        + [(n,) for n in stale if not n.startswith("v-")]
+
+    def drop(it):
+        store = Store(root)
+        for pdf in it:
+            for part in pdf["part"]:
+                path = store.at(dataset, part)
+                n = len(store.files(path)) or int(store.exists(path))
+                store.remove(path)
+                yield pd.DataFrame({"n": [n]})
+    if not parts:
+        return 0
+    n = spark.createDataFrame(parts, "part string").repartition(min(len(parts), 10_000), "part").mapInPandas(drop, "n long") \
+        .agg(F.sum("n")).first()[0]
+    for v in stale:
+        st.remove(st.at(dataset, v))
+    return int(n)
 
 
 # ------------------------------------------------------------------ chunk codec
@@ -281,7 +397,9 @@ class ChunkReader(DataSourceReader):
         self.root = options["path"]
         self.dataset = options.get("dataset", "")
         self.part_bytes = int(options.get("partition_bytes", 128 << 20))
-        self.m = read_meta(self.root, self.dataset)
+        self.index = options.get("index", "")
+        # the version that was current when the dataset was opened is read, whatever is published later
+        self.m = meta_at(self.root, options["at"]) if options.get("at") else read_meta(self.root, self.dataset)
         dims, blk = _pad3(self.m["dims"], 1), _pad3(self.m["block"], 1)
         self.counts = [(d + b - 1) // b for d, b in zip(dims, blk)]
         self.box = [[0, c - 1] for c in self.counts]
@@ -292,19 +410,34 @@ class ChunkReader(DataSourceReader):
         vals = range(lo, hi + 1)
         return [v for v in vals if v in self.sets[a]] if self.sets[a] is not None else list(vals)
 
+    def _wanted(self, g) -> bool:
+        return all(lo <= v <= hi and (s is None or v in s) for v, (lo, hi), s in zip(g, self.box, self.sets))
+
     def partitions(self):
+        if self.index:
+            parts = _index(self.index).to_table(columns=["part", *[f"{e}_{a}" for a in "xyz" for e in ("lo", "hi")]]).to_pylist()
+            return [_Part(r["part"], None) for r in parts
+                    if all(r[f"lo_{a}"] <= hi and lo <= r[f"hi_{a}"] for a, (lo, hi) in zip("xyz", self.box))] or [_Part(0, 0)]
         n = math.prod(len(self._axis_values(a)) for a in range(3))
         blk = _pad3(self.m["block"], 1)
         bpp = max(1, self.part_bytes // max(1, math.prod(blk) * np.dtype(self.m["dtype"]).itemsize))
         return [_Part(s, min(n, s + bpp)) for s in range(0, n, bpp)] or [_Part(0, 0)]
 
-    def read(self, partition):
+    def _keys(self, partition):
+        """Grid positions of a partition."""
+        if partition.end is None:
+            rows = _index(self.index).to_table(columns=["keys"], filter=pads.field("part") == partition.start).to_pylist()
+            yield from (g for r in rows for k in r["keys"] if self._wanted(g := (k["gx"], k["gy"], k["gz"])))
+            return
         vx, vy, vz = (self._axis_values(a) for a in range(3))
+        for i in range(partition.start, partition.end):
+            yield vx[i % len(vx)], vy[(i // len(vx)) % len(vy)], vz[i // (len(vx) * len(vy))]
+
+    def read(self, partition):
         dims, blk = _pad3(self.m["dims"], 1), _pad3(self.m["block"], 1)
         st = Store(self.root)
-        for i in range(partition.start, partition.end):
-            g = (vx[i % len(vx)], vy[(i // len(vx)) % len(vy)], vz[i // (len(vx) * len(vy))])
-            data = st.read(st.at(self.dataset, chunk_key(self.m, g)))
+        for g in self._keys(partition):
+            data = st.read(st.at(self.m["path"], chunk_key(self.m, g)))
             if data is None and not self.m["fill"]:
                 continue
             o = [g[d] * blk[d] for d in range(3)]
@@ -314,6 +447,11 @@ class ChunkReader(DataSourceReader):
                    np.ascontiguousarray(a).tobytes())
 
 
+def _index(path: str):
+    st = Store(path)
+    return pads.dataset(st.at(), filesystem=st.fs, format="parquet")
+
+
 class PrunedChunkReader(ChunkReader):
     """Reader with grid-key filter push-down (needs spark.sql.python.filterPushdown.enabled)."""
 
@@ -353,35 +491,45 @@ class _Done(WriterCommitMessage):
 
 
 class ChunkWriter(DataSourceWriter):
+    """Rows go to the dataset that they name; ``stage`` or ``version`` says where its chunks are written (see the module)."""
+
     def __init__(self, options):
         self.root = options["path"]
-        self.dataset = options["dataset"]
-        self.stage = options.get("stage", "")
+        self.datasets = json.loads(options["datasets"])
+        self.stage, self.version = options.get("stage", ""), options.get("version", "")
         self.skip_empty = options.get("skip_empty", "true").lower() == "true"
 
+    def place(self, dataset: str) -> str:
+        return f"{dataset.rstrip('/')}/{self.version}" if self.version else f"{self.stage}/{dataset}"
+
     def write(self, rows):
-        m = read_meta("/".join(filter(None, [self.root.rstrip("/"), self.stage])), self.dataset)
-        st = Store(self.root)
-        np_dt = np.dtype(dtype_of(m["dtype"]).numpy)
+        st, metas = Store(self.root), {}
         written = skipped = 0
         for r in rows:
-            a = np.frombuffer(r["payload"], dtype=np_dt).reshape(r["sz"], r["sy"], r["sx"])
+            d = r["dataset"]
+            if d not in metas:
+                metas[d] = meta_at(self.root, self.place(d))
+            m = metas[d]
+            a = np.frombuffer(r["payload"], dtype=np.dtype(dtype_of(m["dtype"]).numpy)).reshape(r["sz"], r["sy"], r["sx"])
             if self.skip_empty and not a.any():
                 skipped += 1
                 continue
-            path = st.at(self.stage, self.dataset, chunk_key(m, (r["gx"], r["gy"], r["gz"])))
-            tmp = f"{path}.{uuid.uuid4().hex}.tmp"  # another attempt of this task may write the same chunk
-            st.write(tmp, encode_chunk(a, m))
-            st.fs.move(tmp, path)
+            st.put(st.at(self.place(d), chunk_key(m, (r["gx"], r["gy"], r["gz"]))), encode_chunk(a, m))
             written += 1
         return _Done(written, skipped)
 
     def commit(self, messages):
+        for d in self.datasets:
+            if self.version:
+                publish_version(self.root, d, self.version)
+            else:
+                publish(self.root, self.stage, d)
         if self.stage:
-            publish(self.root, self.stage, self.dataset)
+            st = Store(self.root)
+            st.remove(st.at(self.stage))
 
     def abort(self, messages):
-        if self.stage:
+        if self.stage:  # a version that was not published is never read; drop_old_versions deletes it
             st = Store(self.root)
             st.remove(st.at(self.stage))
 
@@ -413,21 +561,99 @@ def register(spark: SparkSession) -> None:
 
 # ------------------------------------------------------------------ helpers
 
-def open_blocks(spark: SparkSession, root: str, dataset: str):
-    """A1/A2/A3: open a dataset lazily as a BlockVolume (metadata read once, on the driver)."""
+def stored_chunks(spark: SparkSession, root: str, dataset: str, m: dict | None = None) -> DataFrame:
+    """``gx, gy, gz, bytes`` of the chunks that are stored, listed in a Spark job.
+
+    A task lists one folder of the first axis of the keys; a layout whose chunks lie side by side in one folder is one listing.
+    """
+    m = m or read_meta(root, dataset)
+    st, nd = Store(root), len(m["dims"])
+    nested = m["layout"] == "n5" or m["sep"] == "/"
+    heads = [n for n in st.folders(st.at(m["path"])) if n.isdigit()] if nested and nd > 1 else [""]
+    sep = "/" if nested else m["sep"]
+
+    def run(it):
+        store = Store(root)
+        for pdf in it:
+            for head in pdf["head"]:
+                rows = []
+                for name, size in store.files(store.at(m["path"], head)):
+                    key = (f"{head}/{name}" if head else name).split(sep)
+                    if len(key) == nd and all(k.isdigit() for k in key):
+                        g = [int(k) for k in key]
+                        rows.append((*_pad3(g if m["layout"] == "n5" else g[::-1], 0), size))
+                yield pd.DataFrame(rows, columns=["gx", "gy", "gz", "bytes"])
+
+    df = spark.createDataFrame([(h,) for h in heads], "head string").repartition(max(1, min(len(heads), 10_000)), "head")
+    return df.mapInPandas(run, "gx long, gy long, gz long, bytes long")
+
+
+def write_index(spark: SparkSession, root: str, dataset: str, m: dict, part_bytes: int) -> str:
+    """An index of the stored chunks in the shared checkpoint folder: partition, its box of grid positions, its keys.
+
+    Chunks are counted in the order z, y, x: sums inside a slab of the grid, and one number a slab before it.
+    """
+    from ..session import cut_lineage, ensure_checkpoint_dir
+    found = cut_lineage(stored_chunks(spark, root, dataset, m))  # listed once
+    slabs = found.groupBy("gz").agg(F.sum("bytes").alias("b"))
+    before = slabs.select("gz", (F.sum("b").over(Window.orderBy("gz")) - F.col("b")).alias("before"))
+    at = F.sum("bytes").over(Window.partitionBy("gz").orderBy("gy", "gx")) - F.col("bytes")
+    part = F.floor((F.col("before") + F.col("at")) / F.lit(part_bytes)).cast("long")
+    grid = [F.min(g).alias(f"lo_{g[1]}") for g in ("gx", "gy", "gz")] + [F.max(g).alias(f"hi_{g[1]}") for g in ("gx", "gy", "gz")]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-index-{uuid.uuid4().hex}"
+    (found.withColumn("at", at).join(before, "gz").withColumn("part", part)
+     .groupBy("part").agg(*grid, F.collect_list(F.struct("gx", "gy", "gz")).alias("keys"))
+     .repartitionByRange("part").sortWithinPartitions("part").write.parquet(path))
+    return path
+
+
+def open_blocks(spark: SparkSession, root: str, dataset: str, index: bool | None = None, partition_bytes: int = 128 << 20):
+    """A1/A2/A3: open a dataset lazily as a BlockVolume (metadata read once, on the driver).
+
+    ``index``: plan from the chunks that are stored instead of the grid's cells (None: for large grids)."""
     from ..operators.blocks import BlockVolume
     register(spark)
     m = read_meta(root, dataset)
-    dims = tuple(_pad3(m["dims"], 1))
+    dims, blk = tuple(_pad3(m["dims"], 1)), tuple(_pad3(m["block"], 1))
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
-    df = (spark.read.format("ndblocks").option("path", root).option("dataset", dataset)
-          .option("pushdown", pushdown).load().drop("dataset"))
+    read = (spark.read.format("ndblocks").option("path", root).option("dataset", dataset)
+            .option("pushdown", pushdown).option("partition_bytes", str(partition_bytes)))
+    if m["path"] != dataset:
+        read = read.option("at", m["path"])
+    if index is None:
+        index = math.prod(-(-n // b) for n, b in zip(dims, blk)) > INDEX_CELLS
+    if index and not m["fill"]:  # with a fill value every cell has a block
+        read = read.option("index", write_index(spark, root, dataset, m, partition_bytes))
     meta = VolumeMeta(dims, m["dtype"], attrs=m["attrs"], rank=len(m["dims"]))
-    return BlockVolume(df, meta, tuple(_pad3(m["block"], 1)))
+    return BlockVolume(read.load().drop("dataset"), meta, blk)
+
+
+def save_many(df: DataFrame, root: str, datasets: dict[str, tuple[VolumeMeta, tuple]], layout: str = "n5", codec: str = "raw",
+              sep: str = ".", skip_empty: bool = True, attrs: dict | None = None, versions: bool | None = None) -> None:
+    """Write several datasets in one job: the block columns and ``dataset``, which names one of ``datasets`` (metadata, block size).
+
+    ``versions``: publish by a version file instead of moving folders (None: where the store cannot move folders)."""
+    if versions is None:
+        versions = not Store(root).renames
+    run = uuid.uuid4().hex
+    where = {"version": f"v-{run}"} if versions else {"stage": f".stage-{run}"}
+    base = root.rstrip("/")
+    for name, (meta, block) in datasets.items():
+        if versions:
+            write_meta(base, f"{name.rstrip('/')}/v-{run}", meta, block, layout, codec, sep, attrs)
+        else:
+            finish_publish(base, name)
+            write_meta(f"{base}/.stage-{run}", name, meta, block, layout, codec, sep, attrs)
+    register(df.sparkSession)
+    out = df.select("dataset", "gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload").write.format("ndblocks").mode("append") \
+        .option("path", root).option("datasets", json.dumps(list(datasets))).option("skip_empty", str(skip_empty).lower())
+    for k, v in where.items():
+        out = out.option(k, v)
+    out.save()
 
 
 def save_blocks(bv, root: str, dataset: str, layout: str = "n5", codec: str = "raw", sep: str = ".",
-                block=None, skip_empty: bool = True, attrs: dict | None = None) -> None:
+                block=None, skip_empty: bool = True, attrs: dict | None = None, versions: bool | None = None) -> None:
     """Write a BlockVolume as a dataset (re-blocked to ``block`` first if needed), replacing an older one.
 
     The dataset has the volume's ``stored_rank`` axes."""
@@ -435,9 +661,4 @@ def save_blocks(bv, root: str, dataset: str, layout: str = "n5", codec: str = "r
     block = tuple(block or bv.block)
     if tuple(bv.block) != block:
         bv = retile(bv, block)
-    stage = f".stage-{uuid.uuid4().hex}"
-    write_meta(f"{root.rstrip('/')}/{stage}", dataset, bv.meta, block, layout, codec, sep, attrs)
-    register(bv.df.sparkSession)
-    (bv.df.select("gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload")
-     .write.format("ndblocks").mode("append").option("path", root).option("dataset", dataset).option("stage", stage)
-     .option("skip_empty", str(skip_empty).lower()).save())
+    save_many(bv.df.withColumn("dataset", F.lit(dataset)), root, {dataset: (bv.meta, block)}, layout, codec, sep, skip_empty, attrs, versions)

@@ -29,13 +29,16 @@ class DType:
     integer: bool
 
 
-# The voxel types that occur in the reference and their ranges.
+# The sample types of the container formats and their ranges; unsigned types are held in the next wider Spark type.
 DTYPES = {
     "uint8": DType("uint8", "<u1", T.ShortType(), 0, 255, True),
+    "int8": DType("int8", "<i1", T.ByteType(), -128, 127, True),
     "uint16": DType("uint16", "<u2", T.IntegerType(), 0, 65535, True),
+    "int16": DType("int16", "<i2", T.ShortType(), -32768, 32767, True),
+    "uint32": DType("uint32", "<u4", T.LongType(), 0, 4294967295, True),
     "int32": DType("int32", "<i4", T.IntegerType(), -2147483648, 2147483647, True),
-    # int64 saturates at the largest doubles inside the range (2^63 itself would overflow the cast)
-    "int64": DType("int64", "<i8", T.LongType(), -9.223372036854775e18, 9.223372036854775e18, True),
+    "uint64": DType("uint64", "<u8", T.DecimalType(20, 0), 0, 18446744073709551615, True),
+    "int64": DType("int64", "<i8", T.LongType(), -9223372036854775808, 9223372036854775807, True),
     "float32": DType("float32", "<f4", T.FloatType(), -3.4028234663852886e38, 3.4028234663852886e38, False),
     "float64": DType("float64", "<f8", T.DoubleType(), -np.inf, np.inf, False),
 }

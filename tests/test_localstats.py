@@ -110,3 +110,20 @@ def test_size_one_axes(mk, shape, extension):
     assert np.array_equal(to_array(ls.cllcn(vol, 2, extension=extension))[0], want)
     got = to_array(B.to_voxels(B.cllcn(B.from_voxels(vol, (2, 2, 1)), 2, extension=extension)))[0]
     assert np.array_equal(got, want)
+
+
+@pytest.mark.parametrize("extension", ["zero", "mirror_single", "mirror_double"])
+@pytest.mark.parametrize("dtype", ["uint16", "float64"])
+@pytest.mark.parametrize("r", [0, 1, 3])
+def test_windows_are_segments_of_lines(mk, monkeypatch, extension, dtype, r):
+    """Lines cut into segments of a few samples give what whole lines give; no window partition is a line."""
+    a = np.random.default_rng(r).integers(0, 65536, size=(2, 37, 41)).astype(dtype)
+    want = to_array(ls.cllcn(mk(a, dtype), max(r, 1), extension=extension))
+    sums = {(x.x, x.y, x.z): (x.S, x.Q) for x in ls.box_sums(mk(a, dtype), r, r, extension).collect()}
+    monkeypatch.setattr(ls, "SEGMENT", 5)
+    cut = ls.box_sums(mk(a, dtype), r, r, extension)
+    assert {(x.x, x.y, x.z): (x.S, x.Q) for x in cut.collect()} == sums and len(sums) == a.size
+    assert np.array_equal(to_array(ls.cllcn(mk(a, dtype), max(r, 1), extension=extension)), want)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if line.strip(" :+-").startswith("Window ")]
+    assert windows and all("_seg" in line for line in windows)

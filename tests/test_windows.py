@@ -5,8 +5,10 @@ import pytest
 from conftest import to_array
 
 from tessera.operators import blocks as B
+from tessera.operators import exact as X
 from tessera.operators import kernels as K
 from tessera.operators import localstats as ls
+from tessera.operators import running as R
 from tessera.volume import VolumeMeta
 
 
@@ -98,30 +100,102 @@ def test_thin_strips(spark, monkeypatch):
     assert out.block == (10, 10, 5) and np.array_equal(to_array(B.to_voxels(out)), want)
 
 
-def test_bytes_per_voxel_do_not_grow_with_the_radius(spark):
-    """256-wide blocks: what the running sums ship per voxel, at r = 256 and 1023."""
+@pytest.mark.parametrize("mode", ["zero", "mirror_single", "mirror_double"])
+def test_bytes_per_voxel_do_not_grow_with_the_radius(spark, mode, monkeypatch):
+    """256-wide blocks: what the running sums ship per voxel, at r = 256 and 1023, under every border."""
     rng = np.random.default_rng(1)
     a = rng.integers(0, 65536, (1, 256, 2304)).astype(np.uint16)
     bv = blocks_of(spark, a, "uint16", (256, 256, 1))
-    sent = {}
-    real = B.grouped_rows
-    try:
-        for r in (256, 1023):
-            seen = []
-
-            def spy(df, keys, per, schema, cols):
-                if "kind" in df.columns:
-                    seen.append(df.selectExpr("sum(octet_length(payload)) AS n").first()["n"])
-                return real(df, keys, per, schema, cols)
-            B.grouped_rows = spy
-            B.prefix_windows(bv, r, 0, lambda x: np.stack([x.astype(np.int64)] * 2, -1), lambda x: x.astype(np.int64),
-                             lambda v, acc: acc[..., 0], "int64")
-            sent[r] = seen[0] / a.size
-    finally:
-        B.grouped_rows = real
+    sent, real = {}, R.grouped_rows
+    for r in (256, 1023):
+        seen = []
+
+        def spy(df, *rest):
+            seen.append(df.selectExpr("sum(octet_length(payload)) AS n").first()["n"])
+            return real(df, *rest)
+        monkeypatch.setattr(R, "grouped_rows", spy)
+        R.window_pass(bv.df, bv.dims, bv.block, 0, r, mode, lambda p, s: (p, X.fields(B.decode(p, "uint16", *s), True)),
+                      lambda kept, f, s: kept)
+        sent[r] = seen[0] / a.size
     assert all(v <= 48 for v in sent.values()), sent
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7])
+@pytest.mark.parametrize("mode", ["zero", "mirror_single", "mirror_double"])
+def test_folded_windows(n, mode):
+    """E(u) - E(w) is the sum over [w, u) of the extended line, however far out."""
+    line = np.random.default_rng(n).integers(1, 100, n)
+    run = np.concatenate([[0], line.cumsum()])
+    ext = lambda i: line[j] if (j := int(B._index_map(i, i, n, mode)[0])) >= 0 else 0
+    u = np.arange(-25, 26)
+    y, sign, t, f, last = R.terms(u, n, mode)
+    e = sign * run[y] + t * run[n] + f * line[0] + last * line[-1]
+    assert np.array_equal(np.diff(e), [ext(i) for i in u[:-1]])
+
+
+@pytest.mark.parametrize("mode", ["zero", "mirror_single", "mirror_double"])
+@pytest.mark.parametrize("r", [1, 5, 30])
+@pytest.mark.parametrize("block", [(5, 4, 2), (16, 16, 1), (40, 3, 3)])
+def test_running_sums_under_any_border(spark, mode, r, block):
+    rng = np.random.default_rng(r)
+    a = rng.integers(0, 65536, (2, 11, 19)).astype(np.uint16)
+    a[:, 4:9, 6:15] = 0
+    bv = B.nonempty(blocks_of(spark, a, "uint16", block))
+    want = to_array(B.to_voxels(B.cllcn(bv, r, extension=mode, strips=False)))
+    assert np.array_equal(to_array(B.to_voxels(B.cllcn(bv, r, extension=mode, strips=True))), want)
+
+
+def exact_box(img, r):
+    """Window sums of float32 samples as fractions, rounded once."""
+    from fractions import Fraction
+    v = img.astype(np.float32)
+    pad = np.pad(v, r)
+    out = np.zeros((2, *img.shape))
+    for y in range(img.shape[0]):
+        for x in range(img.shape[1]):
+            win = pad[y:y + 2 * r + 1, x:x + 2 * r + 1].ravel()
+            if np.isfinite(win).all():
+                out[:, y, x] = float(sum(map(Fraction, win.tolist()))), float(sum(Fraction(w) ** 2 for w in win.tolist()))
+            else:
+                with np.errstate(invalid="ignore"):
+                    out[:, y, x] = win.astype(np.float64).sum(), (win.astype(np.float64) ** 2).sum()
+    return out
+
+
+WIDE = {"int32": [2 ** 30, -2 ** 31, 2 ** 31 - 1, 3], "int64": [2 ** 62 + 12345, -2 ** 63, 7], "uint32": [2 ** 32 - 1, 5],
+        "float32": [1e15, 3e38, 1e-40, -2.5, np.nan, np.inf], "float64": [1e15, 1e300, -1e-30, np.inf, -np.inf]}
+
+
+@pytest.mark.parametrize("dtype", list(WIDE))
+def test_wide_sums_are_exact_in_every_plan_and_block(spark, dtype):
+    """Large, tiny and infinite samples: all plans and block sizes agree bit for bit with fractions rounded once."""
+    rng, r = np.random.default_rng(5), 2
+    a = (rng.random((1, 12, 14)) * 1000 - (0 if dtype == "uint32" else 500)).astype(dtype)
+    for k, v in enumerate(WIDE[dtype]):
+        a[0, 2 + 2 * (k % 4), 1 + 2 * k] = np.array([v]).astype(dtype)[0]
+    want = exact_box(a[0], r)
+    for block in ((14, 12, 1), (5, 4, 1), (3, 7, 1)):
+        for running in (False, True):
+            out = B.channels_to_voxels(B.box_stats(blocks_of(spark, a, dtype, block), r, running=running), ["S", "Q", "mean", "var", "std"])
+            pdf = out.select("x", "y", "S", "Q").toPandas()
+            got = np.zeros_like(want)
+            got[:, pdf.y, pdf.x] = pdf[["S", "Q"]].to_numpy().T
+            assert np.allclose(got, want, rtol=3e-16, atol=0, equal_nan=True), (block, running)
+            if running is False and block == (14, 12, 1):
+                first = got
+            assert np.array_equal(got, first, equal_nan=True)
+
+
+def test_limbs_hold_every_float():
+    """Sums of limbs give the samples back: extremes of float32, both signs."""
+    v = np.array([0.0, 1.0, -1.0, 1e-45, -1e-45, 3.4028234663852886e38, 2.0 ** -126, 16777215.0, -0.1, 123456.789], np.float32)
+    s, q = X.sums(X.fields(v, False), False, v.shape)
+    w = v.astype(np.float64)
+    assert np.array_equal(s, w) and np.array_equal(q, w * w)
+    f = X.unpack(X.pack(X.fields(v, False)), v.shape)
+    assert np.array_equal(X.sums(f, False, v.shape)[0], w)
+
+
 def test_voxel_form_casts_through_float(mk):
     rng = np.random.default_rng(8)
     a = (2 ** 26 + rng.integers(0, 2 ** 22, (24, 24))).astype(np.int32)
