@@ -60,9 +60,9 @@ def vol_div_shifted_blocks(spark, sf_dir):
 
 @register("vol_max_shifted_blocks", _nonzero(_pairs("CAST(greatest(a * 400000, b, 0) AS BIGINT)")))
 def vol_max_shifted_blocks(spark, sf_dir):
-    """E6 over V4 * 400000 and a translated V5."""
+    """E6 over V4 * 400000 and a translated V5, on V4's interval."""
     a = B.map_pointwise(_v4(spark, sf_dir), lambda x: x * 400000)
-    return B.to_voxels(BO.vmax([a, _moved(spark, sf_dir)]), drop_zeros=True).df
+    return B.to_voxels(BO.vmax([a, _moved(spark, sf_dir)], on=a), drop_zeros=True).df
 
 
 @register("pair_shifted_blocks", q.with_(*BOTH) + """SELECT a.x, a.y, a.z, CAST(a.v AS DOUBLE) AS a, CAST(b.v AS DOUBLE) AS b

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..volume import dtype_of
+from ..volume import dtype_of, spanning
 from . import kernels as K
 from .halo import (BLOCK_COLUMNS, BLOCK_SCHEMA, BlockVolume, G, O, Outbox, S, decode, encode, gathered, grouped_rows, map_blocks,
                    on_interval, operand)
@@ -131,7 +131,7 @@ def multiply_cell(a: BlockVolume, b: BlockVolume, lo, size) -> BlockVolume:
 
 
 def vmax(sources: list[BlockVolume], floor: float | None = 0, on: BlockVolume | None = None) -> BlockVolume:
-    """Per-voxel maximum of n volumes of one type, and of ``floor`` (the output's former zeros), on the first one's interval."""
+    """Per-voxel maximum of n volumes of one type, and of ``floor`` (the output's former zeros), on the interval of ``on`` (that which spans them)."""
     dtype, n = sources[0].dtype, len(sources)
     if any(s.dtype != dtype for s in sources):
         raise TypeError("E6 takes volumes of one voxel type")
@@ -140,6 +140,7 @@ def vmax(sources: list[BlockVolume], floor: float | None = 0, on: BlockVolume |
         out = np.maximum.reduce(blocks)
         return out if floor is None else np.maximum(out, np.asarray(floor, out.dtype))
     if not aligned(*sources, *([on] if on is not None else [])):
+        on = on or replace(sources[0], meta=spanning([s.meta for s in sources]))
         return combine(sources, highest, dtype, on)
     u = sources[0].df.select(*BLOCK_COLUMNS)
     for s in sources[1:]:

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.pointwise import ieee_div, to_type
-from ..volume import AXES, Volume, VolumeMeta, dtype_of
+from ..volume import AXES, Volume, VolumeMeta, dtype_of, spanning
 from .coords import crop, densify
 
 
@@ -85,16 +85,16 @@ def div(a: Volume, b: Volume) -> Volume:
 
 
 def vmax(sources: list[Volume], floor: float | None = 0) -> Volume:
-    """Per-voxel max over n volumes; with ``floor=0`` also over the output's
+    """Per-voxel max over n volumes, on the interval that spans them; with ``floor=0`` also over the output's
     previous (zero) content, as the reference's cell op does.  ``floor=None``: plain max.
 
     A union and one aggregation: partial max per partition before the shuffle.
     """
-    u = reduce(lambda x, y: x.unionByName(y), [_within(s, sources[0]).select(*AXES, "v") for s in sources])
+    u = reduce(lambda x, y: x.unionByName(y), [s.df.select(*AXES, "v") for s in sources])
     m = F.max("v")
     if floor is not None:
         m = F.greatest(m, F.lit(floor).cast(u.schema["v"].dataType))
-    return Volume(u.groupBy(*AXES).agg(m.alias("v")), sources[0].meta)
+    return Volume(u.groupBy(*AXES).agg(m.alias("v")), spanning([s.meta for s in sources]))
 
 
 def multiply_cell(a: Volume, b: Volume, lo, size) -> Volume:

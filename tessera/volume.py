@@ -82,6 +82,13 @@ class VolumeMeta:
         return int(np.prod(self.dims))
 
 
+def spanning(metas: list["VolumeMeta"]) -> "VolumeMeta":
+    """The first one's metadata on the smallest interval that holds all of them."""
+    lo = tuple(min(m.min[d] for m in metas) for d in range(3))
+    hi = tuple(max(m.max[d] for m in metas) for d in range(3))
+    return replace(metas[0], min=lo, dims=tuple(h - l + 1 for l, h in zip(lo, hi)), dense=False)
+
+
 @dataclass(frozen=True)
 class Volume:
     """A voxel DataFrame with its metadata; operators return new Volumes."""
