@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 from tessera.llm.components import components
-from tessera.llm.rolling import Hashes, U, scramble
+from tessera.llm.rolling import U, mixed, scramble
 
 WORDS = 5
 PERCENT = 75
@@ -58,7 +58,7 @@ LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 
 
-def word_hashes(t: np.ndarray, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(begin, hash) of the words of a byte array, A-Z lower-cased, piece by piece."""
     begins, found, at = [], [], 0
     while at < len(t):
@@ -71,7 +71,7 @@ def word_hashes(t: np.ndarray, hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
         edge = np.flatnonzero(inside[1:] != inside[:-1])
         lo, hi = edge[::2], edge[1::2]
         begins.append(lo + at)
-        found.append(hashes.of(hashes.prefix(part), lo, hi) + (hi - lo).astype(U))
+        found.append(mixed(part, lo, hi))
         at = end
     return (np.concatenate(begins), np.concatenate(found)) if begins else (np.zeros(0, np.int64), np.zeros(0, U))
 
@@ -91,10 +91,10 @@ def shingles(u: np.ndarray, n: int = WORDS) -> np.ndarray:
 
 def _sets(texts: pa.Array) -> list[np.ndarray]:
     """Shingle sets of a column of UTF-8 bytes."""
-    hashes, out = Hashes(PIECE + 1), []
+    out = []
     for x in texts:
         t = np.frombuffer(x.as_buffer(), np.uint8) if x.is_valid else np.zeros(0, np.uint8)
-        out.append(shingles(word_hashes(t, hashes)[1]))
+        out.append(shingles(word_hashes(t)[1]))
     return out
 
 

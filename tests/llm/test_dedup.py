@@ -8,6 +8,7 @@ from helpers import (CLASHING, awkward, brute_components, brute_lines, brute_rem
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tessera.llm import components, rolling
 from tessera.llm import exact_dedup as E
 from tessera.llm import jaccard_join as J
 from tessera.llm import line_dedup as L
@@ -195,3 +196,46 @@ def test_trie_links(sets, split):
 
 def test_extra_columns_clash():
     assert {"id", "key", "row"} <= set(CLASHING)
+
+
+def thue_morse(n, swap):
+    return bytes(b"ab"[(bin(i).count("1") & 1) ^ swap] for i in range(n)).decode()
+
+
+@pytest.mark.parametrize("size", [16, 64, 65, 512, 2048, 4096])
+def test_structured_words_are_told_apart(spark, size):
+    """Two words that any polynomial hash modulo 2^64 takes for equal: the documents do not link."""
+    rows = [(i, f"one two {thue_morse(size, i)} four five") for i in (0, 1)] + [(2, f"one two {thue_morse(size, 1)} four five")]
+    got = J.jaccard_report(docs(spark, rows))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == [(0, 1, 0), (1, 1, 1), (2, 1, 1)]
+
+
+def test_mixed_hashes_read_every_byte():
+    """Words that differ in one byte, in their length or by zero bytes at their end have hashes of their own."""
+    words = [b"", b"a", b"a\0", b"a\0\0", b"\0", b"\0\0", *(b"x" * n for n in range(1, 140)),
+             *(b"x" * n + b"y" + b"x" * (99 - n) for n in range(100)), *(b"x" * n + b"y" + b"x" * (30 - n) for n in range(31))]
+    ends = np.cumsum([len(w) for w in words])
+    t = np.frombuffer(b"".join(words), np.uint8)
+    h = rolling.mixed(t, ends - [len(w) for w in words], ends)
+    assert len(set(h.tolist())) == len(set(words))
+    alone = [rolling.mixed(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0] for w in words]
+    assert h.tolist() == alone
+
+
+@pytest.mark.parametrize("hot", [(64, 1024), (1, 1 << 40)])
+def test_components_with_hot_keys(spark, monkeypatch, hot):
+    """Stars, chains and single edges, with every key hot and with the bounds of production."""
+    monkeypatch.setattr(components, "HOT_ROWS", hot[0])
+    monkeypatch.setattr(components, "HOT_PART", hot[1])
+    edges = [(5, k) for k in range(1000, 1300)] + [(k, k + 1) for k in range(2000, 2040)] + [(7, 3), (3, 9), (9, 7)] + [(1100, 2005)]
+    got = dict(components.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+    for a, b in edges:
+        a, b = top(a), top(b)
+        up[max(a, b)] = min(a, b)
+    assert got == {x: top(x) for x in list(up)}
