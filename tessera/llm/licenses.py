@@ -143,6 +143,24 @@ KNOWN = {
     "Zlib": (_ZLIB, "zlib License\n\n" + _ZLIB),
 } | {k + "-notice": v for k, v in NOTICES.items()}
 
+# fixed values: SHA-256 of the canonical form of long licences, as published
+DIGESTS = {
+    "Apache-2.0": "ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100",
+    "Artistic-1.0-Perl": "93aa47d57763801ed6e6a6591d4d4049a2c46794df90838023ceade56b569da0",
+    "BSD-3-Clause": "3d151449461c0c776e892a4dc41cac0d251eb00c9fc49d2d48802d9bed818fe9",
+    "CC0-1.0": "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
+    "GFDL-1.2": "39cfe95edb66e8432e7d3338c5205011102308cb4b70cb292bfb0e16e7f4cbd4",
+    "GFDL-1.3": "2695b21c0bcec410bd65daf2b349947158c376139b4294c34ae8f521b1353312",
+    "GPL-1.0": "9caf042595280548f0149ac88169a7f2e04f35b2a642cf00b991f00d48bfa4ce",
+    "GPL-2.0": "c230c00f329737cb7ce3d97a266318b4c9d4c1fd321335e592b2ce1112179b88",
+    "GPL-3.0": "9eadaf9b7a40514a7ee1a9ae3af9be601993831c8cd600e49f6b418045800fe7",
+    "LGPL-2.0": "b4114daa3dfa52e27e78b2c4e17acd58bf4381e812762f4ded0bcb8eabd1092c",
+    "LGPL-2.1": "294fb9ec58649c7eb0cf90fc2900ac1b28b82fb6da9d40d7599d6b7d399d4d2e",
+    "LGPL-3.0": "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    "MPL-1.1": "f77c59051c0127d677dcce7ba0d4733294974749a7b4155250912498d92767d6",
+    "MPL-2.0": "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9",
+}
+
 
 def respelled(text: Column) -> Column:
     for old, new in SPELLINGS:
@@ -169,15 +187,19 @@ def digest(c: Column) -> Column:
     return F.sha2(c.cast("binary"), 256)
 
 
-def known_texts(docs: DataFrame, known: dict[str, tuple[str, ...]]) -> DataFrame:
-    """(k_digest, license): one row per digest."""
+def known_texts(docs: DataFrame, known: dict[str, tuple[str, ...]], digests: dict[str, str] | None = None) -> DataFrame:
+    """(k_digest, license): one row per digest, of the known texts and of the known digests."""
     rows = [(k, t) for k in sorted(known) for t in known[k]]
     df = small_table(docs.sparkSession, license=(pa.string(), [k for k, _ in rows]), text=(pa.string(), [t for _, t in rows]))
-    return (df.groupBy(digest(canonical(F.col("text"))).alias("k_digest")).agg(F.min("license").alias("license")))
+    df = df.select(digest(canonical(F.col("text"))).alias("k_digest"), "license")
+    if digests:
+        df = df.unionByName(small_table(docs.sparkSession, k_digest=(pa.string(), list(digests.values())),
+                                        license=(pa.string(), list(digests))))
+    return df.groupBy("k_digest").agg(F.min("license").alias("license"))
 
 
-def license_scan(docs: DataFrame, known: dict[str, tuple[str, ...]] = KNOWN,
-                 notices: dict[str, tuple[str, ...]] = NOTICES) -> DataFrame:
+def license_scan(docs: DataFrame, known: dict[str, tuple[str, ...]] = KNOWN, notices: dict[str, tuple[str, ...]] = NOTICES,
+                 digests: dict[str, str] = DIGESTS) -> DataFrame:
     """Per document: doc_id, canonical_sha256, license (of the entire text, or null), notices (names, sorted, once each)."""
     # the dictionaries are parameters of fixed size: a few rows
     names = {r["k_digest"]: r["license"] for r in known_texts(docs, notices).collect() if r["k_digest"] != EMPTY}
@@ -187,7 +209,7 @@ def license_scan(docs: DataFrame, known: dict[str, tuple[str, ...]] = KNOWN,
     found = F.transform(lines, lambda x: lookup[digest(F.btrim(x))])
     rows = docs.select("doc_id", digest(canonical(F.col("text"))).alias("canonical_sha256"),
                        F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull()))).alias("notices"))
-    got = rows.join(F.broadcast(known_texts(docs, known)), F.col("canonical_sha256") == F.col("k_digest"), "left")
+    got = rows.join(F.broadcast(known_texts(docs, known, digests)), F.col("canonical_sha256") == F.col("k_digest"), "left")
     empty = F.col("canonical_sha256") == F.sha2(F.lit("").cast("binary"), 256)
     return got.select("doc_id", "canonical_sha256", F.when(~empty, F.col("license")).alias("license"),
                       F.array_join("notices", ",").alias("notices"))
@@ -210,7 +232,8 @@ def _sql_values(texts: dict[str, tuple[str, ...]]) -> str:
 
 
 ORACLE = f"""
-WITH known AS (SELECT sha256({_sql_canonical("t")}) AS d, min(k) AS license FROM (VALUES {_sql_values(KNOWN)}) v(k, t) GROUP BY 1),
+WITH known AS (SELECT d, min(k) AS license FROM (SELECT sha256({_sql_canonical("t")}) AS d, k FROM (VALUES {_sql_values(KNOWN)}) v(k, t)
+         UNION ALL SELECT d, k FROM (VALUES {", ".join(f"('{k}', '{d}')" for k, d in DIGESTS.items())}) w(k, d)) GROUP BY 1),
 notice AS (SELECT sha256({_sql_canonical("t")}) AS d, min(k) AS license FROM (VALUES {_sql_values(NOTICES)}) v(k, t) GROUP BY 1),
 lines AS (SELECT doc_id, translate(unnest(string_split(coalesce(text, ''), chr(10))), '{UPPER}', '{LOWER}') AS line FROM documents),
 hits AS (SELECT doc_id, string_agg(DISTINCT n.license, ',' ORDER BY n.license) AS notices

@@ -39,6 +39,7 @@ from tessera.llm.common import small_table, words, written
 TARGET_ENTROPY = 0.97
 MAX_REPEATS = 2.0
 BLOCK_TOKENS = 1 << 20
+BLOCK_ROWS = 1 << 17
 CELLS = 1024
 MAX_BROADCAST_SOURCES = 10_000
 STEPS = 60
@@ -95,27 +96,28 @@ def _cell(h: Column) -> Column:
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 11,
          target_entropy: float = TARGET_ENTROPY, max_repeats: float = MAX_REPEATS,
          budget_tokens: float | None = None) -> list[tuple]:
-    """(source, tokens, weight, passes, whole passes, cells of the last pass) for each source."""
+    """(source, tokens, weight, passes, whole passes, cells of the last pass, documents) for each source."""
     hist = written(_base(docs, id_col, text_col, source_col, seed).groupBy("source", _cell(F.col("h")).alias("cell"))
-                   .agg(F.sum("tokens").alias("tokens")), "mix")
-    totals = sorted(((r["source"], r["tokens"]) for r in hist.groupBy("source").agg(F.sum("tokens").alias("tokens")).collect()),
-                    key=lambda r: (r[0] is None, r[0] or ""))  # a row per source
+                   .agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "mix")
+    counted = hist.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.sum("rows").alias("rows")).collect()  # a row per source
+    totals = sorted(((r["source"], r["tokens"]) for r in counted), key=lambda r: (r[0] is None, r[0] or ""))
+    rows = {r["source"]: r["rows"] for r in counted}
     tokens = [t for _, t in totals]
     if not sum(tokens):
-        return [(s, 0, 0.0, 1.0, 1, 0) for s, _ in totals]
+        return [(s, 0, 0.0, 1.0, 1, 0, rows[s]) for s, _ in totals]
     w = weights(tokens, solve_exponent(tokens, target_entropy, max_repeats, budget_tokens))
     e = [max(x, 1.0) if budget_tokens is None else x for x in passes(tokens, w, budget_tokens)]  # 1 but for rounding
     room = small_table(docs.sparkSession, p_source=(pa.string(), [s for s, _ in totals]),
                        room=(pa.float64(), [(x - math.floor(x)) * t for (_, t), x in zip(totals, e)]))
     run = F.sum("tokens").over(Window.partitionBy("source").orderBy("cell"))  # at most CELLS rows per source
     taken = {r["source"]: r["cells"] for r in hist.withColumn("run", run)
-             .join(room, F.col("source").eqNullSafe(F.col("p_source"))).where("run <= room")
+             .join(room, F.col("source").eqNullSafe(F.col("p_source"))).where("room > 0 and run <= room")
              .groupBy("source").agg((F.max("cell") + 1).alias("cells")).collect()}
-    return [(s, t, x, p, math.floor(p), taken.get(s, 0)) for (s, t), x, p in zip(totals, w, e)]
+    return [(s, t, x, p, math.floor(p), taken.get(s, 0), rows[s]) for (s, t), x, p in zip(totals, w, e)]
 
 
 def _copies(docs: DataFrame, rows: list[tuple], id_col: str, text_col: str, source_col: str, seed: int,
-            block_tokens: int) -> DataFrame:
+            block_tokens: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """A row for each copy of a document: row, id, source, tokens, weight, pass, block, order_key."""
     spark = docs.sparkSession
     kinds = {"p_source": pa.string(), "p_tokens": pa.int64(), "weight": pa.float64(), "passes": pa.float64(), "whole": pa.int32(),
@@ -123,7 +125,9 @@ def _copies(docs: DataFrame, rows: list[tuple], id_col: str, text_col: str, sour
     table = small_table(spark, **{c: (kind, [r[k] for r in rows]) for k, (c, kind) in enumerate(kinds.items())})
     if len(rows) <= MAX_BROADCAST_SOURCES:
         table = F.broadcast(table)
-    blocks = max(1, math.ceil(sum(t * p for _, t, _, p, _, _ in rows) / block_tokens))
+    # a block is bounded in tokens and in rows, as documents without tokens have places too
+    blocks = max(1, math.ceil(sum(t * p for _, t, _, p, _, _, _ in rows) / block_tokens),
+                 math.ceil(sum(n * p for *_, p, _, _, n in rows) / block_rows))
     got = _base(docs, id_col, text_col, source_col, seed).join(table, F.col("source").eqNullSafe(F.col("p_source")))
     last = F.when(_cell(F.col("h")) < F.col("cells"), F.array(F.col("whole"))).otherwise(F.array().cast("array<int>"))
     whole = F.when(F.col("whole") > 0, F.sequence(F.lit(0), F.col("whole") - 1)).otherwise(F.array().cast("array<int>"))
@@ -137,11 +141,11 @@ def _copies(docs: DataFrame, rows: list[tuple], id_col: str, text_col: str, sour
                       F.xxhash64(F.lit("order"), "h", "pass").alias("order_key"))
 
 
-def mix_report(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: int = 11, **goal) -> DataFrame:
+def mix_report(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: int = 11, block_rows: int = BLOCK_ROWS, **goal) -> DataFrame:
     """Per copy: doc_id, source, n_tokens, weight of the source, pass, block, position in the block."""
     docs = docs.select("doc_id", "source", "text")
     rows = plan(docs, seed=seed, **goal)
-    got = _copies(docs, rows, "doc_id", "text", "source", seed, block_tokens).drop("row")
+    got = _copies(docs, rows, "doc_id", "text", "source", seed, block_tokens, block_rows).drop("row")
     place = F.row_number().over(Window.partitionBy("block").orderBy("order_key", "id", "pass"))  # a block is bounded by its budget
     return got.select(F.col("id").alias("doc_id"), "source", F.col("tokens").alias("n_tokens"), "weight", "pass", "block",
                       place.cast("long").alias("position"))

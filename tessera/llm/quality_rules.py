@@ -26,12 +26,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import SPACE, let, words, written
 
-LANGS = ("en", "de", "fr", "es")
 RULES = ("symbol_share", "same_word_share", "dup_line_share", "repeat_share")
 CUTOFFS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5)
 RISK = 0.02
@@ -39,6 +38,7 @@ DELTA = 0.05
 WINDOW = 8  # words
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
+MAX_BROADCAST_STRATA = 10_000  # rows of a language and its cutoffs; more are joined by shuffle
 MAX_BROADCAST_REJECTED = 500_000  # rows of an id, a hash and a language
 
 
@@ -111,39 +111,41 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.exp(log_mass) * tail))
 
 
-def stratum(lang: Column, langs: tuple[str, ...]) -> Column:
-    return F.when(lang.isin(*langs), lang).otherwise(F.lit("other"))
+def stratum(lang: Column) -> Column:
+    """Every language is a stratum, and so are the documents without one."""
+    return F.coalesce(lang, F.lit(""))
 
 
-def cutoffs(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang_col: str = "lang",
-            langs: tuple[str, ...] = LANGS, risk: float = RISK, delta: float = DELTA,
-            grid: tuple[float, ...] = CUTOFFS) -> DataFrame:
-    """(stratum, cutoffs: rule -> cutoff) with at most ``len(langs) + 1`` rows."""
+def cutoffs(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", risk: float = RISK,
+            delta: float = DELTA, grid: tuple[float, ...] = CUTOFFS) -> DataFrame:
+    """(stratum, cutoffs: rule -> cutoff) with a row for each language of the labelled holdout that has a certified rule.
+
+    The correction counts the tests of all these languages.
+    """
     good = (labels.where("quality is not null").groupBy(F.col("doc_id").alias("l_id"))
             .agg((F.min("quality") >= 1).alias("good")))
-    held = (feats.where(~F.col("base_failed")).select(F.col(id_col).alias("id"), stratum(F.col(lang_col), langs).alias("stratum"), *RULES)
+    held = (feats.where(~F.col("base_failed")).select(F.col(id_col).alias("id"), stratum(F.col(lang_col)).alias("stratum"), *RULES)
             .join(good, F.col("id") == F.col("l_id")))
     cells = [(r, c) for r in RULES for c in grid]
     counts = held.groupBy("stratum").agg(
         F.count_if("good").alias("n"),
         *[F.count_if(F.col("good") & (F.col(r) > c)).alias(f"g{i}") for i, (r, c) in enumerate(cells)],
         *[F.count_if(~F.col("good") & (F.col(r) > c)).alias(f"b{i}") for i, (r, c) in enumerate(cells)])
-    tests = (len(langs) + 1) * len(cells)
-    one = counts.select("stratum", "n", F.explode(F.array(*[
+    counts = counts.withColumn("tests", F.count("*").over(Window.partitionBy(F.lit(1))) * len(cells))  # over a row a language
+    one = counts.select("stratum", "n", "tests", F.explode(F.array(*[
         F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"g{i}").alias("k"), F.col(f"b{i}").alias("caught"))
-        for i, (r, c) in enumerate(cells)])).alias("x")).select("stratum", "n", "x.*")
+        for i, (r, c) in enumerate(cells)])).alias("x")).select("stratum", "n", "tests", "x.*")
     certified = one.where((F.col("caught") > 0)
-                          & (binomial_cdf(F.col("k"), F.col("n"), risk / len(RULES)) <= delta / tests))
+                          & (binomial_cdf(F.col("k"), F.col("n"), risk / len(RULES)) <= F.lit(delta) / F.col("tests")))
     best = certified.groupBy("stratum", "rule").agg(F.max(F.struct("caught", "cutoff"))["cutoff"].alias("cutoff"))
     return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
 
 
-def judged(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang_col: str = "lang",
-           langs: tuple[str, ...] = LANGS, **how) -> DataFrame:
+def judged(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", **how) -> DataFrame:
     """``feats`` with kept: neither the base rules nor a certified rule of the stratum rejects."""
-    cut = cutoffs(feats, labels, id_col, lang_col, langs, **how).select(F.col("stratum").alias("c_stratum"), "cutoffs")
-    # at most len(langs) + 1 rows by construction
-    got = feats.join(F.broadcast(cut), stratum(F.col(lang_col), langs) == F.col("c_stratum"), "left")
+    cut = written(cutoffs(feats, labels, id_col, lang_col, **how).select(F.col("stratum").alias("c_stratum"), "cutoffs"), "cutoffs")
+    few = F.broadcast(cut) if cut.count() <= MAX_BROADCAST_STRATA else cut
+    got = feats.join(few, stratum(F.col(lang_col)) == F.col("c_stratum"), "left")
     above = [F.coalesce(F.col(r) > F.col("cutoffs")[r], F.lit(False)) for r in RULES]
     rejected = F.col("base_failed")
     for a in above:

@@ -1,6 +1,7 @@
 """BPE, language ID, licences, mixing, quality rules and toxicity."""
 
 import math
+import os
 import random
 from fractions import Fraction
 
@@ -128,6 +129,22 @@ def test_notices_in_any_spelling_of_a_line(spark):
     assert rows_of(C.license_scan(docs(spark, rows), notices=own), "doc_id", "notices") == [(1, "own"), (2, ""), (3, "")]
 
 
+def test_long_licences_by_their_digests(spark):
+    """Whole texts of long licences, respelled, re-wrapped and under other copyright lines; a part of one is none."""
+    folder = "/usr/share/common-licenses"
+    names = {"GPL-3.0": "GPL-3", "Apache-2.0": "Apache-2.0", "MPL-2.0": "MPL-2.0", "LGPL-2.1": "LGPL-2.1", "CC0-1.0": "CC0-1.0"}
+    if not all(os.path.exists(f"{folder}/{f}") for f in names.values()):
+        pytest.skip("the licence texts are not on this machine")
+    rows, want = [], []
+    for k, (name, f) in enumerate(names.items()):
+        with open(f"{folder}/{f}", encoding="utf-8") as h:
+            text = h.read()
+        other = "(C) 2031 Somebody\n" + text.upper().replace(" LICENSE", "\tLICENCE").replace(".", " . ")
+        rows += [(3 * k, text), (3 * k + 1, other), (3 * k + 2, text[:len(text) // 2])]
+        want += [(3 * k, name), (3 * k + 1, name), (3 * k + 2, None)]
+    assert rows_of(C.license_scan(docs(spark, rows)), "doc_id", "license") == in_order(want)
+
+
 # mixing ----------------------------------------------------------------------------
 
 def test_exponent():
@@ -174,6 +191,17 @@ def test_mixing_cases(spark):
     assert M.mix(docs(spark, [])).count() == M.mix_report(docs(spark, [])).count() == 0
 
 
+def test_mixing_blocks_hold_few_rows(spark):
+    """Rows without tokens fill blocks too: a table of blank texts, and a source of them beside another."""
+    blank = docs(spark, [(k, (None, "", " ")[k % 3]) for k in range(2000)])
+    got = M.mix_report(blank, block_rows=100).toPandas()
+    assert len(got) == 2000 and got.block.nunique() == 20 and got.groupby("block").size().max() < 200
+    mixed = blank.unionByName(docs(spark, [(5000 + k, "a b c") for k in range(100)])) \
+        .withColumn("source", F.when(F.col("doc_id") < 5000, "blank").otherwise("text"))
+    got = M.mix_report(mixed, block_rows=100, block_tokens=1000).toPandas()
+    assert len(got) == 2100 and got.groupby("block").size().max() < 200
+
+
 # quality rules -----------------------------------------------------------------------
 
 def test_base_counts(spark):
@@ -211,6 +239,28 @@ def test_certified_cutoffs(spark):
     assert all(r.kept for r in Q.quality_report(other, labels).collect())  # that stratum has no good rows
 
 
+def test_every_language_is_a_stratum(spark):
+    """Six languages and none: each has cutoffs of its own, whatever is usual in the others; the correction counts them all."""
+    rng = random.Random(19)
+    vocab = [f"w{k}" for k in range(300)]
+    langs = ["en", "de", "fr", "es", "pl", "fi", None]
+    rows, labels = [], []
+    for k in range(7 * 1300):
+        lang, junk = langs[k % 7], k % 26 >= 25
+        hashes = lang == "fi" or junk  # in one language every good text is full of symbols
+        text = " ".join(w + ("##" if hashes else "") for w in rng.choices(vocab, k=30))
+        rows.append((k, text, lang, "s", len(text)))
+        labels.append((k, int(not junk), 0))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame(labels, LABELS)
+    feats = Q.features(table.select("doc_id", "lang", "text"))
+    strata = {r.stratum for r in Q.cutoffs(feats, labels).collect()}
+    assert strata == {"en", "de", "fr", "es", "pl", ""}
+    kept = {r.doc_id: r.kept for r in Q.quality_report(table, labels).collect()}
+    for i, _, lang, _, _ in rows:
+        assert kept[i] == (lang == "fi" or i % 26 < 25)
+
+
 def test_rare_junk_beside_common_junk(spark):
     """A rule acts on what it finds, however many bad documents of another kind the stratum has."""
     rng = random.Random(10)
