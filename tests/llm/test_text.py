@@ -245,7 +245,7 @@ def test_every_language_is_a_stratum(spark):
     vocab = [f"w{k}" for k in range(300)]
     langs = ["en", "de", "fr", "es", "pl", "fi", None]
     rows, labels = [], []
-    for k in range(7 * 1300):
+    for k in range(7 * 1900):
         lang, junk = langs[k % 7], k % 26 >= 25
         hashes = lang == "fi" or junk  # in one language every good text is full of symbols
         text = " ".join(w + ("##" if hashes else "") for w in rng.choices(vocab, k=30))
