@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
 
@@ -36,9 +37,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage with a table that survives lost executors and that can
     be read with column pruning.  Whoever has written out a result may drop what
-    was made for it with ``drop_written``.
+    was made for it with ``drop_written``; what is left goes when the driver ends.
     """
     spark = df.sparkSession
+    if not WRITTEN:
+        atexit.unregister(_drop_rest)
+        atexit.register(_drop_rest, spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     WRITTEN.append(path)
@@ -53,6 +57,12 @@ def drop_written(spark: SparkSession, paths: list[str]) -> None:
         WRITTEN.remove(p)
 
 
+def _drop_rest(spark: SparkSession) -> None:
+    """At the end of the driver, if its session is still there."""
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        drop_written(spark, list(WRITTEN))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

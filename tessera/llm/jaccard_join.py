@@ -13,8 +13,10 @@ Documents link when their sets of word shingles have a Jaccard similarity of
    k - u + 1 in this order.  Sets that have one of these in common are joined to one of them, so a
    group costs its size, not its pairs; connected components of these joins hold all links.
    (Sets with k shingles in the range or fewer, short ones mostly, meet among themselves by their k + 1 lowest shingles.)
-3. The sets of a component meet in one task, or in all pairs of its blocks if there are
-   more than ``BLOCK_SETS`` sets or ``BLOCK_SHINGLES`` shingles.  A block's sets, ordered most
+3. The sets of a component meet in one task.  If there are
+   more than ``BLOCK_SETS`` sets or ``BLOCK_SHINGLES`` shingles, they are dealt to blocks, and all meet those of one block, the pivots:
+   near copies of one text are connected after that, at a cost in proportion to their number.  Sets in the main part of the component, that with most sets,
+   have no more to do with one another; only the rest meets it and itself, block by block.  A block's sets, ordered most
    common shingle first, are a compressed trie.  Sets traverse it one
    by one with a running overlap that all sets below share; a subtree is left as soon as the
    shingles that remain on either side cannot reach the threshold, or when all its sets are connected with
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
@@ -324,13 +326,11 @@ def links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int =
 
 
 def _join_blocks(group: pa.Table, percent: int) -> pa.Table:
-    first = np.asarray(group.column("i"))[0]
-    block = np.asarray(group.column("block"))
+    """Links among the left sets of a group if it is alone, else between its left and its right sets."""
+    left, alone = np.asarray(group.column("left")), group.column("alone")[0].as_py()
     sets = [np.frombuffer(x.as_buffer(), U) for x in group.column("set")]
     names = group.column("digest").to_pylist()
-    in_left = [k for k in range(len(sets)) if block[k] == first]
-    in_right = [k for k in range(len(sets)) if block[k] != first]
-    alone = np.asarray(group.column("j"))[0] == first
+    in_left, in_right = np.flatnonzero(left).tolist(), np.flatnonzero(~left).tolist()
     found = links([sets[k] for k in in_left], None if alone else [sets[k] for k in in_right], percent) \
         if in_left and (alone or in_right) else []
     at = in_left + in_right
@@ -355,10 +355,62 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(0, b.num_rows, 500):
             part = b.slice(i, 500)
-            yield pa.record_batch({"digest": part.column("digest"), "label": part.column("label"), "blocks": part.column("blocks"),
+            yield pa.record_batch({**{c: part.column(c) for c in ("digest", "label", "blocks", "main", "rests")},
                                    "set": pa.array([s.tobytes() for s in _sets(part.column("text"))], pa.binary())})
 
 
+def _blocks(block_sets: int) -> Column:
+    """Blocks for sets of a group, from their number and their shingles."""
+    return F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+
+
+def _joined(rows: DataFrame, near: DataFrame, meetings, percent: int) -> DataFrame:
+    """(a, b, final): the links found where the sets of ``near`` meet."""
+    texts = _with_texts(rows, near.select("id", "key", "digest", "label", "blocks", "main", "rests"))
+    sets = texts.select("digest", "label", "blocks", "main", "rests", "text").mapInArrow(
+        _set_rows, "digest long, label long, blocks int, main boolean, rests int, set binary")
+    met = sets.select("label", "digest", "set", "blocks", F.explode(meetings()).alias("m")).select(
+        "label", "digest", "set", "blocks", "m.*")
+    return met.groupBy("label", "i", "j").applyInArrow(lambda g: _join_blocks(g, percent), "a long, b long, final boolean")
+
+
+def _meeting(i, j, left, alone) -> Column:
+    return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), left.alias("left"), alone.alias("alone"))
+
+
+def _first_meetings() -> Column:
+    """Every set of a component meets its pivots, those of block 0; there is no more to do if it has one block."""
+    block, zero = F.pmod(F.xxhash64("digest"), F.col("blocks")), F.lit(0)
+    all_blocks = F.sequence(zero, F.col("blocks") - 1)
+    return F.when(block == 0, F.transform(all_blocks, lambda x: _meeting(zero, x, F.lit(True), x == 0))) \
+        .otherwise(F.array(_meeting(zero, block, F.lit(False), F.lit(False))))
+
+
+def _rest_meetings() -> Column:
+    """Sets outside their component's main part meet it (but for the pivots) and one another, block by block."""
+    block, mine = F.pmod(F.xxhash64("digest"), F.col("blocks")), F.pmod(F.xxhash64(F.lit("rest"), "digest"), F.col("rests"))
+    rests = F.sequence(F.lit(0), F.col("rests") - 1)
+    yes, no = F.lit(True), F.lit(False)
+    with_main = F.transform(F.sequence(F.lit(1), F.col("blocks") - 1), lambda x: _meeting(mine, x, yes, no))
+    with_rest = F.transform(rests, lambda r: _meeting(F.least(r, mine), -1 - F.greatest(r, mine), mine <= r, r == mine))
+    main = F.when(block > 0, F.transform(rests, lambda r: _meeting(r, block, no, no))).otherwise(F.slice(with_main, 1, 0))
+    return F.when(F.col("main"), main).otherwise(F.concat(with_main, with_rest))
+
+
+def _with_rest(large: DataFrame, labels: DataFrame, block_sets: int) -> DataFrame:
+    """The sets of large components with main (connected with most of the others by now) and the blocks that the rest fills.
+
+    Components without a rest are left out."""
+    now = large.join(labels.withColumnRenamed("label", "l_now"), F.col("digest") == F.col("node"), "left") \
+        .withColumn("l_now", F.coalesce("l_now", "digest"))
+    top = now.groupBy("label", "l_now").count().groupBy(F.col("label").alias("t_label")) \
+        .agg(F.max(F.struct("count", "l_now"))["l_now"].alias("top"))
+    parted = now.join(top, F.col("label") == F.col("t_label")).withColumn("main", F.col("l_now") == F.col("top"))
+    rests = parted.where("not main").groupBy(F.col("label").alias("r_label")).agg(_blocks(block_sets).alias("r_blocks"))
+    return parted.join(rests, F.col("label") == F.col("r_label")).select(
+        "digest", "id", "key", "n", "label", "blocks", "main", F.col("r_blocks").alias("rests"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                        share: int = RANGE, block_sets: int = BLOCK_SETS) -> DataFrame:
     """(id, key, n, group, component): key is a hash of id and text; n the set's size; group is null for empty sets."""
@@ -388,21 +440,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     joined = components(_stars(first).unionAll(_stars(weak)))
 
     near = written(classes.join(joined, F.col("digest") == F.col("node")).select("digest", "label", "rep.id", "rep.key", "n"), "near")
-    blocks = near.groupBy(F.col("label").alias("b_label")).agg(
-        F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    texts = _with_texts(rows, near.join(blocks, F.col("label") == F.col("b_label")).select("id", "key", "digest", "label", "blocks"))
-    member = texts.select("digest", "label", "blocks", "text").mapInArrow(
-        _set_rows, "digest long, label long, blocks int, set binary")
-    member = member.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                        lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")))
-    pairs = member.select("label", "digest", "set", "blocks", "block", F.explode(meets).alias("p")).select(
-        "label", "p.i", "p.j", "digest", "set", "blocks", "block")
-    found = written(pairs.groupBy("label", "i", "j").applyInArrow(lambda g: _join_blocks(g, percent),
-                                                                  "a long, b long, final boolean"), "links")
+    blocks = near.groupBy(F.col("label").alias("b_label")).agg(_blocks(block_sets).alias("blocks"))
+    near = written(near.join(blocks, F.col("label") == F.col("b_label")).drop("b_label")
+                   .withColumns({"main": F.lit(True), "rests": F.lit(0)}), "blocks")
+    found = written(_joined(rows, near, _first_meetings, percent), "links")
     linked = found.where("final").select(F.col("a").alias("node"), F.col("b").alias("label"))
-    if not found.where("not final").isEmpty():
-        linked = linked.unionAll(components(found.where("not final").select("a", "b")))
+    large = near.where("blocks > 1")
+    if not large.isEmpty():
+        first_links = found.where("not final").select("a", "b")
+        rest = written(_with_rest(large, components(first_links), block_sets), "rest")
+        more = written(_joined(rows, rest, _rest_meetings, percent).select("a", "b"), "links")
+        linked = linked.unionAll(components(first_links.unionAll(more)))
 
     named = classes.join(linked, F.col("digest") == F.col("node"), "left").select(
         "digest", "least", F.coalesce("label", "digest").alias("label"))

@@ -163,6 +163,26 @@ def test_jaccard_components(spark, share, block):
     assert in_order((r.doc_id,) for r in kept.collect()) == in_order((i,) for i in ids)
 
 
+def test_near_copies_meet_pivots_only(spark, monkeypatch):
+    """A group of near copies many blocks large is connected by its pivots: no set is left to meet the others."""
+    rng, left = random.Random(5), []
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(150):
+        w = list(base)
+        w[rng.randrange(120)] = f"x{k}"
+        rows.append((k, " ".join(w)))
+    real = J._with_rest
+
+    def spy(*a):
+        out = real(*a)
+        left.append(out.count())
+        return out
+    monkeypatch.setattr(J, "_with_rest", spy)
+    got = rows_of(J.jaccard_report(docs(spark, rows), block_sets=10), "doc_id", "component_id")
+    assert got == [(k, 0) for k in range(150)] and left == [0]
+
+
 def test_jaccard_empty(spark):
     assert J.jaccard_report(docs(spark, [])).count() == J.jaccard_dedup(docs(spark, [])).count() == 0
 
