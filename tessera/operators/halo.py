@@ -41,7 +41,7 @@ G, O, S = ("gx", "gy", "gz"), ("ox", "oy", "oz"), ("sx", "sy", "sz")
 BLOCK_SCHEMA = ("gx bigint, gy bigint, gz bigint, ox bigint, oy bigint, oz bigint, "
                 "sx int, sy int, sz int, payload binary")
 BLOCK_COLUMNS = ["gx", "gy", "gz", "ox", "oy", "oz", "sx", "sy", "sz", "payload"]
-OUT_BYTES = 32 << 20  # payload that a task holds before it hands rows on
+OUT_BYTES = 8 << 20  # payload that a task holds before it hands rows on
 # A padded group of a halo plan stays below this where another plan exists.
 MAX_GROUP_BYTES = 256 << 20
 

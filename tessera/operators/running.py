@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..plans.grid import block_grid
 from . import exact as X
-from .halo import BLOCK_COLUMNS, BLOCK_SCHEMA, G, Outbox, grouped_many, grouped_rows
+from .halo import BLOCK_COLUMNS, BLOCK_SCHEMA, G, Outbox, grouped_rows
 
 MARK, CENTRE, AHEAD, BEHIND, TOTAL, FIRST, LAST, BEFORE = range(-1, 7)
 
@@ -64,6 +64,24 @@ def reads(n: int, b: int, r: int, mode: str) -> np.ndarray:
     return np.array([[ends(n, b, r, mode, t)[k][1] for t in range(-(-n // b))] for k in (0, 1)], np.int64)
 
 
+@functools.lru_cache(maxsize=64)
+def readers(n: int, b: int, r: int, mode: str) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (source block p, target block t), by p: t reads running sums that start with the sum before p."""
+    found = set()
+    for ranges in reads(n, b, r, mode):
+        for t, (lo, hi) in enumerate(ranges.tolist()):
+            found.update((p, t) for p in range((lo - 1) // b, (hi - 1) // b + 1) if lo <= hi)
+    both = np.array(sorted(found), np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+@functools.lru_cache(maxsize=64)
+def wholes(n: int, b: int, r: int, mode: str) -> tuple[tuple[int, ...], ...]:
+    """For every target block the planes of its whole lines that it needs."""
+    return tuple(tuple(kind for kind, term in ((TOTAL, 2), (FIRST, 3), (LAST, 4)) if any(e[term].any() for e, _ in ends(n, b, r, mode, t)))
+                 for t in range(-(-n // b)))
+
+
 def window_pass(df: DataFrame, dims, block, axis: int, r: int, mode: str, read: Callable, finish: Callable,
                 every_block: bool = False) -> DataFrame:
     """Blocks of window sums over ``[x-r, x+r]`` along one axis.
@@ -104,26 +122,53 @@ def window_pass(df: DataFrame, dims, block, axis: int, r: int, mode: str, read:
 
     names = ["tx", "ty", "tz", "kind", "at", "size", "payload"]
 
-    def lines(pdf: pd.DataFrame):
-        """What the targets of a row of blocks need to know of its lines."""
-        g = [int(pdf[c].iloc[0]) for c in G]
-        shape = plane(size_of(g))
-        of = {(k, int(p)): X.unpack(x, shape) for k, p, x in zip(pdf["kind"], pdf[G[axis]], pdf["payload"])}
-        before, acc = [], {}
-        for p in range(nb):
-            before.append(X.pack(acc))
-            for k, x in of.get((TOTAL, p), {}).items():
-                acc[k] = acc[k] + x if k in acc else x
-        whole = {TOTAL: X.pack(acc), FIRST: X.pack(of.get((FIRST, 0), {})), LAST: X.pack(of.get((LAST, nb - 1), {}))}
-        for t in range(nb):
-            both = ends(n, b, r, mode, t)
+    def lines(it):
+        """What the targets of a row of blocks need to know of its lines: the blocks pass in their order, and only sums are held."""
+        out, (of, target_of), kinds = Outbox(names, ("kind", "size")), readers(n, b, r, mode), wholes(n, b, r, mode)
+
+        def at(g, t):
             key = list(g)
             key[axis] = t
-            for kind, term in ((TOTAL, 2), (FIRST, 3), (LAST, 4)):
-                if any(e[term].any() for e, _ in both):
-                    yield (*key, kind, 0, 0, whole[kind])
-            for p in sorted({p for _, (lo, hi) in both for p in range((lo - 1) // b, (hi - 1) // b + 1) if lo <= hi}):
-                yield (*key, BEFORE, p, 0, before[p])
+            return key
+
+        def before(g, acc, first, last):  # the sum before the blocks first ... last - 1
+            lo, hi = np.searchsorted(of, (first, last))
+            if lo < hi:
+                packed = X.pack(acc)
+                for p, t in zip(of[lo:hi].tolist(), target_of[lo:hi].tolist()):
+                    yield (*at(g, t), BEFORE, p, 0, packed)
+
+        def finished(g, acc, done, whole):
+            yield from before(g, acc, done, nb)
+            whole[TOTAL] = X.pack(acc)
+            for t, wanted in enumerate(kinds):
+                for kind in wanted:
+                    yield (*at(g, t), kind, 0, 0, whole.get(kind) or X.pack({}))
+
+        def rows_of(it):
+            g, acc, done, whole = None, {}, 0, {}
+            for pdf in it:
+                for row in pdf.itertuples(index=False):
+                    here, p = [row.gx, row.gy, row.gz], row[axis]
+                    if g is None or at(here, 0) != at(g, 0):
+                        if g is not None:
+                            yield from finished(g, acc, done, whole)
+                        g, acc, done, whole = here, {}, 0, {}
+                    if row.kind != TOTAL:
+                        whole[row.kind] = row.payload
+                        continue
+                    yield from before(g, acc, done, p + 1)
+                    done = p + 1
+                    for k, x in X.unpack(row.payload, plane(size_of(g))).items():
+                        acc[k] = acc[k] + x if k in acc else x
+            if g is not None:
+                yield from finished(g, acc, done, whole)
+
+        for x in rows_of(it):
+            if out.add(x):
+                yield out.frame()
+        if out.rows:
+            yield out.frame()
 
     def cut(it):
         out, (ahead, behind) = Outbox(names, ("kind", "size")), reads(n, b, r, mode)
@@ -149,8 +194,8 @@ def window_pass(df: DataFrame, dims, block, axis: int, r: int, mode: str, read:
 
     source = df.select(*G, "payload")
     schema = "tx long, ty long, tz long, kind int, at long, size int, payload binary"
-    known = grouped_many(source.mapInPandas(totals, "gx long, gy long, gz long, kind int, payload binary"), others, lines, schema, names,
-                         ("kind", "size"))
+    known = source.mapInPandas(totals, "gx long, gy long, gz long, kind int, payload binary").repartition(*others) \
+        .sortWithinPartitions(*others, G[axis]).mapInPandas(lines, schema)
     rows = source.mapInPandas(cut, schema).unionAll(known)
     if every_block:
         rows = rows.unionAll(block_grid(df.sparkSession, dims, block).select(
