@@ -51,6 +51,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.dataset as pads
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -59,11 +60,19 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWrit
                                     GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual,
                                     WriterCommitMessage)
 
+from ..session import BATCH_BYTES, bound_batches
 from ..volume import DTYPES, VolumeMeta, dtype_of
 
 SCHEMA = ("dataset string, gx bigint, gy bigint, gz bigint, ox bigint, oy bigint, oz bigint, "
           "sx int, sy int, sz int, payload binary")
 
+ARROW_SCHEMA = pa.schema([("dataset", pa.string()), *[(c, pa.int64()) for c in ("gx", "gy", "gz", "ox", "oy", "oz")],
+                          *[(c, pa.int32()) for c in ("sx", "sy", "sz")], ("payload", pa.binary())])
+
+PART_CHUNKS = 1024  # chunks of a scan partition at most, about: opening a file costs time whatever its size
+LIST_FOLDERS = 64  # folders that a task lists
+LIST_ROWS = 20_000  # chunks of a listing that a task holds
+
 INDEX_CELLS = 10_000  # grids with more cells are planned from the chunks that are stored
 CURRENT = "current.json"  # names the version of a dataset that is published by versions
 
@@ -454,6 +463,18 @@ def _index(path: str):
 
 class PrunedChunkReader(ChunkReader):
     """Reader with grid-key filter push-down (needs spark.sql.python.filterPushdown.enabled)."""
+        """Record batches of about ``BATCH_BYTES``; rows as such would be put into batches by their number alone."""
+        out, held = [], 0
+        for row in self._rows(partition):
+            out.append(row)
+            held += len(row[-1]) + 64
+            if held > BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_SCHEMA)], schema=ARROW_SCHEMA)
+                out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_SCHEMA)], schema=ARROW_SCHEMA)
+
+    def _rows(self, partition):
 
     def pushFilters(self, filters):
         axes = {"gx": 0, "gy": 1, "gz": 2}
@@ -554,7 +575,8 @@ class ChunkedArraySource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Register the source and switch on Python filter push-down (a runtime SQL setting)."""
+    """Register the source, switch on Python filter push-down and bound Arrow batches (runtime SQL settings)."""
+    bound_batches(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(ChunkedArraySource)
 
