@@ -103,17 +103,22 @@ class Store:
         with self.fs.open_input_stream(path) as f:
             return f.read()
 
-    def write(self, path: str, data: bytes) -> None:
-        self.fs.create_dir(os.path.dirname(path), recursive=True)
+    def write(self, path: str, data: bytes, made: set | None = None) -> None:
+        """``made``: folders that the caller has written into before."""
+        folder = os.path.dirname(path)
+        if made is None or folder not in made:
+            self.fs.create_dir(folder, recursive=True)
+            if made is not None:
+                made.add(folder)
         with self.fs.open_output_stream(path) as f:
             f.write(data)
 
-    def put(self, path: str, data: bytes) -> None:
+    def put(self, path: str, data: bytes, made: set | None = None) -> None:
         """A file that is never seen half written, whoever else writes it at the same time."""
         if not self.renames:  # an object appears as a whole
-            return self.write(path, data)
+            return self.write(path, data, made)
         tmp = f"{path}.{uuid.uuid4().hex}.tmp"
-        self.write(tmp, data)
+        self.write(tmp, data, made)
         self.fs.move(tmp, path)
 
     def json(self, path: str) -> dict | None:
@@ -130,6 +135,21 @@ class Store:
         found = self.fs.get_file_info(pafs.FileSelector(path, allow_not_found=True, recursive=True))
         return [(x.path[len(path.rstrip("/")) + 1:], x.size) for x in found if x.type == pafs.FileType.File]
 
+    def each_file(self, path: str):
+        """``files`` one by one; of a local folder they are never all held."""
+        if self.fs.type_name != "local":
+            yield from self.files(path)
+            return
+        todo = [""] if os.path.isdir(path) else []
+        while todo:
+            below = todo.pop()
+            with os.scandir(os.path.join(path, below)) as found:
+                for x in found:
+                    if x.is_dir():
+                        todo.append(f"{below}{x.name}/")
+                    elif x.is_file():
+                        yield below + x.name, x.stat().st_size
+
     def folders(self, path: str) -> list[str]:
         found = self.fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
         return [os.path.basename(x.path) for x in found if x.type == pafs.FileType.Directory]
@@ -429,7 +449,7 @@ class ChunkReader(DataSourceReader):
                     if all(r[f"lo_{a}"] <= hi and lo <= r[f"hi_{a}"] for a, (lo, hi) in zip("xyz", self.box))] or [_Part(0, 0)]
         n = math.prod(len(self._axis_values(a)) for a in range(3))
         blk = _pad3(self.m["block"], 1)
-        bpp = max(1, self.part_bytes // max(1, math.prod(blk) * np.dtype(self.m["dtype"]).itemsize))
+        bpp = max(1, min(PART_CHUNKS, self.part_bytes // max(1, math.prod(blk) * np.dtype(self.m["dtype"]).itemsize)))
         return [_Part(s, min(n, s + bpp)) for s in range(0, n, bpp)] or [_Part(0, 0)]
 
     def _keys(self, partition):
@@ -443,6 +463,18 @@ class ChunkReader(DataSourceReader):
             yield vx[i % len(vx)], vy[(i // len(vx)) % len(vy)], vz[i // (len(vx) * len(vy))]
 
     def read(self, partition):
+        """Record batches of about ``BATCH_BYTES``; rows as such would be put into batches by their number alone."""
+        out, held = [], 0
+        for row in self._rows(partition):
+            out.append(row)
+            held += len(row[-1]) + 64
+            if held > BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_SCHEMA)], schema=ARROW_SCHEMA)
+                out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_SCHEMA)], schema=ARROW_SCHEMA)
+
+    def _rows(self, partition):
         dims, blk = _pad3(self.m["dims"], 1), _pad3(self.m["block"], 1)
         st = Store(self.root)
         for g in self._keys(partition):
@@ -463,18 +495,6 @@ def _index(path: str):
 
 class PrunedChunkReader(ChunkReader):
     """Reader with grid-key filter push-down (needs spark.sql.python.filterPushdown.enabled)."""
-        """Record batches of about ``BATCH_BYTES``; rows as such would be put into batches by their number alone."""
-        out, held = [], 0
-        for row in self._rows(partition):
-            out.append(row)
-            held += len(row[-1]) + 64
-            if held > BATCH_BYTES:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_SCHEMA)], schema=ARROW_SCHEMA)
-                out, held = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ARROW_SCHEMA)], schema=ARROW_SCHEMA)
-
-    def _rows(self, partition):
 
     def pushFilters(self, filters):
         axes = {"gx": 0, "gy": 1, "gz": 2}
@@ -524,7 +544,7 @@ class ChunkWriter(DataSourceWriter):
         return f"{dataset.rstrip('/')}/{self.version}" if self.version else f"{self.stage}/{dataset}"
 
     def write(self, rows):
-        st, metas = Store(self.root), {}
+        st, metas, made = Store(self.root), {}, set()
         written = skipped = 0
         for r in rows:
             d = r["dataset"]
@@ -535,7 +555,7 @@ class ChunkWriter(DataSourceWriter):
             if self.skip_empty and not a.any():
                 skipped += 1
                 continue
-            st.put(st.at(self.place(d), chunk_key(m, (r["gx"], r["gy"], r["gz"]))), encode_chunk(a, m))
+            st.put(st.at(self.place(d), chunk_key(m, (r["gx"], r["gy"], r["gz"]))), encode_chunk(a, m), made)
             written += 1
         return _Done(written, skipped)
 
@@ -586,7 +606,7 @@ def register(spark: SparkSession) -> None:
 def stored_chunks(spark: SparkSession, root: str, dataset: str, m: dict | None = None) -> DataFrame:
     """``gx, gy, gz, bytes`` of the chunks that are stored, listed in a Spark job.
 
-    A task lists one folder of the first axis of the keys; a layout whose chunks lie side by side in one folder is one listing.
+    A task lists some folders of the first axis of the keys; a layout whose chunks lie side by side in one folder is one listing.
     """
     m = m or read_meta(root, dataset)
     st, nd = Store(root), len(m["dims"])
@@ -599,14 +619,18 @@ def stored_chunks(spark: SparkSession, root: str, dataset: str, m: dict | None =
         for pdf in it:
             for head in pdf["head"]:
                 rows = []
-                for name, size in store.files(store.at(m["path"], head)):
+                for name, size in store.each_file(store.at(m["path"], head)):
                     key = (f"{head}/{name}" if head else name).split(sep)
                     if len(key) == nd and all(k.isdigit() for k in key):
                         g = [int(k) for k in key]
                         rows.append((*_pad3(g if m["layout"] == "n5" else g[::-1], 0), size))
+                    if len(rows) >= LIST_ROWS:
+                        yield pd.DataFrame(rows, columns=["gx", "gy", "gz", "bytes"])
+                        rows = []
                 yield pd.DataFrame(rows, columns=["gx", "gy", "gz", "bytes"])
 
-    df = spark.createDataFrame([(h,) for h in heads], "head string").repartition(max(1, min(len(heads), 10_000)), "head")
+    tasks = min(len(heads), max(spark.sparkContext.defaultParallelism, len(heads) // LIST_FOLDERS))  # every task reports to the driver
+    df = spark.createDataFrame([(h,) for h in heads], "head string").repartition(max(1, tasks), "head")
     return df.mapInPandas(run, "gx long, gy long, gz long, bytes long")
 
 
@@ -617,6 +641,7 @@ def write_index(spark: SparkSession, root: str, dataset: str, m: dict, part_byte
     """
     from ..session import cut_lineage, ensure_checkpoint_dir
     found = cut_lineage(stored_chunks(spark, root, dataset, m))  # listed once
+    found = found.withColumn("bytes", F.col("bytes") + F.lit(part_bytes // PART_CHUNKS))  # what opening a chunk is worth
     slabs = found.groupBy("gz").agg(F.sum("bytes").alias("b"))
     before = slabs.select("gz", (F.sum("b").over(Window.orderBy("gz")) - F.col("b")).alias("before"))
     at = F.sum("bytes").over(Window.partitionBy("gz").orderBy("gy", "gx")) - F.col("bytes")
@@ -636,6 +661,7 @@ def open_blocks(spark: SparkSession, root: str, dataset: str, index: bool | None
     from ..operators.blocks import BlockVolume
     register(spark)
     m = read_meta(root, dataset)
+    found = found.withColumn("bytes", F.col("bytes") + F.lit(part_bytes // PART_CHUNKS))  # what opening a chunk is worth
     dims, blk = tuple(_pad3(m["dims"], 1)), tuple(_pad3(m["block"], 1))
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     read = (spark.read.format("ndblocks").option("path", root).option("dataset", dataset)
