@@ -2,17 +2,20 @@
 
 ``value`` is JSON text and ``type`` the variant schema (``ARRAY<BIGINT>``, ``STRING``, ``OBJECT<...>``).
 
-``list_attributes`` reads N5 files with Spark's whole-text reader.  ``container_attributes`` covers both layouts through a data source of
-its own (``format("ndattributes")``), as Spark's file listing skips names with a leading dot: it walks groups, reads ``attributes.json``,
-``.zgroup``, ``.zarray`` and ``.zattrs`` through the container's store, and does not enter datasets, so chunks are
-never listed.  A partition is a folder of the first level; comparisons of ``path`` with ``=``, ``IN`` and a prefix
+``list_attributes`` reads N5 files and parses them in Spark.  ``container_attributes`` covers both layouts through a data source of
+its own (``format("ndattributes")``), as Spark's file listing skips names with a leading dot.  Both walk groups, reads ``attributes.json``,
+``.zgroup``, ``.zarray`` and ``.zattrs`` through the container's store, and do not enter a dataset's numbered folders, so chunks are
+never listed (Spark's own listing would send every chunk file's status to the driver).  A partition is a folder of the first level; comparisons of ``path`` with ``=``, ``IN`` and a prefix
 (``LIKE 'a/%'``) are pushed into the walk.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from urllib.parse import quote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, StringStartsWith
 
@@ -22,16 +25,35 @@ FILES = ("attributes.json", ".zgroup", ".zarray", ".zattrs")
 
 
 def list_attributes(spark: SparkSession, root: str, names=("attributes.json",)) -> DataFrame:
-    """N5 attributes of every group and dataset under ``root``, by Spark's text reader."""
-    frames = []
-    for name in names:
-        df = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-              .option("pathGlobFilter", name).text(root)
-              .select(F.col("_metadata.file_path").alias("file"), F.parse_json("value").alias("j")))
-        frames.append(df)
-    df = frames[0]
-    for f in frames[1:]:
-        df = df.unionByName(f)
+    """N5 attributes of every group and dataset under ``root``; a task walks the groups of a folder of the first level.
+
+    As in Spark's listing, names that start with a dot or an underscore are left out and paths are URI-encoded."""
+    st = Store(root)
+    above = root.rstrip("/") if "://" in root and not root.startswith("file:") else st.at()
+
+    def walk(it):
+        store = Store(root)
+        for pdf in it:
+            for head, deep in zip(pdf["head"], pdf["deep"]):
+                todo = [head]
+                while todo:
+                    path, dataset = todo.pop(), False
+                    for name in {*names, "attributes.json"}:
+                        data = store.read(store.at(path, name))
+                        if data is None:
+                            continue
+                        text = data.decode()
+                        dataset |= name == "attributes.json" and "dimensions" in json.loads(text)
+                        if name in names and not name.startswith((".", "_")):
+                            file = "/".join(x for x in (above, path, name) if x)
+                            yield pd.DataFrame({"file": [re.sub(r'[ "#%<>?\[\\\]^`{|}]', lambda m: quote(m[0]), file)], "value": [text]})
+                    if deep:
+                        dataset = dataset or store.exists(store.at(path, ".zarray"))
+                        todo += [f"{path}/{n}" for n in store.folders(store.at(path)) if not (n.startswith((".", "_")) or dataset and n.isdigit())]
+
+    heads = [("", False), *((n, True) for n in sorted(st.folders(st.at())) if not n.startswith((".", "_")))]
+    df = spark.createDataFrame(heads, "head string, deep boolean").repartition(min(len(heads), 1000), "head") \
+        .mapInPandas(walk, "file string, value string").select("file", F.parse_json("value").alias("j"))
     df.createOrReplaceTempView("_tessera_attr_files")
     return spark.sql("""
         SELECT regexp_replace(regexp_replace(file, '^file:', ''), '/[^/]*$', '') AS path,
