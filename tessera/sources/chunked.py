@@ -661,7 +661,6 @@ def open_blocks(spark: SparkSession, root: str, dataset: str, index: bool | None
     from ..operators.blocks import BlockVolume
     register(spark)
     m = read_meta(root, dataset)
-    found = found.withColumn("bytes", F.col("bytes") + F.lit(part_bytes // PART_CHUNKS))  # what opening a chunk is worth
     dims, blk = tuple(_pad3(m["dims"], 1)), tuple(_pad3(m["block"], 1))
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     read = (spark.read.format("ndblocks").option("path", root).option("dataset", dataset)
